@@ -10,6 +10,9 @@ from tidewater import rules
 from tidewater.functions.missing import not_in, number
 
 
+QC_IDS = ("1", "2", "3.1", "3.2", "4", "5.1", "5.2", "5.3", "5.4", "5.5", "6", "7", "8")
+
+
 class Rule(NamedTuple):
     issue: str
     definition: str

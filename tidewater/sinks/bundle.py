@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping
 from datetime import datetime
 
@@ -17,6 +18,10 @@ def time_stamp(now: datetime | None = None) -> str:
     return (now or datetime.now()).strftime(STAMP)
 
 
+def unique_suffix() -> str:
+    return uuid.uuid4().hex
+
+
 def folder_name(table: str) -> str:
     """Table name as a folder: blanks and symbols become underscores."""
     return re.sub(r"[^0-9A-Za-z.]+", "_", table).strip("_")

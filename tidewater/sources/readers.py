@@ -52,10 +52,9 @@ def read_payload(spark: SparkSession, path: str) -> DataFrame:
 def decode_rows(payload: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Rows of self-describing payloads as typed columns.
 
-    ``types`` declares the wanted columns. Each cell is found by its column's
-    position in the payload's own name list, so payloads may order columns
-    differently. The payload's type tags decide which texts become numbers:
-    tags with ``int`` or ``single`` must agree with the declared type.
+    ``types`` declares the wanted columns (``tagged_types`` turns type tags into
+    it). Each cell is found by its column's position in the payload's own name
+    list, so payloads may order columns differently.
     """
     rows = payload.select("Names", F.explode("Rows.Cells").alias("cells"))
     return rows.select(

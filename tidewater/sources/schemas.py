@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(),
+    "date": T.DateType(),
+}
+
+
 def _schema(**columns: str) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in columns.items()))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in columns.items()])
 
 
 SPORT_CATCH = _schema(
@@ -61,7 +67,13 @@ MARK_MASTER = _schema(
 )
 
 # Self-describing payload: column names, type tags and rows of text cells.
-PAYLOAD = T.StructType.fromDDL("`Names` array<string>, `Types` array<string>, `Rows` array<struct<`Cells`: array<string>>>")
+PAYLOAD = T.StructType(
+    [
+        T.StructField("Names", T.ArrayType(T.StringType())),
+        T.StructField("Types", T.ArrayType(T.StringType())),
+        T.StructField("Rows", T.ArrayType(T.StructType([T.StructField("Cells", T.ArrayType(T.StringType()))]))),
+    ]
+)
 TAG_RELEASE_TYPES = {
     "Tagcode": "string", "Species Name": "string", "Project Name": "string", "Brood Year": "int",
     "Release Year": "int", "Stock Site Name": "string", "Stock PSC Region Name": "string",
