@@ -7,8 +7,10 @@ values, which the tables lack, are made with ``nullif`` and ``case``.
 from __future__ import annotations
 
 import re
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December"
 
@@ -113,8 +115,8 @@ VIEWS: dict[str, str] = {
                {pick(STOCKS, "u + k")} AS resolved_stock_origin,
                {pick("NWVI|SWVI|SWVI|NWVI|ECVI||Puget Sound", "u * 3 + k")} AS resolved_stock_rollup,
                {pick("CWT|Otolith Stock|DNA|DNA|", "e")} AS resolved_stock_source,
-               {pick("Y|N|", "k")} AS hatchery_origin, {pick("Y|N|N|", "u")} AS adipose_fin_clipped,
-               {pick("Not Marked|No Sample|H5|", "e + k")} AS thermalmark,
+               {pick("Y|N|", "k + e")} AS hatchery_origin, {pick("Y|N|N|", "u")} AS adipose_fin_clipped,
+               {pick("Not Marked|No Sample|H5|", "e + 2 * u")} AS thermalmark,
                CASE WHEN e % 3 = 0 THEN NULL ELSE 'B' || {text("u")} END AS otolith_box,
                CASE WHEN e % 4 = 0 THEN NULL ELSE {text("k")} END AS otolith_specimen,
                CASE WHEN k % 5 = 0 THEN NULL ELSE 'S' || {text("u")} END AS scale_book,
@@ -277,9 +279,17 @@ def tables_of(name: str) -> list[str]:
     return sorted(set(re.findall(r"(?<!\{)\{(\w+)\}(?!\})", VIEWS[name])))
 
 
+@cache
+def _schema(sf_dir: str, table: str) -> StructType:
+    """Schema of a table, so that its footers are read once and not per query."""
+    return SparkSession.active().read.parquet(f"{sf_dir}/{table}.parquet").schema
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view over the tables of one folder, as a DataFrame."""
-    frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables_of(name)}
+    frames = {
+        t: spark.read.schema(_schema(sf_dir, t)).parquet(f"{sf_dir}/{t}.parquet") for t in tables_of(name)
+    }
     return spark.sql(VIEWS[name], **frames)
 
 

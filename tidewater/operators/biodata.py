@@ -13,7 +13,7 @@ from tidewater.functions.missing import (
 )
 from tidewater.functions.recode import area_label, gear_from_text, genetic_region, total_age
 from tidewater.functions.text import title_case
-from tidewater.operators.catch import compile_catch, georeference, ufid
+from tidewater.operators.catch import compile_catch, georeference, georeference_sectors, ufid
 from tidewater.operators.reshape import (
     add_name_suffix, drop_range, gather, map_columns, rename_by_pattern, repeat_rows,
 )
@@ -34,61 +34,44 @@ def biosamples(df: DataFrame, areas: Mapping[str, Sequence[str]], sub_areas: Seq
     if river not in ("conuma", "nitinat"):
         raise ValueError(f"river must be 'conuma' or 'nitinat', not {river!r}")
     aged, typed = F.col("resolved_age").isNotNull(), F.col("resolved_stock_origin").isNotNull()
-    kind, sector = F.col("sample_type"), F.col("sector")
-    landing, old_area = F.col("landing_site"), F.col("run_recon_area")
+    kind, landing, old_area = F.col("sample_type"), F.col("landing_site"), F.col("run_recon_area")
+    sport, escapement = kind == "Sport", kind == "Escapement"
+    fleet = has_text(kind, "GILL NET") | has_text(kind, "TROLL")
+    gear = gear_from_text(kind, rules.SAMPLE_GEARS)
 
-    area_choices = [
-        ((sector == "sport") & F.col("subarea").isin(*subs), F.lit(f"sport {area}")) for area, subs in areas.items()
-    ]
+    area_choices = [(sport, area_label("subarea", areas, "sport"))]
     if river == "conuma":
         inlet = if_else(old_area == "Tlupana Inlet", F.lit("Tlupana"), old_area)
         area_choices += [
-            (sector == "commercial", paste("sector", "gear", inlet)),
-            ((sector == "escapement") & (landing != "Conuma R"), paste("sector", F.lit("Misc"), landing)),
-            ((sector == "escapement") & (landing == "Conuma R"), paste("sector", landing)),
+            (fleet, paste(F.lit("commercial"), gear, inlet)),
+            (escapement & (landing != "Conuma R"), paste(F.lit("escapement Misc"), landing)),
+            (escapement & (landing == "Conuma R"), F.lit("escapement Conuma R")),
         ]
         df = df.filter(~has_text("subarea", "Area 26"))
 
-    return (
-        df.drop(*UNUSED)
-        .withColumns(
-            {
-                "input_data_type": first_match(
-                    [
-                        (aged & ~typed, F.lit("age")),
-                        (~aged & typed, F.lit("stock comp")),
-                        (aged & typed, F.lit("age and stock comp")),
-                    ]
-                ),
-                "gear": gear_from_text("sample_type", rules.SAMPLE_GEARS),
-                "sector": first_match(
-                    [
-                        (kind == "Sport", F.lit("sport")),
-                        (has_text(kind, "GILL NET") | has_text(kind, "TROLL"), F.lit("commercial")),
-                        (kind == "Escapement", F.lit("escapement")),
-                    ]
-                ),
-            }
-        )
-        .withColumns(
-            {
-                "creel_sub_area": F.when((sector == "sport") & is_in("subarea", sub_areas), F.col("subarea")),
-                "statweek": F.when(sector == "commercial", stat_week("collection_date")),
-                "run_recon_area": first_match(area_choices),
-                "pfma": number("area", "int"),
-            }
-        )
-        .drop("area")
-        .withColumnRenamed("dna_results_stock_1", "dna_stock_1")
-        .withColumn(
-            "ufid",
-            first_match(
-                [
-                    (sector == "commercial", ufid(week="statweek")),
-                    (sector.isin("sport", "escapement"), ufid()),
-                ]
-            ),
-        )
+    derived = {
+        "input_data_type": first_match(
+            [
+                (aged & ~typed, F.lit("age")),
+                (~aged & typed, F.lit("stock comp")),
+                (aged & typed, F.lit("age and stock comp")),
+            ]
+        ),
+        "gear": gear,
+        "sector": first_match(
+            [(sport, F.lit("sport")), (fleet, F.lit("commercial")), (escapement, F.lit("escapement"))]
+        ),
+        "creel_sub_area": F.when(sport & is_in("subarea", sub_areas), F.col("subarea")),
+        "statweek": F.when(fleet, stat_week("collection_date")),
+        "run_recon_area": first_match(area_choices),
+        "pfma": number("area", "int"),
+        "dna_stock_1": F.col("dna_results_stock_1"),
+    }
+    kept = [c for c in df.columns if c not in {*derived, *UNUSED, "area", "dna_results_stock_1"}]
+    # The week is set for commercial samples only and left out of other ids.
+    fishery = F.concat_ws("-", ufid(), F.col("statweek"))
+    return df.select(*kept, *[c.alias(name) for name, c in derived.items()]).withColumn(
+        "ufid", F.when(F.col("sector").isNotNull(), fishery)
     )
 
 
@@ -141,16 +124,16 @@ def compile_biodata(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def conuma_biodata(samples: DataFrame, gsi: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Area 25 sport and commercial samples, escapement samples and genetic results."""
+    """Area 25 sport and commercial samples, escapement samples and genetic results.
+
+    Sport samples are placed by sub-area, the others by run-reconstruction area.
+    """
     sector, local = F.col("sector"), F.col("pfma") == 25
+    wanted = samples.filter((sector.isin("sport", "commercial") & local) | (sector == "escapement"))
+    keys = {"sport": "creel_sub_area", "commercial": "run_recon_area", "escapement": "run_recon_area"}
     return compile_biodata(
         [
-            georeference(samples.filter((sector == "sport") & local), lookup, "sport", ["run_recon_area"]),
-            georeference(samples.filter((sector == "commercial") & local), lookup, "commercial", ["creel_sub_area"]),
-            georeference(
-                samples.filter(has_text(sector, "escapement")), lookup, "escapement", ["creel_sub_area"],
-                sector_text=True,
-            ),
+            georeference_sectors(wanted, lookup, keys),
             georeference(gsi, lookup, rules.NATIONS_SECTOR, ["creel_sub_area"]),
         ]
     )

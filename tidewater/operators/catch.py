@@ -265,6 +265,17 @@ def georeference(
     return natural_join(df, lookup.filter(wanted).drop("notes", *drop), "left")
 
 
+def georeference_sectors(df: DataFrame, lookup: DataFrame, keys: Mapping[str, str]) -> DataFrame:
+    """Attach positions to several sectors of one table in a single pass.
+
+    ``keys`` names, per sector, the column that places its rows. Equals one
+    ``georeference`` per sector with the other place column dropped, stacked.
+    """
+    place = first_match((F.col("sector") == sector, F.col(key)) for sector, key in keys.items())
+    places = lookup.filter(F.col("sector").isin(*keys)).select("sector", place.alias("place"), "lat", "long")
+    return natural_join(df.withColumn("place", place), places, "left").drop("place")
+
+
 def compile_catch(parts: Sequence[DataFrame], how: str = "union") -> DataFrame:
     """All catch parts in one table, with a display label.
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewater import rules
 from tidewater.functions.missing import sum_or_zero
-from tidewater.operators.joins import natural_join, rows_in
+from tidewater.operators.joins import rows_in
 
 
 def sample_sufficiency(
@@ -14,34 +14,37 @@ def sample_sufficiency(
 ) -> DataFrame:
     """Catch per fishery of one year with its numbers of age and stock samples.
 
-    Both tables are reduced to one row per fishery before they meet; the samples
-    are read once for both counts.
+    Age samples count for their own sector, stock samples for every sector of
+    the area and id. Catch and samples meet in one aggregation instead of two
+    joins: both are summed per fishery before the shuffle, and each is read once.
     """
+    fishery = ["sector", "run_recon_area", "ufid"]
     in_area = F.col("run_recon_area").isNotNull()
-    totals = (
-        catch.filter(in_area & (F.col("year") == year))
-        .groupBy("sector", "run_recon_area", "ufid")
-        .agg(sum_or_zero(catch_column).alias("total_kept"))
-        .filter(F.col("total_kept") > 0)
+    caught = catch.filter(in_area & (F.col("year") == year)).select(
+        *fishery, F.col(catch_column).cast("double").alias("kept"), F.lit(0).alias("age"), F.lit(0).alias("stock")
     )
-    sampled = (
-        bio.filter(in_area)
-        .groupBy("sector", "run_recon_area", "ufid")
-        .agg(F.count("resolved_age").alias("ages"), F.count("resolved_stock_origin").alias("stocks"))
+    sampled = bio.filter(in_area).select(
+        *fishery,
+        F.lit(None).cast("double").alias("kept"),
+        F.col("resolved_age").isNotNull().cast("int").alias("age"),
+        F.col("resolved_stock_origin").isNotNull().cast("int").alias("stock"),
     )
-    ages = sampled.filter(F.col("ages") > 0).select(
-        "sector", "run_recon_area", "ufid", F.col("ages").alias("n_age_samples")
-    )
-    stocks = (
-        sampled.filter(F.col("stocks") > 0)
-        .groupBy("run_recon_area", "ufid")
-        .agg(F.sum("stocks").alias("n_stockcomp_samples"))
+    per_fishery = (
+        caught.unionByName(sampled)
+        .groupBy(*fishery)
+        .agg(
+            sum_or_zero("kept").alias("total_kept"),
+            F.nullif(F.sum("age"), F.lit(0)).alias("n_age_samples"),
+            F.sum("stock").alias("stocks"),
+        )
     )
+    stocks = F.sum("stocks").over(Window.partitionBy("run_recon_area", "ufid"))
+    counted = per_fishery.withColumn("n_stockcomp_samples", F.nullif(stocks, F.lit(0))).drop("stocks")
 
     def flag(n: str) -> Column:
         return F.when(F.col(n).isNull() | (F.col(n) < min_n), "FLAG")
 
-    return natural_join(natural_join(totals, ages), stocks).withColumns(
+    return counted.filter(F.col("total_kept") > 0).withColumns(
         {
             "age_samplesize_flag": flag("n_age_samples"),
             "stockcomp_samplesize_flag": flag("n_stockcomp_samples"),
