@@ -52,9 +52,12 @@ LOOKUP_AREAS = (
 
 def pick(values: str | tuple, key: str) -> str:
     """SQL for one of the ``|``-separated values, chosen by a whole-number expression; empty is null."""
-    values = values if isinstance(values, str) else "|".join(values)
-    n = values.count("|") + 1
-    return f"nullif(split_part('{values}', '|', 1 + cast(({key}) % {n} as int)), '')"
+    values = (values if isinstance(values, str) else "|".join(values)).split("|")
+    at = f"1 + cast(({key}) % {len(values)} as int)"
+    empty = [str(k) for k, v in enumerate(values, 1) if not v]
+    if empty:
+        at = f"CASE WHEN {at} IN ({', '.join(empty)}) THEN NULL ELSE {at} END"
+    return f"split_part('{'|'.join(values)}', '|', {at})"
 
 
 def _pairs(pairs: tuple, at: int) -> str:

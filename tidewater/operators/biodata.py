@@ -16,6 +16,7 @@ from tidewater.functions.text import title_case
 from tidewater.operators.catch import compile_catch, georeference, georeference_sectors, ufid
 from tidewater.operators.reshape import (
     add_name_suffix, drop_range, gather, map_columns, rename_by_pattern, repeat_rows,
+    stack_frames,
 )
 
 # Columns of the raw sample extract that the compiled samples do not carry.
@@ -130,13 +131,13 @@ def conuma_biodata(samples: DataFrame, gsi: DataFrame, lookup: DataFrame) -> Dat
     """
     sector, local = F.col("sector"), F.col("pfma") == 25
     wanted = samples.filter((sector.isin("sport", "commercial") & local) | (sector == "escapement"))
-    keys = {"sport": "creel_sub_area", "commercial": "run_recon_area", "escapement": "run_recon_area"}
-    return compile_biodata(
-        [
-            georeference_sectors(wanted, lookup, keys),
-            georeference(gsi, lookup, rules.NATIONS_SECTOR, ["creel_sub_area"]),
-        ]
-    )
+    keys = {
+        "sport": ("creel_sub_area",),
+        "commercial": ("run_recon_area",),
+        "escapement": ("run_recon_area",),
+        rules.NATIONS_SECTOR: ("run_recon_area",),
+    }
+    return compile_biodata([georeference_sectors(stack_frames([wanted, gsi]), lookup, keys)])
 
 
 def nitinat_biodata(samples: DataFrame, lookup: DataFrame) -> DataFrame:

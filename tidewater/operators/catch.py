@@ -12,7 +12,7 @@ from tidewater.functions.missing import (
     first_match, has_text, is_in, matches, not_in, number, paste, round_half_even, sum_or_null,
 )
 from tidewater.functions.recode import area_label, gear_from_text, pfma_number, recode
-from tidewater.operators.joins import natural_join
+from tidewater.operators.joins import join_on, natural_join
 from tidewater.operators.reshape import gather, spread_sum, stack_blocks, stack_frames
 
 LOOKUP_COLUMNS = ("sector", "run_recon_area", "creel_sub_area", "lat", "long", "notes")
@@ -146,7 +146,8 @@ def commercial_mortality(df: DataFrame) -> DataFrame:
 
 def nations_catch(blocks: Iterable[DataFrame], year: int, pfma: str = "PFMA 25") -> DataFrame:
     """Five Nations catch report blocks as one long table of one management area."""
-    long = stack_blocks(blocks, "catch_data_source", "month", "pfma", "kept").filter(F.col("pfma") == pfma)
+    local = [b.select(F.col(f"`{b.columns[0]}`"), F.col(f"`{pfma}`")) for b in blocks if pfma in b.columns]
+    long = stack_blocks(local, "catch_data_source", "month", "pfma", "kept")
     areas = [(matches("catch_data_source", p), F.lit(a)) for p, a in rules.NATIONS_AREAS.items()]
     return long.withColumns(
         {
@@ -161,61 +162,50 @@ def nations_catch(blocks: Iterable[DataFrame], year: int, pfma: str = "PFMA 25")
 
 
 def hatchery_report(df: DataFrame, sexes: Sequence[str] = tuple(s.lower() for s in rules.REPORT_SEXES)) -> DataFrame:
-    """Hatchery escapement and removal report, one row per line and sex."""
+    """Hatchery escapement and removal report, one row per line and sex.
+
+    Lines are classified while still wide; only the counts are melted.
+    """
     keep = not_in("details", rules.REPORT_NOTE_LINES)
     for text in rules.REPORT_NOTE_TEXT:
         keep = keep & ~has_text("details", text)
-    long = gather(df.filter(keep), sexes, "sex", "n").withColumn("sex", F.upper("sex"))
 
     kind, sector = F.col("estimate_type"), F.col("sector")
     natural, removed = kind == rules.NATURAL_SPAWNERS, kind == rules.FISH_REMOVED
     in_river = has_text("location", "River")
+    kept_back = matches("details", "for broodstock|given to natives|other purposes")
+    sectors = [
+        (natural, F.lit("escapement")),
+        (has_text(kind, "FRESH WATER SPORT FISHERY"), F.lit("sport")),
+        (has_text(kind, "NATIVE FISHERY"), F.lit("FN")),
+        (has_text(kind, "FISH REMOVED"), F.lit("escapement")),
+    ]
     areas = [
-        ((sector == "escapement") & natural & in_river, F.lit("escapement Nitinat River Spawners")),
-        ((sector == "escapement") & removed & has_text("details", "surplus"), F.lit("escapement ESSR")),
-        (
-            (sector == "escapement") & matches("details", "for broodstock|given to natives|other purposes"),
-            F.lit("escapement Hatchery broodstock, morts"),
-        ),
+        (natural & in_river, F.lit("escapement Nitinat River Spawners")),
+        (removed & has_text("details", "surplus"), F.lit("escapement ESSR")),
+        ((sector == "escapement") & kept_back, F.lit("escapement Hatchery broodstock, morts")),
         ((sector == "sport") & in_river, F.lit("sport Area 22 Nitinat River")),
         ((sector == "FN") & has_text("details", "ESSR"), F.lit("FN EO (Native ESSR)")),
         ((sector == "FN") & has_text("details", "Food Fish"), F.lit("FN FSC")),
     ]
-    months = [
-        (sector.isin("sport", "FN"), F.lit("September")),
-        ((sector == "escapement") & removed, F.lit("September")),
-        ((sector == "escapement") & natural, F.lit("October")),
-    ]
-    return (
-        long.withColumn(
-            "sector",
-            first_match(
-                [
-                    (natural, F.lit("escapement")),
-                    (has_text(kind, "FRESH WATER SPORT FISHERY"), F.lit("sport")),
-                    (has_text(kind, "NATIVE FISHERY"), F.lit("FN")),
-                    (has_text(kind, "FISH REMOVED"), F.lit("escapement")),
-                ]
-            ),
-        )
+    months = [(natural, F.lit("October")), (removed | sector.isin("sport", "FN"), F.lit("September"))]
+    kinds = [(sector.isin("sport", "FN"), F.lit("catch")), (sector == "escapement", F.lit("escapement"))]
+    lines = (
+        df.filter(keep)
+        .withColumn("sector", first_match(sectors))
         .withColumns(
             {
                 "run_recon_area": first_match(areas),
                 "month": first_match(months),
                 "pfma": F.lit(22),
                 "stock": F.lit("Nitinat"),
-                "input_data_type": first_match(
-                    [
-                        (sector.isin("sport", "FN"), F.lit("catch")),
-                        (sector == "escapement", F.lit("escapement")),
-                    ]
-                ),
+                "input_data_type": first_match(kinds),
                 "creel_sub_area": F.when(sector == "sport", "22A"),
-                "n": number("n"),
             }
         )
         .withColumn("ufid", F.when(F.col("run_recon_area").isNotNull(), ufid()))
     )
+    return gather(lines, sexes, "sex", "n").withColumns({"sex": F.upper("sex"), "n": number("n")})
 
 
 _FISHERY = ("pfma", "year", "sector", "run_recon_area", "ufid", "month", "input_data_type")
@@ -253,6 +243,22 @@ def escapement_total(report: DataFrame) -> DataFrame:
     return report.filter(spawners).groupBy(*_FISHERY, "sex").agg(sum_or_null("n").alias("total"))
 
 
+def report_totals(report: DataFrame) -> DataFrame:
+    """River sport, First Nations and escapement totals of the report in one pass.
+
+    Equals the three totals stacked: escapement is kept by sex, and a missing
+    count makes its fishery's total missing.
+    """
+    sector, area = F.col("sector"), F.col("run_recon_area")
+    landed = (area == "sport Area 22 Nitinat River") | ((sector == "FN") & area.isNotNull())
+    spawners = (sector == "escapement") & area.isNotNull()
+    rows = report.filter(area.isNotNull()).filter(
+        (landed & is_in("sex", ("M", "F", "U"))) | (spawners & is_in("sex", ("M", "F", "U", "J")))
+    ).withColumn("sex", F.when(sector == "escapement", F.col("sex")))
+    totals = rows.groupBy(*_FISHERY, "creel_sub_area", "sex").agg(sum_or_null("n").alias("total"))
+    return totals.withColumn("kept", F.when(F.col("sector") != "escapement", F.col("total")))
+
+
 def georeference(
     df: DataFrame, lookup: DataFrame, sector: str, drop: Sequence[str] = (), *, sector_text: bool = False
 ) -> DataFrame:
@@ -265,15 +271,20 @@ def georeference(
     return natural_join(df, lookup.filter(wanted).drop("notes", *drop), "left")
 
 
-def georeference_sectors(df: DataFrame, lookup: DataFrame, keys: Mapping[str, str]) -> DataFrame:
+def georeference_sectors(df: DataFrame, lookup: DataFrame, keys: Mapping[str, Sequence[str]]) -> DataFrame:
     """Attach positions to several sectors of one table in a single pass.
 
-    ``keys`` names, per sector, the column that places its rows. Equals one
-    ``georeference`` per sector with the other place column dropped, stacked.
+    ``keys`` names, per sector, the columns that place its rows. Equals one
+    ``georeference`` per sector with the other place columns dropped, stacked.
     """
-    place = first_match((F.col("sector") == sector, F.col(key)) for sector, key in keys.items())
-    places = lookup.filter(F.col("sector").isin(*keys)).select("sector", place.alias("place"), "lat", "long")
-    return natural_join(df.withColumn("place", place), places, "left").drop("place")
+    columns = sorted({c for place in keys.values() for c in place})
+    places = {
+        f"__{c}": F.when(F.col("sector").isin(*[s for s, place in keys.items() if c in place]), F.col(c))
+        for c in columns
+    }
+    wanted = lookup.filter(F.col("sector").isin(*keys)).withColumns(places)
+    positions = wanted.select("sector", *places, "lat", "long")
+    return join_on(df.withColumns(places), positions, ["sector", *places], "left").drop(*places)
 
 
 def compile_catch(parts: Sequence[DataFrame], how: str = "union") -> DataFrame:
@@ -303,23 +314,20 @@ def conuma_catch(
     sport = sport_totals(sport_extract, rules.CONUMA_SPORT_AREAS, (25,), rr_year, 3)
     fleet = commercial_mortality(commercial.filter(F.col("mgmt_area") == 25))
     five = nations.filter(is_in("month", rules.NATIONS_MONTHS)).withColumn("total_mort", F.col("kept"))
-    return compile_catch(
-        [
-            georeference(sport, lookup, "sport"),
-            georeference(fleet, lookup, "commercial", ["creel_sub_area"]),
-            georeference(five, lookup, rules.NATIONS_SECTOR, ["creel_sub_area"]),
-        ]
-    )
+    places = {
+        "sport": ("run_recon_area", "creel_sub_area"),
+        "commercial": ("run_recon_area",),
+        rules.NATIONS_SECTOR: ("run_recon_area",),
+    }
+    return compile_catch([georeference_sectors(stack_frames([sport, fleet, five]), lookup, places)])
 
 
 def nitinat_catch(sport_extract: DataFrame, report: DataFrame, lookup: DataFrame, rr_year: int) -> DataFrame:
     """Areas 21 and 22 catch and escapement from the sport extract and the standardised hatchery report."""
     sport = sport_totals(sport_extract, rules.NITINAT_SPORT_AREAS, (21, 22), rr_year, 4, total="total")
-    return compile_catch(
-        [
-            georeference(sport, lookup, "sport"),
-            georeference(river_sport_total(report), lookup, "sport"),
-            georeference(fn_total(report), lookup, "FN", ["creel_sub_area"]),
-            georeference(escapement_total(report), lookup, "escapement", ["creel_sub_area"]),
-        ]
-    )
+    places = {
+        "sport": ("run_recon_area", "creel_sub_area"),
+        "FN": ("run_recon_area",),
+        "escapement": ("run_recon_area",),
+    }
+    return compile_catch([georeference_sectors(stack_frames([sport, report_totals(report)]), lookup, places)])
