@@ -25,3 +25,9 @@ def records(spark, schema, *dicts) -> DataFrame:
     unknown = {k for d in dicts for k in d} - set(schema.names)
     assert not unknown, unknown
     return spark.createDataFrame([tuple(d.get(n) for n in schema.names) for d in dicts], schema)
+
+
+def formatted_plan(df: DataFrame) -> str:
+    """The plan with untruncated scan details, as ``explain("formatted")`` prints it."""
+    utils = df.sparkSession._jvm.org.apache.spark.sql.api.python.PythonSQLUtils
+    return utils.explainString(df._jdf.queryExecution(), "formatted")
