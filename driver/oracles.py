@@ -433,16 +433,22 @@ def points_sql(column: str, year: int) -> str:
 
 ORACLES["catch_points"] = steps(points_sql("kept", 2000), CONUMA_CATCH_VIEWS, **CONUMA_CATCH)
 ORACLES["nitinat_report"] = steps(points_sql("total", 2001), NITINAT_CATCH_VIEWS, **NITINAT_CATCH)
-ORACLES["sample_points"] = steps(
-    f"SELECT l.*, n, CASE WHEN n < 10 THEN 3 WHEN n < 50 THEN 6 WHEN n < 75 THEN 8 WHEN n < 100 THEN 10 ELSE 12 END "
-    f"AS radius FROM l JOIN c ON {same('l', 'c', 'year', 'sector', 'run_recon_area', 'creel_sub_area', 'lat', 'long')}",
-    CONUMA_BIO_VIEWS, **CONUMA_BIO,
-    s="SELECT year, sector, run_recon_area, creel_sub_area, lat, long, label FROM sampled "
-    "WHERE lat IS NOT NULL AND year = 1999",
-    l="SELECT DISTINCT * FROM s",
-    c="SELECT * EXCLUDE (label), count(*) AS n FROM s GROUP BY year, sector, run_recon_area, creel_sub_area, lat, long"
-    .replace("* EXCLUDE (label)", "year, sector, run_recon_area, creel_sub_area, lat, long"),
-)
+POINT = "year, sector, run_recon_area, creel_sub_area, lat, long"
+
+
+def sample_points_sql(years: str) -> str:
+    return steps(
+        "SELECT l.*, n, CASE WHEN n < 10 THEN 3 WHEN n < 50 THEN 6 WHEN n < 75 THEN 8 WHEN n < 100 THEN 10 ELSE 12 END "
+        f"AS radius FROM l JOIN c ON {same('l', 'c', *POINT.split(', '))}",
+        CONUMA_BIO_VIEWS, **CONUMA_BIO,
+        s=f"SELECT {POINT}, label FROM sampled WHERE lat IS NOT NULL AND year IN ({years})",
+        l="SELECT DISTINCT * FROM s",
+        c=f"SELECT {POINT}, count(*) AS n FROM s GROUP BY {POINT}",
+    )
+
+
+ORACLES["sample_points"] = sample_points_sql("1999")
+ORACLES["sample_points_all_years"] = sample_points_sql("1997, 1998, 1999, 2000")
 ORACLES["temporal_catch"] = steps(
     "SELECT year, sector, run_recon_area, CASE WHEN month IN ('May','June','July','August','September','October') "
     "THEN month END AS month, sum(kept) AS kept FROM caught WHERE run_recon_area IS NOT NULL AND year = 2000 "
@@ -455,6 +461,19 @@ ORACLES["temporal_samples"] = steps(
     "GROUP BY year, sector, run_recon_area, month",
     CONUMA_BIO_VIEWS, **CONUMA_BIO,
 )
+ORACLES["temporal_catch_nitinat"] = steps(
+    "SELECT year, sector, run_recon_area, CASE WHEN month IN ('May','June','July','August','September','October') "
+    "THEN month END AS month, sum(total) AS total FROM caught WHERE run_recon_area IS NOT NULL AND year = 2001 "
+    "AND total > 0 GROUP BY 1, 2, 3, 4",
+    NITINAT_CATCH_VIEWS, **NITINAT_CATCH,
+)
+ORACLES["temporal_samples_nitinat"] = steps(
+    "SELECT year, sector, run_recon_area, month, count(*) AS n, CASE WHEN count(*) > 10 THEN '>10' "
+    "WHEN count(*) < 10 THEN '<10' END AS sample_class FROM b1 WHERE run_recon_area IS NOT NULL "
+    "GROUP BY year, sector, run_recon_area, month",
+    "v_samples v_lookup", **NITINAT_SAMPLES,
+    b1=located("SELECT * FROM bio WHERE sector = 'sport' AND pfma IN (21, 22)", "sport", ("sector", "creel_sub_area")),
+)
 ORACLES["ufid_table"] = steps(
     "SELECT sector, run_recon_area, ufid, coalesce(sum(kept), 0) AS total_kept FROM caught "
     "WHERE run_recon_area IS NOT NULL AND year = 2000 GROUP BY ALL HAVING coalesce(sum(kept), 0) > 0",
@@ -649,10 +668,20 @@ ORACLES["age_discrepancies"] = steps(
     f"v_hatchery {SCALE_VIEWS}", **HATCHERY, **SCALES, **LINK_SCALES,
 )
 _CODE = "r_otolith_box_vial_concat"
-_REPEATED = f"SELECT {_CODE} FROM oto WHERE {_CODE} IS NOT NULL GROUP BY 1 HAVING count(*) > 1"
-ORACLES["duplicate_codes"] = steps(_REPEATED, "v_otoliths", **OTOLITHS)
+_REPEATED = f"SELECT {_CODE} FROM hs WHERE {_CODE} IS NOT NULL GROUP BY 1 HAVING count(*) > 1"
+ORACLES["duplicate_codes"] = steps(_REPEATED, "v_hatchery", **HATCHERY)
 ORACLES["without_duplicates"] = steps(
-    f"SELECT * FROM oto WHERE {_CODE} IS NULL OR {_CODE} NOT IN ({_REPEATED})", "v_otoliths", **OTOLITHS
+    f"SELECT * FROM hs WHERE {_CODE} IS NULL OR {_CODE} NOT IN ({_REPEATED})", "v_hatchery", **HATCHERY
+)
+ORACLES["otoliths_without_mark"] = steps(
+    "SELECT * FROM oto WHERE NOT EXISTS (SELECT 1 FROM marks WHERE marks.hatch_code IS NOT DISTINCT FROM oto.hatch_code)",
+    "v_otoliths v_marks", **OTOLITHS, **MARKS,
+)
+ORACLES["linked_stock_ages"] = steps(
+    f"SELECT coalesce(tag_stock_site_name, {title('substr(stock, 3)')}) AS r_resolved_stock_id, r_resolved_gr_age, "
+    "r_resolved_total_age, r_brood_year, count(*) AS n FROM mk GROUP BY 1, 2, 3, 4",
+    f"{RESOLVED_VIEWS} v_marks", **RESOLVED, **MARKS,
+    mk=_MARKED.format(cols="tag_stock_site_name, r_resolved_gr_age, r_resolved_total_age, r_brood_year, r_hatch_code"),
 )
 ORACLES["mark_crosstab"] = steps(
     "SELECT hatch_code, facility, stock, "
@@ -741,6 +770,7 @@ ORACLES["latest_snapshot"] = steps(
 ORACLES["read_many"] = steps(
     "SELECT nullif(spawning_stock, '') AS spawning_stock, * EXCLUDE (spawning_stock) FROM v_hatchery", "v_hatchery"
 )
+ORACLES["read_extract"] = steps("SELECT waterbody_name, area FROM v_streams", "v_streams")
 ORACLES["stack_frames"] = steps(
     "SELECT tagcode, brood_year, NULL AS hatch_code FROM v_tags UNION ALL SELECT NULL, brood_year, hatch_code FROM v_marks",
     "v_tags v_marks",

@@ -13,7 +13,7 @@ from tidewater.functions.recode import area_label
 from tidewater.operators import (
     biodata, catch, hatchery, joins, quality, reshape, review, stockgroups, sufficiency,
 )
-from tidewater.plans.hatchery_link import LinkInputs, scale_table
+from tidewater.plans.hatchery_link import LinkInputs, link_tables, scale_table
 from tidewater.plans.terminal_run import ConumaInputs, NitinatInputs, conuma_tables, nitinat_tables
 from tidewater.session import settle, shared_folder
 from tidewater.sinks import bundle
@@ -335,6 +335,22 @@ def sample_points(spark, sf_dir):
     return review.sample_points(_conuma_bio(Inputs(spark, sf_dir)), CONUMA_YEAR, 1)
 
 
+@query
+def sample_points_all_years(spark, sf_dir):
+    bio = _conuma_bio(Inputs(spark, sf_dir))
+    return reshape.stack_frames([review.sample_points(bio, CONUMA_YEAR, back) for back in range(4)])
+
+
+@query
+def temporal_catch_nitinat(spark, sf_dir):
+    return review.temporal_catch(_nitinat_catch(Inputs(spark, sf_dir)), NITINAT_YEAR, "total")
+
+
+@query
+def temporal_samples_nitinat(spark, sf_dir):
+    return review.temporal_samples(_nitinat_bio(Inputs(spark, sf_dir)))
+
+
 @query
 def temporal_catch(spark, sf_dir):
     return review.temporal_catch(_conuma_catch(Inputs(spark, sf_dir)), CONUMA_YEAR)
@@ -381,7 +397,7 @@ def stream_areas(spark, sf_dir):
 @query
 def code_stock_groups(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return stockgroups.code_stock_groups(i.samples, stockgroups.stream_areas(i.streams))
+    return stockgroups.code_stock_groups(i.samples, settle(stockgroups.stream_areas(i.streams), "streams"))
 
 
 # Hatchery linkage
@@ -491,12 +507,27 @@ def age_discrepancies(spark, sf_dir):
 
 @query
 def duplicate_codes(spark, sf_dir):
-    return hatchery.duplicate_codes(hatchery.otolith_marks(Inputs(spark, sf_dir).otoliths))
+    return hatchery.duplicate_codes(_hatchery(Inputs(spark, sf_dir)))
 
 
 @query
 def without_duplicates(spark, sf_dir):
-    return hatchery.without_duplicates(hatchery.otolith_marks(Inputs(spark, sf_dir).otoliths))
+    return hatchery.without_duplicates(_hatchery(Inputs(spark, sf_dir)))
+
+
+@query
+def otoliths_without_mark(spark, sf_dir):
+    i = Inputs(spark, sf_dir)
+    marks = hatchery.mark_master(i.marks).select("hatch_code")
+    return joins.rows_not_in(hatchery.otolith_marks(i.otoliths), marks, "hatch_code")
+
+
+@query
+def linked_stock_ages(spark, sf_dir):
+    """The whole linkage from landed inputs, counted by resolved stock, age and brood year."""
+    linked = link_tables(_link_inputs(Inputs(spark, sf_dir)), LINK_YEAR)["1 - all samples linked"]
+    keys = ("r_resolved_stock_id", "r_resolved_gr_age", "r_resolved_total_age", "r_brood_year")
+    return linked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
@@ -570,6 +601,14 @@ def read_many(spark, sf_dir):
     return readers.read_many(spark, f"{folder}/*.csv", schemas.HATCHERY_SAMPLES).drop("file_source")
 
 
+@query
+def read_extract(spark, sf_dir):
+    """Streams landed as csv under a header line and read back, header and blank lines left out."""
+    folder = f"{shared_folder(spark)}/tidewater/csv-{bundle.unique_suffix()}"
+    bundle.write_table(Inputs(spark, sf_dir).streams, folder, fmt="csv")
+    return readers.read_extract(spark, folder, schemas.STREAMS, fmt="csv", preamble="^waterbody_name$")
+
+
 @query
 def stack_frames(spark, sf_dir):
     i = Inputs(spark, sf_dir)

@@ -195,10 +195,10 @@ VIEWS: dict[str, str] = {
     "v_hatchery": f"""
         SELECT CASE WHEN l_suppkey % 5 = 4 THEN '' ELSE {pick("Conuma R|Nitinat R|Robertson Cr|Burman R", "l_suppkey")}
                     END AS spawning_stock,
-               CASE WHEN l_orderkey % 9 = 0 THEN NULL ELSE 'B' || {text("l_suppkey")} END AS bag_no,
-               CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE {text("l_linenumber")} END AS vial_no,
-               CASE WHEN l_suppkey % 11 = 0 THEN NULL ELSE 'S' || {text("l_partkey")} END AS book_no,
-               CASE WHEN l_suppkey % 11 = 0 OR l_orderkey % 13 = 0 THEN NULL
+               CASE WHEN l_suppkey % 9 = 0 THEN NULL ELSE 'B' || {text("l_orderkey")} END AS bag_no,
+               CASE WHEN l_suppkey % 7 = 0 THEN NULL ELSE {text("l_linenumber")} END AS vial_no,
+               CASE WHEN l_suppkey % 11 = 0 THEN NULL ELSE 'S' || {text("l_orderkey")} END AS book_no,
+               CASE WHEN l_suppkey % 11 = 0 OR l_partkey % 13 = 0 THEN NULL
                     ELSE {text("l_linenumber")} END AS scale_sample_no,
                CASE WHEN l_linenumber <= 2 THEN 'T' || {text("l_partkey")} END AS cwt_tag_code,
                {pick("31|41||51|3M", "l_orderkey")} AS scale_gilbert_age,
@@ -215,24 +215,25 @@ VIEWS: dict[str, str] = {
     "v_projects": f"""
         SELECT n_nationkey AS id, 'Hatchery ' || n_name AS location FROM {{nation}}""",
     "v_containers": f"""
-        SELECT 'S' || {text("c_custkey")} AS id, cast(c_custkey % 24 AS int) AS batch_id,
-               cast(c_nationkey AS int) AS field_container_id, c_mktsegment AS container_notes,
-               cast(c_custkey % 3 AS int) AS analyst_name,
-               '2022-09-' || {text("10 + c_nationkey % 20")} AS cnt_start_date, '2022-10-05' AS cnt_end_date
-        FROM {{customer}}""",
+        SELECT 'S' || {text("o_orderkey")} AS id, cast(o_orderkey % 24 AS int) AS batch_id,
+               cast(o_custkey % 25 AS int) AS field_container_id, o_orderpriority AS container_notes,
+               cast(o_custkey % 3 AS int) AS analyst_name,
+               '2022-09-' || {text("10 + o_custkey % 20")} AS cnt_start_date, '2022-10-05' AS cnt_end_date
+        FROM {{orders}}""",
     "v_readings": f"""
-        SELECT cast(o_custkey % 24 AS int) AS id, 'S' || {text("o_custkey")} AS container_id,
-               'P' || {text("o_custkey % 24")} AS project_name, 'WCVI' AS region,
-               'A' || {text("o_custkey % 24 % 5")} AS area, 'Chinook' AS species,
-               CASE WHEN o_orderkey % 10 = 9 THEN 2021 ELSE 2022 END AS recovery_year, 'Adult' AS life_history,
-               {text("o_orderkey % 8")} AS fish_number, {pick("31|41|51|3M||21|32", "o_orderkey")} AS gr_age,
+        SELECT cast(o_orderkey % 24 AS int) AS id, 'S' || {text("o_orderkey")} AS container_id,
+               'P' || {text("o_orderkey % 24")} AS project_name, 'WCVI' AS region,
+               'A' || {text("o_orderkey % 24 % 5")} AS area, 'Chinook' AS species,
+               CASE WHEN o_custkey % 10 = 9 THEN 2021 ELSE 2022 END AS recovery_year, 'Adult' AS life_history,
+               {text("1 + o_orderkey % 7")} AS fish_number, {pick("31|41|51|3M||21|32", "o_custkey")} AS gr_age,
                {pick("R||", "o_custkey")} AS scale_condition
         FROM {{orders}}""",
     "v_otoliths": f"""
         SELECT CASE o_custkey % 3 WHEN 0 THEN 'H-ROBERTSON CR' WHEN 1 THEN 'H-CONUMA R ' ELSE 'H-NITINAT R' END
                  AS facility,
-               CASE WHEN o_orderkey = 5 THEN NULL ELSE 'B' || {text("o_custkey")} END AS box_code,
-               {text("o_orderkey % 8")} AS cell_number,
+               CASE WHEN o_orderkey = 5 THEN NULL ELSE 'B' || {text("o_orderkey")} END AS box_code,
+               CASE WHEN o_orderkey = 5 THEN NULL
+                    ELSE {text("1 + cast(floor(o_orderkey / 7) as int) % 7")} END AS cell_number,
                'H' || {text("cast(floor(o_custkey / 2) as int)")} AS hatch_code,
                {pick("RG||1M", "o_orderkey")} AS part_age_code, {pick("31|41|", "o_custkey")} AS age_gr
         FROM {{orders}}""",

@@ -7,14 +7,18 @@ from pyspark.sql import DataFrame
 from tidewater import rules
 from tidewater.operators.quality import qc_tables
 from tidewater.operators.stockgroups import code_stock_groups, stream_areas
+from tidewater.session import settle
 from tidewater.sinks.bundle import export_coded, write_bundle
 
 
 def write_coded(samples: DataFrame, streams: DataFrame, source: str, stamp: str | None = None) -> str:
-    """Code the samples and export them next to their source."""
-    return export_coded(
-        code_stock_groups(samples, stream_areas(streams)), source, stamp, names=rules.CODED_DISPLAY
-    )
+    """Code the samples and export them next to their source.
+
+    The stream table is settled first: it is small whatever it was drawn from,
+    and at its true size it is broadcast, so the samples are not shuffled.
+    """
+    areas = settle(stream_areas(streams), "streams")
+    return export_coded(code_stock_groups(samples, areas), source, stamp, names=rules.CODED_DISPLAY)
 
 
 def write_quality_report(samples: DataFrame, base: str, stamp: str | None = None) -> dict[str, str]:
