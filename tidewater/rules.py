@@ -141,7 +141,7 @@ TAG_COLUMNS = (
     "release_psc_region_name", "stage_code",
 )
 READING_KEYS = (
-    "batch_id", "project_name", "region", "area", "species", "recovery_year", "life_history", "container_id",
+    "container_id", "batch_id", "project_name", "region", "area", "species", "recovery_year", "life_history",
 )
 
 # Display names used by the sinks.
