@@ -1,5 +1,3 @@
-import tempfile
-
 import pytest
 from pyspark.sql import SparkSession
 
@@ -12,7 +10,6 @@ def make_session() -> SparkSession:
         builder.config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -106,11 +107,26 @@ def test_quality_report_replaces_the_previous_one(spark, tmp_path):
         assert spark.read.parquet(paths["8 - Non-std sex"]).count() == n
 
 
-def test_shared_folder_follows_the_session(spark):
-    assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
-    settled = session.settle(frame(spark, "x int", (1,), (2,)), "t")
-    assert rows(settled) == [(1,), (2,)]
-    assert settled.inputFiles()[0].startswith("file://" + spark.conf.get("spark.checkpoint.dir"))
+class _Session:
+    """Stands for a session with one master and, perhaps, the shared folder set."""
+
+    def __init__(self, master, folder=None):
+        self.sparkContext = SimpleNamespace(master=master)
+        self.conf = SimpleNamespace(get=lambda key, default: folder if key == "spark.checkpoint.dir" else default)
+
+
+def test_shared_folder_follows_the_session():
+    assert session.shared_folder(_Session("yarn", "hdfs://shared/checks/")) == "hdfs://shared/checks"
+    with pytest.raises(RuntimeError):
+        session.shared_folder(_Session("yarn"))
+    own = session.shared_folder(_Session("local[8]"))
+    assert own == session.shared_folder(_Session("local[8]"))
+
+
+def test_settled_tables_keep_rows_and_schema(spark):
+    settled = session.settle(frame(spark, "x int, y string", (1, None), (2, "b")), "t")
+    assert rows(settled) == [(1, None), (2, "b")]
+    assert session.shared_folder(spark) in settled.inputFiles()[0]
 
 
 def test_settled_small_side_is_broadcast_by_its_size(spark):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,19 +24,22 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="run-tidewater-", dir="/tmp")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own.
+    Only a local session without that setting gets a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="run-tidewater-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _own_folder()
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
