@@ -248,6 +248,10 @@ ORACLES["nations_catch"] = steps("SELECT * FROM five", BLOCK_VIEWS, **BLOCKS)
 ORACLES["hatchery_report"] = steps("SELECT * FROM rep", "v_report", **REPORT)
 for _name, _cte in (("river_sport_total", "river"), ("fn_total", "fn"), ("escapement_total", "esc")):
     ORACLES[_name] = steps(f"SELECT * FROM {_cte}", "v_report", **REPORT, **REPORT_TOTALS)
+ORACLES["report_totals"] = steps(
+    "SELECT * FROM river UNION ALL BY NAME SELECT * FROM fn UNION ALL BY NAME SELECT * FROM esc", "v_report",
+    **REPORT, **REPORT_TOTALS,
+)
 ORACLES["compile_catch"] = steps("SELECT * FROM caught", CONUMA_CATCH_VIEWS, **CONUMA_CATCH)
 ORACLES["compile_catch_nitinat"] = steps("SELECT * FROM caught", NITINAT_CATCH_VIEWS, **NITINAT_CATCH)
 ORACLES["natural_full_join"] = steps(

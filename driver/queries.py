@@ -85,7 +85,7 @@ def _conuma_bio(i: Inputs) -> DataFrame:
 
 
 def _nitinat_catch(i: Inputs) -> DataFrame:
-    return catch.nitinat_catch(i.catch, catch.hatchery_report(i.report), i.lookup, NITINAT_YEAR)
+    return catch.nitinat_catch(i.catch, i.report, i.lookup, NITINAT_YEAR)
 
 
 def _nitinat_bio(i: Inputs) -> DataFrame:
@@ -214,6 +214,11 @@ def escapement_total(spark, sf_dir):
     return catch.escapement_total(catch.hatchery_report(Inputs(spark, sf_dir).report))
 
 
+@query
+def report_totals(spark, sf_dir):
+    return catch.report_totals(Inputs(spark, sf_dir).report)
+
+
 @query
 def georeference(spark, sf_dir):
     i = Inputs(spark, sf_dir)

@@ -183,7 +183,7 @@ def test_one_pass_report_totals_equal_the_three(report):
     lines = catch.hatchery_report(report)
     parts = stack_frames([catch.river_sport_total(lines), catch.fn_total(lines), catch.escapement_total(lines)])
     columns = sorted(parts.columns)
-    assert rows(catch.report_totals(lines), *columns) == rows(parts, *columns)
+    assert rows(catch.report_totals(report), *columns) == rows(parts, *columns)
 
 
 def _conuma_parts(sport, commercial, blocks, lookup):
@@ -228,7 +228,7 @@ def test_compiled_catch_keeps_rows_and_kept_fish(sport, commercial, blocks, look
 
 
 def test_nitinat_catch(sport, report, lookup):
-    out = catch.nitinat_catch(sport, catch.hatchery_report(report), lookup, 2022)
+    out = catch.nitinat_catch(sport, report, lookup, 2022)
     assert rows(out.filter("sector = 'sport'"), "run_recon_area", "kept", "total", "lat") == [
         ("sport Area 21 Terminal", 4.0, 4.0, None), ("sport Area 22 Nitinat River", 9.0, 9.0, 48.8)]
     # 121C is mapped to an area but lies outside areas 21 and 22

@@ -161,11 +161,11 @@ def nations_catch(blocks: Iterable[DataFrame], year: int, pfma: str = "PFMA 25")
     ).withColumn("ufid", ufid())
 
 
-def hatchery_report(df: DataFrame, sexes: Sequence[str] = tuple(s.lower() for s in rules.REPORT_SEXES)) -> DataFrame:
-    """Hatchery escapement and removal report, one row per line and sex.
+SEX_COLUMNS = tuple(s.lower() for s in rules.REPORT_SEXES)
 
-    Lines are classified while still wide; only the counts are melted.
-    """
+
+def _classified_lines(df: DataFrame) -> DataFrame:
+    """Report lines that are no notes or subtotals, with sector, area, month and fishery id."""
     keep = not_in("details", rules.REPORT_NOTE_LINES)
     for text in rules.REPORT_NOTE_TEXT:
         keep = keep & ~has_text("details", text)
@@ -190,7 +190,7 @@ def hatchery_report(df: DataFrame, sexes: Sequence[str] = tuple(s.lower() for s
     ]
     months = [(natural, F.lit("October")), (removed | sector.isin("sport", "FN"), F.lit("September"))]
     kinds = [(sector.isin("sport", "FN"), F.lit("catch")), (sector == "escapement", F.lit("escapement"))]
-    lines = (
+    return (
         df.filter(keep)
         .withColumn("sector", first_match(sectors))
         .withColumns(
@@ -205,7 +205,15 @@ def hatchery_report(df: DataFrame, sexes: Sequence[str] = tuple(s.lower() for s
         )
         .withColumn("ufid", F.when(F.col("run_recon_area").isNotNull(), ufid()))
     )
-    return gather(lines, sexes, "sex", "n").withColumns({"sex": F.upper("sex"), "n": number("n")})
+
+
+def hatchery_report(df: DataFrame, sexes: Sequence[str] = SEX_COLUMNS) -> DataFrame:
+    """Hatchery escapement and removal report, one row per line and sex.
+
+    Lines are classified while still wide; only the counts are melted.
+    """
+    long = gather(_classified_lines(df), sexes, "sex", "n")
+    return long.withColumns({"sex": F.upper("sex"), "n": number("n")})
 
 
 _FISHERY = ("pfma", "year", "sector", "run_recon_area", "ufid", "month", "input_data_type")
@@ -243,19 +251,36 @@ def escapement_total(report: DataFrame) -> DataFrame:
     return report.filter(spawners).groupBy(*_FISHERY, "sex").agg(sum_or_null("n").alias("total"))
 
 
-def report_totals(report: DataFrame) -> DataFrame:
-    """River sport, First Nations and escapement totals of the report in one pass.
+def report_totals(extract: DataFrame, sexes: Sequence[str] = SEX_COLUMNS) -> DataFrame:
+    """River sport, First Nations and escapement totals straight from the report extract.
 
-    Equals the three totals stacked: escapement is kept by sex, and a missing
-    count makes its fishery's total missing.
+    Equals the three totals of ``hatchery_report`` stacked: escapement is kept by
+    sex, and a missing count makes its fishery's total missing. Counts are summed
+    per distinct line text first, so only those few lines are classified and melted.
     """
+    cells = {s: number(s) for s in sexes}
+    lines = extract.groupBy("year", "estimate_type", "location", "details").agg(
+        *[F.sum(n).alias(s) for s, n in cells.items()],
+        *[F.count_if(n.isNull()).alias(f"{s}_missing") for s, n in cells.items()],
+    )
+    by_sex = F.array(
+        *[
+            F.struct(F.lit(s.upper()).alias("sex"), F.col(s).alias("n"), F.col(f"{s}_missing").alias("missing"))
+            for s in sexes
+        ]
+    )
     sector, area = F.col("sector"), F.col("run_recon_area")
     landed = (area == "sport Area 22 Nitinat River") | ((sector == "FN") & area.isNotNull())
     spawners = (sector == "escapement") & area.isNotNull()
-    rows = report.filter(area.isNotNull()).filter(
-        (landed & is_in("sex", ("M", "F", "U"))) | (spawners & is_in("sex", ("M", "F", "U", "J")))
-    ).withColumn("sex", F.when(sector == "escapement", F.col("sex")))
-    totals = rows.groupBy(*_FISHERY, "creel_sub_area", "sex").agg(sum_or_null("n").alias("total"))
+    rows = (
+        _classified_lines(lines)
+        .select(*_FISHERY, "creel_sub_area", F.inline(by_sex))
+        .filter((landed & is_in("sex", ("M", "F", "U"))) | (spawners & is_in("sex", ("M", "F", "U", "J"))))
+        .withColumn("sex", F.when(sector == "escapement", F.col("sex")))
+    )
+    totals = rows.groupBy(*_FISHERY, "creel_sub_area", "sex").agg(
+        F.when(F.sum("missing") == 0, F.sum("n")).alias("total")
+    )
     return totals.withColumn("kept", F.when(F.col("sector") != "escapement", F.col("total")))
 
 
@@ -322,12 +347,14 @@ def conuma_catch(
     return compile_catch([georeference_sectors(stack_frames([sport, fleet, five]), lookup, places)])
 
 
-def nitinat_catch(sport_extract: DataFrame, report: DataFrame, lookup: DataFrame, rr_year: int) -> DataFrame:
-    """Areas 21 and 22 catch and escapement from the sport extract and the standardised hatchery report."""
+def nitinat_catch(
+    sport_extract: DataFrame, report_extract: DataFrame, lookup: DataFrame, rr_year: int
+) -> DataFrame:
+    """Areas 21 and 22 catch and escapement from the sport and hatchery report extracts as landed."""
     sport = sport_totals(sport_extract, rules.NITINAT_SPORT_AREAS, (21, 22), rr_year, 4, total="total")
     places = {
         "sport": ("run_recon_area", "creel_sub_area"),
         "FN": ("run_recon_area",),
         "escapement": ("run_recon_area",),
     }
-    return compile_catch([georeference_sectors(stack_frames([sport, report_totals(report)]), lookup, places)])
+    return compile_catch([georeference_sectors(stack_frames([sport, report_totals(report_extract)]), lookup, places)])

@@ -72,7 +72,7 @@ def conuma_tables(
 def nitinat_tables(inputs: NitinatInputs, rr_year: int, *, report_year: int | None = None) -> dict[str, DataFrame]:
     """Compiled catch, escapement and samples with the review tables."""
     year = report_year or rr_year
-    caught = catch.nitinat_catch(inputs.sport, catch.hatchery_report(inputs.report), inputs.lookup, rr_year)
+    caught = catch.nitinat_catch(inputs.sport, inputs.report, inputs.lookup, rr_year)
     samples = biodata.biosamples(
         inputs.samples, rules.NITINAT_SPORT_AREAS, rules.NITINAT_SAMPLE_SUB_AREAS, river="nitinat"
     )
