@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,31 +22,29 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
-@cache
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="run-tidewater-", dir="/tmp")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
+    """This run's own folder in a place every executor can reach.
 
-    Only a local session without that setting gets a folder of its own.
+    The place is ``spark.checkpoint.dir``; where that is unset, the warehouse folder,
+    which every session has.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    return _own_folder()
+    place = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{place.rstrip('/')}/tidewater/{spark.sparkContext.applicationId}"
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
-    """Write a small derived table to the shared folder and read it back.
+    """Write a derived table to the shared folder and read it back.
 
     The table is computed once, survives the loss of executors, and carries its
     true size, so that Spark's own broadcast threshold decides how to join it.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tidewater/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_settled(spark: SparkSession) -> None:
+    """Delete all that this run has settled; frames read from it are of no use afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
