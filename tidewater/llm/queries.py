@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.llm.exact_dedup import exact_dedup
+from tidewater.llm.language_id import identify_languages
+from tidewater.llm.mixing import mix
 from tidewater.llm.ngram_join import ngram_classes
+from tidewater.llm.sentence_pieces import send_vocabulary, token_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +19,14 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_report(_read(spark, sf_dir, "documents"), send_vocabulary(spark))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(_read(spark, sf_dir, "documents"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_classes(_read(spark, sf_dir, "documents"))
 
@@ -24,8 +35,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_read(spark, sf_dir, "documents"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_read(spark, sf_dir, "documents")).drop("mark", "source")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op5_ngram_join, op6_exact_dedup,
+    op2_sentence_pieces, op4_language_id, op5_ngram_join, op6_exact_dedup, op9_mixing,
 )}
 
 ORACLES: dict[str, str] = {}
