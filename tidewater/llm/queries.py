@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewater.llm.embedding_dedup import near_embeddings
 from tidewater.llm.exact_dedup import exact_dedup
 from tidewater.llm.language_id import identify_languages
 from tidewater.llm.mixing import mix
 from tidewater.llm.ngram_join import ngram_classes
+from tidewater.llm.quality import quality_scores
 from tidewater.llm.sentence_pieces import send_vocabulary, token_report
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,10 +21,18 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op2_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_report(_read(spark, sf_dir, "documents"), send_vocabulary(spark))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_embeddings(_read(spark, sf_dir, "embeddings"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(_read(spark, sf_dir, "documents"))
 
@@ -40,7 +50,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_sentence_pieces, op4_language_id, op5_ngram_join, op6_exact_dedup, op9_mixing,
+    op1_quality, op2_sentence_pieces, op3_embedding_dedup, op4_language_id, op5_ngram_join, op6_exact_dedup, op9_mixing,
 )}
 
 ORACLES: dict[str, str] = {}
