@@ -13,6 +13,7 @@ from tidewater.llm.mixing import mix
 from tidewater.llm.ngram_join import ngram_classes
 from tidewater.llm.quality import quality_scores
 from tidewater.llm.sentence_pieces import send_vocabulary, token_report
+from tidewater.llm.url_filter import CONTRACT_RULES, ORACLE as URL_ORACLE, RULES, filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,8 +50,13 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_read(spark, sf_dir, "documents")).drop("mark", "source")
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(_read(spark, sf_dir, "pages"), spark.createDataFrame(list(CONTRACT_RULES), RULES))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality, op2_sentence_pieces, op3_embedding_dedup, op4_language_id, op5_ngram_join, op6_exact_dedup, op9_mixing,
+    op10_url_filter,
 )}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_url_filter": URL_ORACLE}
