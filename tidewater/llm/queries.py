@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewater.llm.class_lm import lm_scores
 from tidewater.llm.embedding_dedup import near_embeddings
 from tidewater.llm.exact_dedup import exact_dedup
 from tidewater.llm.language_id import identify_languages
@@ -13,6 +14,7 @@ from tidewater.llm.mixing import mix
 from tidewater.llm.ngram_join import ngram_classes
 from tidewater.llm.quality import quality_scores
 from tidewater.llm.sentence_pieces import send_vocabulary, token_report
+from tidewater.llm.training_order import write_shards
 from tidewater.llm.url_filter import CONTRACT_RULES, ORACLE as URL_ORACLE, RULES, filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +48,14 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_read(spark, sf_dir, "documents"))
 
 
+def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return write_shards(_read(spark, sf_dir, "documents"), send_vocabulary(spark))
+
+
+def op8_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(_read(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_read(spark, sf_dir, "documents")).drop("mark", "source")
 
@@ -55,8 +65,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_quality, op2_sentence_pieces, op3_embedding_dedup, op4_language_id, op5_ngram_join, op6_exact_dedup, op9_mixing,
-    op10_url_filter,
+    op1_quality, op2_sentence_pieces, op3_embedding_dedup, op4_language_id, op5_ngram_join, op6_exact_dedup, op7_training_order,
+    op8_class_lm, op9_mixing, op10_url_filter,
 )}
 
 ORACLES: dict[str, str] = {"op10_url_filter": URL_ORACLE}
