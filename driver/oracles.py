@@ -25,6 +25,10 @@ def title(expr: str) -> str:
     )
 
 
+def equal(a: str, b: str, *keys: str) -> str:
+    return " AND ".join(f"{a}.{k} = {b}.{k}" for k in keys)
+
+
 def same(a: str, b: str, *keys: str) -> str:
     return " AND ".join(f"{a}.{k} IS NOT DISTINCT FROM {b}.{k}" for k in keys)
 
@@ -75,7 +79,9 @@ def mortality_sql(where: str, total: str = "total_mort") -> dict[str, str]:
         "wide": f"""SELECT year, month, pfma, creel_sub_area, sector, input_data_type, run_recon_area, ufid,
             sum(estimate) FILTER (WHERE disposition = 'Kept') AS kept,
             sum(estimate) FILTER (WHERE disposition = 'Released Legal') AS released_legal,
-            sum(estimate) FILTER (WHERE disposition = 'Released Sub-legal') AS released_sub_legal
+            sum(estimate) FILTER (WHERE disposition = 'Released Sub-legal') AS released_sub_legal,
+            sum(estimate) FILTER (WHERE disposition IS NULL
+              OR disposition NOT IN ('Kept', 'Released Legal', 'Released Sub-legal')) AS other_disposition
             FROM sport WHERE {where} GROUP BY ALL""",
         "mort": f"""SELECT *, released_legal * 2e-1 AS release_mort,
             CASE WHEN released_legal IS NULL THEN kept
@@ -425,6 +431,8 @@ ORACLES["orphan_table"] = suff(
     "coalesce(n_stockcomp_samples, 0) AS n_stockcomp_samples) FROM orphans"
 )
 ORACLES["conuma_report"] = ORACLES["orphan_table"]
+ORACLES["orphan_display"] = suff("SELECT sector AS \"Sector\", sum(total_kept) AS caught FROM orphans GROUP BY 1")
+ORACLES["sectors"] = steps("SELECT DISTINCT sector FROM caught", CONUMA_CATCH_VIEWS, **CONUMA_CATCH)
 
 # Review tables
 
@@ -504,7 +512,7 @@ STREAMS = {
 
 def group_sql(focal: str) -> str:
     return (
-        f"CASE WHEN resolved_stock_origin IS NULL OR term_rr_roll_ups = 'NON-WCVI' OR term_rr_roll_ups IN ({focal}) "
+        f"CASE WHEN resolved_stock_origin IS NULL OR stock_group = 'NON-WCVI' OR stock_group IN ({focal}) "
         "THEN term_sum WHEN area_origin IN (23, 25) THEN hat_nat || ' Other Area ' || area_origin "
         "ELSE hat_nat || ' Other WCVI' END"
     )
@@ -523,9 +531,9 @@ ORACLES["code_stock_groups"] = steps(
         CASE WHEN b.resolved_stock_origin IS NULL THEN 'Unknown'
              WHEN resolved_stock_rollup IS NULL OR resolved_stock_rollup NOT IN ('NWVI', 'SWVI') THEN 'NON-WCVI'
              WHEN b.resolved_stock_origin = 'Tofino Hatchery' THEN 'BEDWELL'
-             ELSE upper(regexp_replace(b.resolved_stock_origin, '\\b( River| Creek)\\b', '', 'g')) END AS term_rr_roll_ups
+             ELSE upper(regexp_replace(b.resolved_stock_origin, '\\b( River| Creek)\\b', '', 'g')) END AS stock_group
         FROM v_samples b LEFT JOIN streams s ON b.resolved_stock_origin IS NOT DISTINCT FROM s.resolved_stock_origin""",
-    c1="SELECT *, hat_nat || ' ' || term_rr_roll_ups AS term_sum FROM c0",
+    c1="SELECT *, hat_nat || ' ' || stock_group AS term_sum FROM c0",
     coded="SELECT *, "
     + group_sql("'BEDWELL','BURMAN','CONUMA','KAOUK','MARBLE','NITINAT','ROBERTSON','SAN JUAN'") + " AS term_con, "
     + group_sql("'CONUMA','NITINAT','ROBERTSON','SAN JUAN'") + " AS term_nit, "
@@ -586,21 +594,21 @@ MARKS = {
 }
 LINK_SCALES = {
     "ls": "SELECT h.*, s.* EXCLUDE (r_scale_book_num, r_scale_cell_num, r_scale_book_cell_concat) FROM hs h "
-    f"LEFT JOIN sc s ON {same('h', 's', 'r_scale_book_num', 'r_scale_cell_num')}",
+    f"LEFT JOIN sc s ON {equal('h', 's', 'r_scale_book_num', 'r_scale_cell_num')}",
 }
 
 
 def link_otolith_sql(left: str) -> str:
     return (
         f"SELECT h.*, o.* EXCLUDE (r_otolith_box_num, r_otolith_vial_num, r_otolith_box_vial_concat) FROM {left} h "
-        f"LEFT JOIN oto o ON {same('h', 'o', 'r_otolith_box_num', 'r_otolith_vial_num', 'r_otolith_box_vial_concat')}"
+        f"LEFT JOIN oto o ON {equal('h', 'o', 'r_otolith_box_num', 'r_otolith_vial_num', 'r_otolith_box_vial_concat')}"
     )
 
 
 RESOLVED = {
     **HATCHERY, **SCALES, **OTOLITHS, **TAGS, **LINK_SCALES,
     "lo": link_otolith_sql("ls"),
-    "lt": f"SELECT h.*, t.* EXCLUDE (r_tagcode) FROM lo h LEFT JOIN tags t ON {same('h', 't', 'r_tagcode')}",
+    "lt": f"SELECT h.*, t.* EXCLUDE (r_tagcode) FROM lo h LEFT JOIN tags t ON {equal('h', 't', 'r_tagcode')}",
     "ra": """SELECT *, CASE WHEN total_age_yrs IS NOT NULL THEN scale_gilbert_age
         WHEN (scale_gilbert_age IS NULL OR scale_part_age IN ('RG','UD','LL','NS')) AND right(gr_age, 1) IN ('1', '2')
           THEN gr_age END AS r_resolved_gr_age FROM lt""",
@@ -633,7 +641,7 @@ ORACLES["tag_releases"] = steps("SELECT * FROM tags", "v_tags", **TAGS)
 ORACLES["link_scales"] = steps("SELECT * FROM ls", f"v_hatchery {SCALE_VIEWS}", **HATCHERY, **SCALES, **LINK_SCALES)
 ORACLES["link_otoliths"] = steps(link_otolith_sql("hs"), "v_hatchery v_otoliths", **HATCHERY, **OTOLITHS)
 ORACLES["link_tags"] = steps(
-    f"SELECT h.*, t.* EXCLUDE (r_tagcode) FROM hs h LEFT JOIN tags t ON {same('h', 't', 'r_tagcode')}",
+    f"SELECT h.*, t.* EXCLUDE (r_tagcode) FROM hs h LEFT JOIN tags t ON {equal('h', 't', 'r_tagcode')}",
     "v_hatchery v_tags", **HATCHERY, **TAGS,
 )
 ORACLES["link_tags_never"] = steps(
@@ -647,7 +655,7 @@ ORACLES["resolve_ages"] = steps(
 )
 _MARKED = (
     "SELECT h.*, m.* EXCLUDE (r_brood_year, r_hatch_code) FROM (SELECT {cols} FROM resolved) h LEFT JOIN marks m ON "
-    + same("h", "m", "r_brood_year", "r_hatch_code")
+    + equal("h", "m", "r_brood_year", "r_hatch_code")
 )
 ORACLES["link_marks"] = steps(
     _MARKED.format(cols="r_otolith_box_vial_concat, r_brood_year, r_hatch_code"),
@@ -772,7 +780,7 @@ ORACLES["latest_snapshot"] = steps(
     "SELECT * FROM v_snapshots WHERE snapshot = (SELECT max(snapshot) FROM v_snapshots)", "v_snapshots"
 )
 ORACLES["read_many"] = steps(
-    "SELECT nullif(spawning_stock, '') AS spawning_stock, * EXCLUDE (spawning_stock) FROM v_hatchery", "v_hatchery"
+    "SELECT nullif(spawning_stock, '') AS spawning_stock, * EXCLUDE (spawning_stock), 'part.csv' AS file_source FROM v_hatchery", "v_hatchery"
 )
 ORACLES["read_extract"] = steps("SELECT waterbody_name, area FROM v_streams", "v_streams")
 ORACLES["stack_frames"] = steps(

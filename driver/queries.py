@@ -342,8 +342,7 @@ def sample_points(spark, sf_dir):
 
 @query
 def sample_points_all_years(spark, sf_dir):
-    bio = _conuma_bio(Inputs(spark, sf_dir))
-    return reshape.stack_frames([review.sample_points(bio, CONUMA_YEAR, back) for back in range(4)])
+    return review.sample_points(_conuma_bio(Inputs(spark, sf_dir)), CONUMA_YEAR, range(4))
 
 
 @query
@@ -601,19 +600,31 @@ def latest_snapshot(spark, sf_dir):
 
 @query
 def read_many(spark, sf_dir):
-    folder = f"{shared_folder(spark)}/tidewater/csv-{bundle.unique_suffix()}"
+    folder = f"{shared_folder(spark)}/csv-{bundle.unique_suffix()}"
     bundle.write_table(Inputs(spark, sf_dir).hatchery, folder, fmt="csv")
-    return readers.read_many(spark, f"{folder}/*.csv", schemas.HATCHERY_SAMPLES).drop("file_source")
+    return readers.read_many(spark, f"{folder}/*.csv", schemas.HATCHERY_SAMPLES).withColumn(
+        "file_source", F.regexp_replace("file_source", r"^part-.*[.]csv$", "part.csv"))
 
 
 @query
 def read_extract(spark, sf_dir):
     """Streams landed as csv under a header line and read back, header and blank lines left out."""
-    folder = f"{shared_folder(spark)}/tidewater/csv-{bundle.unique_suffix()}"
+    folder = f"{shared_folder(spark)}/csv-{bundle.unique_suffix()}"
     bundle.write_table(Inputs(spark, sf_dir).streams, folder, fmt="csv")
     return readers.read_extract(spark, folder, schemas.STREAMS, fmt="csv", preamble="^waterbody_name$")
 
 
+@query
+def sectors(spark, sf_dir):
+    return sufficiency.sectors(_conuma_catch(Inputs(spark, sf_dir)))
+
+
+@query
+def orphan_display(spark, sf_dir):
+    shown = sufficiency.orphan_display(sufficiency.orphan_ufids(_sufficiency(Inputs(spark, sf_dir))), CONUMA_YEAR)
+    return shown.groupBy("Sector").agg(F.sum(f"CK caught in {CONUMA_YEAR}").alias("caught"))
+
+
 @query
 def stack_frames(spark, sf_dir):
     i = Inputs(spark, sf_dir)
@@ -624,7 +635,7 @@ def stack_frames(spark, sf_dir):
 def write_bundle_roundtrip(spark, sf_dir):
     samples = Inputs(spark, sf_dir).samples
     tables = {"Summary": quality.qc_summary(samples), "7 - Area": quality.qc_failures(samples, "7")}
-    base = f"{shared_folder(spark)}/tidewater/report-{bundle.unique_suffix()}"
+    base = f"{shared_folder(spark)}/report-{bundle.unique_suffix()}"
     paths = bundle.write_bundle(tables, base, "stamp", descriptions={"Summary": "counts"})
     return spark.read.parquet(paths["7 - Area"]).select("year", "month", "sample_type", "sex")
 

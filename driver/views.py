@@ -75,7 +75,8 @@ VIEWS: dict[str, str] = {
                {pick(_pairs(SPORT_PLACES, 0), "l_partkey")} AS creel_sub_area,
                CASE WHEN l_linenumber = 7 THEN 'COHO SALMON' ELSE 'CHINOOK SALMON' END AS species,
                CASE l_returnflag WHEN 'A' THEN 'Kept' WHEN 'R' THEN 'Released Legal'
-                    ELSE 'Released Sub-legal' END AS disposition,
+                    ELSE CASE l_linenumber WHEN 5 THEN 'Released Unknown' WHEN 4 THEN NULL
+                         ELSE 'Released Sub-legal' END END AS disposition,
                nullif(l_quantity, 13) AS estimate
         FROM {{lineitem}}""",
     "v_commercial": f"""
@@ -124,7 +125,7 @@ VIEWS: dict[str, str] = {
                CASE WHEN e % 4 = 0 THEN NULL ELSE {text("k")} END AS otolith_specimen,
                CASE WHEN k % 5 = 0 THEN NULL ELSE 'S' || {text("u")} END AS scale_book,
                {pick("RG||UD", "e")} AS part_age_code,
-               {pick("0|12345|A77||0.5", "k + u")} AS cwt_head_label,
+               {pick("0|12345|A77||0.5|00", "k + u")} AS cwt_head_label,
                {pick("No Tag|181234|", "e + u")} AS cwt_result,
                CASE WHEN u % 2 = 0 THEN 1998 + cast(u % 4 AS int) - 2 - cast(e % 4 AS int) END AS cwt_brood_year,
                {pick("W12||W77", "k")} AS specimen_reference_dna_no,
@@ -223,7 +224,8 @@ VIEWS: dict[str, str] = {
     "v_readings": f"""
         SELECT cast(o_orderkey % 24 AS int) AS id, 'S' || {text("o_orderkey")} AS container_id,
                'P' || {text("o_orderkey % 24")} AS project_name, 'WCVI' AS region,
-               'A' || {text("o_orderkey % 24 % 5")} AS area, 'Chinook' AS species,
+               'A' || {text("o_orderkey % 24 % 5")} AS area,
+               CASE WHEN o_custkey % 17 = 3 THEN 'Coho' ELSE 'Chinook' END AS species,
                CASE WHEN o_custkey % 10 = 9 THEN 2021 ELSE 2022 END AS recovery_year, 'Adult' AS life_history,
                {text("1 + o_orderkey % 7")} AS fish_number, {pick("31|41|51|3M||21|32", "o_custkey")} AS gr_age,
                {pick("R||", "o_custkey")} AS scale_condition
@@ -231,14 +233,14 @@ VIEWS: dict[str, str] = {
     "v_otoliths": f"""
         SELECT CASE o_custkey % 3 WHEN 0 THEN 'H-ROBERTSON CR' WHEN 1 THEN 'H-CONUMA R ' ELSE 'H-NITINAT R' END
                  AS facility,
-               CASE WHEN o_orderkey = 5 THEN NULL ELSE 'B' || {text("o_orderkey")} END AS box_code,
-               CASE WHEN o_orderkey = 5 THEN NULL
+               CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE 'B' || {text("o_orderkey")} END AS box_code,
+               CASE WHEN o_orderkey % 3 = 2 THEN NULL
                     ELSE {text("1 + cast(floor(o_orderkey / 7) as int) % 7")} END AS cell_number,
                'H' || {text("cast(floor(o_custkey / 2) as int)")} AS hatch_code,
                {pick("RG||1M", "o_orderkey")} AS part_age_code, {pick("31|41|", "o_custkey")} AS age_gr
         FROM {{orders}}""",
     "v_tags": f"""
-        SELECT CASE WHEN p_partkey = 3 THEN NULL ELSE 'T' || {text("p_partkey")} END AS tagcode,
+        SELECT CASE WHEN p_partkey % 5 = 3 THEN NULL ELSE 'T' || {text("p_partkey")} END AS tagcode,
                'Chinook' AS species_name, 'Project ' || {text("p_size")} AS project_name,
                cast(nullif(2015 + p_partkey % 5, 2019) AS int) AS brood_year,
                cast(2016 + p_partkey % 5 AS int) AS release_year,
@@ -251,7 +253,7 @@ VIEWS: dict[str, str] = {
         SELECT cast(2015 + p_partkey % 6 AS int) AS brood_year, 'AG' AS agency,
                'H-F' || {text("p_partkey % 7")} AS facility, cast(2016 + p_partkey % 6 AS int) AS release_year,
                {pick("H-CONUMA RIVER|H-NITINAT R|S-SAN JUAN-UPPER|S-BURMAN R (EAST)|", "p_partkey + p_size")} AS stock,
-               CASE WHEN p_partkey = 3 THEN NULL ELSE 'H' || {text("cast(floor(p_partkey / 2) as int)")} END
+               CASE WHEN p_partkey % 4 = 3 THEN NULL ELSE 'H' || {text("cast(floor(p_partkey / 30) as int)")} END
                  AS hatch_code,
                {pick("BRITISH COLUMBIA|BRITISH COLUMBIA|ALASKA||WASHINGTON|BRITISH COLUMBIA|BRITISH COLUMBIA",
                      "p_size + p_partkey")}

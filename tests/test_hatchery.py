@@ -96,7 +96,7 @@ def test_scale_ages_keep_unmatched_rows_of_every_table(inputs):
 
 
 def test_linked_samples(inputs):
-    tables = hatchery_link.link_tables(inputs, YEAR)
+    tables = hatchery_link.link_tables(inputs, YEAR, na_matches="na")
     linked = tables["1 - all samples linked"]
     # the mark master holds two stocks for one code and year, so that sample is repeated; the sample without
     # otolith or scale keys meets the otolith and the batch that lack them too
@@ -107,7 +107,7 @@ def test_linked_samples(inputs):
         ("B1-2", 1, "H-ROBERTSON CREEK H", None, "31", "3", 2019, "Burman River"),
         ("B1-2", 1, "H-ROBERTSON CREEK H", None, "31", "3", 2019, "Gold"),
     ]
-    never = hatchery_link.link_tables(inputs, YEAR, na_matches="never")["1 - all samples linked"]
+    never = hatchery_link.link_tables(inputs, YEAR)["1 - all samples linked"]
     assert rows(never.filter("r_otolith_box_num is null"), "batch_id", "facility_x") == [(None, None)]
     assert [df.count() for df in list(tables.values())[1:]] == [3, 5, 3, 1, 2]
 

@@ -37,9 +37,8 @@ def ordered(found):
 
 @pytest.mark.parametrize("na_matches", ["na", "never"])
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("salts", [1, 4])
-def test_left_and_inner_joins(sides, how, na_matches, salts):
-    out = joins.join_on(*sides, ["k"], how, na_matches=na_matches, null_salts=salts)
+def test_left_and_inner_joins(sides, how, na_matches):
+    out = joins.join_on(*sides, ["k"], how, na_matches=na_matches)
     assert out.columns == ["k", "x", "y"]
     assert rows(out) == ordered(expected(how, na_matches))
 
@@ -128,6 +127,6 @@ def test_missing_keys_are_spread_over_salts(shuffled):
     salted = joins._salt_left(big, ["k"], 32).filter("k is null").groupBy("__salt").count()
     assert salted.count() == 32
     assert salted.agg(F.max("count")).first()[0] < 500
-    out = joins.join_on(big, small, ["k"], null_salts=32)
+    out = joins.join_on(big, small, ["k"])
     assert out.count() == 30_000
     assert out.filter("y = 1").count() == 10_000

@@ -72,3 +72,10 @@ def test_renames_by_pattern_and_token(spark):
 def test_casts_give_null_for_what_does_not_convert(spark):
     df = frame(spark, "a string, b string", ("1", "x"), ("y", "2.5"))
     assert rows(reshape.cast_columns(df, {"a": "int", "b": "double"})) == [(None, 2.5), (1, None)]
+
+
+def test_spread_loses_no_value_under_an_undeclared_name(spark):
+    df = frame(spark, "area int, d string, n double", (1, "Kept", 2.0), (1, "Odd", 3.0), (1, None, 4.0), (2, "Odd", 5.0))
+    assert rows(reshape.spread_sum(df, "d", "n", ["Kept"], other="rest")) == [(1, 2.0, 7.0), (2, None, 5.0)]
+    with pytest.raises(Exception, match="undeclared d"):
+        reshape.spread_sum(df, "d", "n", ["Kept"]).collect()

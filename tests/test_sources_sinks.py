@@ -55,7 +55,7 @@ def test_payload_rows_are_found_by_name_and_cast(spark, tmp_path):
     (tmp_path / "b.json").write_text(json.dumps(other, indent=1))
     types = readers.tagged_types(one_way["Names"], one_way["Types"])
     assert types == {"A Name": "string", "Count": "int", "Share": "double"}
-    out = readers.decode_rows(readers.read_payload(spark, str(tmp_path)), types)
+    out = readers.decode_rows(readers.read_payload(spark, str(tmp_path), multi_line=True), types)
     assert rows(out, "a_name", "count", "share") == [("w", 7, 1.5), ("x", 1, 0.5), ("y", None, None)]
 
 
@@ -108,19 +108,18 @@ def test_quality_report_replaces_the_previous_one(spark, tmp_path):
 
 
 class _Session:
-    """Stands for a session with one master and, perhaps, the shared folder set."""
+    """Stands for a session with some settings."""
 
-    def __init__(self, master, folder=None):
-        self.sparkContext = SimpleNamespace(master=master)
-        self.conf = SimpleNamespace(get=lambda key, default: folder if key == "spark.checkpoint.dir" else default)
+    def __init__(self, **conf):
+        self.sparkContext = SimpleNamespace(applicationId="app-1")
+        self.conf = SimpleNamespace(get=lambda key, *default: conf.get(key, *default))
 
 
 def test_shared_folder_follows_the_session():
-    assert session.shared_folder(_Session("yarn", "hdfs://shared/checks/")) == "hdfs://shared/checks"
-    with pytest.raises(RuntimeError):
-        session.shared_folder(_Session("yarn"))
-    own = session.shared_folder(_Session("local[8]"))
-    assert own == session.shared_folder(_Session("local[8]"))
+    conf = {"spark.checkpoint.dir": "hdfs://shared/checks/", "spark.sql.warehouse.dir": "hdfs://house"}
+    assert session.shared_folder(_Session(**conf)) == "hdfs://shared/checks/tidewater/app-1"
+    del conf["spark.checkpoint.dir"]
+    assert session.shared_folder(_Session(**conf)) == "hdfs://house/tidewater/app-1"
 
 
 def test_settled_tables_keep_rows_and_schema(spark):
@@ -137,3 +136,19 @@ def test_settled_small_side_is_broadcast_by_its_size(spark):
 
 def test_qc_rule_ids_match_the_table():
     assert quality.QC_IDS == tuple(dict.fromkeys(quality.QC_IDS)) and len(quality.QC_IDS) == 13
+
+
+def test_csv_columns_are_never_taken_by_position(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("area,waterbody_name\n25,BURMAN RIVER\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_extract(spark, str(tmp_path / "a.csv"), schemas.STREAMS, fmt="csv").collect()
+    (tmp_path / "b.csv").write_text("Report,\nwaterbody_name,other\nBURMAN RIVER,25\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_extract(
+            spark, str(tmp_path / "b.csv"), schemas.STREAMS, fmt="csv", preamble="^(Report|waterbody_name)").collect()
+
+
+def test_json_lines_are_read_one_record_a_line(spark, tmp_path):
+    (tmp_path / "r.json").write_text('{"x": 1, "y": "a"}\n{"x": 2}\n')
+    schema = frame(spark, "x int, y string").schema
+    assert rows(readers.read_readings(spark, str(tmp_path), schema)) == [(1, "a"), (2, None)]

@@ -63,7 +63,7 @@ def test_hatchery_or_natural(spark, streams, fish, origin):
 )
 def test_groups(spark, streams, stock, rollup, group, con, nit, area23):
     out = coded(spark, streams, resolved_stock_origin=stock, resolved_stock_rollup=rollup, hatchery_origin="Y")
-    assert one(out, "term_rr_roll_ups", "term_con", "term_nit", "term_area23") == (
+    assert one(out, "stock_group", "term_con", "term_nit", "term_area23") == (
         group, f"Hatchery {con}", f"Hatchery {nit}", f"Hatchery {area23}")
     assert one(out, "qc_term_con_nit", "qc_term_con_23", "qc_term_nit_23") == (
         "TRUE" if con == nit else None, "TRUE" if con == area23 else None, "TRUE" if nit == area23 else None)

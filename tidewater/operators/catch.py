@@ -100,19 +100,13 @@ def sport_mortality(
     """One row per fishery cell with kept, released and total mortality.
 
     A share of legal-size releases dies; the total is the kept catch alone when
-    nothing was released, else rounded half-even.
+    nothing was released, else rounded half-even. Estimates of undeclared dispositions are summed apart.
     """
-    wide = spread_sum(df, "disposition", "estimate", dispositions)
+    wide = spread_sum(df, "disposition", "estimate", dispositions, other="other_disposition")
     kept, dead = F.col("kept"), F.col("release_mort")
     return wide.withColumn("release_mort", F.col("released_legal") * rules.SPORT_RELEASE_RATE).withColumn(
         total,
-        first_match(
-            [
-                (dead.isNull(), kept),
-                (kept.isNotNull(), round_half_even(kept + dead)),
-                (kept.isNull(), round_half_even(dead)),
-            ]
-        ),
+        F.when(dead.isNull(), kept).otherwise(round_half_even(F.coalesce(kept, F.lit(0)) + dead)),
     )
 
 

@@ -12,15 +12,12 @@ from tidewater.functions.missing import (
 )
 from tidewater.functions.recode import recode
 from tidewater.functions.text import title_case
-from tidewater.operators.joins import join_on
+from tidewater.operators.joins import join_on, rows_not_in
 from tidewater.operators.reshape import select_blocks
 
 SCALE_KEYS = ("r_scale_book_num", "r_scale_cell_num")
 OTOLITH_KEYS = ("r_otolith_box_num", "r_otolith_vial_num")
 
-# Buckets over which samples with a missing link key are spread.
-NULL_SALTS = 32
-
 
 def with_scale_keys(df: DataFrame, book: str, cell: str) -> DataFrame:
     """Scale book, cell and book-cell under their common names, as text."""
@@ -85,7 +82,7 @@ def container_meta(df: DataFrame) -> DataFrame:
 def scale_ages(batches: DataFrame, containers: DataFrame, readings: DataFrame) -> DataFrame:
     """Batches, containers and age readings in one table; unmatched rows of each are kept.
 
-    Containers and readings are the sides with many rows per key.
+    Containers have many rows per batch. The readings' key holds the container, so a plain full join will do.
     """
     described = join_on(
         batches.withColumnRenamed("id", "batch_id"),
@@ -95,7 +92,7 @@ def scale_ages(batches: DataFrame, containers: DataFrame, readings: DataFrame) -
         hot="right",
     )
     joined = join_on(
-        described, readings.withColumnRenamed("id", "batch_id"), list(rules.READING_KEYS), "full", hot="right"
+        described, readings.withColumnRenamed("id", "batch_id"), list(rules.READING_KEYS), "full"
     )
     return with_scale_keys(joined, "container_id", "fish_number")
 
@@ -133,36 +130,37 @@ def tag_releases(df: DataFrame) -> DataFrame:
     return kept.withColumn("r_tagcode", F.col("tagcode"))
 
 
-def _link(left: DataFrame, right: DataFrame, keys: Sequence[str], na_matches: str, null_salts: int) -> DataFrame:
-    return join_on(left, right, keys, "left", na_matches=na_matches, null_salts=null_salts)
+def _link(left: DataFrame, right: DataFrame, keys: Sequence[str], na_matches: str) -> DataFrame:
+    """A sample without a key meets nothing, unless ``na_matches="na"`` lets it meet every right row without one."""
+    return join_on(left, right, keys, "left", na_matches=na_matches)
 
 
 def link_scales(
-    samples: DataFrame, scales: DataFrame, *, na_matches: str = "na", null_salts: int = NULL_SALTS
+    samples: DataFrame, scales: DataFrame, *, na_matches: str = "never"
 ) -> DataFrame:
     """Attach scale ages by book and cell; the joined book-cell text follows from the two."""
-    return _link(samples, scales.drop("r_scale_book_cell_concat"), SCALE_KEYS, na_matches, null_salts)
+    return _link(samples, scales.drop("r_scale_book_cell_concat"), SCALE_KEYS, na_matches)
 
 
 def link_otoliths(
-    samples: DataFrame, otoliths: DataFrame, *, na_matches: str = "na", null_salts: int = NULL_SALTS
+    samples: DataFrame, otoliths: DataFrame, *, na_matches: str = "never"
 ) -> DataFrame:
     """Attach otolith marks by box and vial; the joined box-vial text follows from the two."""
-    return _link(samples, otoliths.drop("r_otolith_box_vial_concat"), OTOLITH_KEYS, na_matches, null_salts)
+    return _link(samples, otoliths.drop("r_otolith_box_vial_concat"), OTOLITH_KEYS, na_matches)
 
 
 def link_tags(
-    samples: DataFrame, tags: DataFrame, *, na_matches: str = "na", null_salts: int = NULL_SALTS
+    samples: DataFrame, tags: DataFrame, *, na_matches: str = "never"
 ) -> DataFrame:
     """Attach tag releases by tag code."""
-    return _link(samples, tags, ["r_tagcode"], na_matches, null_salts)
+    return _link(samples, tags, ["r_tagcode"], na_matches)
 
 
 def link_marks(
-    samples: DataFrame, marks: DataFrame, *, na_matches: str = "na", null_salts: int = NULL_SALTS
+    samples: DataFrame, marks: DataFrame, *, na_matches: str = "never"
 ) -> DataFrame:
     """Attach the mark master by brood year and hatch code."""
-    return _link(samples, marks, ["r_brood_year", "r_hatch_code"], na_matches, null_salts)
+    return _link(samples, marks, ["r_brood_year", "r_hatch_code"], na_matches)
 
 
 def resolved_gr_age() -> Column:
@@ -215,7 +213,7 @@ def resolve_ages(df: DataFrame, year: int) -> DataFrame:
 
 def resolved_stock() -> Column:
     """Stock site of the tag, else the mark's stock name after its two-letter prefix."""
-    from_mark = title_case(F.substring("stock", 3, 1_000_000))
+    from_mark = title_case(F.substr(F.col("stock"), F.lit(3)))
     return F.coalesce(F.col("tag_stock_site_name"), from_mark)
 
 
@@ -247,19 +245,8 @@ def duplicate_codes(df: DataFrame, code: str = "r_otolith_box_vial_concat") -> D
 
 
 def without_duplicates(df: DataFrame, code: str = "r_otolith_box_vial_concat") -> DataFrame:
-    """Rows whose code is missing or occurs once.
-
-    Each code is counted while one of its rows is carried along, so repeated
-    codes shrink before the shuffle and no window holds a whole group.
-    """
-    others = [c for c in df.columns if c != code]
-    grouped = (
-        df.filter(F.col(code).isNotNull())
-        .groupBy(code)
-        .agg(F.count(F.lit(1)).alias("__n"), F.any_value(F.struct(*others)).alias("__row"))
-    )
-    single = grouped.filter(F.col("__n") == 1).select(code, "__row.*")
-    return df.filter(F.col(code).isNull()).unionByName(single)
+    """Rows whose code is missing or occurs once; the few repeated codes are taken out by an anti join."""
+    return rows_not_in(df, duplicate_codes(df, code), code)
 
 
 def mark_crosstab(marks: DataFrame, years: Sequence[int], province: str = "BRITISH COLUMBIA") -> DataFrame:
@@ -288,7 +275,7 @@ def reused_hatch_codes(marks: DataFrame, years: Sequence[int], province: str = "
 
 def link_all(
     samples: DataFrame, scales: DataFrame, otoliths: DataFrame, tags: DataFrame, marks: DataFrame,
-    year: int, *, na_matches: str = "na",
+    year: int, *, na_matches: str = "never",
 ) -> DataFrame:
     """All four links in order, with resolved ages, brood year and stock."""
     linked = link_scales(samples, scales, na_matches=na_matches)

@@ -2,9 +2,9 @@
 
 No broadcast is forced: Spark broadcasts a side when its measured size is under
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles both sides, with
-adaptive skew splitting for hot keys. Two things it cannot do alone are done here:
-rows with a missing key are spread over salts, and a full join is written as a
-left join plus the unmatched rest so that its hot side can be split.
+adaptive skew splitting for hot keys, missing ones among them. One thing it cannot do
+alone is done here: a full join is written as a left join plus the unmatched rest
+so that its hot side can be split.
 """
 
 from __future__ import annotations
@@ -14,31 +14,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-_SALT = "__salt"
-
 
 def shared_columns(left: DataFrame, right: DataFrame) -> list[str]:
     names = set(right.columns)
     return [c for c in left.columns if c in names]
 
 
-def _any_null(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-
-
-def _salt_left(df: DataFrame, keys: Sequence[str], salts: int) -> DataFrame:
-    """Spread rows with a missing key over ``salts`` buckets, by a hash of the row itself."""
-    rest = [c for c in df.columns if c not in keys] or list(keys)
-    bucket = F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int")
-    return df.withColumn(_SALT, F.when(_any_null(keys), bucket).otherwise(0))
-
-
-def _salt_right(df: DataFrame, keys: Sequence[str], salts: int) -> DataFrame:
-    """Repeat rows with a missing key once per bucket; other rows stay single."""
-    buckets = F.when(_any_null(keys), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    return df.withColumn(_SALT, F.explode(buckets))
-
-
 def _suffix_clashes(left: DataFrame, right: DataFrame, keys: Sequence[str], suffixes: tuple[str, str]):
     clash = [c for c in shared_columns(left, right) if c not in keys]
     return (
@@ -54,16 +35,13 @@ def join_on(
     how: str = "left",
     *,
     na_matches: str = "na",
-    null_salts: int = 1,
     hot: str | None = None,
     suffixes: tuple[str, str] = ("_x", "_y"),
 ) -> DataFrame:
     """Join on named keys; clashing other columns get suffixes.
 
     ``how`` is ``left``, ``inner`` or ``full``. ``na_matches`` is ``na`` (null
-    keys match each other) or ``never``. ``null_salts`` spreads the left rows
-    with a missing key over that many buckets (left and inner joins). ``hot``
-    names the side of a full join that may hold hot keys.
+    keys match each other) or ``never``. ``hot`` names the side of a full join that may hold hot keys.
     """
     if na_matches not in ("na", "never"):
         raise ValueError(f"na_matches must be 'na' or 'never', not {na_matches!r}")
@@ -75,13 +53,6 @@ def join_on(
         raise ValueError(f"unsupported join type {how!r}")
     left, right = _suffix_clashes(left, right, keys, suffixes)
     names = left.columns + [c for c in right.columns if c not in keys]
-    if null_salts > 1:
-        left = _salt_left(left, keys, null_salts)
-        if na_matches == "na":
-            right = _salt_right(right, keys, null_salts)
-        else:
-            right = right.withColumn(_SALT, F.lit(0))
-        keys = [*keys, _SALT]
     right = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
     joined = left.join(right, _condition(keys, na_matches), how)
     return joined.select(*[F.col(_quote(c)) for c in names])

@@ -51,7 +51,7 @@ def qc_rules() -> dict[str, Rule]:
             "A CWT head label was submitted but the stock ID result is blank",
             _c("cwt_head_label").isNotNull() & cwt.isNull(),
         ),
-        "3.2": Rule("CWT label 0", "CWT head label entered as '0'", number("cwt_head_label") == 0),
+        "3.2": Rule("CWT label 0", "CWT head label entered as '0'", _c("cwt_head_label") == "0"),
         "4": Rule(
             "DNA missing",
             "Whatman sheet/DNA tracking numbers exist but no GSI result (blank)",

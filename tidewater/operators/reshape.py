@@ -22,18 +22,26 @@ def spread_sum(
     *,
     ids: Sequence[str] | None = None,
     to_column: Callable[[object], str] = lambda v: snake_name(str(v)),
+    other: str | None = None,
 ) -> DataFrame:
     """Long to wide over declared names; repeated cells are summed.
 
-    All other columns are the row identity unless ``ids`` is given. Written as
-    one aggregation, so the data is combined before its single shuffle.
+    All other columns are the row identity unless ``ids`` is given. Values under a name that is
+    not declared, or under none, are summed in the column ``other``; without that column they
+    fail the query, so that none is lost. Written as one aggregation, so the data is combined
+    before its single shuffle.
     """
     if ids is None:
         ids = [c for c in df.columns if c not in (names_from, values_from)]
     cells = [
         F.sum(F.when(F.col(names_from) == name, F.col(values_from))).alias(to_column(name)) for name in names
     ]
-    return df.groupBy(*ids).agg(*cells)
+    rest = F.col(names_from).isNull() | ~F.col(names_from).isin(*names)
+    if other is not None:
+        return df.groupBy(*ids).agg(*cells, F.sum(F.when(rest, F.col(values_from))).alias(other))
+    undeclared = F.concat(F.lit(f"undeclared {names_from}: "), F.coalesce(F.col(names_from).cast("string"), F.lit("null")))
+    checked = F.when(rest, F.raise_error(undeclared).cast("boolean")).otherwise(F.lit(True))
+    return df.filter(checked).groupBy(*ids).agg(*cells)
 
 
 def gather(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidewater import rules
@@ -21,15 +23,17 @@ def catch_points(catch: DataFrame, year: int, column: str = "kept") -> DataFrame
     )
 
 
-def sample_points(bio: DataFrame, year: int, years_before: int = 0) -> DataFrame:
-    """Located samples of one year by area and position, one row per label, with the plotted size.
+def sample_points(bio: DataFrame, year: int, years_before: int | Iterable[int] = 0) -> DataFrame:
+    """Located samples of one year, or of several counted back, by area and position, one row per label, with the plotted size.
 
     Every label row shows the count of its whole position. Labels are counted
     first, so the window only sees the few labels of a position.
     """
+    back = [years_before] if isinstance(years_before, int) else years_before
+    years = [year - n for n in back]
     place = ["year", "sector", "run_recon_area", "creel_sub_area", "lat", "long"]
     labels = (
-        bio.filter(F.col("lat").isNotNull() & (F.col("year") == year - years_before))
+        bio.filter(F.col("lat").isNotNull() & F.col("year").isin(*years))
         .groupBy(*place, "label")
         .agg(F.count(F.lit(1)).alias("n"))
     )

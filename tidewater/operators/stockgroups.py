@@ -65,7 +65,7 @@ def stock_rollup() -> Column:
 
 def term_group(focal: Sequence[str]) -> Column:
     """Stock group for one terminal area: focal stocks by name, others by area."""
-    group, area, origin = F.col("term_rr_roll_ups"), F.col("area_origin"), F.col("resolved_stock_origin")
+    group, area, origin = F.col("stock_group"), F.col("area_origin"), F.col("resolved_stock_origin")
     by_name = origin.isNull() | (group == "NON-WCVI") | is_in(group, focal)
     return first_match(
         [
@@ -88,8 +88,8 @@ def code_stock_groups(
     """Samples with origin, roll-up, the three area groupings and their agreement flags."""
     return (
         natural_join(bio, streams)
-        .withColumns({"hat_nat": hatchery_natural(), "term_rr_roll_ups": stock_rollup()})
-        .withColumn("term_sum", paste("hat_nat", "term_rr_roll_ups"))
+        .withColumns({"hat_nat": hatchery_natural(), "stock_group": stock_rollup()})
+        .withColumn("term_sum", paste("hat_nat", "stock_group"))
         .withColumns({name: term_group(stocks) for name, stocks in focal.items()})
         .withColumns(
             {

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidewater import rules
 from tidewater.functions.missing import sum_or_zero
 from tidewater.operators.joins import rows_in
+from tidewater.operators.reshape import display_names
 
 
 def sample_sufficiency(
@@ -77,3 +78,13 @@ def missed_samples(bio: DataFrame, orphans: DataFrame, year: int) -> DataFrame:
 def orphan_table(orphans: DataFrame) -> DataFrame:
     """Orphan fisheries with missing counts shown as zero."""
     return orphans.fillna(0)
+
+
+def orphan_display(orphans: DataFrame, year: int) -> DataFrame:
+    """The orphan table under its display names."""
+    return display_names(orphan_table(orphans), rules.orphan_display(year))
+
+
+def sectors(caught: DataFrame) -> DataFrame:
+    """The sectors that occur."""
+    return caught.select("sector").distinct()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from tidewater import rules
 from tidewater.operators import hatchery
+from tidewater.session import settle
 from tidewater.sinks.bundle import write_bundle
 from tidewater.sources.readers import decode_rows
 from tidewater.sources.schemas import TAG_RELEASE_TYPES
@@ -37,16 +38,18 @@ class LinkInputs:
 
 def scale_table(inputs: LinkInputs, year: int, sector: str = "SC") -> tuple[DataFrame, DataFrame]:
     """Joined scale ages of one sector and year, and the readings they came from."""
-    ids = hatchery.select_batches(inputs.batches, sector, year)
+    # Both are small: their true size lets Spark broadcast them.
+    ids = settle(hatchery.select_batches(inputs.batches, sector, year), "batch-ids")
     batches = hatchery.batch_meta(inputs.projects, hatchery.in_batches(inputs.batches, ids)).drop(
         "sector", "sample_year"
     )
+    batches = settle(batches, "batches")
     containers = hatchery.container_meta(hatchery.in_batches(inputs.containers, ids, "batch_id"))
     readings = hatchery.in_batches(inputs.readings, ids)
     return hatchery.scale_ages(batches, containers, readings), readings
 
 
-def link_tables(inputs: LinkInputs, year: int, *, na_matches: str = "na") -> dict[str, DataFrame]:
+def link_tables(inputs: LinkInputs, year: int, *, na_matches: str = "never") -> dict[str, DataFrame]:
     """The linked samples and the five standardised inputs, by report name."""
     samples = hatchery.hatchery_samples(inputs.samples)
     scales, _ = scale_table(inputs, year)
@@ -57,7 +60,7 @@ def link_tables(inputs: LinkInputs, year: int, *, na_matches: str = "na") -> dic
     return dict(zip(DESCRIPTIONS, (linked, samples, scales, otoliths, tags, marks)))
 
 
-def check_tables(inputs: LinkInputs, year: int, *, na_matches: str = "na") -> dict[str, DataFrame]:
+def check_tables(inputs: LinkInputs, year: int, *, na_matches: str = "never") -> dict[str, DataFrame]:
     """The checks made along the way: reconciliation, age gain, discrepancies and repeats."""
     samples = hatchery.hatchery_samples(inputs.samples)
     scales, readings = scale_table(inputs, year)
@@ -70,7 +73,9 @@ def check_tables(inputs: LinkInputs, year: int, *, na_matches: str = "na") -> di
     }
 
 
-def write_link_bundle(inputs: LinkInputs, year: int, base: str, stamp: str | None = None) -> dict[str, str]:
+def write_link_bundle(
+    inputs: LinkInputs, year: int, base: str, stamp: str | None = None, *, na_matches: str = "never"
+) -> dict[str, str]:
     return write_bundle(
-        link_tables(inputs, year), base, stamp, descriptions=DESCRIPTIONS, names=rules.LINK_DISPLAY
+        link_tables(inputs, year, na_matches=na_matches), base, stamp, descriptions=DESCRIPTIONS, names=rules.LINK_DISPLAY
     )

@@ -145,15 +145,6 @@ READING_KEYS = (
 )
 
 # Display names used by the sinks.
-ORPHAN_DISPLAY = {
-    "sector": "Sector",
-    "run_recon_area": "Run reconstruction area",
-    "total_kept": "CK caught in 2021",
-    "n_age_samples": "# Resolved age samples",
-    "n_stockcomp_samples": "# Resolved stock comp samples",
-    "age_samplesize_flag": "Flag for # age samples (<10)",
-    "stockcomp_samplesize_flag": "Flag for # stock comp samples (<10)",
-}
 LINK_DISPLAY = {
     "r_otolith_box_num": "(R) OTOLITH BOX NUM",
     "r_otolith_vial_num": "(R) OTOLITH VIAL NUM",
@@ -171,7 +162,7 @@ LINK_DISPLAY = {
 }
 CODED_DISPLAY = {
     "hat_nat": "Hat/Nat (R)",
-    "term_rr_roll_ups": "Term RR Roll Ups (R)",
+    "stock_group": "Stock group (R)",
     "term_sum": "Term Sum (R)",
     "term_con": "TermCON (R)",
     "term_nit": "TermNIT (R)",
@@ -180,3 +171,15 @@ CODED_DISPLAY = {
     "qc_term_con_23": "qcFlag_TermCON=Term23?",
     "qc_term_nit_23": "qcFlag_TermNIT=Term23?",
 }
+
+
+def orphan_display(year: int) -> dict[str, str]:
+    return {
+        "sector": "Sector",
+        "run_recon_area": "Run reconstruction area",
+        "total_kept": f"CK caught in {year}",
+        "n_age_samples": "# Resolved age samples",
+        "n_stockcomp_samples": "# Resolved stock comp samples",
+        "age_samplesize_flag": "Flag for # age samples (<10)",
+        "stockcomp_samplesize_flag": "Flag for # stock comp samples (<10)",
+    }

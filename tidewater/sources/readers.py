@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -23,7 +24,8 @@ def read_extract(
 ) -> DataFrame:
     """A tabular extract under its declared schema.
 
-    Csv extracts have a header line. If lines come before it, ``preamble`` is a
+    Csv extracts have a header line, whose names must be those of the schema in its order; a file
+    with other names or another order fails. If lines come before the header, ``preamble`` is a
     regex for the first cell of those lines and of the header itself; matching
     lines are left out. Cells that do not convert become null.
     """
@@ -32,21 +34,25 @@ def read_extract(
     if fmt != "csv":
         raise ValueError(f"fmt must be 'parquet' or 'csv', not {fmt!r}")
     text = StructType([StructField(f.name, StringType()) for f in schema.fields])
-    lines = spark.read.schema(text).csv(path, header=preamble is None, enforceSchema=True)
+    lines = spark.read.schema(text).csv(path, header=preamble is None, enforceSchema=False)
     if preamble is not None:
-        lines = lines.filter(~matches(schema.fields[0].name, preamble))
+        names = schema.names
+        header = F.col(names[0]) == names[0]
+        other = reduce(lambda a, b: a | b, [~F.col(n).eqNullSafe(F.lit(n)) for n in names])
+        wrong = F.raise_error(F.lit(f"a csv header names other columns than {names}")).cast("boolean")
+        lines = lines.filter(F.when(header & other, wrong).otherwise(~matches(names[0], preamble)))
     return lines.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_many(spark: SparkSession, glob: str, schema: StructType) -> DataFrame:
-    """All csv files matching a pattern as one table, tagged with their file name."""
-    files = spark.read.schema(schema).csv(glob, header=True, enforceSchema=True)
+    """All csv files matching a pattern as one table, tagged with their file name; every header must be the schema's."""
+    files = spark.read.schema(schema).csv(glob, header=True, enforceSchema=False)
     return files.select("*", F.col("_metadata.file_name").alias("file_source"))
 
 
-def read_payload(spark: SparkSession, path: str) -> DataFrame:
-    """Landed self-describing payloads, one json document per file."""
-    return spark.read.schema(PAYLOAD).json(path, multiLine=True)
+def read_payload(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
+    """Landed self-describing payloads, one json document per line, or per file for small ``multi_line`` ones."""
+    return spark.read.schema(PAYLOAD).json(path, multiLine=multi_line)
 
 
 def decode_rows(payload: DataFrame, types: Mapping[str, str]) -> DataFrame:
@@ -76,9 +82,9 @@ def tagged_types(names: Sequence[str], tags: Sequence[str]) -> dict[str, str]:
     return {name: kind(tag) for name, tag in zip(names, tags)}
 
 
-def read_readings(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Landed json records, one array or object per file."""
-    return spark.read.schema(schema).json(path, multiLine=True)
+def read_readings(spark: SparkSession, path: str, schema: StructType, *, multi_line: bool = False) -> DataFrame:
+    """Landed json records, one per line, or an array or object per file for small ``multi_line`` ones."""
+    return spark.read.schema(schema).json(path, multiLine=multi_line)
 
 
 def apply_query_doc(df: DataFrame, doc: Mapping) -> DataFrame:
