@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from functools import lru_cache
+from math import inf
 
 import numpy as np
 
@@ -91,15 +92,15 @@ class Pieces:
     def merged(self, text: str) -> list[str]:
         """Merge the adjacent pair of the best score, the leftmost of equals, until no pair is a piece."""
         parts, score = list(text), self.score.get
-        while len(parts) > 1:
-            best, at = None, -1
-            for k in range(len(parts) - 1):
-                s = score(parts[k] + parts[k + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, k
-            if best is None:
-                break
+        scores = [score(a + b, -inf) for a, b in zip(parts, parts[1:])]
+        while scores and (best := max(scores)) > -inf:
+            at = scores.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del scores[at]
+            if at:
+                scores[at - 1] = score(parts[at - 1] + parts[at], -inf)
+            if at < len(scores):
+                scores[at] = score(parts[at] + parts[at + 1], -inf)
         return parts
 
     def _fits(self, left: str, right: str) -> bool:

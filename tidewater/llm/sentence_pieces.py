@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import pandas_udf
 
 from tidewater.llm.pieces import Pieces, Vocabulary, blanked, matrix, product, read_vocabulary, route
-from tidewater.llm.shared import only, rows_of
+from tidewater.llm.shared import grouped, only, rows_of
 from tidewater.session import settle
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -35,10 +36,10 @@ def _pieces(sent: "_Sent") -> Pieces:
 
 
 class _Sent:
-    """The vocabulary as the tasks get it, told apart by its broadcast."""
+    """The vocabulary and its model file as the tasks get them, told apart by their broadcast."""
 
-    def __init__(self, vocabulary: Broadcast, name: int):
-        self.vocabulary, self.name = vocabulary, name
+    def __init__(self, vocabulary: Broadcast, model: Broadcast, name: int):
+        self.vocabulary, self.model, self.name = vocabulary, model, name
 
     def __hash__(self):
         return self.name
@@ -50,7 +51,8 @@ class _Sent:
 def send_vocabulary(spark: SparkSession, path: str = MODEL, kind: str = "bpe") -> _Sent:
     """Read a model file on the driver and broadcast its pieces, whose number the model fixes."""
     broadcast = spark.sparkContext.broadcast(read_vocabulary(path, kind))
-    return _Sent(broadcast, broadcast._jbroadcast.id() if broadcast._jbroadcast is not None else 0)
+    model = spark.sparkContext.broadcast(Path(path).read_bytes())
+    return _Sent(broadcast, model, broadcast._jbroadcast.id() if broadcast._jbroadcast is not None else 0)
 
 
 def _id_lists(lists: list[bytes]) -> pa.Array:
@@ -109,33 +111,57 @@ def _transfer(sent: _Sent):
     return run
 
 
-def _ordered(rows: pd.DataFrame, by: str) -> tuple[pd.DataFrame, list]:
-    rows = rows.sort_values(by)
-    return rows, [matrix(i, j, w) for i, j, w in zip(rows["i"], rows["j"], rows["w"])]
+def _batches(rows: Iterable[tuple], names: list[str], kinds: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
+    held = []
+    for row in rows:
+        held.append(row)
+        if len(held) == 2_000:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)
 
 
-def _whole_block(rows: pd.DataFrame) -> pd.DataFrame:
-    rows, parts = _ordered(rows, "part")
-    total = parts[0]
-    for part in parts[1:]:
-        total = product(total, part)
-    cells = [(a, b, w) for a, row in total.items() for b, w in row.items()]
-    i, j, w = zip(*cells)
-    head = rows.iloc[0]
-    return pd.DataFrame({"k1": [head.k1], "k2": [head.k2], "block": [head.block], "i": [i], "j": [j], "w": [w]})
+_INTS, _FLOATS = pa.list_(pa.int32()), pa.list_(pa.float64())
 
 
-def _route_blocks(rows: pd.DataFrame) -> pd.DataFrame:
-    rows, parts = _ordered(rows, "block")
-    states = route(parts, 0, None)
-    out = rows[["k1", "k2", "block"]]
-    return out.assign(block_entry=states[:-1], block_leaving=states[1:])
+def _whole_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The product of each block's matrices."""
+    def rows():
+        for key, parts in grouped(batches, ["k1", "k2", "block"], ["i", "j", "w"]):
+            total = matrix(*parts[0])
+            for part in parts[1:]:
+                total = product(total, matrix(*part))
+            yield (*key, *zip(*((a, b, w) for a, row in total.items() for b, w in row.items())))
 
+    return _batches(rows(), ["k1", "k2", "block", "i", "j", "w"], [pa.int64()] * 3 + [_INTS, _INTS, _FLOATS])
 
-def _route_chunks(rows: pd.DataFrame) -> pd.DataFrame:
-    rows, parts = _ordered(rows, "part")
-    states = route(parts, int(rows["block_entry"].iloc[0]), int(rows["block_leaving"].iloc[0]))
-    return rows[["k1", "k2", "part"]].assign(entry=states[:-1], leaving=states[1:])
+
+def _route_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The states at the ends of every block on a text's best path."""
+    def rows():
+        for key, blocks in grouped(batches, ["k1", "k2"], ["block", "i", "j", "w"]):
+            states = route([matrix(*b[1:]) for b in blocks], 0, None)
+            for (block, *_), entry, leaving in zip(blocks, states, states[1:]):
+                yield *key, block, entry, leaving
+
+    return _batches(rows(), ["k1", "k2", "block", "block_entry", "block_leaving"], [pa.int64()] * 3 + [pa.int32()] * 2)
+
+
+def _route_chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The states at the ends of every chunk, between those of its block."""
+    def rows():
+        others = ["part", "block_entry", "block_leaving", "i", "j", "w"]
+        for key, parts in grouped(batches, ["k1", "k2", "block"], others):
+            states = route([matrix(*p[3:]) for p in parts], parts[0][1], parts[0][2])
+            for (part, *_), entry, leaving in zip(parts, states, states[1:]):
+                yield *key[:2], part, entry, leaving
+
+    return _batches(rows(), ["k1", "k2", "part", "entry", "leaving"], [pa.int64()] * 3 + [pa.int32()] * 2)
+
+
+def _by(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    return df.repartition(*keys).sortWithinPartitions(*keys, order)
 
 
 def _backtrace(sent: _Sent):
@@ -163,11 +189,12 @@ def _encoded(docs: DataFrame, sent: _Sent, chunk: int) -> DataFrame:
     chunks = settle(chunks, "chunks")
     matrices = settle(chunks.mapInArrow(_transfer(sent), _MATRIX), "transfer")
     cells = "i array<int>, j array<int>, w array<double>"
-    blocks = matrices.groupBy("k1", "k2", "block").applyInPandas(_whole_block, f"k1 long, k2 long, block long, {cells}")
-    routed = blocks.groupBy("k1", "k2").applyInPandas(
+    block, text = ["k1", "k2", "block"], ["k1", "k2"]
+    blocks = _by(matrices, block, "part").mapInArrow(_whole_blocks, f"k1 long, k2 long, block long, {cells}")
+    routed = _by(blocks, text, "block").mapInArrow(
         _route_blocks, "k1 long, k2 long, block long, block_entry int, block_leaving int"
     )
-    states = matrices.join(routed, ["k1", "k2", "block"]).groupBy("k1", "k2", "block").applyInPandas(
+    states = _by(matrices.join(routed, block), block, "part").mapInArrow(
         _route_chunks, "k1 long, k2 long, part long, entry int, leaving int"
     )
     traced = chunks.join(states, ["k1", "k2", "part"]).select("k1", "k2", "part", "text", "a", "b", "entry", "leaving")

@@ -33,6 +33,20 @@ def rows_of(batches: Iterable[pa.RecordBatch], at_once: int = 1000) -> Iterator[
             yield batch.slice(start, at_once)
 
 
+def grouped(batches: Iterable[pa.RecordBatch], keys: list[str], others: list[str]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Each key with its rows, from rows sorted by key; one key's rows are held at a time."""
+    now, rows = None, []
+    for batch in batches:
+        for row in zip(*(batch[c].to_pylist() for c in keys + others)):
+            if row[: len(keys)] != now:
+                if rows:
+                    yield now, rows
+                now, rows = row[: len(keys)], []
+            rows.append(row[len(keys) :])
+    if rows:
+        yield now, rows
+
+
 def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and lengths of the runs of equal values."""
     if not len(keys):

@@ -11,8 +11,10 @@ from __future__ import annotations
 import json
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import asdict, dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -22,8 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tidewater.llm.pieces import blanked
-from tidewater.llm.sentence_pieces import _pieces, _Sent
+from tidewater.llm.sentence_pieces import _Sent
 from tidewater.llm.shared import mix64, only, rows_of
 from tidewater.session import settle, shared_folder
 
@@ -65,6 +66,18 @@ class Order:
         return self._walk(slot, True)
 
 
+@lru_cache(maxsize=2)
+def _library(sent: _Sent):
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_proto=sent.model.value)
+
+
+def _encode(sent: _Sent, texts: list[str | None]) -> list[bytes]:
+    """Ids, as 32-bit integers, by the public encoder."""
+    return [array("i", ids).tobytes() for ids in _library(sent).encode([t or "" for t in texts], num_threads=1)]
+
+
 # ---------------------------------------------------------------- streams of the input partitions
 
 _PLACED = "part int, doc_id long, n_tokens long, start long, seen long"
@@ -74,11 +87,11 @@ def _place(sent: _Sent):
     """Every document's place in its partition's stream, with a running digest of the rows so far."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, part, start, seen = _pieces(sent), TaskContext.get().partitionId(), 0, 0
+        part, start, seen = TaskContext.get().partitionId(), 0, 0
         for batch in rows_of(batches):
             out = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                n = len(pieces.encode(blanked(text))) // 4
+            for doc_id, ids in zip(batch["doc_id"].to_pylist(), _encode(sent, batch["text"].to_pylist())):
+                n = len(ids) // 4
                 seen = zlib.crc32(f"{doc_id} {n}".encode(), seen)
                 out.append((part, doc_id, n, start, seen))
                 start += n + 1
@@ -95,7 +108,7 @@ def _cut(sent: _Sent, order: Order, length: int, shard: int, kind: str, parts: d
     """Rows ``shard, slot, tokens, ids`` of the sequences; the partition must hold the rows it held when placed."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, part = _pieces(sent), TaskContext.get().partitionId()
+        part = TaskContext.get().partitionId()
         first, count, digest = parts.get(part, (0, 0, 0))
         close = np.array([CLOSE], np.int32).tobytes()
         rest, made, seen, tokens = b"", 0, 0, 0
@@ -115,8 +128,7 @@ def _cut(sent: _Sent, order: Order, length: int, shard: int, kind: str, parts: d
 
         for batch in rows_of(batches, 500):
             stream = [rest]
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                ids = pieces.encode(blanked(text))
+            for doc_id, ids in zip(batch["doc_id"].to_pylist(), _encode(sent, batch["text"].to_pylist())):
                 seen = zlib.crc32(f"{doc_id} {len(ids) // 4}".encode(), seen)
                 stream += [ids, close]
             joined = b"".join(stream)
