@@ -111,7 +111,8 @@ def exchange_classes(pairs: np.ndarray, n_words: int, classes: int = CLASSES, sw
             # The cell of a class with itself lies in its row and in its column.
             gain += _xlogx(d + right[c] + left[c] + own) - _xlogx(d)
             gain -= _xlogx(d + right[c]) + _xlogx(d + left[c]) - 2 * _xlogx(d)
-            for whole, more in ((out[c], right.sum() + own), (into[c], left.sum() + own)):
+            # Wherever the word goes, its neighbours' classes get back what they shared with it.
+            for whole, more in ((out[c] + left[c], right.sum() + own), (into[c] + right[c], left.sum() + own)):
                 gain -= _xlogx(whole + more) - _xlogx(whole)
             best = int(gain.argmax())
             if gain[best] <= gain[g] + 1e-9:

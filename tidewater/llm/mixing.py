@@ -187,11 +187,12 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> Data
     per = per.groupBy("mark").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"), F.first("source").alias("source"))
     per = settle(per, "taken")
     bucket = F.pmod(F.xxhash64("mark"), F.lit(max(1, per.count() // PER_BUCKET)))
-    so_far = F.sum(F.col("taken") / F.col("size")).over(W.partitionBy("source", bucket).orderBy("size", "mark"))
-    this = F.col("taken") / F.col("size")
+    this = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0.0)
+    so_far = F.sum(this).over(W.partitionBy("source", bucket).orderBy("size", "mark"))
     whole = F.floor(F.round(so_far, 6) + 0.5) - F.floor(F.round(so_far - this, 6) + 0.5)
     copies = F.when(F.col("size") == 0, 1).otherwise(whole).cast("int")
     per = per.select(F.col("mark").alias("__mark"), copies.alias("__copies")).where("__copies > 0")
     mark = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    joined = docs.join(per, mark == F.col("__mark"))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    # The row travels as one column, so that its columns may have any name.
+    joined = docs.select(F.struct("*").alias("__row"), mark.alias("__mark")).join(per, "__mark")
+    return joined.select("__row", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select("__row.*")
