@@ -113,11 +113,14 @@ def test_linked_samples(inputs):
 
 
 def test_checks(inputs):
-    checks = hatchery_link.check_tables(inputs, YEAR)
+    checks = hatchery_link.check_tables(inputs, YEAR, na_matches="na")
     assert one(checks["scale reconcile"], "reconciled") is True
     assert one(checks["age gain"]) == (0, 0, True)
     assert rows(checks["age discrepancies"]) == [
         (1, "S1-2", None, "31", "FALSE"), (2, None, "3M", None, "FALSE")]
+    # without keys nothing is linked, so the sample has no batch
+    never = hatchery_link.check_tables(inputs, YEAR)
+    assert rows(never["age discrepancies"]) == [(1, "S1-2", None, "31", "FALSE")]
 
 
 @pytest.mark.parametrize(
