@@ -10,7 +10,7 @@ import pytest
 import sentencepiece
 
 from tests.helpers import frame
-from tidewater.llm.class_lm import exchange_classes, lm_scores
+from tidewater.llm.class_lm import exchange_classes, lm_scores, n_classes, transitions
 from tidewater.llm.language_id import Parser, identify_languages
 from tidewater.llm.pieces import Pieces, blanked, matrix, product, read_vocabulary, route
 from tidewater.llm.quality import NAMES, quality_scores, statistics
@@ -138,6 +138,36 @@ def test_lm_word_probabilities_add_up_to_one(spark):
     assert got[ids[0]].n_known == 3 and got[ids[4]].n_known == 2
 
 
+def test_lm_clusters_every_word_that_recurs_and_its_classes_grow(spark):
+    """Beyond 1,000 more frequent words, words that stand before others still get classes apart from theirs."""
+    draw = random.Random(3)
+    train = [i for i in range(6000) if remainder(i, 7) != 2]
+    rows = [(train[k], " ".join(f"f{k % 120 * 10 + j}" for j in range(10))) for k in range(1920)]
+    rows += [(train[2000 + k], f"x{k % 60} y{draw.randrange(60)}") for k in range(720)]
+    seen = {t for _, t in rows}
+    fresh = next((i, j) for i in range(60) for j in range(60) if f"x{i} y{j}" not in seen)
+    held = [i for i in range(6000, 7000) if remainder(i, 7) == 2]
+    probe = [(held[0], "x%d y%d" % fresh), (held[1], "y%d x%d" % fresh[::-1])]
+    for head in (1 << 17, 50):
+        got = {r.doc_id: r for r in lm_scores(docs(spark, *rows, *probe), head).where(f"doc_id in ({held[0]}, {held[1]})").collect()}
+        assert got[held[0]].score > got[held[1]].score + 1
+    assert n_classes(1_000_000) > n_classes(10_000) > n_classes(100)
+
+
+def test_lm_is_the_same_whatever_the_head_holds(spark):
+    """Transitions between words that no task holds count like those between words it does."""
+    df = docs(spark, *[(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()])
+    whole, part = ({r.doc_id: r.score for r in lm_scores(df, head).collect()} for head in (1 << 17, 500))
+    assert whole.keys() == part.keys() and all(math.isclose(whole[k], part[k], rel_tol=1e-9) for k in whole)
+
+
+def test_lm_transitions_add_up_to_one():
+    """Over all words, an unknown one and the end, after any class, the unknown word too."""
+    per_class, freed = np.array([10.0, 4.0]), np.array([0.1, 0.3])
+    p = 10 ** transitions(np.array([[3.0, 4, 3], [1, 0, 3], [6, 0, 0]]), per_class, freed)
+    assert np.allclose(p[:, :2] @ (1 - freed) + p[:, 2] + p[:, 3], 1)
+
+
 def test_lm_without_rows_or_training(spark):
     assert lm_scores(docs(spark)).count() == 0
     held = next(i for i in range(100) if remainder(i, 7) == 2)

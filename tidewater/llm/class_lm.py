@@ -2,18 +2,24 @@
 
 ``log p(text) = sum of log p(class | class before) + log p(word | class)`` over the words and one end.
 
-1. Words are counted over all training texts; the table of counts grows with the corpus and stays distributed.
-2. Adjacent pairs of the most frequent words, with one stand-in for the rest, are counted over all
-   training texts; their number is bounded. Exchange clustering assigns those words to classes.
-3. Texts are scored with the bounded head of the word table in every task. Words outside it, which are
-   rare by definition, are joined with the counts. Nothing is lost.
+1. Words and adjacent pairs of words are counted over all training texts; both tables grow with the corpus and
+   stay distributed. Words go by a 64-bit hash.
+2. Every word that occurs ``LEAST`` times is clustered; classes grow as the square root of the number of
+   those words. In a sweep, pairs are summed to word-class counts in Spark, words are dealt to tasks, and
+   each task exchanges its words one by one against the class-class sums, which are then taken anew.
+3. A rarer word has the class that most clustered words with its last three characters have; where none has
+   them, the class with most clustered words. Class bigrams are then counted over all pairs of all words.
+4. Texts are scored with the bounded head of the word table in every task. Words outside it are joined with
+   their counts and classes, with their places, so that their transitions count like all others.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +29,24 @@ from pyspark.sql import DataFrame, functions as F
 from tidewater.llm.shared import fold, only, rows_of, words
 from tidewater.session import settle
 
-#: Words that every task holds with their counts; words that are clustered; their classes; sweeps of the clustering.
-HEAD, CLUSTERED, CLASSES, SWEEPS = 1 << 17, 1_000, 40, 6
+#: Words that every task holds with their counts; count from which a word is clustered; sweeps of the clustering.
+HEAD, LEAST, SWEEPS = 1 << 17, 5, 3
+#: Clustered words that one task of a sweep exchanges; tokens whose pairs are summed at once.
+PER_TASK, AT_ONCE = 20_000, 1_000_000
+#: Classes whose exact gain is compared for a word.
+SHORT = 16
 #: Weight of the class's own share in smoothing transitions.
 BACKOFF = 5.0
+#: What stands for the end of a text among words' hashes, which are at least 0.
+END = -1
+
+
+def word_id(word: bytes) -> int:
+    return int.from_bytes(blake2b(word, digest_size=8).digest(), "big") >> 1
+
+
+def n_classes(n_words: int) -> int:
+    return math.ceil(math.sqrt(n_words) / 2)
 
 
 # ---------------------------------------------------------------- counts
@@ -37,8 +57,9 @@ def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, len(pairs), 100_000):
             part = pairs[at : at + 100_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in part], pa.binary()).cast(pa.string()), pa.array([c for _, c in part], pa.int64())],
-                names=["word", "c"],
+                [pa.array([w for w, _ in part], pa.binary()).cast(pa.string()), pa.array([word_id(w) for w, _ in part], pa.int64()),
+                 pa.array([c for _, c in part], pa.int64())],
+                names=["word", "id", "c"],
             )
 
     counts: Counter = Counter()
@@ -51,21 +72,28 @@ def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from table(counts)
 
 
-def _count_pairs(ids: dict[bytes, int]):
-    """Adjacent pairs of clustered words, ``len(ids)`` standing for others and one more for the end."""
-    rest, end, n = len(ids), len(ids) + 1, len(ids) + 2
+def _count_pairs(head: dict[bytes, int]):
+    """Adjacent pairs of words by their hashes, the end standing before and after each text."""
+
+    def table(lines: list[np.ndarray]):
+        both = [np.concatenate([x[cut] for x in lines]) for cut in (slice(None, -1), slice(1, None))]
+        found = pa.table(both, names=["a", "b"]).group_by(["a", "b"], use_threads=False).aggregate([([], "count_all")])
+        yield from found.select(["a", "b", "count_all"]).rename_columns(["a", "b", "c"]).to_batches(100_000)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(n * n, np.int64)
+        lines, n = [], 0
         for batch in rows_of(batches):
-            line = [end]
+            line = [END]
             for text in batch["text"].to_pylist():
-                line += [ids.get(w, rest) for w in words(text)]
-                line.append(end)
-            line = np.array(line, np.int64)
-            total += np.bincount(line[:-1] * n + line[1:], minlength=n * n)
-        cells = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], names=["cell", "c"])
+                line += [head[w] if w in head else word_id(w) for w in words(text)]
+                line.append(END)
+            lines.append(np.array(line, np.int64))
+            n += len(line)
+            if n > AT_ONCE:
+                yield from table(lines)
+                lines, n = [], 0
+        if lines:
+            yield from table(lines)
 
     return run
 
@@ -76,129 +104,227 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
 
-def exchange_classes(pairs: np.ndarray, n_words: int, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
-    """Class of every row of the pair counts.
+class Exchange:
+    """One task's copy of the class-class sums, against which it moves its words.
 
-    The first ``n_words`` rows are words in order of frequency and start in classes by turns; each
-    other row keeps a class of its own. Word by word, each moves to the class that makes the class
-    bigrams likeliest, until a sweep moves none.
+    Classes ``0..k-1`` are words' own; the others are contexts alone. A word is taken out of its class and put
+    where the class bigrams become likeliest, and the sums follow. All classes are compared by the first order of
+    the gain; the ``SHORT`` best of them, and the word's own, by the gain itself.
     """
-    classes = min(classes, max(1, n_words))
-    fixed = len(pairs) - n_words
-    of = np.concatenate([np.arange(n_words) % classes, classes + np.arange(fixed)]).astype(np.int64)
-    size = classes + fixed
-    pairs = pairs.astype(float)
+
+    def __init__(self, joint: np.ndarray, k: int):
+        self.joint, self.k = joint.astype(float), k
+        self.log = np.log(np.maximum(self.joint, 0) + 0.5)
+        self.turned = self.log.T.copy()
+        self.out, self.into = self.joint.sum(axis=1), self.joint.sum(axis=0)
+
+    def _add(self, g: int, after: np.ndarray, n: np.ndarray, before: np.ndarray, m: np.ndarray, own: float, sign: int) -> None:
+        self.joint[g, after] += sign * n
+        self.joint[before, g] += sign * m
+        self.joint[g, g] += sign * own
+        self.out[g] += sign * (n.sum() + own)
+        self.into[g] += sign * (m.sum() + own)
+        after, before = np.append(after, g), np.append(before, g)
+        self.log[g, after] = self.turned[after, g] = np.log(np.maximum(self.joint[g, after], 0) + 0.5)
+        self.log[before, g] = self.turned[g, before] = np.log(np.maximum(self.joint[before, g], 0) + 0.5)
+
+    def move(self, g: int, after: np.ndarray, n: np.ndarray, before: np.ndarray, m: np.ndarray, own: float = 0.0) -> int:
+        """The class of a word of class ``g`` with ``n`` neighbours of the classes ``after`` it, ``m`` of ``before`` it, and ``own`` times itself."""
+        k = self.k
+        self._add(g, after, n, before, m, own, -1)
+        right, left = np.zeros(len(self.joint)), np.zeros(len(self.joint))
+        right[after], left[before] = n, m
+        # Wherever the word goes, its neighbours' classes keep in their sums what they share with it.
+        out, into = self.out, self.into
+        c = np.arange(k)
+        if k > SHORT:
+            gain = n @ self.turned[after, :k] + m @ self.log[before, :k]
+            gain -= n.sum() * np.log(np.maximum(out[:k], 0) + 1) + m.sum() * np.log(np.maximum(into[:k], 0) + 1)
+            c = np.argpartition(gain, -SHORT)[-SHORT:]
+            c = np.unique(np.append(c, g)) if g < k else np.sort(c)
+        rows, columns = self.joint[c[:, None], after], self.joint[before, c[:, None]]
+        gain = (_xlogx(rows + n) - _xlogx(rows)).sum(axis=1) + (_xlogx(columns + m) - _xlogx(columns)).sum(axis=1)
+        # The cell of a class with itself lies in its row and in its column.
+        d, r, l = self.joint[c, c], right[c], left[c]
+        gain += _xlogx(d + r + l + own) + _xlogx(d) - _xlogx(d + r) - _xlogx(d + l)
+        for whole, more in ((out[c], n.sum() + own), (into[c], m.sum() + own)):
+            gain -= _xlogx(whole + more) - _xlogx(whole)
+        best = int(c[gain.argmax()])
+        if g < k and gain.max() <= gain[np.searchsorted(c, g)] + 1e-9:
+            best = g
+        self._add(best, after, n, before, m, own, 1)
+        return best
+
+
+def _exchanged(joint: np.ndarray, k: int):
+    """Classes of the words of rows ``id, side, d, c, g`` sorted by id; side 0 is after the word, 1 before it,
+    2 the word beside itself. One word's rows, at most two a class, are held."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        exchange, kept = Exchange(joint, k), None
+
+        def moved(rows: np.ndarray) -> pa.RecordBatch:
+            starts = np.flatnonzero(np.append(True, rows[0, 1:] != rows[0, :-1]))
+            found = []
+            for at, to in zip(starts, np.append(starts[1:], rows.shape[1])):
+                _, side, d, c, g = rows[:, at:to]
+                c = c.astype(float)
+                right, left, own = (side == x for x in (0, 1, 2))
+                found.append(exchange.move(int(g[0]), d[right], c[right], d[left], c[left], float(c[own].sum())))
+            return pa.RecordBatch.from_arrays([pa.array(rows[0, starts]), pa.array(found, pa.int32())], names=["id", "g"])
+
+        for batch in batches:
+            rows = np.stack([batch[x].to_numpy().astype(np.int64) for x in ("id", "side", "d", "c", "g")])
+            rows = rows if kept is None else np.concatenate([kept, rows], axis=1)
+            last = np.searchsorted(rows[0], rows[0, -1]) if rows.shape[1] else 0
+            if last:
+                yield moved(rows[:, :last])
+            kept = rows[:, last:]
+        if kept is not None and kept.shape[1]:
+            yield moved(kept)
+
+    return run
+
+
+def _joint(sums: DataFrame, size: int) -> np.ndarray:
+    """Class-class sums of rows ``ga, gb, c``."""
+    cells = sums.groupBy("ga", "gb").agg(F.sum("c").alias("c")).toPandas()
     joint = np.zeros((size, size))
-    np.add.at(joint, (of[:, None], of[None, :]), pairs)
-    for _ in range(sweeps):
-        moved = False
-        for w in range(n_words):
-            g = of[w]
-            right = np.bincount(of, weights=pairs[w], minlength=size)
-            left = np.bincount(of, weights=pairs[:, w], minlength=size)
-            own = pairs[w, w]
-            right[g] -= own
-            left[g] -= own
-            # Take the word out of its class.
-            joint[g, :] -= right
-            joint[:, g] -= left
-            joint[g, g] -= own
-            out, into = joint.sum(axis=1), joint.sum(axis=0)
-            c = np.arange(classes)
-            rows, columns = joint[:classes], joint[:, :classes].T
-            gain = (_xlogx(rows + right) - _xlogx(rows)).sum(axis=1) + (_xlogx(columns + left) - _xlogx(columns)).sum(axis=1)
-            d = joint[c, c]
-            # The cell of a class with itself lies in its row and in its column.
-            gain += _xlogx(d + right[c] + left[c] + own) - _xlogx(d)
-            gain -= _xlogx(d + right[c]) + _xlogx(d + left[c]) - 2 * _xlogx(d)
-            # Wherever the word goes, its neighbours' classes get back what they shared with it.
-            for whole, more in ((out[c] + left[c], right.sum() + own), (into[c] + right[c], left.sum() + own)):
-                gain -= _xlogx(whole + more) - _xlogx(whole)
-            best = int(gain.argmax())
-            if gain[best] <= gain[g] + 1e-9:
-                best = int(g)
-            moved |= best != g
-            of[w] = best
-            joint[best, :] += right
-            joint[:, best] += left
-            joint[best, best] += own
-        if not moved:
-            break
+    joint[cells["ga"].to_numpy(np.int64), cells["gb"].to_numpy(np.int64)] = cells["c"].to_numpy(float)
+    return joint
+
+
+def _classed(pairs: DataFrame, of: DataFrame, end: int) -> DataFrame:
+    """Pairs with the classes ``ga, gb`` of their words, null where ``of`` has none."""
+    for x in ("a", "b"):
+        pairs = pairs.join(of.select(F.col("id").alias(x), F.col("g").alias(f"g{x}")), x, "left")
+        pairs = pairs.withColumn(f"g{x}", F.when(F.col(x) == END, end).otherwise(F.col(f"g{x}")))
+    return pairs
+
+
+def clustered_words(pairs: DataFrame, often: DataFrame, n_often: int, seeds: list[int], sweeps: int = SWEEPS) -> DataFrame:
+    """``id, g`` of the words ``id`` of ``often``, which are ``n_often``; each seed starts a class.
+
+    The other words have no class until the first sweep gives them one; as contexts they are then
+    one class, as are words that are not in ``often`` throughout.
+    """
+    k = len(seeds)
+    rest, end = k, k + 1
+    spark = often.sparkSession
+    begun = spark.createDataFrame([(i, g) for g, i in enumerate(seeds)], "id long, seed int")
+    of = settle(often.select("id").join(F.broadcast(begun), "id", "left").select("id", F.coalesce("seed", F.lit(rest)).alias("g")), "classes")
+    for _ in range(sweeps if seeds else 0):
+        both = _classed(pairs, of, end)
+        ga, gb = (F.coalesce(f"g{x}", F.lit(rest)) for x in "ab")
+        joint = _joint(both.select(ga.alias("ga"), gb.alias("gb"), "c"), k + 2)
+        side = lambda word, own, n, other, which: both.where(F.col(own).isNotNull() & (F.col(word) != END) & which).select(
+            F.col(word).alias("id"), F.col(own).alias("g"), F.lit(n).alias("side"), other.alias("d"), "c"
+        )
+        near = side("a", "ga", 0, gb, F.expr("a != b")).union(side("b", "gb", 1, ga, F.expr("a != b")))
+        near = near.union(side("a", "ga", 2, F.lit(-1), F.expr("a = b")))
+        near = near.groupBy("id", "g", "side", "d").agg(F.sum("c").alias("c"))
+        near = near.repartition(max(1, -(-n_often // PER_TASK)), "id").sortWithinPartitions("id", "side", "d")
+        of = settle(near.mapInArrow(_exchanged(joint, k), "id long, g int"), "classes")
     return of
 
 
+def classes_of_all(table: DataFrame, of: DataFrame) -> DataFrame:
+    """``table`` with the class ``g`` of every word: its own or, for a rarer one, that of its last three characters."""
+    table = table.withColumn("ending", F.expr("right(word, 3)"))
+    named = table.join(of, "id", "left")
+    often = named.where("g is not null").groupBy("ending", "g").agg(F.count("*").alias("n"))
+    ends = often.groupBy("ending").agg(F.max(F.struct("n", -F.col("g"))).alias("most"))
+    ends = ends.select("ending", (-F.col("most")["col2"]).alias("theirs"))
+    most = of.groupBy("g").count().orderBy(F.desc("count"), "g").first()
+    out = named.join(ends, "ending", "left")
+    return out.select("word", "id", "c", F.coalesce("g", "theirs", F.lit(most["g"] if most else 0)).cast("int").alias("g"), F.col("g").isNotNull().alias("own"))
+
+
 # ---------------------------------------------------------------- the model
 
 @dataclass(frozen=True)
 class ClassModel:
-    """What every task holds; its size does not depend on the corpus."""
+    """What every task holds: the bounded head, and class-class tables."""
 
     head: dict[bytes, int]  # place of a word, the most frequent first
-    clustered: int  # so many of them have a class of their own choosing
-    classes: np.ndarray  # class of each clustered word, of the rest, and of the end
-    transition: np.ndarray  # log10, from class to class
+    classes: np.ndarray  # class of each head word
+    transition: np.ndarray  # log10, from class to class; the last two are the end and the unknown word
     emission: np.ndarray  # log10 of each head word in its class
     base: np.ndarray  # log10 of each head word and, last, of the end, by the base formula
+    per_class: np.ndarray  # tokens of each class of words
     tokens: int
     types: int
-    rest_tokens: int
     discount: float
-    unknown: float  # log10 of an unknown word in the class of the rest
 
-    def base_of(self, count):
-        return np.log10((count + 1) / (self.tokens + 1 * (self.types + 1)))
 
+def transitions(joint: np.ndarray, per_class: np.ndarray, freed: np.ndarray) -> np.ndarray:
+    """log10 from class to class, the last row and column being the unknown word.
 
-def fit(training: DataFrame, head_size: int = HEAD, clustered: int = CLUSTERED) -> tuple[ClassModel, DataFrame]:
-    """The model, and the table ``word, c`` of all words of the training texts."""
-    counts = settle(training.mapInArrow(_count_words, "word string, c long").groupBy("word").agg(F.sum("c").alias("c")), "words")
-    n_docs = training.count()
-    head = counts.orderBy(F.desc("c"), "word").limit(head_size).toPandas()
-    head_words, head_counts = [w.encode() for w in head["word"]], head["c"].to_numpy(np.int64)
-    place = {w: k for k, w in enumerate(head_words)}
-    n_clustered = min(clustered, len(head_words))
-    cells = training.mapInArrow(_count_pairs(dict(list(place.items())[:n_clustered])), "cell long, c long")
-    cells = cells.groupBy("cell").agg(F.sum("c").alias("c")).toPandas()
-    n = n_clustered + 2
-    pairs = np.zeros(n * n, np.int64)
-    pairs[cells["cell"].to_numpy(np.int64)] = cells["c"].to_numpy(np.int64)
-    of = exchange_classes(pairs.reshape(n, n), n_clustered)
-    size = int(of.max()) + 1
-    joint = np.zeros((size, size))
-    np.add.at(joint, (of[:, None], of[None, :]), pairs.reshape(n, n))
+    ``joint`` counts the bigrams of the classes of words and, last, the end. Each class frees the share ``freed``
+    of its mass for the unknown word, which therefore may stand for any class, as likely as that class has freed mass.
+    """
+    size = len(joint)
     share = (joint.sum(axis=0) + 1) / (joint.sum() + size)
-    transition = np.log10((joint + BACKOFF * share) / (joint.sum(axis=1, keepdims=True) + BACKOFF))
-
-    tail = counts if n_clustered == 0 else counts.where(
-        (F.col("c") < int(head_counts[n_clustered - 1]))
-        | ((F.col("c") == int(head_counts[n_clustered - 1])) & (F.col("word") > head["word"].iloc[n_clustered - 1]))
-    )
-    r = tail.agg(
-        F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.coalesce(F.sum((F.col("c") == 1).cast("long")), F.lit(0)),
-        F.coalesce(F.sum((F.col("c") == 2).cast("long")), F.lit(0)),
-    ).first()
-    rest_tokens, rest_types, ones, twos = (int(x) for x in r)
+    p = (joint + BACKOFF * share) / (joint.sum(axis=1, keepdims=True) + BACKOFF)
+    k = size - 1
+    mass = freed * per_class
+    stands = mass / mass.sum() if mass.sum() else np.full(k, 1 / max(1, k))
+    p = np.vstack([p, stands @ p[:k] if k else p[-1]])
+    unknown = p[:, :k] @ freed if mass.sum() else np.ones(len(p))
+    return np.log10(np.column_stack([p, unknown]))
+
+
+def fit(training: DataFrame, head_size: int = HEAD, least: int = LEAST) -> tuple[ClassModel, DataFrame]:
+    """The model, and the table ``word, id, c, g`` of all words of the training texts, with their classes."""
+    counts = training.mapInArrow(_count_words, "word string, id long, c long").groupBy("word", "id").agg(F.sum("c").alias("c"))
+    counts = settle(counts, "words")
+    n_docs = training.count()
+    top = counts.orderBy(F.desc("c"), "word").limit(head_size).toPandas()
+    ids = dict(zip((w.encode() for w in top["word"]), top["id"].tolist()))
+    pairs = training.mapInArrow(_count_pairs(ids), "a long, b long, c long")
+    pairs = settle(pairs.groupBy("a", "b").agg(F.sum("c").alias("c")), "pairs")
+
+    often = counts.where(F.col("c") >= least)
+    n_often = often.count()
+    seeds = [i for i, c in zip(top["id"].tolist(), top["c"].tolist()) if c >= least][: n_classes(n_often)]
+    of = clustered_words(pairs, often, n_often, seeds)
+    counts = settle(classes_of_all(counts, of), "classed")
+    k = max(1, len(seeds)) if len(top) else 0
+    both = _classed(pairs, of, k)
+    plain = both.where("ga is not null and gb is not null").select("ga", "gb", "c")
+    # Pairs with a rarer word are few, and only they meet the table of all words.
+    rarer = both.where("ga is null or gb is null").select("a", "b", "c")
+    rarer = _classed(rarer, counts.select("id", "g"), k).select("ga", "gb", "c")
+    joint = _joint(plain.union(rarer), k + 1)
+
+    once, twice = (F.coalesce(F.sum((F.col("c") == n).cast("long")), F.lit(0)).alias(x) for n, x in ((1, "ones"), (2, "twos")))
+    sums = counts.groupBy("g").agg(F.sum("c").alias("c"), F.count("*").alias("n"), once, twice).toPandas()
+    ones, twos = int(sums["ones"].sum()), int(sums["twos"].sum())
     discount = min(0.9, max(0.1, ones / (ones + 2 * twos))) if ones else 0.1
-    unknown = float(np.log10(discount * rest_types / rest_tokens)) if rest_tokens else 0.0
-    own = head_counts[:n_clustered].astype(float)
-    per_class = np.bincount(of[:n_clustered], weights=own, minlength=size)
-    emission = np.log10(np.concatenate([
-        own / per_class[of[:n_clustered]], (head_counts[n_clustered:] - discount) / max(1, rest_tokens),
-    ])) if len(head_counts) else np.zeros(0)
-    tokens = int(head_counts[:n_clustered].sum()) + rest_tokens + n_docs
-    types = n_clustered + rest_types + int(n_docs > 0)
+    per_class, freed = np.zeros(k), np.zeros(k)
+    per_class[sums["g"].to_numpy(np.int64)] = sums["c"].to_numpy(float)
+    freed[sums["g"].to_numpy(np.int64)] = discount * sums["n"].to_numpy(float) / sums["c"].to_numpy(float)
+    head = counts.orderBy(F.desc("c"), "word").limit(head_size).toPandas()
+    classes, head_counts = head["g"].to_numpy(np.int64), head["c"].to_numpy(float)
     model = ClassModel(
-        place, n_clustered, of, transition, emission, np.zeros(0), tokens, types, rest_tokens, discount, unknown,
+        {w.encode(): n for n, w in enumerate(head["word"])}, classes, transitions(joint, per_class, freed),
+        np.log10((head_counts - discount) / per_class[classes]), np.zeros(0), per_class,
+        int(per_class.sum()) + n_docs, int(sums["n"].sum()) + int(n_docs > 0), discount,
     )
-    base = model.base_of(np.append(head_counts, n_docs).astype(float))
+    base = np.log10((np.append(head_counts, n_docs) + 1) / (model.tokens + model.types + 1))
     return ClassModel(**{**model.__dict__, "base": base}), counts
 
 
-_SCORED = "row long, doc_id long, n_tokens long, n_known long, base double, score double, word string, times long"
+_SCORED = "row long, doc_id long, n_tokens long, n_known long, base double, score double, word string, run long, at long, left int, right int"
 
 
 def _score(model: ClassModel, end_known: int):
-    rest, end = model.clustered, model.clustered + 1
+    """A row for every text, and one for every word outside the head: its place, the place where its run of such
+    words begins, and the classes before and after it, -1 for another such word."""
+    end = len(model.transition) - 2
+    names = [x.split()[0] for x in _SCORED.split(", ")]
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+    rare_kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 40
@@ -210,40 +336,64 @@ def _score(model: ClassModel, end_known: int):
                 parts = words(text)
                 at = np.fromiter((get(w, -1) for w in parts), np.int64, len(parts))
                 known = at[at >= 0]
-                kinds = model.classes[np.where((at >= 0) & (at < model.clustered), at, rest)]
-                line = np.concatenate([[model.classes[end]], kinds, [model.classes[end]]])
-                score = model.transition[line[:-1], line[1:]].sum() + model.emission[known].sum()
+                line = np.full(len(parts) + 2, end)
+                line[1:-1] = np.where(at >= 0, model.classes[at], -1) if len(model.classes) else -1
+                here = (line[:-1] >= 0) & (line[1:] >= 0)
+                score = model.transition[line[:-1][here], line[1:][here]].sum() + model.emission[known].sum()
                 base = model.base[known].sum() + model.base[-1]
                 whole.append((row, doc_id, len(parts) + 1, len(known) + end_known, float(base), float(score)))
-                if len(known) < len(parts):
-                    times = Counter(parts[k] for k in np.flatnonzero(at < 0))
-                    rare += [(row, w, n) for w, n in times.items()]
+                begin = -1
+                for k in np.flatnonzero(at < 0).tolist():
+                    begin = k if line[k] >= 0 else begin
+                    rare.append((row, parts[k], begin, k, int(line[k]), int(line[k + 2])))
                 row += 1
             if whole:
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
                 n = len(whole)
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(c, k) for c, k in zip(zip(*whole), kinds)), pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())],
-                    names=["row", "doc_id", "n_tokens", "n_known", "base", "score", "word", "times"],
+                    [*(pa.array(c, k) for c, k in zip(zip(*whole), kinds)), pa.nulls(n, pa.string()), *(pa.nulls(n, k) for k in rare_kinds)],
+                    names=names,
                 )
             for start in range(0, len(rare), 200_000):
-                r, w, n = zip(*rare[start : start + 200_000])
-                none = [pa.nulls(len(r), k) for k in (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+                r, w, *places = zip(*rare[start : start + 200_000])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(r, pa.int64()), *none, pa.array(w, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())],
-                    names=["row", "doc_id", "n_tokens", "n_known", "base", "score", "word", "times"],
+                    [pa.array(r, pa.int64()), *(pa.nulls(len(r), k) for k in kinds[1:]), pa.array(w, pa.binary()).cast(pa.string()),
+                     *(pa.array(p, k) for p, k in zip(places, rare_kinds))],
+                    names=names,
                 )
 
     return run
 
 
-def lm_scores(docs: DataFrame, head_size: int = HEAD, clustered: int = CLUSTERED) -> DataFrame:
+def _passed(transition: np.ndarray):
+    """Sum of the transitions into and out of the words of rows ``row, run, at, left, right, g``, sorted; a part for each batch."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = (-1, -1, -1)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            row, at, left, right, g = (batch[x].to_numpy().astype(np.int64) for x in ("row", "at", "left", "right", "g"))
+            before = np.append(last[2], g[:-1])
+            # Within a run the word before is the row before.
+            from_ = np.where(left >= 0, left, before)
+            score = transition[from_, g] + np.where(right >= 0, transition[g, right], 0.0)
+            last = (row[-1], at[-1], g[-1])
+            starts = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row[starts]), pa.array(np.add.reduceat(score, starts))], names=["row", "more_passed"]
+            )
+
+    return run
+
+
+def lm_scores(docs: DataFrame, head_size: int = HEAD, least: int = LEAST) -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity``.
 
     Training texts are those whose id's CRC leaves another remainder than 2 by 7. ``base_score`` is the
     add-one unigram of the contract. ``score`` is the class model's log10 probability of the
-    whole text: words that are not clustered form a class whose members are discounted
-    absolutely, the mass freed being that of one unknown word, as the base has one.
+    whole text: all words of the training texts have a class, in which they are discounted
+    absolutely, the mass freed being that of one unknown word, as the base has one. Words that
+    occur ``least`` times are clustered.
 
     Cases: null and empty texts are the end alone; rows repeated give equal rows, and training ones
     count each time; a null id is neither trained on nor held out; without training texts every word
@@ -251,17 +401,25 @@ def lm_scores(docs: DataFrame, head_size: int = HEAD, clustered: int = CLUSTERED
     """
     docs = only(docs, doc_id="long", text="string")
     training = docs.where(fold("doc_id", 7) != 2).select("text")
-    model, counts = fit(training, head_size, clustered)
-    end_known = int(model.tokens > 0)
+    model, counts = fit(training, head_size, least)
+    end_known, unknown = int(model.tokens > 0), len(model.transition) - 1
     passed = settle(docs.mapInArrow(_score(model, end_known), _SCORED), "scores")
-    rare = passed.where("word is not null").select("row", "word", "times").join(counts, "word", "left")
+    per_class = F.array(*(F.lit(float(x)) for x in model.per_class), F.lit(1.0))
+    rare = passed.where("word is not null").select("row", "word", "run", "at", "left", "right").join(counts, "word", "left")
     c = F.coalesce(F.col("c"), F.lit(0))
-    emitted = F.when(c > 0, F.log10((c - model.discount) / F.lit(float(max(1, model.rest_tokens))))).otherwise(model.unknown)
+    g = F.coalesce(F.col("g"), F.lit(unknown))
+    rare = settle(rare.select("row", "run", "at", "left", "right", c.alias("c"), g.alias("g")), "rare")
+    size = F.element_at(per_class, (F.least("g", F.lit(unknown - 1)) + 1).cast("int"))
+    emitted = F.when(F.col("c") > 0, F.log10((F.col("c") - model.discount) / size)).otherwise(0.0)
+    passing = rare.repartition("row", "run").sortWithinPartitions("row", "run", "at").select("row", "at", "left", "right", "g")
+    passing = passing.mapInArrow(_passed(model.transition), "row long, more_passed double")
+    none = F.lit(0.0)
     rare = rare.select(
-        "row", (F.col("times") * F.log10((c + 1) / F.lit(float(model.tokens + model.types + 1)))).alias("more_base"),
-        (F.col("times") * emitted).alias("more_score"), F.when(c > 0, F.col("times")).otherwise(0).alias("more_known"),
-    ).groupBy("row").agg(*(F.sum(x).alias(x) for x in ("more_base", "more_score", "more_known")))
-    out = passed.where("word is null").drop("word", "times").join(rare, "row", "left").select(
+        "row", F.log10((F.col("c") + 1) / F.lit(float(model.tokens + model.types + 1))).alias("more_base"),
+        emitted.alias("more_score"), (F.col("c") > 0).cast("long").alias("more_known"),
+    ).union(passing.select("row", none, "more_passed", F.lit(0).cast("long")))
+    rare = rare.groupBy("row").agg(*(F.sum(x).alias(x) for x in ("more_base", "more_score", "more_known")))
+    out = passed.where("word is null").drop("word", "run", "at", "left", "right").join(rare, "row", "left").select(
         "doc_id", F.coalesce(fold("doc_id", 7) == 2, F.lit(False)).alias("held_out"), "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
