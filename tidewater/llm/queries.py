@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.llm.class_lm import lm_scores
 from tidewater.llm.embedding_dedup import near_embeddings
+from tidewater.llm.encoders import BYTE_BPE, ship
 from tidewater.llm.exact_dedup import exact_dedup
 from tidewater.llm.language_id import identify_languages
 from tidewater.llm.mixing import mix
 from tidewater.llm.ngram_join import ngram_classes
 from tidewater.llm.quality import quality_scores
 from tidewater.llm.sentence_pieces import send_vocabulary, token_report
+from tidewater.llm.token_counts import token_counts
 from tidewater.llm.training_order import write_shards
 from tidewater.llm.url_filter import CONTRACT_RULES, ORACLE as URL_ORACLE, RULES, filter_urls
 
@@ -64,9 +66,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_read(spark, sf_dir, "pages"), spark.createDataFrame(list(CONTRACT_RULES), RULES))
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_read(spark, sf_dir, "documents"), ship(spark, BYTE_BPE))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality, op2_sentence_pieces, op3_embedding_dedup, op4_language_id, op5_ngram_join, op6_exact_dedup, op7_training_order,
-    op8_class_lm, op9_mixing, op10_url_filter,
+    op8_class_lm, op9_mixing, op10_url_filter, op12_token_counts,
 )}
 
 # The same results by comparing all pairs and following links recursively, which only small tables allow.
