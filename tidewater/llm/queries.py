@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewater.llm.alignment import align_tokens
 from tidewater.llm.class_lm import lm_scores
 from tidewater.llm.embedding_dedup import near_embeddings
-from tidewater.llm.encoders import BYTE_BPE, ship
+from tidewater.llm.encoders import BYTE_BPE, PIECE_BPE, ship
 from tidewater.llm.exact_dedup import exact_dedup
 from tidewater.llm.language_id import identify_languages
 from tidewater.llm.mixing import mix
@@ -70,9 +71,13 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_read(spark, sf_dir, "documents"), ship(spark, BYTE_BPE))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(_read(spark, sf_dir, "documents"), ship(spark, BYTE_BPE), ship(spark, PIECE_BPE))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality, op2_sentence_pieces, op3_embedding_dedup, op4_language_id, op5_ngram_join, op6_exact_dedup, op7_training_order,
-    op8_class_lm, op9_mixing, op10_url_filter, op12_token_counts,
+    op8_class_lm, op9_mixing, op10_url_filter, op12_token_counts, op13_alignment,
 )}
 
 # The same results by comparing all pairs and following links recursively, which only small tables allow.
