@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.llm.alignment import align_tokens
 from tidewater.llm.class_lm import lm_scores
+from tidewater.llm.collocations import ORACLE as PHRASE_ORACLE, collocations
 from tidewater.llm.embedding_dedup import near_embeddings
 from tidewater.llm.encoders import BYTE_BPE, PIECE_BPE, ship
 from tidewater.llm.exact_dedup import exact_dedup
@@ -67,6 +68,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_read(spark, sf_dir, "pages"), spark.createDataFrame(list(CONTRACT_RULES), RULES))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_read(spark, sf_dir, "documents"))
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_read(spark, sf_dir, "documents"), ship(spark, BYTE_BPE))
 
@@ -77,7 +82,7 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_quality, op2_sentence_pieces, op3_embedding_dedup, op4_language_id, op5_ngram_join, op6_exact_dedup, op7_training_order,
-    op8_class_lm, op9_mixing, op10_url_filter, op12_token_counts, op13_alignment,
+    op8_class_lm, op9_mixing, op10_url_filter, op11_collocations, op12_token_counts, op13_alignment,
 )}
 
 # The same results by comparing all pairs and following links recursively, which only small tables allow.
@@ -126,5 +131,5 @@ from plain p join grouped g on p.t = g.t
 
 ORACLES: dict[str, str] = {
     "op3_embedding_dedup": _NEAR_VECTORS, "op5_ngram_join": _NEAR_TEXTS, "op6_exact_dedup": _EQUAL_TEXTS,
-    "op10_url_filter": URL_ORACLE,
+    "op10_url_filter": URL_ORACLE, "op11_collocations": PHRASE_ORACLE,
 }
