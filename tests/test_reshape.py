@@ -10,7 +10,7 @@ from tests.helpers import frame, rows
 def test_spread_sums_repeated_cells_and_keeps_missing_ids(spark):
     df = frame(
         spark, "area string, d string, n double",
-        ("a", "Kept", 1.0), ("a", "Kept", 2.0), ("a", "Released Legal", 4.0), (None, "Other", 9.0), ("b", "Kept", None),
+        ("a", "Kept", 1.0), ("a", "Kept", 2.0), ("a", "Released Legal", 4.0), (None, "Kept", None), ("b", "Kept", None),
     )
     out = reshape.spread_sum(df, "d", "n", ["Kept", "Released Legal"])
     assert out.columns == ["area", "kept", "released_legal"]
