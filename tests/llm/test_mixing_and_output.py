@@ -120,7 +120,8 @@ URLS = [
     "http://a.com/x", "HTTP://A.Example.COM/en/1?q", "http://www.example.com/en/", "http://deep.www.example.com/en/x#y",
     "https://notexample.com/en/", "http://example.net/es/q", "http://net/fr/", "http://example.com", "http://example.com?/en/",
     "no scheme", None, "", "://", "http:///path", "x://y.org/a://b.com/", "http://example.com/en", "http://a..com/",
-    "http://example.com:80/en/", "http://xcom/", "http://com/" + "p" * 50_000, "http://line\nbreak.com/en/\nx",
+    "http://foo.net?u=http://x.org/es/a", "http://foo.net#http://x/fr/b", "http://a.com?u=http://b/c", "http://a.com/x?u=http://net/es/",
+    "a:://net/fr/x", "http://net://es/", "http://example.com:80/en/", "http://xcom/", "http://com/" + "p" * 50_000, "http://line\nbreak.com/en/\nx",
 ]
 
 
@@ -163,7 +164,7 @@ def test_query_equals_its_sql(spark, name):
 
 def test_one_query_for_each_operator_and_the_pipeline():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d", n)} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in names if re.match(r"op\d", n)} == set(range(1, 14))
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "ngram_join", "mixing", "sentence_pieces"]
 
@@ -193,6 +194,12 @@ def test_stages_decide_and_keep_columns(spark):
     assert stage["sentence_pieces"](spark, d, SF_DIR).columns == ["doc_id", "ids"]
 
 
+def test_language_stage_without_labels_keeps_every_text_with_a_letter(spark):
+    df = piped(spark, (1, "some text", None, "a"), (2, "日本", None, "a"), (3, "12 !", None, "a"), (4, None, None, "a"), (5, "", None, "a"))
+    kept = dict(corpus_pipeline.STAGES)["language_id"](spark, df, SF_DIR)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2] and kept.columns == df.columns
+
+
 def test_stages_of_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, piped(spark), SF_DIR).count() == 0

@@ -10,7 +10,7 @@ import pytest
 import sentencepiece
 
 from tests.helpers import frame
-from tidewater.llm.class_lm import exchange_classes, lm_scores, n_classes, transitions
+from tidewater.llm.class_lm import Exchange, lm_scores, n_classes, transitions
 from tidewater.llm.language_id import Parser, identify_languages
 from tidewater.llm.pieces import Pieces, blanked, matrix, product, read_vocabulary, route
 from tidewater.llm.quality import NAMES, quality_scores, statistics
@@ -92,15 +92,56 @@ def test_quality_of_odd_rows(spark):
 
 # ---------------------------------------------------------------- language model
 
+def class_likelihood(pairs, of, k):
+    joint = np.zeros((k, k))
+    for (a, b), c in pairs.items():
+        joint[of[a], of[b]] += c
+    xlogx = lambda x: (x[x > 0] * np.log(x[x > 0])).sum()
+    return xlogx(joint) - xlogx(joint.sum(axis=0)) - xlogx(joint.sum(axis=1))
+
+
+def exchanged(pairs, of, k, sweeps):
+    """Sweeps over all words by ``Exchange.move``; the likelihood after each."""
+    of, found = dict(of), []
+    for _ in range(sweeps):
+        joint = np.zeros((k, k))
+        for (a, b), c in pairs.items():
+            joint[of[a], of[b]] += c
+        exchange = Exchange(joint, k)
+        for w in sorted(of):
+            after, before, own = Counter(), Counter(), 0
+            for (a, b), c in pairs.items():
+                if a == b == w:
+                    own += c
+                elif a == w:
+                    after[of[b]] += c
+                elif b == w:
+                    before[of[a]] += c
+            sides = [np.array(x, t) for side in (after, before) for x, t in ((sorted(side), np.int64), ([side[g] for g in sorted(side)], float))]
+            of[w] = exchange.move(of[w], *sides, float(own))
+        found.append(class_likelihood(pairs, of, k))
+    return of, found
+
+
 def test_exchange_finds_words_that_stand_alike():
     """a, b are followed by c, d and these by a, b; the classes must be these two pairs."""
-    pairs = np.zeros((6, 6))
+    pairs = {}
     for k, left in enumerate((0, 1)):
         for j, right in enumerate((2, 3)):
-            pairs[left, right] = 20 + k + j
-            pairs[right, left] = 20 + k - j
-    of = exchange_classes(pairs, 4, classes=2)
-    assert of[0] == of[1] != of[2] == of[3] and len(set(of)) == 4
+            pairs[left, right], pairs[right, left] = 20 + k + j, 20 + k - j
+    of, _ = exchanged(pairs, {0: 0, 1: 1, 2: 0, 3: 1}, 2, 3)
+    assert of[0] == of[1] != of[2] == of[3]
+
+
+def test_no_move_lowers_the_likelihood():
+    draw = random.Random(2)
+    for _ in range(10):
+        n, k = 12, 4
+        pairs = Counter((draw.randrange(n), draw.randrange(n) ** 2 % n) for _ in range(300))
+        of = {w: w % k for w in range(n)}
+        begun = class_likelihood(pairs, of, k)
+        _, found = exchanged(pairs, of, k, 4)
+        assert all(b >= a - 1e-6 for a, b in zip([begun, *found], found)) and found[-1] > begun
 
 
 @pytest.mark.parametrize("head, clustered", [(1 << 17, 1000), (60, 20)])

@@ -23,15 +23,20 @@ PER_RANGE = 200_000
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def _after_scheme(url: Column) -> Column:
+    """What follows the first ``://``; null without one."""
+    at = F.locate("://", url)
+    return F.when(at > 0, F.substring(url, at + 3, F.length(url)))
+
+
 def host_of(url: Column) -> Column:
     """What lies between the first ``://`` and the next ``/``, ``?``, ``#`` or end, A-Z in lower case."""
-    rest = F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)
-    return F.coalesce(F.translate(rest, _UPPER, _LOWER), F.lit(""))
+    return F.coalesce(F.translate(F.regexp_extract(_after_scheme(url), r"^[^/?#]*", 0), _UPPER, _LOWER), F.lit(""))
 
 
 def path_of(url: Column) -> Column:
-    """From the end of the host up to ``?``, ``#`` or end."""
-    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1), F.lit(""))
+    """From the end of the host up to ``?``, ``#`` or end; another ``://`` further on is nothing special."""
+    return F.coalesce(F.regexp_extract(_after_scheme(url), r"^[^/?#]*(/[^?#]*)", 1), F.lit(""))
 
 
 def reversed_key(host: Column) -> Column:
