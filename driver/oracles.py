@@ -430,8 +430,17 @@ ORACLES["orphan_table"] = suff(
     "SELECT * REPLACE (coalesce(n_age_samples, 0) AS n_age_samples, "
     "coalesce(n_stockcomp_samples, 0) AS n_stockcomp_samples) FROM orphans"
 )
-ORACLES["conuma_report"] = ORACLES["orphan_table"]
-ORACLES["orphan_display"] = suff("SELECT sector AS \"Sector\", sum(total_kept) AS caught FROM orphans GROUP BY 1")
+ORACLES["fishery_counts"] = steps(
+    "SELECT sector, run_recon_area, ufid, year, count(*) AS n, count(resolved_age) AS age, "
+    "count(resolved_stock_origin) AS stock FROM sampled GROUP BY ALL",
+    CONUMA_BIO_VIEWS, **CONUMA_BIO,
+)
+ORACLES["orphan_display"] = suff(
+    'SELECT sector AS "Sector", run_recon_area AS "Run reconstruction area", ufid, total_kept AS "CK caught in 2000", '
+    'coalesce(n_age_samples, 0) AS "# Resolved age samples", coalesce(n_stockcomp_samples, 0) AS "# Resolved stock comp samples", '
+    'age_samplesize_flag AS "Flag for # age samples (<10)", '
+    'stockcomp_samplesize_flag AS "Flag for # stock comp samples (<10)" FROM orphans'
+)
 ORACLES["sectors"] = steps("SELECT DISTINCT sector FROM caught", CONUMA_CATCH_VIEWS, **CONUMA_CATCH)
 
 # Review tables
@@ -444,7 +453,6 @@ def points_sql(column: str, year: int) -> str:
 
 
 ORACLES["catch_points"] = steps(points_sql("kept", 2000), CONUMA_CATCH_VIEWS, **CONUMA_CATCH)
-ORACLES["nitinat_report"] = steps(points_sql("total", 2001), NITINAT_CATCH_VIEWS, **NITINAT_CATCH)
 POINT = "year, sector, run_recon_area, creel_sub_area, lat, long"
 
 
@@ -497,6 +505,46 @@ ORACLES["ufid_table_nitinat"] = steps(
     NITINAT_CATCH_VIEWS, **NITINAT_CATCH,
 )
 
+# Whole runs
+
+
+def stacked(**tables: str) -> str:
+    """All tables in one; a name's underscores stand for the blanks of the table's."""
+    return " UNION ALL BY NAME ".join(
+        f"SELECT '{name.replace('_', ' ')}' AS table_name, * FROM ({sql}) t" for name, sql in tables.items()
+    )
+
+
+ORACLES["conuma_report"] = stacked(
+    **{"catch": ORACLES["compile_catch"], "samples": ORACLES["compile_biodata"]},
+    sample_overview=steps("SELECT year, sample_type, count(*) AS n FROM bio GROUP BY ALL", "v_samples", **CONUMA_SAMPLES),
+    sufficiency=ORACLES["sample_sufficiency"], orphans=ORACLES["orphan_ufids"], orphan_table=ORACLES["orphan_table"],
+    orphan_candidates=ORACLES["orphan_candidates"], missed_samples=ORACLES["missed_samples"],
+    catch_points=ORACLES["catch_points"], temporal_catch=ORACLES["temporal_catch"],
+    temporal_samples=ORACLES["temporal_samples"], fisheries=ORACLES["ufid_table"],
+    **{f"sample_points_{back}": sample_points_sql(str(2000 - back)) for back in range(4)},
+)
+
+
+def nitinat_points_sql(year: int) -> str:
+    return steps(
+        "SELECT l.*, n, CASE WHEN n < 10 THEN 3 WHEN n < 50 THEN 6 WHEN n < 75 THEN 8 WHEN n < 100 THEN 10 ELSE 12 END "
+        f"AS radius FROM l JOIN c ON {same('l', 'c', *POINT.split(', '))}",
+        "v_samples v_lookup", **NITINAT_SAMPLES,
+        b1=located("SELECT * FROM bio WHERE sector = 'sport' AND pfma IN (21, 22)", "sport", ("sector", "creel_sub_area")),
+        s=f"SELECT {POINT}, {pasted('run_recon_area', 'input_data_type')} AS label FROM b1 WHERE lat IS NOT NULL AND year = {year}",
+        l="SELECT DISTINCT * FROM s",
+        c=f"SELECT {POINT}, count(*) AS n FROM s GROUP BY {POINT}",
+    )
+
+
+ORACLES["nitinat_report"] = stacked(
+    **{"catch": ORACLES["compile_catch_nitinat"], "samples": ORACLES["compile_biodata_nitinat"]},
+    catch_points=steps(points_sql("total", 2001), NITINAT_CATCH_VIEWS, **NITINAT_CATCH),
+    temporal_catch=ORACLES["temporal_catch_nitinat"], temporal_samples=ORACLES["temporal_samples_nitinat"],
+    fisheries=ORACLES["ufid_table_nitinat"], **{f"sample_points_{back}": nitinat_points_sql(2001 - back) for back in range(2)},
+)
+
 # Stock groups
 
 STREAMS = {
@@ -787,8 +835,45 @@ ORACLES["stack_frames"] = steps(
     "SELECT tagcode, brood_year, NULL AS hatch_code FROM v_tags UNION ALL SELECT NULL, brood_year, hatch_code FROM v_marks",
     "v_tags v_marks",
 )
-ORACLES["write_bundle_roundtrip"] = steps(
-    "SELECT year, month, sample_type, sex FROM v_samples WHERE area_name IS NULL", "v_samples"
+ORACLES["write_bundle_roundtrip"] = (
+    stacked(Summary=ORACLES["qc_summary"])
+    + f" UNION ALL BY NAME SELECT '7 - Area' AS table_name, * FROM ({ORACLES['qc_7']}) t"
+    + " UNION ALL BY NAME SELECT 'metadata' AS table_name, * FROM (VALUES ('Summary', 'counts'), ('7 - Area', NULL)) m(sheets, description)"
+)
+ORACLES["quality_report"] = stacked(Summary=ORACLES["qc_summary"]) + "".join(
+    f" UNION ALL BY NAME SELECT {_quoted(f'{i} - {name}')} AS table_name, * FROM ({ORACLES['qc_' + i.replace('.', '_')]}) t"
+    for i, (name, _, _) in QC.items()
+)
+_LINKED = steps(
+    "SELECT h.* RENAME (hatch_code AS hatch_code_x, facility AS facility_x), "
+    "m.* EXCLUDE (r_brood_year, r_hatch_code) RENAME (hatch_code AS hatch_code_y, facility AS facility_y), "
+    f"coalesce(tag_stock_site_name, {title('substr(stock, 3)')}) AS r_resolved_stock_id FROM resolved h LEFT JOIN marks m ON "
+    + equal("h", "m", "r_brood_year", "r_hatch_code"),
+    f"{RESOLVED_VIEWS} v_marks", **RESOLVED, **MARKS,
+)
+_LINK_TABLES = {
+    "1 - all samples linked": _LINKED, "2 - hatchery samples": ORACLES["hatchery_samples"], "3 - scale ages": ORACLES["scale_ages"],
+    "4 - otolith marks": ORACLES["otolith_marks"], "5 - tag releases": ORACLES["tag_releases"], "6 - mark master": ORACLES["mark_master"],
+    "metadata": "SELECT * FROM (VALUES " + ", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in (
+        ("1 - all samples linked", "Hatchery samples joined to scale ages, otolith marks, tag releases and the mark "
+         "master. Tags come first for stock and age, then otolith stock and scale age."),
+        ("2 - hatchery samples", "Hatchery samples as landed, with link keys."),
+        ("3 - scale ages", "Scale batches, containers and age readings as landed, joined, with link keys."),
+        ("4 - otolith marks", "Otolith recoveries as landed, with link keys."),
+        ("5 - tag releases", "Tag releases decoded from the landed payload."),
+        ("6 - mark master", "Thermal mark master as landed, outside Alaska, with link keys."),
+    )) + ") m(sheets, description)",
+}
+ORACLES["link_bundle"] = " UNION ALL BY NAME ".join(f"SELECT {_quoted(n)} AS table_name, * FROM ({sql}) t" for n, sql in _LINK_TABLES.items())
+ORACLES["link_exports"] = (
+    "SELECT table_name, r_otolith_box_vial_concat, r_scale_book_cell_concat, r_tagcode, count(*) AS n FROM ("
+    f"SELECT 'master' AS table_name, * FROM ({ORACLES['hatchery_samples']}) a UNION ALL BY NAME "
+    f"SELECT 'join' AS table_name, * FROM ({_LINKED}) b) t GROUP BY ALL"
+)
+ORACLES["snapshot_index"] = steps(
+    "SELECT 1 AS number, 'first' AS stamp, 'marks' AS table_name, count(*) AS n_rows FROM v_marks "
+    "UNION ALL SELECT 1, 'first', 'tags', count(*) FROM v_tags UNION ALL SELECT 2, 'second', 'marks', count(*) FROM marks",
+    "v_marks v_tags", **MARKS,
 )
 ORACLES["cast_missing"] = steps(
     "SELECT coalesce(bag_no, 'NA') || '-' || coalesce(vial_no, 'NA') AS pasted, bag_no || '-' || vial_no AS guarded, "

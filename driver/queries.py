@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,10 +14,14 @@ from tidewater.functions.recode import area_label
 from tidewater.operators import (
     biodata, catch, hatchery, joins, quality, reshape, review, stockgroups, sufficiency,
 )
-from tidewater.plans.hatchery_link import LinkInputs, link_tables, scale_table
-from tidewater.plans.terminal_run import ConumaInputs, NitinatInputs, conuma_tables, nitinat_tables
+from tidewater.plans.hatchery_link import (
+    LinkInputs, link_tables, scale_table, write_join_file, write_link_bundle, write_master,
+)
+from tidewater.plans.sample_reports import write_quality_report
+from tidewater.plans.terminal_run import ConumaInputs, NitinatInputs, write_conuma_run, write_nitinat_run
 from tidewater.session import settle, shared_folder
 from tidewater.sinks import bundle
+from tidewater.sinks.publish import publish_tables, read_published, snapshot_index as snapshots
 from tidewater.sources import readers, schemas
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -309,17 +314,34 @@ def orphan_ufids(spark, sf_dir):
     return sufficiency.orphan_ufids(_sufficiency(Inputs(spark, sf_dir)))
 
 
+@query
+def fishery_counts(spark, sf_dir):
+    """The count table of one extract brought up to date with another's, cut where the year begins."""
+    bio = settle(_conuma_bio(Inputs(spark, sf_dir)), "samples")
+    older = F.coalesce(F.col("year") < CONUMA_YEAR, F.lit(False))
+    return sufficiency.add_counts(
+        sufficiency.fishery_counts(bio.filter(older)), sufficiency.fishery_counts(bio.filter(~older))
+    )
+
+
+def _counted(i: Inputs, bio: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The samples' counts, and the orphans that follow from them."""
+    counts = settle(sufficiency.fishery_counts(bio), "counts")
+    enough = sufficiency.sufficiency_of_counts(_conuma_catch(i), counts, CONUMA_YEAR)
+    return counts, settle(sufficiency.orphan_ufids(enough), "orphans")
+
+
 @query
 def orphan_candidates(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    orphans = settle(sufficiency.orphan_ufids(_sufficiency(i)), "orphans")
-    return sufficiency.orphan_candidates(_conuma_bio(i), orphans)
+    bio = settle(_conuma_bio(i), "samples")
+    return sufficiency.orphan_candidates(bio, _counted(i, bio)[1])
 
 
 @query
 def missed_samples(spark, sf_dir):
     i = Inputs(spark, sf_dir)
-    return sufficiency.missed_samples(_conuma_bio(i), sufficiency.orphan_ufids(_sufficiency(i)), CONUMA_YEAR)
+    return sufficiency.missed_of_counts(*_counted(i, _conuma_bio(i)), CONUMA_YEAR)
 
 
 @query
@@ -376,18 +398,48 @@ def ufid_table_nitinat(spark, sf_dir):
     return review.ufid_table(caught, NITINAT_YEAR, "total", keep_zero=True, by_month=True)
 
 
+def _stacked(tables: dict[str, DataFrame]) -> DataFrame:
+    """All tables of a published set in one, with each row's table name; a column that is text in one is text in all."""
+    text = {c for df in tables.values() for c, kind in df.dtypes if kind == "string"}
+    named = [
+        df.withColumns({c: F.col(f"`{c}`").cast("string") for c, kind in df.dtypes if c in text and kind != "string"})
+        .withColumn("table_name", F.lit(name))
+        for name, df in tables.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+
+
+def _fresh(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{bundle.unique_suffix()}"
+
+
+def _conuma_inputs(i: Inputs) -> ConumaInputs:
+    return ConumaInputs(i.catch, i.commercial, _blocks(i), i.samples, _gsi_extract(i), i.lookup)
+
+
 @query
 def conuma_report(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
-    inputs = ConumaInputs(i.catch, i.commercial, _blocks(i), i.samples, _gsi_extract(i), i.lookup)
-    return conuma_tables(inputs, CONUMA_YEAR)["orphan table"]
+    """A whole run written, published and read back."""
+    base = _fresh(spark, "conuma")
+    write_conuma_run(_conuma_inputs(Inputs(spark, sf_dir)), CONUMA_YEAR, base, "run")
+    return _stacked(read_published(spark, base))
 
 
 @query
 def nitinat_report(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
-    inputs = NitinatInputs(i.catch, i.report, i.samples, i.lookup)
-    return nitinat_tables(inputs, NITINAT_YEAR)["catch points"]
+    """A whole run written, published and read back."""
+    i, base = Inputs(spark, sf_dir), _fresh(spark, "nitinat")
+    write_nitinat_run(NitinatInputs(i.catch, i.report, i.samples, i.lookup), NITINAT_YEAR, base, "run")
+    return _stacked(read_published(spark, base))
+
+
+@query
+def snapshot_index(spark, sf_dir):
+    """Two sets of tables published after another: every table with its rows, from the manifests alone."""
+    i, base = Inputs(spark, sf_dir), _fresh(spark, "snapshots")
+    for stamp, tables in (("first", {"marks": i.marks, "tags": i.tags}), ("second", {"marks": hatchery.mark_master(i.marks)})):
+        publish_tables(tables, base, stamp)
+    return snapshots(spark, base).select("number", "stamp", "table_name", "n_rows")
 
 
 # Stock groups
@@ -621,8 +673,7 @@ def sectors(spark, sf_dir):
 
 @query
 def orphan_display(spark, sf_dir):
-    shown = sufficiency.orphan_display(sufficiency.orphan_ufids(_sufficiency(Inputs(spark, sf_dir))), CONUMA_YEAR)
-    return shown.groupBy("Sector").agg(F.sum(f"CK caught in {CONUMA_YEAR}").alias("caught"))
+    return sufficiency.orphan_display(sufficiency.orphan_ufids(_sufficiency(Inputs(spark, sf_dir))), CONUMA_YEAR)
 
 
 @query
@@ -631,13 +682,42 @@ def stack_frames(spark, sf_dir):
     return reshape.stack_frames([i.tags.select("tagcode", "brood_year"), i.marks.select("hatch_code", "brood_year")])
 
 
+@query
+def quality_report(spark, sf_dir):
+    """The quality report written in one scan, and all its tables read back."""
+    base = _fresh(spark, "quality")
+    write_quality_report(Inputs(spark, sf_dir).samples, base, "stamp")
+    return _stacked(read_published(spark, base))
+
+
+@query
+def link_bundle(spark, sf_dir):
+    """The link bundle written under display names, and all its tables read back."""
+    base = _fresh(spark, "links")
+    write_link_bundle(_link_inputs(Inputs(spark, sf_dir)), LINK_YEAR, base, "stamp")
+    return _stacked(read_published(spark, base))
+
+
+@query
+def link_exports(spark, sf_dir):
+    """The master and the join file, read back and counted by what both have."""
+    i, folder = Inputs(spark, sf_dir), _fresh(spark, "exports")
+    linked = link_tables(_link_inputs(i), LINK_YEAR)["1 - all samples linked"]
+    files = {"master": write_master(i.hatchery, folder, "s"), "join": write_join_file(linked, folder, "s")}
+    own = {shown: name for name, shown in rules.LINK_DISPLAY.items()}
+    keys = ["r_otolith_box_vial_concat", "r_scale_book_cell_concat", "r_tagcode"]
+    return _stacked({name: spark.read.parquet(p).withColumnsRenamed(own).select(*keys) for name, p in files.items()}).groupBy(
+        "table_name", *keys).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def write_bundle_roundtrip(spark, sf_dir):
+    """A bundle with descriptions, all its tables read back."""
     samples = Inputs(spark, sf_dir).samples
     tables = {"Summary": quality.qc_summary(samples), "7 - Area": quality.qc_failures(samples, "7")}
     base = f"{shared_folder(spark)}/report-{bundle.unique_suffix()}"
     paths = bundle.write_bundle(tables, base, "stamp", descriptions={"Summary": "counts"})
-    return spark.read.parquet(paths["7 - Area"]).select("year", "month", "sample_type", "sex")
+    return _stacked({name: spark.read.parquet(path) for name, path in paths.items()})
 
 
 @query

@@ -99,14 +99,6 @@ def test_stamps_and_coded_names(spark, tmp_path):
     assert one(spark.read.parquet(path), "`Term Sum (R)`", "`TermCON (R)`") == ("Hatchery NON-WCVI", "Hatchery NON-WCVI")
 
 
-def test_quality_report_replaces_the_previous_one(spark, tmp_path):
-    first = records(spark, schemas.BIOSAMPLES, {"sex": "J"}, {"sex": "M"})
-    for df, n in ((first, 1), (first.filter("sex = 'M'"), 0)):
-        paths = sample_reports.write_quality_report(df, f"{tmp_path}/qc", "now")
-        assert len(paths) == 14
-        assert spark.read.parquet(paths["8 - Non-std sex"]).count() == n
-
-
 class _Session:
     """Stands for a session with some settings."""
 
@@ -138,14 +130,30 @@ def test_qc_rule_ids_match_the_table():
     assert quality.QC_IDS == tuple(dict.fromkeys(quality.QC_IDS)) and len(quality.QC_IDS) == 13
 
 
-def test_csv_columns_are_never_taken_by_position(spark, tmp_path):
+def test_csv_columns_are_found_by_name_in_every_file(spark, tmp_path):
+    (tmp_path / "a one.csv").write_text("area,waterbody_name\n25,BURMAN RIVER\n")
+    (tmp_path / "b.csv").write_text("Streams of 2020,,\nprinted,by,hand\nwaterbody_name,other,area\nGOLD RIVER,x,26\nA,y,\n")
+    (tmp_path / "c.csv").write_text('\ufeffwaterbody_name, area \n"TOFINO, CREEK",24\n')
+    (tmp_path / "d.csv").write_text('"x","x","area","waterbody_name"\n1,2,23,"KAOUK ""K"" RIVER"\n')
+    (tmp_path / "empty.csv").write_text("")
+    got = readers.read_many(spark, str(tmp_path), schemas.STREAMS, preamble="^(Streams|printed)")
+    assert rows(got.select("waterbody_name", "area", "file_source")) == [
+        ("A", None, "b.csv"), ("BURMAN RIVER", "25", "a one.csv"), ("GOLD RIVER", "26", "b.csv"),
+        ('KAOUK "K" RIVER', "23", "d.csv"), ("TOFINO, CREEK", "24", "c.csv"),
+    ]
+    assert got.columns == [*schemas.STREAMS.names, "file_source"]
+    extract = readers.read_extract(spark, str(tmp_path / "a one.csv"), schemas.STREAMS, fmt="csv")
+    assert rows(extract) == [("BURMAN RIVER", "25")] and extract.columns == schemas.STREAMS.names
+
+
+def test_csv_files_without_the_columns_fail_before_any_row(spark, tmp_path):
     (tmp_path / "a.csv").write_text("area,waterbody_name\n25,BURMAN RIVER\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        readers.read_extract(spark, str(tmp_path / "a.csv"), schemas.STREAMS, fmt="csv").collect()
-    (tmp_path / "b.csv").write_text("Report,\nwaterbody_name,other\nBURMAN RIVER,25\n")
-    with pytest.raises(Exception, match="header"):
-        readers.read_extract(
-            spark, str(tmp_path / "b.csv"), schemas.STREAMS, fmt="csv", preamble="^(Report|waterbody_name)").collect()
+    (tmp_path / "b.csv").write_text("area,river\n25,waterbody_name area\n")
+    with pytest.raises(ValueError, match="no csv header.*b.csv"):
+        readers.read_extract(spark, str(tmp_path), schemas.STREAMS, fmt="csv")
+    (tmp_path / "b.csv").write_text("area,waterbody_name\nwaterbody_name,area\n")
+    with pytest.raises(ValueError, match="several csv headers"):
+        readers.read_extract(spark, str(tmp_path), schemas.STREAMS, fmt="csv")
 
 
 def test_json_lines_are_read_one_record_a_line(spark, tmp_path):

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewater import rules
 from tidewater.functions.missing import not_in, number
@@ -102,10 +103,8 @@ def qc_failures(df: DataFrame, issue_id: str) -> DataFrame:
     return df.filter(qc_rules()[issue_id].fails)
 
 
-def qc_summary(df: DataFrame) -> DataFrame:
-    """Number of failing rows per rule, all rules counted in one scan."""
-    table = qc_rules()
-    counts = df.agg(*[F.count_if(rule.fails).alias(issue_id) for issue_id, rule in table.items()])
+def _summary_rows(counts: DataFrame) -> DataFrame:
+    """One row per rule from one row with a count per rule."""
     lines = [
         F.struct(
             F.lit(issue_id).alias("issue_id"),
@@ -113,14 +112,37 @@ def qc_summary(df: DataFrame) -> DataFrame:
             F.col(f"`{issue_id}`").alias("count"),
             F.lit(rule.definition).alias("definition"),
         )
-        for issue_id, rule in table.items()
+        for issue_id, rule in qc_rules().items()
     ]
     return counts.select(F.inline(F.array(*lines)))
 
 
+def qc_counts() -> list[Column]:
+    """Failing rows of each rule, named by its id."""
+    return [F.count_if(rule.fails).alias(issue_id) for issue_id, rule in qc_rules().items()]
+
+
+def qc_summary(df: DataFrame) -> DataFrame:
+    """Number of failing rows per rule, all rules counted in one scan."""
+    return _summary_rows(df.agg(*qc_counts()))
+
+
+def qc_summary_of(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
+    """The summary from counts that are known already."""
+    row = tuple(counts[issue_id] for issue_id in QC_IDS)
+    return _summary_rows(spark.createDataFrame([row], ", ".join(f"`{i}` long" for i in QC_IDS)))
+
+
+def qc_exploded(df: DataFrame) -> DataFrame:
+    """Every row once for each rule it fails, with the rule's ``issue_id``; rows that fail none are left out."""
+    failed = F.array_compact(F.array(*[F.when(rule.fails, F.lit(i)) for i, rule in qc_rules().items()]))
+    return df.select("*", F.explode(failed).alias("issue_id"))
+
+
+def qc_table_name(issue_id: str) -> str:
+    return f"{issue_id} - {qc_rules()[issue_id].issue}"
+
+
 def qc_tables(df: DataFrame) -> dict[str, DataFrame]:
     """The summary and one table of failing rows per rule, by report name."""
-    tables = {"Summary": qc_summary(df)}
-    for issue_id, rule in qc_rules().items():
-        tables[f"{issue_id} - {rule.issue}"] = qc_failures(df, issue_id)
-    return tables
+    return {"Summary": qc_summary(df)} | {qc_table_name(i): qc_failures(df, i) for i in QC_IDS}

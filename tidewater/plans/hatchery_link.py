@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from tidewater import rules
 from tidewater.operators import hatchery
 from tidewater.session import settle
-from tidewater.sinks.bundle import write_bundle
+from tidewater.sinks.bundle import time_stamp, write_table
+from tidewater.sinks.publish import Step, run_steps
 from tidewater.sources.readers import decode_rows
 from tidewater.sources.schemas import TAG_RELEASE_TYPES
 
@@ -49,15 +50,27 @@ def scale_table(inputs: LinkInputs, year: int, sector: str = "SC") -> tuple[Data
     return hatchery.scale_ages(batches, containers, readings), readings
 
 
+def link_steps(inputs: LinkInputs, year: int, *, na_matches: str = "never") -> dict[str, Step]:
+    """The five standardised inputs and the samples linked to them, by report name, each from the tables before it."""
+    linked, samples, scales, otoliths, tags, marks = DESCRIPTIONS
+    return {
+        samples: lambda t: hatchery.hatchery_samples(inputs.samples),
+        scales: lambda t: scale_table(inputs, year)[0],
+        otoliths: lambda t: hatchery.otolith_marks(inputs.otoliths),
+        tags: lambda t: hatchery.tag_releases(decode_rows(inputs.tag_payload, TAG_RELEASE_TYPES)),
+        marks: lambda t: hatchery.mark_master(inputs.marks),
+        linked: lambda t: hatchery.link_all(
+            t[samples], t[scales], t[otoliths], t[tags], t[marks], year, na_matches=na_matches
+        ),
+    }
+
+
 def link_tables(inputs: LinkInputs, year: int, *, na_matches: str = "never") -> dict[str, DataFrame]:
     """The linked samples and the five standardised inputs, by report name."""
-    samples = hatchery.hatchery_samples(inputs.samples)
-    scales, _ = scale_table(inputs, year)
-    otoliths = hatchery.otolith_marks(inputs.otoliths)
-    tags = hatchery.tag_releases(decode_rows(inputs.tag_payload, TAG_RELEASE_TYPES))
-    marks = hatchery.mark_master(inputs.marks)
-    linked = hatchery.link_all(samples, scales, otoliths, tags, marks, year, na_matches=na_matches)
-    return dict(zip(DESCRIPTIONS, (linked, samples, scales, otoliths, tags, marks)))
+    done: dict[str, DataFrame] = {}
+    for name, step in link_steps(inputs, year, na_matches=na_matches).items():
+        done[name] = step(done)
+    return {name: done[name] for name in DESCRIPTIONS}
 
 
 def check_tables(inputs: LinkInputs, year: int, *, na_matches: str = "never") -> dict[str, DataFrame]:
@@ -75,7 +88,21 @@ def check_tables(inputs: LinkInputs, year: int, *, na_matches: str = "never") ->
 
 def write_link_bundle(
     inputs: LinkInputs, year: int, base: str, stamp: str | None = None, *, na_matches: str = "never"
-) -> dict[str, str]:
-    return write_bundle(
-        link_tables(inputs, year, na_matches=na_matches), base, stamp, descriptions=DESCRIPTIONS, names=rules.LINK_DISPLAY
-    )
+) -> int:
+    """Write the bundle under display names and publish it; the linked samples are built from the written inputs."""
+    spark = inputs.samples.sparkSession
+    steps = link_steps(inputs, year, na_matches=na_matches)
+    lines = list(DESCRIPTIONS.items())
+    steps["metadata"] = lambda t: spark.createDataFrame(lines, "sheets string, description string")
+    return run_steps(spark, steps, base, stamp, names=rules.LINK_DISPLAY)
+
+
+def write_master(samples: DataFrame, folder: str, stamp: str | None = None) -> str:
+    """Export the hatchery samples of all facilities with their link keys; returns the path."""
+    path = f"{folder}/ALL_FACILITIES_{stamp or time_stamp()}"
+    return write_table(hatchery.hatchery_samples(samples), path, names=rules.LINK_DISPLAY)
+
+
+def write_join_file(linked: DataFrame, folder: str, stamp: str | None = None) -> str:
+    """Export linked samples under the same display names; returns the path."""
+    return write_table(linked, f"{folder}/JOIN_{stamp or time_stamp()}", names=rules.LINK_DISPLAY)

@@ -42,7 +42,7 @@ def write_table(
     df = display_names(df, names or {})
     writer = df.write.mode(mode)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.option("header", True).option("escape", '"')
     writer.format(fmt).save(path)
     return path
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -18,36 +20,79 @@ def standard_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[snake_name(c) for c in df.columns])
 
 
+#: Distinct header lines of one extract; more are taken for a mistake in its path.
+MOST_HEADERS = 1_000
+
+
+def _headers(spark: SparkSession, path: str | Sequence[str], names: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by the names of their columns in order, from a scan that keeps just the lines that hold all names.
+
+    A file's header is the one line whose cells include every name; a file without one, or with two that
+    differ, fails. What comes to the driver is a line and a list of file paths for each header.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    holds_all = reduce(lambda a, b: a & b, [F.col("value").contains(n) for n in names])
+    found = lines.groupBy("file").agg(F.collect_set(F.when(holds_all, F.col("value"))).alias("lines"))
+    by_line = found.groupBy("lines").agg(F.sort_array(F.collect_list("file")).alias("files")).limit(MOST_HEADERS + 1).collect()
+    if len(by_line) > MOST_HEADERS:
+        raise ValueError(f"more than {MOST_HEADERS} different csv headers in {path}")
+    out: dict[tuple[str, ...], list[str]] = {}
+    for row in by_line:
+        cells = {tuple(c.strip() for c in next(csv.reader([line.removeprefix("\ufeff")]))) for line in row["lines"]}
+        headers = [c for c in cells if set(names) <= set(c)]
+        if len(headers) != 1:
+            kind = "several csv headers" if headers else "no csv header"
+            raise ValueError(f"{kind} with the columns {list(names)} in {row['files'][:5]}")
+        out.setdefault(headers[0], []).extend(unquote(f) for f in row["files"])
+    return out
+
+
+def _read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType, preamble: str | None) -> DataFrame:
+    """Files of one header at a time, each by a projection of its own order; ``file_source`` is the file's name."""
+    parts = []
+    for header, files in _headers(spark, path, schema.names).items():
+        # Places stand for names: a header may repeat names that are not asked for.
+        text = StructType([StructField(f"c{k}", StringType()) for k in range(len(header))])
+        place = {n: F.col(f"c{header.index(n)}") for n in schema.names}
+        lines = spark.read.schema(text).csv(files, header=False, escape='"')
+        is_header = reduce(lambda a, b: a & b, [F.trim(c).eqNullSafe(F.lit(n)) | F.trim(c).eqNullSafe(F.lit("\ufeff" + n)) for n, c in place.items()])
+        lines = lines.filter(~is_header)
+        if preamble is not None:
+            lines = lines.filter(~matches("c0", preamble))
+        parts.append(
+            lines.select(
+                *[place[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields],
+                F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("file_source"),
+            )
+        )
+    if not parts:
+        return spark.createDataFrame([], StructType([*schema.fields, StructField("file_source", StringType())]))
+    return reduce(DataFrame.union, parts)
+
+
 def read_extract(
     spark: SparkSession, path: str | Sequence[str], schema: StructType, *, fmt: str = "parquet",
     preamble: str | None = None,
 ) -> DataFrame:
     """A tabular extract under its declared schema.
 
-    Csv extracts have a header line, whose names must be those of the schema in its order; a file
-    with other names or another order fails. If lines come before the header, ``preamble`` is a
-    regex for the first cell of those lines and of the header itself; matching
-    lines are left out. Cells that do not convert become null.
+    Csv columns are found by the names in each file's own header, in whatever order; other columns are left
+    out, and a file without all names fails. Lines above the header are left out by ``preamble``, a regex for
+    their first cell. Cells that do not convert become null. Headers are found in a scan of their own,
+    which keeps nothing but them.
     """
     if fmt == "parquet":
         return spark.read.schema(schema).parquet(*([path] if isinstance(path, str) else path))
     if fmt != "csv":
         raise ValueError(f"fmt must be 'parquet' or 'csv', not {fmt!r}")
-    text = StructType([StructField(f.name, StringType()) for f in schema.fields])
-    lines = spark.read.schema(text).csv(path, header=preamble is None, enforceSchema=False)
-    if preamble is not None:
-        names = schema.names
-        header = F.col(names[0]) == names[0]
-        other = reduce(lambda a, b: a | b, [~F.col(n).eqNullSafe(F.lit(n)) for n in names])
-        wrong = F.raise_error(F.lit(f"a csv header names other columns than {names}")).cast("boolean")
-        lines = lines.filter(F.when(header & other, wrong).otherwise(~matches(names[0], preamble)))
-    return lines.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
-def read_many(spark: SparkSession, glob: str, schema: StructType) -> DataFrame:
-    """All csv files matching a pattern as one table, tagged with their file name; every header must be the schema's."""
-    files = spark.read.schema(schema).csv(glob, header=True, enforceSchema=False)
-    return files.select("*", F.col("_metadata.file_name").alias("file_source"))
+    return _read_csv(spark, path, schema, preamble).drop("file_source")
+
+
+def read_many(
+    spark: SparkSession, glob: str | Sequence[str], schema: StructType, *, preamble: str | None = None
+) -> DataFrame:
+    """All csv files matching a pattern as one table, tagged with their file name; each is read by its own header."""
+    return _read_csv(spark, glob, schema, preamble)
 
 
 def read_payload(spark: SparkSession, path: str, *, multi_line: bool = False) -> DataFrame:
