@@ -1,5 +1,6 @@
 """Token counts by splicing against the library itself."""
 
+import json
 import random
 
 import pytest
@@ -7,7 +8,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from tests.helpers import frame
-from tidewater.llm.encoders import BYTE_BPE, FOLDER, PIECE_BPE, Model, load, ship
+from tidewater.llm.encoders import BYTE_BPE, FOLDER, PIECE_BPE, Json, Model, load, ship
 from tidewater.llm.token_counts import spliced_parts, token_counts
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -73,5 +74,18 @@ def test_whole_table_and_other_vocabularies(spark):
 def test_begins_of_a_model_are_where_blanks_follow():
     with open(PIECE_BPE, "rb") as f:
         encoder = Model(f.read())
-    at, before, n = encoder.begins("ab  cd é日 x")
+    at, before, n = encoder.begins("ab  cd é日 x", [])
     assert at == [2, 6, 9] and len(before) == 3 and n == len(encoder.library.encode("ab  cd é日 x"))
+
+
+def test_the_fast_library_gives_the_same_ids_or_is_not_used():
+    with open(BYTE_BPE, "rb") as f:
+        data = f.read()
+    encoder = Json(data)
+    assert encoder.fast is not None
+    for text in odd_texts():
+        assert encoder.counts([text]) == [counter(BYTE_BPE)(text)]
+        assert encoder.plain_ids([text])[0] == encoder.fast.encode_ordinary(text)
+    about = json.loads(data)
+    about["model"]["merges"][300], about["model"]["merges"][301] = about["model"]["merges"][301], about["model"]["merges"][300]
+    assert Json(json.dumps(about).encode()).fast is None

@@ -60,8 +60,10 @@ def _marked(sent: Shipped):
         for batch in rows_of(batches, 32):
             out = []
             for row in batch.to_pylist():
-                at, before, n = encoder.begins(row["text"])
-                start, sure = row["start"], row["end"] - (0 if row["end"] == row["length"] else encoder.reach)
+                start = row["start"]
+                zones = [(0, row["head_to"] - start), (row["stop"] - start, len(row["text"]))]
+                at, before, n = encoder.begins(row["text"], [z for z in zones if z[0] < z[1]])
+                sure = row["end"] - (0 if row["end"] == row["length"] else encoder.reach)
                 marks = [(start + x, k) for x, k in zip(at, before)]
                 head = [m for m in marks if m[0] < row["head_to"]]
                 tail = [m for m in marks if row["stop"] <= m[0] <= sure]
@@ -142,6 +144,8 @@ def spliced_parts(giants: DataFrame, sent: Shipped, chunk: int = CHUNK, overlap:
         spans = settle(_widened(seams, overlap), "token-spans")
         kept = parts.join(spans.where("same").select(*_KEY, "part"), [*_KEY, "part"], "left_semi")
         again = spans.where("not same").groupBy(*_KEY).agg(F.sort_array(F.collect_list(F.struct(*_SPAN))).alias("spans"))
+        # Few texts: at its true size this side is broadcast, and the texts stay where they are.
+        again = settle(again, "token-again")
         parts = settle(kept.unionByName(_encoded(giants.join(again, _KEY), sent)), "token-parts")
     along = Window.partitionBy(*_KEY).orderBy("part")
     return seams.select(
