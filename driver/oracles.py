@@ -260,6 +260,22 @@ ORACLES["report_totals"] = steps(
 )
 ORACLES["compile_catch"] = steps("SELECT * FROM caught", CONUMA_CATCH_VIEWS, **CONUMA_CATCH)
 ORACLES["compile_catch_nitinat"] = steps("SELECT * FROM caught", NITINAT_CATCH_VIEWS, **NITINAT_CATCH)
+ORACLES["hot_full_join"] = steps(
+    "SELECT coalesce(k.month, d.month) AS month, licence_area, count(*) AS n, sum(estimate) AS estimate, sum(days) AS days "
+    "FROM k FULL JOIN d ON k.month IS NOT DISTINCT FROM d.month GROUP BY 1, 2",
+    "v_catch v_commercial",
+    k="SELECT month, pfma, creel_sub_area, sum(estimate) AS estimate FROM v_catch GROUP BY ALL",
+    d="SELECT strftime(fishing_date, '%B') AS month, licence_area, count(*) AS days FROM v_commercial GROUP BY ALL",
+)
+ORACLES["sport_dispositions"] = steps(
+    "SELECT year, month, pfma, "
+    + ", ".join(
+        f"sum(estimate) FILTER (WHERE disposition = '{d}') AS {d.lower().replace(' ', '_').replace('-', '_')}"
+        for d in ("Kept", "Released Legal", "Released Sub-legal", "Released Unknown")
+    )
+    + ", sum(estimate) FILTER (WHERE disposition IS NULL) AS undeclared FROM v_catch GROUP BY year, month, pfma",
+    "v_catch",
+)
 ORACLES["natural_full_join"] = steps(
     f"SELECT coalesce(k.creel_sub_area, p.creel_sub_area) AS creel_sub_area, estimate, run_recon_area, lat "
     f"FROM k FULL JOIN p ON {same('k', 'p', 'creel_sub_area')}",
@@ -831,6 +847,10 @@ ORACLES["read_many"] = steps(
     "SELECT nullif(spawning_stock, '') AS spawning_stock, * EXCLUDE (spawning_stock), 'part.csv' AS file_source FROM v_hatchery", "v_hatchery"
 )
 ORACLES["read_extract"] = steps("SELECT waterbody_name, area FROM v_streams", "v_streams")
+ORACLES["read_layouts"] = steps(
+    "SELECT waterbody_name, area, 2 * count(*) AS n, 2 AS files FROM v_streams GROUP BY ALL", "v_streams"
+)
+ORACLES["read_readings"] = steps("SELECT * FROM v_readings", "v_readings")
 ORACLES["stack_frames"] = steps(
     "SELECT tagcode, brood_year, NULL AS hatch_code FROM v_tags UNION ALL SELECT NULL, brood_year, hatch_code FROM v_marks",
     "v_tags v_marks",

@@ -240,6 +240,23 @@ def natural_full_join(spark, sf_dir):
     return joins.natural_join(kept, places, "full", hot="left")
 
 
+@query
+def hot_full_join(spark, sf_dir):
+    """Catch and commercial landings by month, both sides with few and large keys, counted by what they share."""
+    i = Inputs(spark, sf_dir)
+    kept = i.catch.groupBy("month", "pfma", "creel_sub_area").agg(F.sum("estimate").alias("estimate"))
+    days = i.commercial.groupBy(F.date_format("fishing_date", "MMMM").alias("month"), "licence_area").agg(F.count(F.lit(1)).alias("days"))
+    met = joins.join_on(kept, days, ["month"], "full", hot="both")
+    return met.groupBy("month", "licence_area").agg(F.count(F.lit(1)).alias("n"), F.sum("estimate").alias("estimate"), F.sum("days").alias("days"))
+
+
+@query
+def sport_dispositions(spark, sf_dir):
+    """Sport catch by area and month, a column for every disposition that occurs."""
+    rows = Inputs(spark, sf_dir).catch.select("year", "month", "pfma", "disposition", "estimate")
+    return reshape.spread_occurring(rows, "disposition", "estimate", missing="undeclared")
+
+
 @query
 def compile_catch(spark, sf_dir):
     return _conuma_catch(Inputs(spark, sf_dir))
@@ -666,6 +683,24 @@ def read_extract(spark, sf_dir):
     return readers.read_extract(spark, folder, schemas.STREAMS, fmt="csv", preamble="^waterbody_name$")
 
 
+@query
+def read_layouts(spark, sf_dir):
+    """Streams landed as csv files of two layouts, read as one table by the names in each header."""
+    folder, streams = _fresh(spark, "layouts"), Inputs(spark, sf_dir).streams
+    bundle.write_table(streams.select("waterbody_name", "area"), f"{folder}/one", fmt="csv")
+    bundle.write_table(streams.select("area", F.lit("x").alias("by"), "waterbody_name"), f"{folder}/two", fmt="csv")
+    read = readers.read_many(spark, [f"{folder}/one", f"{folder}/two"], schemas.STREAMS)
+    return read.groupBy("waterbody_name", "area").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("file_source").alias("files"))
+
+
+@query
+def read_readings(spark, sf_dir):
+    """Scale readings landed as json records and read back under their schema."""
+    folder, readings = _fresh(spark, "json"), Inputs(spark, sf_dir).readings
+    bundle.write_table(readings, folder, fmt="json")
+    return readers.read_readings(spark, folder, readings.schema)
+
+
 @query
 def sectors(spark, sf_dir):
     return sufficiency.sectors(_conuma_catch(Inputs(spark, sf_dir)))

@@ -133,3 +133,39 @@ def test_missing_keys_are_split_by_adaptive_execution(shuffled):
     assert len(collected) == 60_000
     assert sum(r.y == 1 for r in collected) == 40_000 and sum(r.y == 2 for r in collected) == 3_000
     assert "skew=true" in _plan(out)
+
+
+def test_a_full_join_with_a_key_hot_on_both_sides_is_dealt_to_many_tasks(shuffled):
+    """One key holds a third of both sides: its pairs go to as many tasks as there are pairs of stripes."""
+    n = 3_000
+    key = lambda c: F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit(c), F.col("id").cast("string")))
+    left = shuffled.range(0, n, 1, 8).select(key("k").alias("k"), F.col("id").alias("x"))
+    # The keys of the rest meet for some, and are missing on one side for others.
+    right = shuffled.range(n // 2, n + n // 2, 1, 8).select(key("k").alias("k"), F.col("id").alias("y"))
+    got = joins.join_on(left, right, ["k"], "full", hot="both")
+    want = joins.join_on(left, right, ["k"], "full")
+    by_task = got.groupBy(F.spark_partition_id().alias("p"), (F.col("k") == "hot").alias("hot")).count().collect()
+    hot = [r["count"] for r in by_task if r.hot]
+    assert sum(hot) == (n // 3) ** 2 and max(hot) <= sum(hot) / 4
+    digest = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("k", "x", "y").cast("decimal(38,0)"))).first()
+    assert got.columns == want.columns and digest(got) == digest(want)
+
+
+@pytest.mark.parametrize("na_matches", ["na", "never"])
+def test_hot_full_join_equals_the_plain_one(spark, na_matches):
+    a = spark.createDataFrame([(None, 1, "a"), (None, 2, "a"), ("h", 3, "b"), ("h", 4, "b"), ("h", 4, "b"), ("only", 5, "c"), ("x", 6, None)], "k string, j int, v string")
+    b = spark.createDataFrame([(None, 1, 7), ("h", 4, 8), ("h", 4, 9), ("x", 6, 1), ("other", 5, 2), (None, 2, 3)], "k string, j int, v int")
+    for left, right in ((a, b), (b, a), (a, b.limit(0)), (a.limit(0), b)):
+        want = joins.join_on(left, right, ["k"], "full", na_matches=na_matches)
+        got = joins.join_on(left, right, ["k"], "full", na_matches=na_matches, hot="both")
+        assert got.columns == want.columns and rows(got) == rows(want)
+        want = joins.join_on(left, right, ["k", "j"], "full", na_matches=na_matches)
+        assert rows(joins.join_on(left, right, ["k", "j"], "full", na_matches=na_matches, hot="both")) == rows(want)
+
+
+def test_hot_keys_are_those_of_a_share_and_on_both_sides(spark):
+    a = spark.createDataFrame([("h",)] * 50 + [("l",)] * 50 + [(f"k{i}",) for i in range(100)], "k string")
+    b = spark.createDataFrame([("h",), ("k1",)], "k string")
+    assert rows(joins.hot_keys(a, b, ["k"], share=0.2)) == [("h",), ("k1",)]  # half of the right side each
+    wide = b.union(spark.createDataFrame([(f"r{i}",) for i in range(100)], "k string"))
+    assert rows(joins.hot_keys(a, wide, ["k"], share=0.2)) == [("h",)]

@@ -79,3 +79,16 @@ def test_spread_loses_no_value_under_an_undeclared_name(spark):
     assert rows(reshape.spread_sum(df, "d", "n", ["Kept"], other="rest")) == [(1, 2.0, 7.0), (2, None, 5.0)]
     with pytest.raises(Exception, match="undeclared d"):
         reshape.spread_sum(df, "d", "n", ["Kept"]).collect()
+
+
+def test_spread_occurring_finds_the_names_itself(spark):
+    df = frame(spark, "id int, d string, n double", (1, "Kept", 2.0), (1, "Found Dead", 7.0), (1, "Kept", 1.0), (2, None, 5.0), (3, "Kept", None))
+    out = reshape.spread_occurring(df, "d", "n")
+    assert out.columns == ["id", "found_dead", "kept", "na"]
+    assert rows(out) == [(1, 7.0, 3.0, None), (2, None, None, 5.0), (3, None, None, None)]
+    assert reshape.spread_occurring(df.filter("d is not null"), "d", "n").columns == ["id", "found_dead", "kept"]
+    assert reshape.spread_occurring(df.limit(0), "d", "n").columns == ["id"]
+    with pytest.raises(ValueError, match="more than 1 "):
+        reshape.spread_occurring(df, "d", "n", most=1)
+    with pytest.raises(ValueError, match="one column"):
+        reshape.spread_occurring(frame(spark, "id int, d string, n int", (1, "a b", 1), (1, "a-b", 2)), "d", "n")

@@ -306,18 +306,18 @@ def georeference_sectors(df: DataFrame, lookup: DataFrame, keys: Mapping[str, Se
     return join_on(df.withColumns(places), positions, ["sector", *places], "left").drop(*places)
 
 
-def compile_catch(parts: Sequence[DataFrame], how: str = "union") -> DataFrame:
+def compile_catch(parts: Sequence[DataFrame], how: str = "union", *, hot: str | None = None) -> DataFrame:
     """All catch parts in one table, with a display label.
 
     Parts never share a sector and area, so stacking them equals the full join
-    on all shared columns and needs no shuffle; ``how="full"`` runs that join.
+    on all shared columns and needs no shuffle; ``how="full"`` runs that join, with ``hot`` as of ``join_on``.
     """
     if how == "union":
         whole = stack_frames(parts)
     elif how == "full":
         whole = parts[0]
         for part in parts[1:]:
-            whole = natural_join(whole, part, "full")
+            whole = natural_join(whole, part, "full", hot=hot)
     else:
         raise ValueError(f"how must be 'union' or 'full', not {how!r}")
     return whole.withColumn("label", paste("run_recon_area", "input_data_type"))

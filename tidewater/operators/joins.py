@@ -4,7 +4,7 @@ No broadcast is forced: Spark broadcasts a side when its measured size is under
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles both sides, with
 adaptive skew splitting for hot keys, missing ones among them. One thing it cannot do
 alone is done here: a full join is written as a left join plus the unmatched rest
-so that its hot side can be split.
+so that its hot side can be split, or, with hot keys on both sides, these are counted first and joined apart.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidewater.session import settle
+
 
 def shared_columns(left: DataFrame, right: DataFrame) -> list[str]:
     names = set(right.columns)
@@ -41,7 +43,7 @@ def join_on(
     """Join on named keys; clashing other columns get suffixes.
 
     ``how`` is ``left``, ``inner`` or ``full``. ``na_matches`` is ``na`` (null
-    keys match each other) or ``never``. ``hot`` names the side of a full join that may hold hot keys.
+    keys match each other) or ``never``. ``hot`` names the side of a full join that may hold hot keys, or ``both``.
     """
     if na_matches not in ("na", "never"):
         raise ValueError(f"na_matches must be 'na' or 'never', not {na_matches!r}")
@@ -77,8 +79,10 @@ def _full_join(left, right, keys, na_matches, hot, suffixes) -> DataFrame:
         joined = left.join(right_keys, _condition(keys, na_matches), "full")
         merged = {k: F.coalesce(F.col(_quote(k)), F.col(_quote(f"__r_{k}"))) for k in keys}
         return joined.select(*[merged.get(c, F.col(_quote(c))).alias(c) for c in names])
+    if hot == "both":
+        return _hot_full_join(left, right, keys, na_matches).select(*[F.col(_quote(c)) for c in names])
     if hot not in ("left", "right"):
-        raise ValueError(f"hot must be 'left' or 'right', not {hot!r}")
+        raise ValueError(f"hot must be 'left', 'right' or 'both', not {hot!r}")
     # Left join from the hot side, whose skewed partitions adaptive execution can
     # split, plus the rows of the other side whose key never occurs there.
     big, small = (left, right) if hot == "left" else (right, left)
@@ -89,6 +93,58 @@ def _full_join(left, right, keys, na_matches, hot, suffixes) -> DataFrame:
     return both.select(*[F.col(_quote(c)) for c in names])
 
 
+#: A key is hot that holds this share of a side's rows, so a side has at most as many hot keys as its inverse.
+HOT_SHARE = 1 / 200
+#: Stripes of a hot key's rows on each side; every pair of stripes is a join key of its own.
+STRIPES = 4
+
+
+def _keys_of(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    return [F.col(_quote(k)).alias(f"__r_{k}") for k in keys]
+
+
+def hot_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], *, na_matches: str = "na", share: float = HOT_SHARE) -> DataFrame:
+    """Keys under their names with ``__r_`` in front that hold the share of either side's rows and occur on both; at most 2 / share."""
+    found = []
+    for df in (left, right):
+        counts = df.groupBy(*_keys_of(df, keys)).agg(F.count(F.lit(1)).alias("__n"))
+        found.append(counts.filter(F.col("__n") >= share * df.count()).drop("__n"))
+    # Settled, its true size lets Spark broadcast it in all that follows.
+    hot = settle(found[0].union(found[1]).distinct(), "hot-keys")
+    if na_matches == "never":
+        hot = hot.dropna()
+    for df in (left, right):
+        present = df.join(F.broadcast(hot), _condition(keys, "na"), "left_semi").select(*_keys_of(df, keys)).distinct()
+        hot = settle(present, "hot-keys")
+    return hot
+
+
+def _hot_full_join(left: DataFrame, right: DataFrame, keys: Sequence[str], na_matches: str) -> DataFrame:
+    """A full join whose hot keys may lie on both sides.
+
+    The few hot keys that occur on both sides are an inner join of striped rows: a left row has one stripe and is
+    repeated for every right stripe, a right row the other way round, so each pair of rows meets once and a key's
+    pairs are dealt to as many tasks as there are pairs of stripes. All other rows are joined plainly.
+    """
+    hot = F.broadcast(hot_keys(left, right, keys, na_matches=na_matches))
+
+    def parted(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return df.join(hot, _condition(keys, "na"), "left_semi"), df.join(hot, _condition(keys, "na"), "left_anti")
+
+    def striped(df: DataFrame, own: str, other: str) -> DataFrame:
+        # Equal rows lie in many partitions, whose numbers stay when a task is run again.
+        stripe = F.pmod(F.spark_partition_id() + F.xxhash64(*[F.col(_quote(c)) for c in df.columns]), F.lit(STRIPES)).cast("int")
+        every = F.explode(F.array(*map(F.lit, range(STRIPES))))
+        return df.withColumn(own, stripe).withColumn(other, every)
+
+    (left_hot, left_rest), (right_hot, right_rest) = parted(left), parted(right)
+    stripes = ["__left_stripe", "__right_stripe"]
+    met = join_on(
+        striped(left_hot, *stripes), striped(right_hot, *stripes[::-1]), [*keys, *stripes], "inner", na_matches=na_matches
+    ).drop(*stripes)
+    return met.unionByName(join_on(left_rest, right_rest, keys, "full", na_matches=na_matches))
+
+
 def natural_join(left: DataFrame, right: DataFrame, how: str = "left", **options) -> DataFrame:
     """Join on every column name the two frames share."""
     keys = shared_columns(left, right)

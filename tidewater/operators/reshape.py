@@ -44,6 +44,33 @@ def spread_sum(
     return df.filter(checked).groupBy(*ids).agg(*cells)
 
 
+#: Columns that a pivot over the names that occur may get.
+MOST_NAMES = 200
+
+
+def spread_occurring(
+    df: DataFrame, names_from: str, values_from: str, *, ids: Sequence[str] | None = None, most: int = MOST_NAMES,
+    missing: str = "na",
+) -> DataFrame:
+    """Long to wide over all names that occur; repeated cells are summed.
+
+    A first pass finds the names, of which there may be ``most``; more fail, before any row is summed. Values
+    without a name are summed in the column ``missing``, which is there only if there are such rows. Two names that
+    would give one column fail.
+    """
+    found = df.select(names_from).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} different values of {names_from}")
+    if not found:
+        return df.select(*(ids or [c for c in df.columns if c not in (names_from, values_from)])).distinct()
+    names = sorted((r[0] for r in found if r[0] is not None), key=str)
+    columns = [snake_name(str(n)) for n in names]
+    if len(set(columns)) < len(columns):
+        raise ValueError(f"values of {names_from} that give one column: {[n for n, c in zip(names, columns) if columns.count(c) > 1]}")
+    has_missing = any(r[0] is None for r in found)
+    return spread_sum(df, names_from, values_from, names, ids=ids, other=missing if has_missing else None)
+
+
 def gather(
     df: DataFrame, columns: Sequence[str], names_to: str, values_to: str, *, drop_null: bool = False
 ) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tidewater.functions.missing import matches
 from tidewater.functions.text import snake_name
+from tidewater.operators.reshape import cast_columns
 from tidewater.sources.schemas import PAYLOAD
 
 
@@ -59,12 +60,11 @@ def _read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType
         lines = lines.filter(~is_header)
         if preamble is not None:
             lines = lines.filter(~matches("c0", preamble))
-        parts.append(
-            lines.select(
-                *[place[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields],
-                F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("file_source"),
-            )
+        named = lines.select(
+            *[c.alias(n) for n, c in place.items()],
+            F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("file_source"),
         )
+        parts.append(cast_columns(named, {f.name: f.dataType.simpleString() for f in schema.fields}))
     if not parts:
         return spark.createDataFrame([], StructType([*schema.fields, StructField("file_source", StringType())]))
     return reduce(DataFrame.union, parts)
