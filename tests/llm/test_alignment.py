@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -96,7 +97,12 @@ def test_whole_table_and_empty_table(spark, monkeypatch):
     monkeypatch.setattr(alignment, "REMEMBERED", 5)
     aligner = alignment.Aligner(load(a), load(b))
     text = rows[0][1]
-    (ids_a, ids_b), = aligner.encode([text])
-    groups, links = aligner.align(ids_a, ids_b)
+    encoded = list(aligner.encode([text, "", text, "x"]))
+    (groups, links), none, again, _ = aligner.align(encoded)
     assert len(links) == want[rows[0][0]][4] and hashlib.sha256(groups).hexdigest() == got[rows[0][0]][-1]
     assert groups.count(b";") + 1 == want[rows[0][0]][3] and len(aligner.windows) <= 5
+    assert none[0] == b"" and not len(none[1]) and again[0] == groups and (again[1] == links).all()
+    # Windows whose hashes meet are told apart.
+    monkeypatch.setattr(alignment, "_window_hash", lambda ids, starts, salt: (ids[starts] if salt > 2 else 0 * starts).astype(np.uint64))
+    assert aligner.align(encoded)[0][0] == groups
+    assert aligner.align(list(aligner.encode([""]))) [0][0] == b""

@@ -10,6 +10,7 @@ Linked pairs are counted over the corpus, and each text is scored with these cou
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -19,7 +20,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tidewater.llm.encoders import Shipped, load
-from tidewater.llm.shared import only, rows_of, runs
+from tidewater.llm.shared import mix64, only, rows_of, runs
 from tidewater.session import settle
 
 #: Most frequent pairs that every task holds; rarer ones are joined.
@@ -38,22 +39,27 @@ class Windows(dict):
 
     def __init__(self, a_bytes: list[bytes], b_bytes: list[bytes]):
         self.a_len, self.b_len = (list(map(len, x)) for x in (a_bytes, b_bytes))
+        self.text = list(map(str, range(max(len(a_bytes), len(b_bytes)))))
 
     def __missing__(self, key: tuple[bytes, bytes]) -> tuple[bytes, bytes]:
-        a, b = (np.frombuffer(k, np.int32).tolist() for k in key)
-        groups, links = [], []
-        at_a = at_b = end_a = end_b = begun_a = begun_b = 0
-        while at_a < len(a):
-            end_a += self.a_len[a[at_a]]
-            at_a += 1
-            while end_b < end_a:
-                end_b += self.b_len[b[at_b]]
-                at_b += 1
-            if end_a == end_b:
-                groups.append(f"{','.join(map(str, a[begun_a:at_a]))}|{','.join(map(str, b[begun_b:at_b]))}")
-                links.append(a[at_a - 1] << 32 | b[at_b - 1])
-                begun_a, begun_b = at_a, at_b
-        found = ";".join(groups).encode(), np.array(links, np.int64).tobytes()
+        a, b = memoryview(key[0]).cast("i").tolist(), memoryview(key[1]).cast("i").tolist()
+        text, a_len, b_len = self.text, self.a_len, self.b_len
+        if len(a) == 1 or len(b) == 1:  # nothing inside can be shared
+            groups = [",".join([text[i] for i in a]) + "|" + ",".join([text[i] for i in b])]
+            links = [a[-1] << 32 | b[-1]]
+        else:
+            groups, links = [], []
+            at_b = end_a = end_b = begun_a = begun_b = 0
+            for at_a, i in enumerate(a, 1):
+                end_a += a_len[i]
+                while end_b < end_a:
+                    end_b += b_len[b[at_b]]
+                    at_b += 1
+                if end_a == end_b:
+                    groups.append(",".join([text[x] for x in a[begun_a:at_a]]) + "|" + ",".join([text[x] for x in b[begun_b:at_b]]))
+                    links.append(i << 32 | b[at_b - 1])
+                    begun_a, begun_b = at_a, at_b
+        found = ";".join(groups).encode(), array("q", links).tobytes()
         if len(a) + len(b) <= 2 * LONGEST:
             if len(self) >= REMEMBERED:
                 self.clear()
@@ -69,30 +75,60 @@ class Aligner:
         self.a_space, self.b_space = (np.array([t[:1] == b" " for t in x]) for x in (self.a_bytes, self.b_bytes))
         self.windows = Windows(self.a_bytes, self.b_bytes)
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
+    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of both for space and text; none where the tokens' bytes are not those of the text."""
         both = zip(texts, self.a.plain_ids([" " + t for t in texts]), self.b.plain_ids(texts))
         for text, a, b in both:
             whole = b" " + text.encode()
             same = text and all(b"".join(map(x.__getitem__, ids)) == whole for x, ids in ((self.a_bytes, a), (self.b_bytes, b)))
-            yield (a, b) if same else ([], [])
-
-    def align(self, a: list[int], b: list[int]) -> tuple[bytes, np.ndarray]:
-        """Groups of the whole sequences as text, and the linked pairs in order."""
-        if not a:
-            return b"", np.zeros(0, np.int64)
-        a, b = np.array(a, np.int32), np.array(b, np.int32)
+            yield tuple(np.frombuffer(array("i", x if same else []), np.int32) for x in (a, b))
+
+    def align(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[bytes, np.ndarray]]:
+        """For each text its groups in one line, and its linked pairs in order.
+
+        The texts are laid end to end; each begins with a space in both sequences, which is an anchor.
+        Equal windows are found by two 64-bit hashes, and only one of each is looked up.
+        """
+        held = [k for k, (a, _) in enumerate(texts) if len(a)]
+        out = [(b"", np.zeros(0, np.int64))] * len(texts)
+        if not held:
+            return out
+        a, b = (np.concatenate([texts[k][side] for k in held]) for side in (0, 1))
         begins_a, begins_b = (np.cumsum(n[x]) - n[x] for x, n in ((a, self.a_len), (b, self.b_len)))
         marked_a, marked_b = np.flatnonzero(self.a_space[a]), np.flatnonzero(self.b_space[b])
         places_a, places_b = begins_a[marked_a], begins_b[marked_b]
         where = np.searchsorted(places_b, places_a)
         shared = np.append(places_b, -1)[where] == places_a
         cut_a, cut_b = marked_a[shared], marked_b[where[shared]]
-        cut_a, cut_b = ((4 * np.concatenate([[0], c[c > 0], [len(x)]])).tolist() for c, x in ((cut_a, a), (cut_b, b)))
+
+        names = [_window_hash(a, cut_a, salt) ^ mix64(_window_hash(b, cut_b, salt + 1)) for salt in (1, 3)]
+        _, first, which = np.unique(names[0], return_index=True, return_inverse=True)
+        if (names[1][first][which] != names[1]).any():  # two windows with one hash: look up each
+            first = which = np.arange(len(cut_a))
         bytes_a, bytes_b = a.tobytes(), b.tobytes()
-        keys = zip(map(bytes_a.__getitem__, map(slice, cut_a, cut_a[1:])), map(bytes_b.__getitem__, map(slice, cut_b, cut_b[1:])))
-        groups, links = zip(*map(self.windows.__getitem__, keys))
-        return b";".join(groups), np.frombuffer(b"".join(links), np.int64)
+        ends_a, ends_b = np.append(cut_a[1:], len(a)), np.append(cut_b[1:], len(b))
+        spans = zip(*((4 * x[first]).tolist() for x in (cut_a, ends_a, cut_b, ends_b)))
+        groups, links = zip(*[self.windows[bytes_a[i:j], bytes_b[k:l]] for i, j, k, l in spans])
+
+        lines = np.empty(len(groups), object)
+        lines[:] = groups
+        lines = lines[which].tolist()
+        sizes = np.array(list(map(len, links))) >> 3
+        begins = (np.cumsum(sizes) - sizes)[which]
+        sizes = sizes[which]
+        ends = np.cumsum(sizes)
+        pairs = np.frombuffer(b"".join(links), np.int64)[np.repeat(begins - ends + sizes, sizes) + np.arange(ends[-1])]
+        of_text = np.searchsorted(cut_a, np.cumsum([0] + [len(texts[k][0]) for k in held])).tolist()
+        upto = np.append(0, ends)
+        for k, i, j in zip(held, of_text, of_text[1:]):
+            out[k] = b";".join(lines[i:j]), pairs[upto[i] : upto[j]]
+        return out
+
+
+def _window_hash(ids: np.ndarray, starts: np.ndarray, salt: int) -> np.ndarray:
+    """A hash of each window's ids in their order."""
+    within = np.arange(len(ids)) - np.repeat(starts, np.diff(np.append(starts, len(ids))))
+    return np.add.reduceat(mix64(ids.astype(np.uint64) | (within.astype(np.uint64) + np.uint64(salt << 24)) << np.uint64(32)), starts)
 
 
 @lru_cache(maxsize=2)
@@ -115,11 +151,10 @@ def _aligned(a: Shipped, b: Shipped):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(a, b)
         row = TaskContext.get().partitionId() << 40
-        for batch in rows_of(batches, 64):
+        for batch in rows_of(batches, 256):
             out, pairs, times = [], [], []
-            texts = [t or "" for t in batch["text"].to_pylist()]
-            for doc_id, (ids_a, ids_b) in zip(batch["doc_id"].to_pylist(), aligner.encode(texts)):
-                groups, links = aligner.align(ids_a, ids_b)
+            encoded = list(aligner.encode([t or "" for t in batch["text"].to_pylist()]))
+            for doc_id, (ids_a, ids_b), (groups, links) in zip(batch["doc_id"].to_pylist(), encoded, aligner.align(encoded)):
                 found, n = np.unique(links, return_counts=True)
                 pairs.append(found)
                 times.append(n)
