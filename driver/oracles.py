@@ -712,6 +712,11 @@ ORACLES["link_tags_never"] = steps(
     "SELECT h.*, t.* EXCLUDE (r_tagcode) FROM hs h LEFT JOIN tags t ON h.r_tagcode = t.r_tagcode",
     "v_hatchery v_tags", **HATCHERY, **TAGS,
 )
+ORACLES["factored_tags"] = steps(
+    "SELECT spawning_stock, tag_brood_year, count(*) AS n FROM hs h LEFT JOIN nt t ON h.r_tagcode IS NOT DISTINCT FROM t.r_tagcode GROUP BY ALL",
+    "v_hatchery v_tags", **HATCHERY, **TAGS,
+    nt="SELECT * REPLACE (CASE WHEN NOT coalesce(tag_brood_year % 3 = 0, false) THEN r_tagcode END AS r_tagcode) FROM tags",
+)
 ORACLES["resolve_ages"] = steps(
     "SELECT spawning_stock, r_scale_book_cell_concat, r_otolith_box_vial_concat, r_tagcode, gr_age, hatch_code, "
     "tag_brood_year, r_resolved_gr_age, r_resolved_total_age, r_sample_year, r_brood_year, r_hatch_code FROM resolved",

@@ -545,6 +545,21 @@ def link_tags_never(spark, sf_dir):
     return hatchery.link_tags(_hatchery(i), hatchery.tag_releases(i.tags), na_matches="never")
 
 
+@query
+def factored_tags(spark, sf_dir):
+    """Samples by stock and tag brood year with missing tag codes matching each other, from counts of both sides."""
+    i = Inputs(spark, sf_dir)
+    linked = hatchery.factored_tags(_hatchery(i), _na_tags(i))
+    return linked.counts(["spawning_stock"], ["tag_brood_year"]).withColumn("n", F.col("n").cast("long"))
+
+
+def _na_tags(i: Inputs) -> DataFrame:
+    """Tag releases of which one brood year has lost its codes."""
+    tags = hatchery.tag_releases(i.tags)
+    lost = F.pmod(F.col("tag_brood_year"), F.lit(3)) == 0
+    return tags.withColumn("r_tagcode", F.when(~F.coalesce(lost, F.lit(False)), F.col("r_tagcode")))
+
+
 @query
 def resolve_ages(spark, sf_dir):
     return _resolved(Inputs(spark, sf_dir)).select(*RESOLVED_COLUMNS)

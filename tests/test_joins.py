@@ -169,3 +169,25 @@ def test_hot_keys_are_those_of_a_share_and_on_both_sides(spark):
     assert rows(joins.hot_keys(a, b, ["k"], share=0.2)) == [("h",), ("k1",)]  # half of the right side each
     wide = b.union(spark.createDataFrame([(f"r{i}",) for i in range(100)], "k string"))
     assert rows(joins.hot_keys(a, wide, ["k"], share=0.2)) == [("h",)]
+
+
+@pytest.mark.parametrize("na_matches", ["na", "never"])
+def test_factored_counts_equal_those_of_the_expanded_join(spark, na_matches):
+    a = spark.createDataFrame([(None, "x", 1), (None, "x", 2), (None, "y", 1), ("k", "x", 1), ("k", None, 1), ("z", "y", 3)], "k string, s string, v int")
+    b = spark.createDataFrame([(None, 7, 1), (None, 7, 2), (None, 8, 3), ("k", 7, 4), ("k", None, 5), ("q", 9, 6)], "k string, w int, v int")
+    f = joins.factored_join(a, b, ["k"], na_matches=na_matches)
+    whole = f.expand()
+    assert whole.columns == ["k", "s", "v_x", "w", "v_y"]
+    for left_by, right_by in (((), ()), (["s"], ()), ((), ["w"]), (["s", "v_x"], ["w", "v_y"]), (["k", "s"], ["w"])):
+        want = whole.groupBy(*left_by, *right_by).agg(F.count(F.lit(1)).cast("decimal(38,0)").alias("n"))
+        assert rows(f.counts(left_by, right_by)) == rows(want)
+    assert joins.factored_join(a, b.limit(0), ["k"], na_matches=na_matches).counts(["s"]).count() == 3
+    assert f.largest().first().n == (9 if na_matches == "na" else 3)
+
+
+def test_factored_counts_do_not_multiply_rows(spark):
+    """A hundred thousand rows without a key on both sides are 10^10 joined rows, and two rows here."""
+    side = lambda n, c: spark.range(n).select(F.lit(None).cast("string").alias("k"), (F.col("id") % 3).alias(c))
+    f = joins.factored_join(side(100_000, "a"), side(100_000, "b"), ["k"])
+    assert [int(r.n) for r in f.counts().collect()] == [10**10]
+    assert sum(int(r.n) for r in f.counts(["a"], ["b"]).collect()) == 10**10

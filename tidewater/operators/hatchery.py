@@ -12,7 +12,7 @@ from tidewater.functions.missing import (
 )
 from tidewater.functions.recode import recode
 from tidewater.functions.text import title_case
-from tidewater.operators.joins import join_on, rows_not_in
+from tidewater.operators.joins import Factored, factored_join, join_on, rows_not_in
 from tidewater.operators.reshape import select_blocks
 
 SCALE_KEYS = ("r_scale_book_num", "r_scale_cell_num")
@@ -156,6 +156,11 @@ def link_tags(
     return _link(samples, tags, ["r_tagcode"], na_matches)
 
 
+def factored_tags(samples: DataFrame, tags: DataFrame) -> Factored:
+    """Samples and tag releases with missing codes matching each other, counted without being multiplied."""
+    return factored_join(samples, tags, ["r_tagcode"])
+
+
 def link_marks(
     samples: DataFrame, marks: DataFrame, *, na_matches: str = "never"
 ) -> DataFrame:

@@ -10,6 +10,7 @@ so that its hot side can be split, or, with hot keys on both sides, these are co
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -145,6 +146,49 @@ def _hot_full_join(left: DataFrame, right: DataFrame, keys: Sequence[str], na_ma
     return met.unionByName(join_on(left_rest, right_rest, keys, "full", na_matches=na_matches))
 
 
+@dataclass(frozen=True)
+class Factored:
+    """A left join kept as its two sides, which meet only in what is asked for.
+
+    Where n left rows and m right rows share a key, or both lack it, the join has n x m rows; this has n + m.
+    Counts are taken from each side's counts by key, which are multiplied, so their cost is linear in the sides and
+    in what they are counted by.
+    """
+
+    left: DataFrame
+    right: DataFrame
+    keys: tuple[str, ...]
+    na_matches: str = "na"
+
+    def expand(self) -> DataFrame:
+        """The joined rows."""
+        return join_on(self.left, self.right, self.keys, "left", na_matches=self.na_matches)
+
+    def _left_only(self, *columns: str) -> list[str]:
+        return [*self.keys, *[c for c in columns if c not in self.keys]]
+
+    def counts(self, left_by: Sequence[str] = (), right_by: Sequence[str] = ()) -> DataFrame:
+        """Rows of the join, ``n``, by columns of the left side, keys included, and other columns of the right.
+
+        A left row without a match counts once, with the right columns missing.
+        """
+        own = self.left.groupBy(*self._left_only(*left_by)).agg(F.count(F.lit(1)).alias("__left"))
+        other = self.right.groupBy(*self._left_only(*right_by)).agg(F.count(F.lit(1)).alias("__right"))
+        met = join_on(own, other, self.keys, "left", na_matches=self.na_matches)
+        rows = F.col("__left").cast("decimal(19,0)") * F.coalesce("__right", F.lit(1))
+        return met.groupBy(*[F.col(_quote(c)) for c in (*left_by, *right_by)]).agg(F.sum(rows).cast("decimal(38,0)").alias("n"))
+
+    def largest(self) -> DataFrame:
+        """Rows of the join for each key, the largest first: what an expansion would multiply."""
+        return self.counts(left_by=self.keys).orderBy(F.desc("n"))
+
+
+def factored_join(left: DataFrame, right: DataFrame, keys: Sequence[str], *, na_matches: str = "na") -> Factored:
+    """A left join that is not expanded; clashing other columns get suffixes as in ``join_on``."""
+    left, right = _suffix_clashes(left, right, keys, ("_x", "_y"))
+    return Factored(left, right, tuple(keys), na_matches)
+
+
 def natural_join(left: DataFrame, right: DataFrame, how: str = "left", **options) -> DataFrame:
     """Join on every column name the two frames share."""
     keys = shared_columns(left, right)
