@@ -1,10 +1,10 @@
 """Mixing sources to target weights, in DataFrame functions alone.
 
 Every source's words form a stream that is cut into blocks of ``block`` words. Targets in words become
-expected draws of blocks; every slot of the output draws a source, and slots are dealt to
-output shards by a pseudorandom permutation of all slots, so that the sources of a shard are a
-multinomial draw whose totals over the run hold. A source's k-th draw maps through a
-pseudorandom permutation of its block indexes, epoch by epoch, and blocks are joined by index.
+expected draws of blocks. Every slot of the output is labelled with a source by a pseudorandom permutation of all
+slots, which gives each output shard a multinomial draw of source counts whose totals over the run hold. The
+counts of the shards before it say where a shard goes on in each source: a source's k-th draw maps through
+a pseudorandom permutation of its block indexes, epoch by epoch, and blocks are joined by index.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ MAX_REPEATS = 3
 BLOCK = 32
 #: Slots of an output shard.
 SHARD = 4_096
+#: Shards whose running sums one window task holds.
+SHARDS_AT_ONCE = 4_096
 #: Documents whose running sums one window task holds.
 PER_BUCKET = 20_000
 SEED = 20_240_601
@@ -105,12 +107,11 @@ def packed(docs: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     return placed, sums.groupBy("source").agg(F.sum("words").alias("source_size"))
 
 
-def draws(targets: DataFrame, block: int = BLOCK, shard: int = SHARD, cap: int = MAX_REPEATS) -> DataFrame:
-    """``shard, slot, source_no, index``: the block that every slot of the output takes.
+def labelled_slots(targets: DataFrame, shard: int = SHARD) -> DataFrame:
+    """``shard, slot, source_no, blocks`` of every slot of the output.
 
     Source by source, the expected number of draws of its blocks is laid out on a line; stratum t
-    of the line belongs to the source over its point ``t + phase``. The phase, and the
-    permutation from strata to slots, come from the seed alone.
+    of the line belongs to the source over its point ``t + 1/2``, and a permutation by the seed deals the strata to slots.
     """
     spark = targets.sparkSession
     slots = int(targets.agg(F.coalesce(F.ceil(F.max("line_end")), F.lit(0))).first()[0])
@@ -123,14 +124,36 @@ def draws(targets: DataFrame, block: int = BLOCK, shard: int = SHARD, cap: int =
     spans = spans.withColumn(
         "cell", F.explode(F.sequence(F.floor(F.col("low") / cell), F.floor((F.col("high") - 1) / cell)))
     )
-    drawn = strata.join(spans, "cell").where("t >= low and t < high").withColumn("k", F.col("t") - F.col("low"))
-    # An epoch beyond the cap, which rounding can begin, has no draws.
-    drawn = drawn.where(F.col("k") < F.col("blocks") * cap)
+    drawn = strata.join(spans, "cell").where("t >= low and t < high")
     slot = permuted(F.col("t"), F.lit(max(1, slots)).cast("long"), F.lit(-1).cast("long"))
+    return drawn.select(F.floor(slot / shard).cast("long").alias("shard"), slot.alias("slot"), "source_no", "blocks")
+
+
+def shard_counts(labelled: DataFrame) -> DataFrame:
+    """``shard, source_no, n, offset``: a shard's draws of each source, and how many the shards before it make.
+
+    Running sums go over groups of shards first and then inside them, so no source's shards are one task.
+    """
+    counts = settle(labelled.groupBy("shard", "source_no").agg(F.count("*").alias("n")), "counts")
+    counts = counts.withColumn("group", F.floor(F.col("shard") / SHARDS_AT_ONCE))
+    before = W.partitionBy("source_no").orderBy("group").rowsBetween(W.unboundedPreceding, -1)
+    groups = counts.groupBy("source_no", "group").agg(F.sum("n").alias("whole"))
+    groups = groups.select("source_no", "group", F.coalesce(F.sum("whole").over(before), F.lit(0)).alias("ahead"))
+    within = W.partitionBy("source_no", "group").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
+    counts = counts.withColumn("inside", F.coalesce(F.sum("n").over(within), F.lit(0)))
+    return counts.join(groups, ["source_no", "group"]).select("shard", "source_no", "n", (F.col("ahead") + F.col("inside")).alias("offset"))
+
+
+def draws(targets: DataFrame, shard: int = SHARD, cap: int = MAX_REPEATS) -> DataFrame:
+    """``shard, slot, source_no, index``: the block that every slot of the output takes."""
+    labelled = settle(labelled_slots(targets, shard), "slots")
+    in_turn = W.partitionBy("shard", "source_no").orderBy("slot")
+    drawn = labelled.withColumn("turn", F.row_number().over(in_turn) - 1).join(shard_counts(labelled), ["shard", "source_no"])
+    drawn = drawn.withColumn("k", F.col("offset") + F.col("turn"))
+    # An epoch beyond the cap, which rounding can begin by one draw a source, has none: its slot stays empty.
+    drawn = drawn.where(F.col("k") < F.col("blocks") * cap)
     index = permuted(F.col("k") % F.col("blocks"), F.col("blocks"), F.col("source_no"), F.floor(F.col("k") / F.col("blocks")))
-    return drawn.select(
-        F.floor(slot / shard).cast("long").alias("shard"), slot.alias("slot"), "source_no", index.alias("index")
-    )
+    return drawn.select("shard", "slot", "source_no", index.alias("index"))
 
 
 def plan(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK, cap: int = MAX_REPEATS) -> DataFrame:
@@ -144,29 +167,41 @@ def plan(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, block: int = BLOC
     return t.withColumn("line_start", F.col("line_end") - F.col("expected"))
 
 
+def _mixed(docs: DataFrame, weights, block: int, shard: int) -> tuple[DataFrame, DataFrame]:
+    """Documents with their places and targets, and the blocks that the slots take, in the parts that documents make of them."""
+    placed, sizes = packed(docs, block)
+    targets = settle(plan(sizes, weights, block), "targets")
+    known = targets.select(F.col("source").alias("its"), "source_no", "source_size", "target")
+    placed = placed.join(known, F.col("source").eqNullSafe(F.col("its"))).drop("its")
+    parts = placed.select("doc_id", "mark", "source", "source_no", "first", "size").where("size > 0").withColumn(
+        "index", F.explode(F.sequence(F.floor(F.col("first") / block), F.floor((F.col("first") + F.col("size") - 1) / block)))
+    )
+    start, end = F.greatest(F.col("index") * block, F.col("first")), F.least((F.col("index") + 1) * block, F.col("first") + F.col("size"))
+    parts = parts.withColumns({"start": start - F.col("first"), "words": end - start, "at": start - F.col("index") * block})
+    return placed, parts.drop("size").join(draws(targets, shard), ["source_no", "index"])
+
+
+def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
+    """The mix itself: ``shard, slot, source, index, at, doc_id, mark, start, words``.
+
+    Slot by slot the block that it takes, in the parts that documents make of it: ``words`` words of the document from
+    its word ``start`` on, from 0, lie at word ``at`` of the block. Cases as in ``mix``.
+    """
+    return _mixed(docs, weights, block, shard)[1].select("shard", "slot", "source", "index", "at", "doc_id", "mark", "start", "words")
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     """One row per document: ``doc_id, source, size, source_size, target, taken, mark``.
 
-    ``size`` is the number of words, ``taken`` how many of them the mix takes, repeats counted;
+    ``size`` is the number of words, ``taken`` how many of them the slots of the mix take, repeats counted;
     ``mark`` hashes id and text. All comes from the rows and the seed, so reruns agree.
 
     Cases: null and empty texts have size 0 and take nothing; a null source is a source of its
     own, sorted last; null ids count like others; rows repeated exactly share their
     places in an order that does not matter for their sums as a group; an empty table gives no rows.
     """
-    placed, sizes = packed(docs, block)
-    targets = settle(plan(sizes, weights, block), "targets")
-    drawn = draws(targets, block, shard).groupBy("source_no", "index").agg(F.count("*").alias("times"))
-    known = targets.select(F.col("source").alias("its"), "source_no", "source_size", "target")
-    placed = placed.join(known, F.col("source").eqNullSafe(F.col("its"))).drop("its")
-    parts = placed.select("doc_id", "mark", "source_no", "first", "size").where("size > 0").withColumn(
-        "index", F.explode(F.sequence(F.floor(F.col("first") / block), F.floor((F.col("first") + F.col("size") - 1) / block)))
-    )
-    start, end = F.col("index") * block, (F.col("index") + 1) * block
-    parts = parts.withColumn("words", F.least(end, F.col("first") + F.col("size")) - F.greatest(start, F.col("first")))
-    taken = parts.join(drawn, ["source_no", "index"]).groupBy("source_no", "first").agg(
-        F.sum(F.col("words") * F.col("times")).alias("taken")
-    )
+    placed, slots = _mixed(docs, weights, block, shard)
+    taken = slots.groupBy("source_no", "first").agg(F.sum("words").alias("taken"))
     # Documents with words are told apart by where they begin in their source's stream.
     key = F.when(F.col("size") > 0, F.col("first"))
     out = placed.withColumn("begin", key).join(taken.withColumnRenamed("first", "begin"), ["source_no", "begin"], "left")
