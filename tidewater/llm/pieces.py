@@ -9,17 +9,18 @@ first, and for the second a pair of neighbours weighs 0 or minus infinity.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 from math import inf
 
 import numpy as np
 
 BLANK = "▁"
 _UNITS = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
+#: A blank after another character.
+_CUT = re.compile(f"(?<=[^{BLANK}]){BLANK}")
 #: Units up to this length are merged pair by pair, longer ones go through the lattice.
 SHORT_UNIT = 40
-#: Encoded units a worker remembers before it starts anew; this bounds memory only.
-REMEMBERED = 400_000
+#: Encoded units, and pairs of pieces, that a worker remembers before it starts anew; these bound memory only.
+REMEMBERED, PAIRS = 200_000, 400_000
 UNK_PENALTY = 10.0
 
 Vocabulary = tuple[str, tuple[tuple[str, float, str], ...]]
@@ -75,7 +76,8 @@ class Pieces:
             bytes([int(p[3:5], 16)]) if role == "byte" else p.encode() if role == "text" else b""
             for p, _, role in rows
         ]
-        self.fits = lru_cache(maxsize=1 << 20)(self._fits)
+        #: Whether two pieces stay as they are, by both ids in one number.
+        self.pairs: dict[int, bool] = {}
         self.units = _Units(self.encode_unit)
 
     # ---- pieces and ids
@@ -103,9 +105,21 @@ class Pieces:
                 scores[at] = score(parts[at] + parts[at + 1], -inf)
         return parts
 
-    def _fits(self, left: str, right: str) -> bool:
+    def _stay(self, left: str, right: str) -> bool:
         return self.merged(left + right) == ([left, right] if left else [right])
 
+    def fits(self, left: str, right: str) -> bool:
+        """Whether the joint text of two neighbours is merged to just them; single characters without a piece have no id."""
+        a, b = self.ids.get(left, -1) if left else len(self.texts), self.ids.get(right, -1)
+        if a < 0 or b < 0:
+            return self._stay(left, right)
+        pair = a << 32 | b
+        if (found := self.pairs.get(pair)) is None:
+            if len(self.pairs) >= PAIRS:
+                self.pairs.clear()
+            found = self.pairs[pair] = self._stay(left, right)
+        return found
+
     # ---- the lattice
 
     def paths(self, text: str, start: int, last: str, stop: int):
@@ -189,8 +203,13 @@ class Pieces:
         """First and last place in [a, b] where units can be cut."""
         if not self.cuts:
             return None
-        at = [k for k in range(max(a, 1), min(b, len(text) - 1) + 1) if text[k] == BLANK and text[k - 1] != BLANK]
-        return (at[0], at[-1]) if at else None
+        low, high = max(a, 1), min(b, len(text) - 1)
+        if (first := _CUT.search(text, low, high + 1)) is None:
+            return None
+        last = text.rfind(BLANK, low, high + 1)
+        while text[last - 1] == BLANK:
+            last = text.rfind(BLANK, low, last)
+        return first.start(), last
 
     def _entries(self, text: str, a: int) -> dict[int, list[tuple[int, str]]]:
         """By code: where a path that comes in with this state goes on, and the piece it came with."""
