@@ -70,7 +70,7 @@ def odd_rows():
     draw = random.Random(5)
     alphabet = ["a", "in", "the", "é", "日本", "😀", " ", "  ", "\n", "\t", "'s", "123", "<|endoftext|>", "<s>", "<0x41>", "."]
     rows = [(k, "".join(draw.choice(alphabet) for _ in range(draw.randint(1, 120)))) for k in range(60)]
-    return rows + [(100, None), (101, ""), (102, "has a ▁ sign"), (103, "\x00 nul"), (None, "x y"), (3, rows[3][1]), (104, " lead"), (105, " ")]
+    return rows + [(100, None), (101, ""), (102, "has a ▁ sign"), (106, "of ▁▁ and on"), (107, "a " * 40 + "▁b"), (103, "\x00 nul"), (None, "x y"), (3, rows[3][1]), (104, " lead"), (105, " ")]
 
 
 @pytest.mark.parametrize("head", [1 << 17, 20, 0])

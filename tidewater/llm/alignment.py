@@ -34,17 +34,21 @@ AT_ONCE = 2_000_000
 class Windows(dict):
     """Alignments by the ids of a window: its groups as text, and its links as packed pairs of ids.
 
-    Keys are the packed 32-bit ids of both sides. Windows begin and end together.
+    Keys are the packed 32-bit ids of both sides. Windows begin and end together; one whose sides spell different
+    bytes has no groups.
     """
 
     def __init__(self, a_bytes: list[bytes], b_bytes: list[bytes]):
+        self.a_bytes, self.b_bytes = a_bytes, b_bytes
         self.a_len, self.b_len = (list(map(len, x)) for x in (a_bytes, b_bytes))
         self.text = list(map(str, range(max(len(a_bytes), len(b_bytes)))))
 
     def __missing__(self, key: tuple[bytes, bytes]) -> tuple[bytes, bytes]:
         a, b = memoryview(key[0]).cast("i").tolist(), memoryview(key[1]).cast("i").tolist()
         text, a_len, b_len = self.text, self.a_len, self.b_len
-        if len(a) == 1 or len(b) == 1:  # nothing inside can be shared
+        if b"".join([self.a_bytes[i] for i in a]) != b"".join([self.b_bytes[i] for i in b]):
+            groups, links = [], []
+        elif len(a) == 1 or len(b) == 1:  # nothing inside can be shared
             groups = [",".join([text[i] for i in a]) + "|" + ",".join([text[i] for i in b])]
             links = [a[-1] << 32 | b[-1]]
         else:
@@ -76,15 +80,20 @@ class Aligner:
         self.windows = Windows(self.a_bytes, self.b_bytes)
 
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Ids of both for space and text; none where the tokens' bytes are not those of the text."""
+        """Ids of both for space and text; none where the first side's bytes are not those of the text, or the other's not as many.
+
+        Whether the other's bytes are the same shows in the windows.
+        """
         both = zip(texts, self.a.plain_ids([" " + t for t in texts]), self.b.plain_ids(texts))
+        none = np.zeros(0, np.int32)
         for text, a, b in both:
+            b = np.frombuffer(array("i", b), np.int32)
             whole = b" " + text.encode()
-            same = text and all(b"".join(map(x.__getitem__, ids)) == whole for x, ids in ((self.a_bytes, a), (self.b_bytes, b)))
-            yield tuple(np.frombuffer(array("i", x if same else []), np.int32) for x in (a, b))
+            same = text and b"".join(map(self.a_bytes.__getitem__, a)) == whole and self.b_len[b].sum() == len(whole)
+            yield (np.frombuffer(array("i", a), np.int32), b) if same else (none, none)
 
     def align(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[bytes, np.ndarray]]:
-        """For each text its groups in one line, and its linked pairs in order.
+        """For each text its groups in one line, and its linked pairs in order; nothing for one whose sides differ.
 
         The texts are laid end to end; each begins with a space in both sequences, which is an anchor.
         Equal windows are found by two 64-bit hashes, and only one of each is looked up.
@@ -121,7 +130,8 @@ class Aligner:
         of_text = np.searchsorted(cut_a, np.cumsum([0] + [len(texts[k][0]) for k in held])).tolist()
         upto = np.append(0, ends)
         for k, i, j in zip(held, of_text, of_text[1:]):
-            out[k] = b";".join(lines[i:j]), pairs[upto[i] : upto[j]]
+            if sizes[i:j].all():
+                out[k] = b";".join(lines[i:j]), pairs[upto[i] : upto[j]]
         return out
 
 
@@ -159,7 +169,8 @@ def _aligned(a: Shipped, b: Shipped):
                 pairs.append(found)
                 times.append(n)
                 digest = hashlib.sha256(groups).hexdigest() if groups else ""
-                out.append((row, doc_id, len(ids_a), len(ids_b), groups.count(b"|"), len(links), digest))
+                n_a, n_b = (len(ids_a), len(ids_b)) if groups else (0, 0)
+                out.append((row, doc_id, n_a, n_b, groups.count(b"|"), len(links), digest))
                 row += 1
             if out:
                 kinds = [pa.int64()] * 6 + [pa.string()]
