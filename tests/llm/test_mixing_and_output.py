@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from tests.helpers import frame
 from tests.oracle_check import compare
-from tidewater.llm.mixing import mix, mixed_documents, permuted
+from tidewater.llm.mixing import mix, mixed_documents, mixture, permuted
 from tidewater.llm.queries import ORACLES, QUERIES
 from tidewater.llm.sentence_pieces import MODEL, send_vocabulary
 from tidewater.llm.training_order import CLOSE, Order, read_sequences, write_shards
@@ -68,6 +68,51 @@ def test_mix_reaches_targets_and_repeats_itself(spark):
     assert mix(docs(spark)).count() == 0
 
 
+def test_every_slot_takes_one_block_and_shards_draw_like_the_whole(spark):
+    rows = [(k, f"w{k} " * (40 + k % 700), "abcd"[min(3, k % 9)]) for k in range(300)]
+    rows += [(500, None, "b"), (501, "", None), (502, "one  two", None)]
+    df = docs(spark, *rows)
+    got = mixture(df, block=16, shard=256).collect()
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0d]+", t or ""))
+    sizes, by_slot, text = {}, {}, {k: t for k, t, _ in rows}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + size(t)
+    for r in got:
+        by_slot.setdefault((r.shard, r.slot), []).append(r)
+    slots = sorted(s for _, s in by_slot)
+    # Every slot once, but for one a source that rounding would give beyond its cap.
+    assert len(slots) == len(set(slots)) and slots[0] == 0 and slots[-1] + 1 - len(slots) <= len(sizes)
+    assert all(s // 256 == k for k, s in by_slot)
+    repeats, drawn = {}, {}
+    for (k, _), parts in by_slot.items():
+        parts.sort(key=lambda r: r["at"])
+        source, index = parts[0]["source"], parts[0]["index"]
+        assert {(r["source"], r["index"]) for r in parts} == {(source, index)}
+        # The parts fill the block from its beginning, each with words its document has.
+        assert [r["at"] for r in parts] == np.cumsum([0] + [r["words"] for r in parts])[:-1].tolist()
+        assert sum(r["words"] for r in parts) == min(16, sizes[source] - 16 * index)
+        assert all(0 <= r["start"] and r["start"] + r["words"] <= size(text[r["doc_id"]]) for r in parts)
+        repeats[source, index] = repeats.get((source, index), 0) + 1
+        drawn.setdefault(k, {}).setdefault(source, 0)
+        drawn[k][source] += 1
+    # Epochs of permutations: a source's blocks are drawn equally often, but for the last epoch, and at most three times.
+    for s in sizes:
+        times = [repeats.get((s, i), 0) for i in range(-(-sizes[s] // 16))]
+        assert max(times) - min(times) <= 1 and max(times) <= 3
+    # Counts of a shard lie around its share of the totals as multinomial draws do.
+    n, full = len(slots), [k for k in drawn if (k + 1) * 256 <= len(slots)]
+    total = {s: sum(d.get(s, 0) for d in drawn.values()) for s in sizes}
+    spread = [(drawn[k].get(s, 0) - 256 * total[s] / n) / max(1, (256 * total[s] / n * (1 - total[s] / n)) ** 0.5) for k in full for s in sizes if total[s] > 100]
+    assert len(spread) > 50 and max(map(abs, spread)) < 5 and 0.6 < np.std(spread) < 1.4
+    # What each document gives is what the slots take.
+    taken = {}
+    for r in got:
+        taken[r["doc_id"]] = taken.get(r["doc_id"], 0) + r["words"]
+    assert {r.doc_id: r.taken for r in mix(df, block=16, shard=256).collect()} == {k: taken.get(k, 0) for k, _, _ in rows}
+    again = mixture(df.repartition(5), block=16, shard=256).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+
+
 def test_mixed_documents_keep_their_columns_and_their_words_near_the_targets(spark):
     rows = [(k, f"w{k} " * (20 + k % 50), "abc"[k % 3]) for k in range(900)]
     out = mixed_documents(docs(spark, *rows, (1000, None, "a")))
@@ -88,13 +133,15 @@ def test_order_is_a_keyed_permutation(n):
     assert n < 64 or (slots != Order(n, key=1).slot(np.arange(n))).any()
 
 
-def test_shards_hold_every_text_and_are_read_from_any_slot(spark, tmp_path):
+@pytest.mark.parametrize("block", [1, 7, 4_096])
+def test_shards_hold_every_text_and_are_read_from_any_slot(spark, tmp_path, block):
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     rows = [(k, "some words here " * (k % 30), "a") for k in range(60)] + [(70, None, "a"), (None, "null id", "a"), (5, "again", "a"), (71, "z" * 20_000, "a")]
     docs(spark, *rows).repartition(3).write.parquet(str(tmp_path / "docs"))
     sent, out = send_vocabulary(spark), str(tmp_path / "out")
-    placed = write_shards(spark.read.parquet(str(tmp_path / "docs")), sent, out, length=16, shard=40).collect()
+    placed = write_shards(spark.read.parquet(str(tmp_path / "docs")), sent, out, length=16, shard=40, block=block).collect()
     read = dict(read_sequences(out))
+    assert sum(n for _, n in {(r.shard, r.shard_tokens) for r in placed}) == sum(r.n_tokens + 1 for r in placed) or len({r.shard for r in placed}) * 40 < len(read)
     assert list(read) == list(range(len(read)))
     stream = np.concatenate([read[k] for k in Order(len(read)).slot(np.arange(len(read)))])
     found = []
