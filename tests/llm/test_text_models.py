@@ -10,10 +10,10 @@ import pytest
 import sentencepiece
 
 from tests.helpers import frame
-from tidewater.llm.class_lm import Exchange, lm_scores, n_classes, transitions
+from tidewater.llm.class_lm import Exchange, fit, lm_scores, n_classes, transitions
 from tidewater.llm.language_id import Parser, identify_languages
 from tidewater.llm.pieces import Pieces, blanked, matrix, product, read_vocabulary, route
-from tidewater.llm.quality import NAMES, quality_scores, statistics
+from tidewater.llm.quality import FLOOR, NAMES, TEMPER, TO_DIAGONAL, TO_POOLED, quality_scores, statistics
 from tidewater.llm.sentence_pieces import MODEL, decode, encode, send_vocabulary, token_report
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -90,6 +90,35 @@ def test_quality_of_odd_rows(spark):
     assert statistics(None) == statistics("") == [0.0] * len(NAMES)
 
 
+def test_quality_scores_equal_a_plain_discriminant(spark):
+    """Fitted row by row with explicit covariances, inverses and determinants in place of moments and factors."""
+    draw = random.Random(9)
+    text = lambda good: " ".join(draw.choice(["calm", "river", "the", "Of", "see."] if good else ["!!", "$$$", "BUY", "99", "x"]) for _ in range(draw.randint(3, 40)))
+    rows = [(k, text(k % 3 > 0)) for k in range(150)] + [(200, ""), (201, None), (7, "a repeated id")]
+    labels = [(k, int(k % 3 > 0)) for k in range(150)] + [(3, 0), (200, None), (201, 2), (None, 1), (300, 1)]
+    learned = [(statistics(t), y) for k, t in rows for i, y in labels if i == k and remainder(k, 5) != 0 and y in (0, 1)]
+    by_class = [np.array([x for x, y in learned if y == c]) for c in (0, 1)]
+    d = len(NAMES)
+    spread = [(x - x.mean(axis=0)).T @ (x - x.mean(axis=0)) for x in by_class]
+    pooled = (spread[0] + spread[1]) / len(learned) + FLOOR * np.eye(d)
+    target = pooled.copy()
+    target[~np.eye(d, dtype=bool)] *= 1 - TO_DIAGONAL
+    covariance = [(1 - TO_POOLED) * (s / len(x) + FLOOR * np.eye(d)) + TO_POOLED * target for s, x in zip(spread, by_class)]
+    want = {}
+    for k, t in rows:
+        density = []
+        for x, c in zip(by_class, covariance):
+            away = np.array(statistics(t)) - x.mean(axis=0)
+            density.append(-0.5 * (away @ np.linalg.inv(c) @ away + math.log(np.linalg.det(c))))
+        odds = TEMPER * (density[1] - density[0]) + math.log(len(by_class[1]) / len(by_class[0]))
+        want.setdefault(k, []).append(1 / (1 + math.exp(-max(-500, min(500, odds)))))
+    df = frame(spark, "doc_id long, quality int", *labels)
+    got = quality_scores(docs(spark, *rows), df).collect()
+    assert len(got) == len(rows) and 0.1 < sum(r.predicted for r in got) / len(got) < 0.95
+    for r in got:
+        assert min(abs(r.score - w) for w in want[r.doc_id]) < 1e-6 and r.predicted == (r.score >= 0.3)
+
+
 # ---------------------------------------------------------------- language model
 
 def class_likelihood(pairs, of, k):
@@ -195,11 +224,41 @@ def test_lm_clusters_every_word_that_recurs_and_its_classes_grow(spark):
     assert n_classes(1_000_000) > n_classes(10_000) > n_classes(100)
 
 
-def test_lm_is_the_same_whatever_the_head_holds(spark):
-    """Transitions between words that no task holds count like those between words it does."""
-    df = docs(spark, *[(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()])
-    whole, part = ({r.doc_id: r.score for r in lm_scores(df, head).collect()} for head in (1 << 17, 500))
-    assert whole.keys() == part.keys() and all(math.isclose(whole[k], part[k], rel_tol=1e-9) for k in whole)
+@pytest.mark.parametrize("head, least", [(1 << 17, 5), (300, 3), (3, 2), (1, 10_000)])
+def test_lm_scores_equal_brute_force_whatever_the_head_holds(spark, head, least):
+    """Given every word's class: bigrams of all words, in the head or not, counted and scored one by one."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()]
+    rows += [(900, None), (901, ""), (None, "the of"), (902, "never-seen never-seen the"), (903, "of " * 3_000), (901, "")]
+    df = docs(spark, *rows)
+    train = [k is not None and remainder(k, 7) != 2 for k, _ in rows]
+    fitted = fit(frame(spark, "doc_id long, train boolean, text string", *[(k, t, x) for (k, x), t in zip(rows, train)]), head, least)
+    table = {r.word: (r.c, r.g) for r in fitted.head.union(fitted.outside).collect()}
+    split = lambda t: [w.decode() for w in (t or "").encode().lower().split()]
+    counts = Counter(w for (_, t), on in zip(rows, train) if on for w in split(t))
+    assert counts == Counter({w: c for w, (c, _) in table.items()})
+    k = len(fitted.model.per_class)
+    joint, per_class = np.zeros((k + 1, k + 1)), np.zeros(k)
+    ones, twos = (sum(c == n for c in counts.values()) for n in (1, 2))
+    discount = min(0.9, max(0.1, ones / (ones + 2 * twos)))
+    held = np.zeros(k)
+    for w, (c, g) in table.items():
+        per_class[g] += c
+        held[g] += 1
+    for (_, t), on in zip(rows, train):
+        line = [k, *(table[w][1] for w in split(t)), k] if on else []
+        for x, y in zip(line, line[1:]):
+            joint[x, y] += 1
+    log = transitions(joint, per_class, discount * held / np.maximum(per_class, 1))
+    got = lm_scores(df, head, least).collect()
+    assert len(got) == len(rows)
+    want = {}
+    for i, t in rows:
+        line = [k, *(table[w][1] if w in table else k + 1 for w in split(t)), k]
+        want[i] = sum(log[x, y] for x, y in zip(line, line[1:])) + sum(
+            math.log10((table[w][0] - discount) / per_class[table[w][1]]) for w in split(t) if w in table)
+    for r in got:
+        assert math.isclose(r.score, want[r.doc_id], rel_tol=1e-9), r
+    assert len({g for _, g in table.values()}) > 1 or k == 1
 
 
 def test_lm_transitions_add_up_to_one():

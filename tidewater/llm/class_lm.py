@@ -2,15 +2,18 @@
 
 ``log p(text) = sum of log p(class | class before) + log p(word | class)`` over the words and one end.
 
-1. Words and adjacent pairs of words are counted over all training texts; both tables grow with the corpus and
-   stay distributed. Words go by a 64-bit hash.
-2. Every word that occurs ``LEAST`` times is clustered; classes grow as the square root of the number of
-   those words. In a sweep, pairs are summed to word-class counts in Spark, words are dealt to tasks, and
-   each task exchanges its words one by one against the class-class sums, which are then taken anew.
-3. A rarer word has the class that most clustered words with its last three characters have; where none has
-   them, the class with most clustered words. Class bigrams are then counted over all pairs of all words.
-4. Texts are scored with the bounded head of the word table in every task. Words outside it are joined with
-   their counts and classes, with their places, so that their transitions count like all others.
+1. Words are counted over all training texts; the table grows with the corpus and stays distributed.
+2. The ``head`` most frequent words, a bounded number, are clustered by exchange. Each has its neighbours counted
+   once, in ranges of words that are settled; a sweep reads these where they lie, a task exchanges its words one by one
+   against the class-class sums, and the sums are then taken anew. Nothing is shuffled in a sweep.
+3. Every other word that occurs ``LEAST`` times is put once where the bigrams become likeliest, by the same gain. A rarer
+   one has the class that most clustered words with its last three characters have; where none has them, the
+   class with most clustered words.
+4. Class bigrams are counted over all pairs of all words: those of head words from their neighbours, the others from
+   the words outside the head, which are joined with their classes at their places in the texts.
+5. Texts are scored from the class sequences of their head words and from these places.
+
+The tasks hold the head, its classes, and tables of classes by classes; their number is the root of the head's, halved.
 """
 
 from __future__ import annotations
@@ -19,30 +22,26 @@ import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from hashlib import blake2b
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.shared import fold, only, rows_of, words
+from tidewater.llm.shared import fold, grouped, only, rows_of, runs, words
 from tidewater.session import settle
 
-#: Words that every task holds with their counts; count from which a word is clustered; sweeps of the clustering.
+#: Words that every task holds with their counts; count from which a word is clustered; sweeps over the head.
 HEAD, LEAST, SWEEPS = 1 << 17, 5, 3
-#: Clustered words that one task of a sweep exchanges; tokens whose pairs are summed at once.
-PER_TASK, AT_ONCE = 20_000, 1_000_000
+#: Head words whose neighbours one task holds; tokens whose pairs are summed at once.
+PER_RANGE, AT_ONCE = 256, 2_000_000
 #: Classes whose exact gain is compared for a word.
 SHORT = 16
 #: Weight of the class's own share in smoothing transitions.
 BACKOFF = 5.0
-#: What stands for the end of a text among words' hashes, which are at least 0.
-END = -1
-
-
-def word_id(word: bytes) -> int:
-    return int.from_bytes(blake2b(word, digest_size=8).digest(), "big") >> 1
+#: Stands for a word outside the head in a line of classes.
+OUTSIDE = 0xFFFF
 
 
 def n_classes(n_words: int) -> int:
@@ -57,9 +56,7 @@ def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, len(pairs), 100_000):
             part = pairs[at : at + 100_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in part], pa.binary()).cast(pa.string()), pa.array([word_id(w) for w, _ in part], pa.int64()),
-                 pa.array([c for _, c in part], pa.int64())],
-                names=["word", "id", "c"],
+                [pa.array([w for w, _ in part], pa.binary()).cast(pa.string()), pa.array([c for _, c in part], pa.int64())], names=["word", "c"]
             )
 
     counts: Counter = Counter()
@@ -72,32 +69,100 @@ def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from table(counts)
 
 
-def _count_pairs(head: dict[bytes, int]):
-    """Adjacent pairs of words by their hashes, the end standing before and after each text."""
+def _packed(values: np.ndarray) -> bytes:
+    return np.int64(len(values)).tobytes() + pa.compress(np.ascontiguousarray(values, "<i8").tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    return np.frombuffer(pa.decompress(data[8:], 8 * n, codec="zstd", asbytes=True), "<i8")
+
+
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    starts, _ = runs(keys[order])
+    return keys[order][starts], np.add.reduceat(counts[order], starts) if len(starts) else counts[:0]
+
+
+_NEIGHBOURS = "range int, after binary, after_n binary, before binary, before_n binary"
 
-    def table(lines: list[np.ndarray]):
-        both = [np.concatenate([x[cut] for x in lines]) for cut in (slice(None, -1), slice(1, None))]
-        found = pa.table(both, names=["a", "b"]).group_by(["a", "b"], use_threads=False).aggregate([([], "count_all")])
-        yield from found.select(["a", "b", "count_all"]).rename_columns(["a", "b", "c"]).to_batches(100_000)
+
+def _neighbours(head: Broadcast, size: int, ranges: int):
+    """Neighbours of the head's words after and before them, as keys ``word * (size + 2) + neighbour``.
+
+    A neighbour is a head word, ``size`` for any other word, or ``size + 1`` for the end, which stands before
+    and after each text.
+    """
+    width = size + 2
+
+    def counted(pairs: list[np.ndarray]):
+        left, right = (np.concatenate(x) for x in zip(*pairs))
+        some = (left < size) | (right < size)
+        pair = left[some] * width + right[some]
+        pair.sort()
+        starts, counts = runs(pair)
+        left, right = np.divmod(pair[starts], width)
+        sides = []
+        for word, other in ((left, right), (right, left)):
+            mine = np.flatnonzero(word < size)
+            which = (word[mine] % ranges).astype(np.int32)
+            mine = mine[np.lexsort((word[mine] * width + other[mine], which))]
+            sides.append(((word[mine] % ranges).astype(np.int32), word[mine] * width + other[mine], counts[mine]))
+        for r in range(ranges):
+            cut = [tuple(np.searchsorted(which, (r, r + 1))) for which, _, _ in sides]
+            if any(a < b for a, b in cut):
+                row = [_packed(x) for (a, b), (_, keys, n) in zip(cut, sides) for x in (np.diff(keys[a:b], prepend=0), n[a:b])]
+                yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), *(pa.array([x], pa.binary()) for x in row)], names=_NEIGHBOURS_NAMES)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lines, n = [], 0
+        get, held, n = head.value.get, [], 0
         for batch in rows_of(batches):
-            line = [END]
+            line = [size + 1]
             for text in batch["text"].to_pylist():
-                line += [head[w] if w in head else word_id(w) for w in words(text)]
-                line.append(END)
-            lines.append(np.array(line, np.int64))
+                line += [get(w, size) for w in words(text)]
+                line.append(size + 1)
+            line = np.array(line, np.int64)
+            held.append((line[:-1], line[1:]))
             n += len(line)
             if n > AT_ONCE:
-                yield from table(lines)
-                lines, n = [], 0
-        if lines:
-            yield from table(lines)
+                yield from counted(held)
+                held, n = [], 0
+        if held:
+            yield from counted(held)
 
     return run
 
 
+_NEIGHBOURS_NAMES = [x.split()[0] for x in _NEIGHBOURS.split(", ")]
+
+
+def _merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each range, from rows sorted by range; what is held shrinks to the range's own pairs."""
+    def total(parts: list):
+        return [_summed(*(np.concatenate(x) for x in zip(*side))) for side in parts]
+
+    names = _NEIGHBOURS_NAMES
+    now, held, n = None, [[], []], 0
+
+    def row():
+        packed = [_packed(x) for keys, counts in total(held) for x in (np.diff(keys, prepend=0), counts)]
+        return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)], names=names)
+
+    for batch in batches:
+        for r, *data in zip(*(batch[c].to_pylist() for c in names)):
+            if r != now:
+                if now is not None:
+                    yield row()
+                now, held, n = r, [[], []], 0
+            for side, (keys, counts) in enumerate((data[:2], data[2:])):
+                held[side].append((np.cumsum(_unpacked(keys)), _unpacked(counts)))
+                n += len(held[side][-1][0])
+            if n > AT_ONCE:
+                held, n = [[x] for x in total(held)], 0
+    if now is not None:
+        yield row()
+
+
 # ---------------------------------------------------------------- clustering
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -109,13 +174,11 @@ class Exchange:
 
     Classes ``0..k-1`` are words' own; the others are contexts alone. A word is taken out of its class and put
     where the class bigrams become likeliest, and the sums follow. All classes are compared by the first order of
-    the gain; the ``SHORT`` best of them, and the word's own, by the gain itself.
+    the gain, for many words at once; the ``SHORT`` best of them, and the word's own, by the gain itself.
     """
 
     def __init__(self, joint: np.ndarray, k: int):
         self.joint, self.k = joint.astype(float), k
-        self.log = np.log(np.maximum(self.joint, 0) + 0.5)
-        self.turned = self.log.T.copy()
         self.out, self.into = self.joint.sum(axis=1), self.joint.sum(axis=0)
 
     def _add(self, g: int, after: np.ndarray, n: np.ndarray, before: np.ndarray, m: np.ndarray, own: float, sign: int) -> None:
@@ -124,305 +187,434 @@ class Exchange:
         self.joint[g, g] += sign * own
         self.out[g] += sign * (n.sum() + own)
         self.into[g] += sign * (m.sum() + own)
-        after, before = np.append(after, g), np.append(before, g)
-        self.log[g, after] = self.turned[after, g] = np.log(np.maximum(self.joint[g, after], 0) + 0.5)
-        self.log[before, g] = self.turned[g, before] = np.log(np.maximum(self.joint[before, g], 0) + 0.5)
 
-    def move(self, g: int, after: np.ndarray, n: np.ndarray, before: np.ndarray, m: np.ndarray, own: float = 0.0) -> int:
-        """The class of a word of class ``g`` with ``n`` neighbours of the classes ``after`` it, ``m`` of ``before`` it, and ``own`` times itself."""
+    def gains(self, right: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """First order of the gain of every class (columns) for words (rows) by their neighbours' classes after and before them."""
+        k = self.k
+        log = np.log(np.maximum(self.joint, 0) + 0.5)
+        gain = right @ log.T[:, :k] + left @ log[:, :k]
+        gain -= right.sum(axis=1)[:, None] * np.log(np.maximum(self.out[:k], 0) + 1)
+        return gain - left.sum(axis=1)[:, None] * np.log(np.maximum(self.into[:k], 0) + 1)
+
+    def shortlist(self, right: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """The most promising classes of words, ascending."""
+        if self.k <= SHORT:
+            return np.tile(np.arange(self.k), (len(right), 1))
+        return np.sort(np.argpartition(self.gains(right, left), -SHORT, axis=1)[:, -SHORT:], axis=1)
+
+    def move(
+        self, g: int, after: np.ndarray, n: np.ndarray, before: np.ndarray, m: np.ndarray, own: float = 0.0, c: np.ndarray | None = None
+    ) -> int:
+        """The class, of those of ``c`` and its own, of a word of class ``g`` with ``n`` neighbours of the classes
+        ``after`` it, ``m`` of ``before`` it, and ``own`` times itself."""
         k = self.k
         self._add(g, after, n, before, m, own, -1)
         right, left = np.zeros(len(self.joint)), np.zeros(len(self.joint))
         right[after], left[before] = n, m
+        if c is None:
+            c = self.shortlist(right[None], left[None])[0]
+        if g < k and not (c == g).any():
+            c = np.append(c, g)
         # Wherever the word goes, its neighbours' classes keep in their sums what they share with it.
-        out, into = self.out, self.into
-        c = np.arange(k)
-        if k > SHORT:
-            gain = n @ self.turned[after, :k] + m @ self.log[before, :k]
-            gain -= n.sum() * np.log(np.maximum(out[:k], 0) + 1) + m.sum() * np.log(np.maximum(into[:k], 0) + 1)
-            c = np.argpartition(gain, -SHORT)[-SHORT:]
-            c = np.unique(np.append(c, g)) if g < k else np.sort(c)
-        rows, columns = self.joint[c[:, None], after], self.joint[before, c[:, None]]
-        gain = (_xlogx(rows + n) - _xlogx(rows)).sum(axis=1) + (_xlogx(columns + m) - _xlogx(columns)).sum(axis=1)
+        met = np.concatenate([self.joint[c[:, None], after], self.joint[before, c[:, None]]], axis=1)
+        f = _xlogx(np.concatenate([met + np.concatenate([n, m]), met]))
+        gain = (f[: len(c)] - f[len(c) :]).sum(axis=1)
         # The cell of a class with itself lies in its row and in its column.
-        d, r, l = self.joint[c, c], right[c], left[c]
-        gain += _xlogx(d + r + l + own) + _xlogx(d) - _xlogx(d + r) - _xlogx(d + l)
-        for whole, more in ((out[c], n.sum() + own), (into[c], m.sum() + own)):
-            gain -= _xlogx(whole + more) - _xlogx(whole)
+        d, r, l, out, into = self.joint[c, c], right[c], left[c], self.out[c], self.into[c]
+        f = _xlogx(np.array([d + r + l + own, d, d + r, d + l, out + n.sum() + own, out, into + m.sum() + own, into]))
+        gain += f[0] + f[1] - f[2] - f[3] - f[4] + f[5] - f[6] + f[7]
         best = int(c[gain.argmax()])
-        if g < k and gain.max() <= gain[np.searchsorted(c, g)] + 1e-9:
+        if g < k and gain.max() <= gain[c == g][0] + 1e-9:
             best = g
         self._add(best, after, n, before, m, own, 1)
         return best
 
 
-def _exchanged(joint: np.ndarray, k: int):
-    """Classes of the words of rows ``id, side, d, c, g`` sorted by id; side 0 is after the word, 1 before it,
-    2 the word beside itself. One word's rows, at most two a class, are held."""
+def _sides(row: list[bytes], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Words, neighbours and counts after and before the words of a range."""
+    for keys, counts in (row[:2], row[2:]):
+        keys = np.cumsum(_unpacked(keys))
+        yield keys // width, keys % width, _unpacked(counts)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        exchange, kept = Exchange(joint, k), None
 
-        def moved(rows: np.ndarray) -> pa.RecordBatch:
-            starts = np.flatnonzero(np.append(True, rows[0, 1:] != rows[0, :-1]))
-            found = []
-            for at, to in zip(starts, np.append(starts[1:], rows.shape[1])):
-                _, side, d, c, g = rows[:, at:to]
-                c = c.astype(float)
-                right, left, own = (side == x for x in (0, 1, 2))
-                found.append(exchange.move(int(g[0]), d[right], c[right], d[left], c[left], float(c[own].sum())))
-            return pa.RecordBatch.from_arrays([pa.array(rows[0, starts]), pa.array(found, pa.int32())], names=["id", "g"])
+def _cells(of: Broadcast, size: int, k: int, outside: bool):
+    """Class-class sums of the ranges: cells ``class * (k + 2) + class``; words outside the head count if asked for."""
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((k + 2) ** 2, np.int64)
+        classes = of.value
         for batch in batches:
-            rows = np.stack([batch[x].to_numpy().astype(np.int64) for x in ("id", "side", "d", "c", "g")])
-            rows = rows if kept is None else np.concatenate([kept, rows], axis=1)
-            last = np.searchsorted(rows[0], rows[0, -1]) if rows.shape[1] else 0
-            if last:
-                yield moved(rows[:, :last])
-            kept = rows[:, last:]
-        if kept is not None and kept.shape[1]:
-            yield moved(kept)
+            for row in zip(*(batch[c].to_pylist() for c in _NEIGHBOURS_NAMES[1:])):
+                (w, after, n), (v, before, m) = _sides(list(row), size + 2)
+                only_left = before >= size  # pairs of two head words are counted after the first
+                a = np.concatenate([classes[w], classes[before[only_left]]])
+                b = np.concatenate([classes[after], classes[v[only_left]]])
+                c = np.concatenate([n, m[only_left]])
+                if not outside:
+                    known = np.concatenate([after != size, before[only_left] != size])
+                    a, b, c = a[known], b[known], c[known]
+                total += np.bincount(a.astype(np.int64) * (k + 2) + b, c, (k + 2) ** 2).astype(np.int64)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["cell", "c"])
 
     return run
 
 
-def _joint(sums: DataFrame, size: int) -> np.ndarray:
-    """Class-class sums of rows ``ga, gb, c``."""
-    cells = sums.groupBy("ga", "gb").agg(F.sum("c").alias("c")).toPandas()
-    joint = np.zeros((size, size))
-    joint[cells["ga"].to_numpy(np.int64), cells["gb"].to_numpy(np.int64)] = cells["c"].to_numpy(float)
-    return joint
+def _joint(neighbours: DataFrame, of: np.ndarray, size: int, k: int, outside: bool) -> np.ndarray:
+    sent = neighbours.sparkSession.sparkContext.broadcast(of)
+    cells = neighbours.mapInArrow(_cells(sent, size, k, outside), "cell long, c long").groupBy("cell").agg(F.sum("c").alias("c")).toPandas()
+    joint = np.zeros((k + 2) ** 2)
+    joint[cells["cell"].to_numpy(np.int64)] = cells["c"].to_numpy(float)
+    return joint.reshape(k + 2, k + 2)
 
 
-def _classed(pairs: DataFrame, of: DataFrame, end: int) -> DataFrame:
-    """Pairs with the classes ``ga, gb`` of their words, null where ``of`` has none."""
-    for x in ("a", "b"):
-        pairs = pairs.join(of.select(F.col("id").alias(x), F.col("g").alias(f"g{x}")), x, "left")
-        pairs = pairs.withColumn(f"g{x}", F.when(F.col(x) == END, end).otherwise(F.col(f"g{x}")))
-    return pairs
+def _exchanged(of: Broadcast, joint: Broadcast, size: int, k: int):
+    """New classes ``id, g`` of the words of the ranges."""
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, exchange, width = of.value, Exchange(joint.value, k), k + 2
+        for batch in batches:
+            for row in zip(*(batch[c].to_pylist() for c in _NEIGHBOURS_NAMES[1:])):
+                sides = list(_sides(list(row), size + 2))
+                ids = np.unique(np.concatenate([w for w, _, _ in sides]))
+                own, tables = np.zeros(len(ids)), []
+                for side, (w, other, n) in enumerate(sides):
+                    at = np.searchsorted(ids, w)
+                    itself = w == other
+                    if not side:
+                        own[at[itself]] = n[itself]
+                    table = np.bincount(at[~itself] * width + classes[other[~itself]], n[~itself], len(ids) * width)
+                    tables.append(table.reshape(len(ids), width))
+                found, promising = [], exchange.shortlist(*tables)
+                for x, i in enumerate(ids.tolist()):
+                    after, before = (np.flatnonzero(t[x]) for t in tables)
+                    found.append(exchange.move(
+                        int(classes[i]), after, tables[0][x, after], before, tables[1][x, before], float(own[x]), promising[x]
+                    ))
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(found, pa.int32())], names=["id", "g"])
 
-def clustered_words(pairs: DataFrame, often: DataFrame, n_often: int, seeds: list[int], sweeps: int = SWEEPS) -> DataFrame:
-    """``id, g`` of the words ``id`` of ``often``, which are ``n_often``; each seed starts a class.
+    return run
 
-    The other words have no class until the first sweep gives them one; as contexts they are then
-    one class, as are words that are not in ``often`` throughout.
+
+def clustered_head(neighbours: DataFrame, size: int, k: int, sweeps: int = SWEEPS) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of the ``size`` head words, and the class-class sums with words outside.
+
+    The first ``k`` words start a class each. The others have none until the first sweep gives them one; as
+    contexts they are one class until then, as are words outside throughout. Behind the words stand the classes of
+    those, ``k``, and of the end, ``k + 1``.
+    """
+    context = neighbours.sparkSession.sparkContext
+    of = np.full(size + 2, k, np.int32)
+    of[:k] = np.arange(k)
+    of[size + 1] = k + 1
+    for _ in range(sweeps if size else 0):
+        joint = _joint(neighbours, of, size, k, True)
+        moved = neighbours.mapInArrow(_exchanged(context.broadcast(of), context.broadcast(joint), size, k), "id long, g int").toPandas()
+        of = of.copy()
+        of[moved["id"].to_numpy(np.int64)] = moved["g"].to_numpy(np.int32)
+    return of, _joint(neighbours, of, size, k, True)
+
+
+def _placed(joint: Broadcast, k: int):
+    """Classes ``word, g`` for words outside the head, from their neighbours' classes ``word, side, d, c`` sorted by word.
+
+    These words are rare beside the classes, so the first order of the gain decides, and the sums stay as they are.
     """
-    k = len(seeds)
-    rest, end = k, k + 1
-    spark = often.sparkSession
-    begun = spark.createDataFrame([(i, g) for g, i in enumerate(seeds)], "id long, seed int")
-    of = settle(often.select("id").join(F.broadcast(begun), "id", "left").select("id", F.coalesce("seed", F.lit(rest)).alias("g")), "classes")
-    for _ in range(sweeps if seeds else 0):
-        both = _classed(pairs, of, end)
-        ga, gb = (F.coalesce(f"g{x}", F.lit(rest)) for x in "ab")
-        joint = _joint(both.select(ga.alias("ga"), gb.alias("gb"), "c"), k + 2)
-        side = lambda word, own, n, other, which: both.where(F.col(own).isNotNull() & (F.col(word) != END) & which).select(
-            F.col(word).alias("id"), F.col(own).alias("g"), F.lit(n).alias("side"), other.alias("d"), "c"
-        )
-        near = side("a", "ga", 0, gb, F.expr("a != b")).union(side("b", "gb", 1, ga, F.expr("a != b")))
-        near = near.union(side("a", "ga", 2, F.lit(-1), F.expr("a = b")))
-        near = near.groupBy("id", "g", "side", "d").agg(F.sum("c").alias("c"))
-        near = near.repartition(max(1, -(-n_often // PER_TASK)), "id").sortWithinPartitions("id", "side", "d")
-        of = settle(near.mapInArrow(_exchanged(joint, k), "id long, g int"), "classes")
-    return of
-
-
-def classes_of_all(table: DataFrame, of: DataFrame) -> DataFrame:
-    """``table`` with the class ``g`` of every word: its own or, for a rarer one, that of its last three characters."""
-    table = table.withColumn("ending", F.expr("right(word, 3)"))
-    named = table.join(of, "id", "left")
-    often = named.where("g is not null").groupBy("ending", "g").agg(F.count("*").alias("n"))
-    ends = often.groupBy("ending").agg(F.max(F.struct("n", -F.col("g"))).alias("most"))
-    ends = ends.select("ending", (-F.col("most")["col2"]).alias("theirs"))
-    most = of.groupBy("g").count().orderBy(F.desc("count"), "g").first()
-    out = named.join(ends, "ending", "left")
-    return out.select("word", "id", "c", F.coalesce("g", "theirs", F.lit(most["g"] if most else 0)).cast("int").alias("g"), F.col("g").isNotNull().alias("own"))
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        exchange, held = Exchange(joint.value, k), []
+
+        def placed():
+            tables = np.zeros((2, len(held), k + 2))
+            for x, (_, rows) in enumerate(held):
+                for side, d, c in rows:
+                    tables[side, x, d] = c
+            found = exchange.gains(*tables).argmax(axis=1)
+            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in held]), pa.array(found, pa.int32())], names=["word", "g"])
+
+        for (word,), rows in grouped(batches, ["word"], ["side", "d", "c"]):
+            held.append((word, rows))
+            if len(held) == 2_000:
+                yield placed()
+                held = []
+        if held:
+            yield placed()
 
-# ---------------------------------------------------------------- the model
+    return run
 
-@dataclass(frozen=True)
-class ClassModel:
-    """What every task holds: the bounded head, and class-class tables."""
-
-    head: dict[bytes, int]  # place of a word, the most frequent first
-    classes: np.ndarray  # class of each head word
-    transition: np.ndarray  # log10, from class to class; the last two are the end and the unknown word
-    emission: np.ndarray  # log10 of each head word in its class
-    base: np.ndarray  # log10 of each head word and, last, of the end, by the base formula
-    per_class: np.ndarray  # tokens of each class of words
-    tokens: int
-    types: int
-    discount: float
 
+def classes_outside(counts: DataFrame, tail_of: DataFrame, head: DataFrame) -> DataFrame:
+    """``word, c, g`` of all words outside the head: their own class or, for a rarer one, that of its last three characters."""
+    def ended(df: DataFrame) -> DataFrame:
+        return df.withColumn("ending", F.expr("right(word, 3)"))
 
-def transitions(joint: np.ndarray, per_class: np.ndarray, freed: np.ndarray) -> np.ndarray:
-    """log10 from class to class, the last row and column being the unknown word.
+    often = ended(head.select("word", "g").union(tail_of.select("word", "g"))).groupBy("ending", "g").agg(F.count("*").alias("n"))
+    often = settle(often, "endings")
+    ends = often.groupBy("ending").agg(F.max(F.struct("n", -F.col("g"))).alias("most"))
+    ends = ends.select("ending", (-F.col("most")["col2"]).alias("theirs"))
+    most = often.groupBy("g").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "g").first()
+    out = ended(counts).join(tail_of, "word", "left").join(ends, "ending", "left")
+    return out.select("word", "c", F.coalesce("g", "theirs", F.lit(most["g"] if most else 0)).cast("int").alias("g"))
 
-    ``joint`` counts the bigrams of the classes of words and, last, the end. Each class frees the share ``freed``
-    of its mass for the unknown word, which therefore may stand for any class, as likely as that class has freed mass.
-    """
-    size = len(joint)
-    share = (joint.sum(axis=0) + 1) / (joint.sum() + size)
-    p = (joint + BACKOFF * share) / (joint.sum(axis=1, keepdims=True) + BACKOFF)
-    k = size - 1
-    mass = freed * per_class
-    stands = mass / mass.sum() if mass.sum() else np.full(k, 1 / max(1, k))
-    p = np.vstack([p, stands @ p[:k] if k else p[-1]])
-    unknown = p[:, :k] @ freed if mass.sum() else np.ones(len(p))
-    return np.log10(np.column_stack([p, unknown]))
 
+# ---------------------------------------------------------------- lines of classes
 
-def fit(training: DataFrame, head_size: int = HEAD, least: int = LEAST) -> tuple[ClassModel, DataFrame]:
-    """The model, and the table ``word, id, c, g`` of all words of the training texts, with their classes."""
-    counts = training.mapInArrow(_count_words, "word string, id long, c long").groupBy("word", "id").agg(F.sum("c").alias("c"))
-    counts = settle(counts, "words")
-    n_docs = training.count()
-    top = counts.orderBy(F.desc("c"), "word").limit(head_size).toPandas()
-    ids = dict(zip((w.encode() for w in top["word"]), top["id"].tolist()))
-    pairs = training.mapInArrow(_count_pairs(ids), "a long, b long, c long")
-    pairs = settle(pairs.groupBy("a", "b").agg(F.sum("c").alias("c")), "pairs")
-
-    often = counts.where(F.col("c") >= least)
-    n_often = often.count()
-    seeds = [i for i, c in zip(top["id"].tolist(), top["c"].tolist()) if c >= least][: n_classes(n_often)]
-    of = clustered_words(pairs, often, n_often, seeds)
-    counts = settle(classes_of_all(counts, of), "classed")
-    k = max(1, len(seeds)) if len(top) else 0
-    both = _classed(pairs, of, k)
-    plain = both.where("ga is not null and gb is not null").select("ga", "gb", "c")
-    # Pairs with a rarer word are few, and only they meet the table of all words.
-    rarer = both.where("ga is null or gb is null").select("a", "b", "c")
-    rarer = _classed(rarer, counts.select("id", "g"), k).select("ga", "gb", "c")
-    joint = _joint(plain.union(rarer), k + 1)
-
-    once, twice = (F.coalesce(F.sum((F.col("c") == n).cast("long")), F.lit(0)).alias(x) for n, x in ((1, "ones"), (2, "twos")))
-    sums = counts.groupBy("g").agg(F.sum("c").alias("c"), F.count("*").alias("n"), once, twice).toPandas()
-    ones, twos = int(sums["ones"].sum()), int(sums["twos"].sum())
-    discount = min(0.9, max(0.1, ones / (ones + 2 * twos))) if ones else 0.1
-    per_class, freed = np.zeros(k), np.zeros(k)
-    per_class[sums["g"].to_numpy(np.int64)] = sums["c"].to_numpy(float)
-    freed[sums["g"].to_numpy(np.int64)] = discount * sums["n"].to_numpy(float) / sums["c"].to_numpy(float)
-    head = counts.orderBy(F.desc("c"), "word").limit(head_size).toPandas()
-    classes, head_counts = head["g"].to_numpy(np.int64), head["c"].to_numpy(float)
-    model = ClassModel(
-        {w.encode(): n for n, w in enumerate(head["word"])}, classes, transitions(joint, per_class, freed),
-        np.log10((head_counts - discount) / per_class[classes]), np.zeros(0), per_class,
-        int(per_class.sum()) + n_docs, int(sums["n"].sum()) + int(n_docs > 0), discount,
-    )
-    base = np.log10((np.append(head_counts, n_docs) + 1) / (model.tokens + model.types + 1))
-    return ClassModel(**{**model.__dict__, "base": base}), counts
+_LINES = (
+    "row long, doc_id long, train boolean, n_tokens long, n_known long, base double, logs double, line binary, "
+    "word string, run int, at int, left int, right int"
+)
+_LINE_NAMES = [x.split()[0] for x in _LINES.split(", ")]
 
 
-_SCORED = "row long, doc_id long, n_tokens long, n_known long, base double, score double, word string, run long, at long, left int, right int"
+@dataclass(frozen=True)
+class Head:
+    """What every task holds of the head: places, classes, and logarithms of counts."""
+
+    place: dict[bytes, int]
+    of: np.ndarray
+    base: np.ndarray  # log10 by the base formula; last, of the end
+    logs: np.ndarray  # log10 of the discounted count
 
 
-def _score(model: ClassModel, end_known: int):
-    """A row for every text, and one for every word outside the head: its place, the place where its run of such
-    words begins, and the classes before and after it, -1 for another such word."""
-    end = len(model.transition) - 2
-    names = [x.split()[0] for x in _SCORED.split(", ")]
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-    rare_kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+def _lines(sent: Broadcast, end: int, end_known: int):
+    """A row for every text with the classes of its head words, and one for every word outside the head: its place, the
+    place where its run of such words begins, and the classes before and after it, -1 for another such word."""
+
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
+    rare_kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int32())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 40
-        get = model.head.get
+        row, head = TaskContext.get().partitionId() << 40, sent.value
+        get, of = head.place.get, np.append(head.of, -1).astype(np.int64)
         for batch in rows_of(batches):
             whole: list[tuple] = []
             rare: list[tuple] = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
+            for doc_id, train, text in zip(batch["doc_id"].to_pylist(), batch["train"].to_pylist(), batch["text"].to_pylist()):
                 parts = words(text)
                 at = np.fromiter((get(w, -1) for w in parts), np.int64, len(parts))
                 known = at[at >= 0]
                 line = np.full(len(parts) + 2, end)
-                line[1:-1] = np.where(at >= 0, model.classes[at], -1) if len(model.classes) else -1
-                here = (line[:-1] >= 0) & (line[1:] >= 0)
-                score = model.transition[line[:-1][here], line[1:][here]].sum() + model.emission[known].sum()
-                base = model.base[known].sum() + model.base[-1]
-                whole.append((row, doc_id, len(parts) + 1, len(known) + end_known, float(base), float(score)))
+                line[1:-1] = of[at]
+                whole.append((row, doc_id, train, len(parts) + 1, len(known) + end_known, float(head.base[known].sum() + head.base[-1]),
+                              float(head.logs[known].sum()), np.where(line < 0, OUTSIDE, line).astype("<u2").tobytes()))
                 begin = -1
                 for k in np.flatnonzero(at < 0).tolist():
                     begin = k if line[k] >= 0 else begin
-                    rare.append((row, parts[k], begin, k, int(line[k]), int(line[k + 2])))
+                    rare.append((row, train, parts[k], begin, k, int(line[k]), int(line[k + 2])))
                 row += 1
             if whole:
                 n = len(whole)
                 yield pa.RecordBatch.from_arrays(
                     [*(pa.array(c, k) for c, k in zip(zip(*whole), kinds)), pa.nulls(n, pa.string()), *(pa.nulls(n, k) for k in rare_kinds)],
-                    names=names,
+                    names=_LINE_NAMES,
                 )
             for start in range(0, len(rare), 200_000):
-                r, w, *places = zip(*rare[start : start + 200_000])
+                r, t, w, *places = zip(*rare[start : start + 200_000])
+                n = len(r)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(r, pa.int64()), *(pa.nulls(len(r), k) for k in kinds[1:]), pa.array(w, pa.binary()).cast(pa.string()),
-                     *(pa.array(p, k) for p, k in zip(places, rare_kinds))],
-                    names=names,
+                    [pa.array(r, pa.int64()), pa.nulls(n, pa.int64()), pa.array(t, pa.bool_()), *(pa.nulls(n, k) for k in kinds[3:]),
+                     pa.array(w, pa.binary()).cast(pa.string()), *(pa.array(p, k) for p, k in zip(places, rare_kinds))],
+                    names=_LINE_NAMES,
                 )
 
     return run
 
 
-def _passed(transition: np.ndarray):
-    """Sum of the transitions into and out of the words of rows ``row, run, at, left, right, g``, sorted; a part for each batch."""
+_STEPS = "row long, train boolean, c long, before int, g int, after int"
+
+
+def _stepped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each word's class between those before and after it, from rows sorted by row, run and place; after is -1 inside a run."""
+    last = -1
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        left, g = batch["left"].to_numpy(), batch["g"].to_numpy()
+        # Within a run the word before is the row before.
+        before = np.where(left >= 0, left, np.append(last, g[:-1])).astype(np.int32)
+        last = g[-1]
+        columns = [batch["row"], batch["train"], batch["c"], pa.array(before), batch["g"], batch["right"]]
+        yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in _STEPS.split(", ")])
+
+
+# ---------------------------------------------------------------- the model
+
+@dataclass(frozen=True)
+class ClassModel:
+    """Tables by class: log10 transitions, whose last two are the end and the unknown word, and tokens of each class."""
+
+    transition: np.ndarray
+    per_class: np.ndarray
+    tokens: int
+    types: int
+    discount: float
+
+
+def transitions(joint: np.ndarray, per_class: np.ndarray, freed: np.ndarray) -> np.ndarray:
+    """log10 from class to class, the last row and column being the unknown word.
+
+    ``joint`` counts the bigrams of the classes of words and, last, the end. Each class frees the share ``freed``
+    of its mass for the unknown word, which therefore may stand for any class, as likely as that class has freed mass.
+    """
+    size = len(joint)
+    share = (joint.sum(axis=0) + 1) / (joint.sum() + size)
+    p = (joint + BACKOFF * share) / (joint.sum(axis=1, keepdims=True) + BACKOFF)
+    k = size - 1
+    mass = freed * per_class
+    stands = mass / mass.sum() if mass.sum() else np.full(k, 1 / max(1, k))
+    p = np.vstack([p, stands @ p[:k] if k else p[-1]])
+    unknown = p[:, :k] @ freed if mass.sum() else np.ones(len(p))
+    return np.log10(np.column_stack([p, unknown]))
+
+
+def _whole_scores(model: Broadcast):
+    """Scores of what a text's head words give by themselves."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        transition = model.value.transition
+        share = np.log10(np.maximum(model.value.per_class, 1))
+        end = len(transition) - 2
+        for batch in rows_of(batches, 10_000):
+            found = []
+            for logs, data in zip(batch["logs"].to_pylist(), batch["line"].to_pylist()):
+                line = np.frombuffer(data, "<u2").astype(np.int64)
+                here = (line[:-1] != OUTSIDE) & (line[1:] != OUTSIDE)
+                own = line[(line != OUTSIDE) & (line != end)]
+                found.append(float(logs + transition[line[:-1][here], line[1:][here]].sum() - share[own].sum()))
+            yield pa.RecordBatch.from_arrays([batch["row"], pa.array(found, pa.float64())], names=["row", "score"])
+
+    return run
+
+
+def _outside_scores(model: Broadcast):
+    """Sums for the words outside the head, a row for each stretch of one text: base, score and known ones."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = (-1, -1, -1)
+        m = model.value
+        share = np.append(np.maximum(m.per_class, 1), 1.0)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            row, at, left, right, g = (batch[x].to_numpy().astype(np.int64) for x in ("row", "at", "left", "right", "g"))
-            before = np.append(last[2], g[:-1])
-            # Within a run the word before is the row before.
-            from_ = np.where(left >= 0, left, before)
-            score = transition[from_, g] + np.where(right >= 0, transition[g, right], 0.0)
-            last = (row[-1], at[-1], g[-1])
-            starts = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(row[starts]), pa.array(np.add.reduceat(score, starts))], names=["row", "more_passed"]
-            )
+            row, c, before, g, after = (batch[x].to_numpy().astype(np.int64) for x in ("row", "c", "before", "g", "after"))
+            known = c > 0
+            size = share[np.minimum(g, len(share) - 1)]  # the unknown word's is not used
+            score = m.transition[before, g] + np.where(after >= 0, m.transition[g, after], 0.0)
+            score += np.where(known, np.log10(np.maximum(c - m.discount, 1e-9) / size), 0.0)
+            base = np.log10((c + 1) / (m.tokens + m.types + 1))
+            starts, _ = runs(row)
+            sums = [np.add.reduceat(x, starts) for x in (base, score, known.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([pa.array(row[starts]), *map(pa.array, sums)], names=["row", "more_base", "more_score", "more_known"])
 
     return run
 
 
+@dataclass(frozen=True)
+class Fitted:
+    model: ClassModel
+    lines: DataFrame  # texts and words outside the head
+    steps: DataFrame  # words outside the head with their classes
+    head: DataFrame  # word, c, g
+    outside: DataFrame  # word, c, g of all other words
+
+
+def fit(docs: DataFrame, head_size: int = HEAD, least: int = LEAST) -> Fitted:
+    """The model of the training rows of ``doc_id, train, text``, and all rows as lines of classes."""
+    spark = docs.sparkSession
+    training = docs.where("train").select("text")
+    counts = training.mapInArrow(_count_words, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    counts = settle(counts, "words")
+    n_docs = training.count()
+    about = counts.agg(
+        F.count("*").alias("types"), F.sum("c").alias("tokens"), F.count_if(F.col("c") == 1).alias("ones"), F.count_if(F.col("c") == 2).alias("twos")
+    ).first()
+    types, tokens = about["types"] + int(n_docs > 0), (about["tokens"] or 0) + n_docs
+    ones, twos = about["ones"], about["twos"]
+    discount = min(0.9, max(0.1, ones / (ones + 2 * twos))) if ones else 0.1
+
+    top = counts.where(F.col("c") >= least).orderBy(F.desc("c"), "word").limit(head_size).toPandas()
+    size, c = len(top), top["c"].to_numpy(float)
+    k = max(1, n_classes(size)) if about["types"] else 0
+    place = {w.encode(): i for i, w in enumerate(top["word"])}
+    ranges = max(1, -(-size // PER_RANGE))
+    neighbours = training.mapInArrow(_neighbours(spark.sparkContext.broadcast(place), size, ranges), _NEIGHBOURS)
+    # Sweeps read the ranges in as many tasks as there are files, whatever their size.
+    neighbours = neighbours.repartition(max(1, ranges // 4), "range").sortWithinPartitions("range").mapInArrow(_merged, _NEIGHBOURS)
+    neighbours = settle(neighbours, "neighbours")
+    of, joint = clustered_head(neighbours, size, k)
+    head = spark.createDataFrame(
+        pd.DataFrame({"word": top["word"].astype(object), "c": top["c"].astype("int64"), "g": of[:size].astype("int32")}), "word string, c long, g int"
+    )
+
+    base = np.log10((np.append(c, n_docs) + 1) / (tokens + types + 1))
+    sent = spark.sparkContext.broadcast(Head(place, of[:size], base, np.log10(np.maximum(c - discount, 1e-9))))
+    lines = settle(docs.mapInArrow(_lines(sent, k, int(tokens > 0)), _LINES), "lines")
+
+    rare = lines.where("word is not null").select("row", "train", "word", "run", "at", "left", "right")
+    outside = counts
+    if size:  # in the order of the head, all words after its last
+        last = top.iloc[-1]
+        outside = counts.where((F.col("c") < int(last["c"])) | ((F.col("c") == int(last["c"])) & (F.col("word") > str(last["word"]))))
+    side = lambda n, other: rare.where("train").select(
+        "word", F.lit(n).alias("side"), F.when(F.col(other) < 0, k).when(F.col(other) == k, k + 1).otherwise(F.col(other)).alias("d")
+    )
+    around = side(0, "right").union(side(1, "left")).groupBy("word", "side", "d").agg(F.count("*").alias("c"))
+    around = around.join(outside.where(F.col("c") >= least).select("word"), "word", "left_semi")
+    around = around.repartition("word").sortWithinPartitions("word")
+    tail_of = settle(around.mapInArrow(_placed(spark.sparkContext.broadcast(joint), k), "word string, g int"), "placed")
+    classed = settle(classes_outside(outside, tail_of, head), "classed")
+
+    unknown = k + 1
+    placed = rare.join(classed, "word", "left").select(
+        "row", "train", "run", "at", "left", "right", F.coalesce("c", F.lit(0)).cast("long").alias("c"), F.coalesce("g", F.lit(unknown)).cast("int").alias("g")
+    )
+    placed = placed.repartition("row", "run").sortWithinPartitions("row", "run", "at")
+    steps = settle(placed.select("row", "train", "c", "g", "left", "right").mapInArrow(_stepped, _STEPS), "steps")
+
+    # Bigrams of all words: between head words and ends, around words outside, and of texts without words.
+    joint = _joint(neighbours, of, size, k, False)
+    joint = np.delete(np.delete(joint, k, axis=0), k, axis=1)  # words outside have classes now
+    passed = steps.where("train").select("before", "g", "after")
+    passed = passed.select(F.col("before").alias("a"), F.col("g").alias("b")).union(passed.where("after >= 0").select("g", "after"))
+    for r in passed.groupBy("a", "b").agg(F.count("*").alias("c")).toPandas().itertuples():
+        joint[r.a, r.b] += r.c
+    joint[k, k] += lines.where("word is null and train and n_tokens = 1").count()
+
+    sums = classed.groupBy("g").agg(F.sum("c").alias("c"), F.count("*").alias("n")).toPandas()
+    per_class = np.bincount(of[:size], c, k).astype(float)
+    held = np.bincount(of[:size], minlength=k).astype(float)
+    per_class[sums["g"].to_numpy(np.int64)] += sums["c"].to_numpy(float)
+    held[sums["g"].to_numpy(np.int64)] += sums["n"].to_numpy(float)
+    freed = discount * held / np.maximum(per_class, 1)
+    model = ClassModel(transitions(joint, per_class, freed), per_class, tokens, types, discount)
+    return Fitted(model, lines, steps, head, classed)
+
+
 def lm_scores(docs: DataFrame, head_size: int = HEAD, least: int = LEAST) -> DataFrame:
     """One row per document: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity``.
 
     Training texts are those whose id's CRC leaves another remainder than 2 by 7. ``base_score`` is the
     add-one unigram of the contract. ``score`` is the class model's log10 probability of the
     whole text: all words of the training texts have a class, in which they are discounted
-    absolutely, the mass freed being that of one unknown word, as the base has one. Words that
-    occur ``least`` times are clustered.
+    absolutely, the mass freed being that of one unknown word, as the base has one. Words that occur ``least``
+    times are clustered, the ``head_size`` most frequent of them in sweeps; classes are as many as the root of
+    those, halved.
 
     Cases: null and empty texts are the end alone; rows repeated give equal rows, and training ones
     count each time; a null id is neither trained on nor held out; without training texts every word
     is unknown; an empty table gives no rows.
     """
     docs = only(docs, doc_id="long", text="string")
-    training = docs.where(fold("doc_id", 7) != 2).select("text")
-    model, counts = fit(training, head_size, least)
-    end_known, unknown = int(model.tokens > 0), len(model.transition) - 1
-    passed = settle(docs.mapInArrow(_score(model, end_known), _SCORED), "scores")
-    per_class = F.array(*(F.lit(float(x)) for x in model.per_class), F.lit(1.0))
-    rare = passed.where("word is not null").select("row", "word", "run", "at", "left", "right").join(counts, "word", "left")
-    c = F.coalesce(F.col("c"), F.lit(0))
-    g = F.coalesce(F.col("g"), F.lit(unknown))
-    rare = settle(rare.select("row", "run", "at", "left", "right", c.alias("c"), g.alias("g")), "rare")
-    size = F.element_at(per_class, (F.least("g", F.lit(unknown - 1)) + 1).cast("int"))
-    emitted = F.when(F.col("c") > 0, F.log10((F.col("c") - model.discount) / size)).otherwise(0.0)
-    passing = rare.repartition("row", "run").sortWithinPartitions("row", "run", "at").select("row", "at", "left", "right", "g")
-    passing = passing.mapInArrow(_passed(model.transition), "row long, more_passed double")
-    none = F.lit(0.0)
-    rare = rare.select(
-        "row", F.log10((F.col("c") + 1) / F.lit(float(model.tokens + model.types + 1))).alias("more_base"),
-        emitted.alias("more_score"), (F.col("c") > 0).cast("long").alias("more_known"),
-    ).union(passing.select("row", none, "more_passed", F.lit(0).cast("long")))
-    rare = rare.groupBy("row").agg(*(F.sum(x).alias(x) for x in ("more_base", "more_score", "more_known")))
-    out = passed.where("word is null").drop("word", "run", "at", "left", "right").join(rare, "row", "left").select(
+    docs = docs.select("doc_id", F.coalesce(fold("doc_id", 7) != 2, F.lit(False)).alias("train"), "text")
+    fitted = fit(docs, head_size, least)
+    sent = docs.sparkSession.sparkContext.broadcast(fitted.model)
+    texts = fitted.lines.where("word is null")
+    own = texts.select("row", "logs", "line").mapInArrow(_whole_scores(sent), "row long, score double")
+    more = fitted.steps.mapInArrow(_outside_scores(sent), "row long, more_base double, more_score double, more_known long")
+    more = more.groupBy("row").agg(*(F.sum(x).alias(x) for x in ("more_base", "more_score", "more_known")))
+    out = texts.select("row", "doc_id", "n_tokens", "n_known", "base").join(own, "row").join(more, "row", "left").select(
         "doc_id", F.coalesce(fold("doc_id", 7) == 2, F.lit(False)).alias("held_out"), "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        F.lit(fitted.model.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
         (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )
