@@ -10,7 +10,7 @@ import pytest
 import tidewater.llm.ngram_join as ngram_join
 from tests.helpers import frame
 from tidewater.llm.components import components
-from tidewater.llm.embedding_dedup import near_embeddings
+from tidewater.llm.embedding_dedup import joined as embedding_joined, near_embeddings
 from tidewater.llm.exact_dedup import ContentTable, exact_dedup, grace
 from tidewater.llm.shingles import shingle_set
 
@@ -137,6 +137,19 @@ def test_ngram_classes_of_odd_rows(spark):
     assert ngram_join.ngram_classes(docs(spark)).count() == 0
 
 
+@pytest.mark.parametrize("turn", [1, -1])
+def test_texts_with_one_id_keep_their_own_near_copies(spark, turn):
+    """Each of two texts of one id has a near copy; a third near copy has an id of its own."""
+    one, two = (" ".join(f"{c}{k}" for k in range(40)) for c in "ab")
+    rows = [(3, one), (3, two), (11, two + " x"), (12, one + " x"), (13, one + " x y"), (None, two + " z"), (5, "alone here")]
+    got = sorted((tuple(r) for r in ngram_join.ngram_classes(docs(spark, *rows[::turn])).collect()), key=str)
+    assert [(r[0], r[2]) for r in got] == [(11, 3), (12, 3), (13, 3), (3, 3), (3, 3), (5, 5), (None, 3)]
+    # The classes of the two texts stay apart: without the id in common, each is named by its smallest.
+    rows = [(30, one), (30, two), (11, two + " x"), (12, one + " x")]
+    got = sorted(tuple(r) for r in ngram_join.ngram_classes(docs(spark, *rows[::turn])).collect())
+    assert [(r[0], r[2]) for r in got] == [(11, 11), (12, 12), (30, 11), (30, 12)]
+
+
 # ---------------------------------------------------------------- embeddings
 
 VECTORS = "vec_id long, embedding array<float>, label int, node string, bucket string"
@@ -166,5 +179,33 @@ def test_near_embeddings_equal_brute_force(spark, block):
     assert sorted(tuple(r) for r in near_embeddings(df, block=block).collect()) == sorted(want)
 
 
+def test_links_within_a_cluster_are_rows_no_more(spark, monkeypatch):
+    """Four hundred near copies have 79,800 links, and each vector a row for a table at most."""
+    from tidewater.llm import embedding_dedup
+
+    draw = np.random.default_rng(3)
+    base = draw.standard_normal(16)
+    rows = [(k, [float(x) for x in base + 0.01 * draw.standard_normal(16)], 1) for k in range(400)]
+    written = {}
+    plain = embedding_dedup.settle
+    monkeypatch.setattr(embedding_dedup, "settle", lambda df, name: written.setdefault(name, plain(df, name)))
+    got = near_embeddings(frame(spark, VECTORS, *[(*r, "a", "b") for r in rows]), block=64).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(399, 0)}
+    # Blocks of a bucket, of which there are 7, are checked against each other.
+    assert written["links"].count() <= 400 * embedding_dedup.TABLES * 7
+
+
+def test_joined_classes_are_those_of_the_links():
+    draw = np.random.default_rng(4)
+    for _ in range(50):
+        a, b = draw.integers(0, 40, (2, 25))
+        root = embedding_joined(np.arange(40), a[:10], b[:10])
+        root = embedding_joined(root, a[10:], b[10:])
+        linked = set(zip(a.tolist(), b.tolist()))
+        of = classes(list(range(40)), lambda x, y: (x, y) in linked or (y, x) in linked)
+        smallest = {c: min(k for k in of if of[k] == c) for c in of.values()}
+        assert root.tolist() == [smallest[of[k]] for k in range(40)]
+
+
 def test_near_embeddings_of_nothing(spark):
     assert near_embeddings(frame(spark, VECTORS)).count() == 0

@@ -43,7 +43,7 @@ def buckets(unit: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-_HASHED = "dims int, label long, bucket long, node long, copies long, vector binary"
+_HASHED = "dims int, label long, bucket long, turn int, node long, copies long, vector binary, keys binary"
 
 
 def _hashed(with_vectors: bool):
@@ -60,53 +60,72 @@ def _hashed(with_vectors: bool):
                 unit = x / scale
                 unit /= np.linalg.norm(unit, axis=1, keepdims=True)
                 key = buckets(unit)
-                raw = [v.tobytes() for v in unit] if with_vectors else [b""] * len(at)
+                raw, keys = ([v.tobytes() for v in x] if with_vectors else [b""] * len(at) for x in (unit, key))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(key.size, dims, np.int32)), pa.array(np.repeat(label[at], TABLES)),
-                     pa.array(key.ravel()), pa.array(np.repeat(node[at], TABLES)), pa.array(np.repeat(copies[at], TABLES)),
-                     pa.array([r for r in raw for _ in range(TABLES)], pa.binary())],
-                    names=["dims", "label", "bucket", "node", "copies", "vector"],
+                     pa.array(key.ravel()), pa.array(np.tile(np.arange(TABLES, dtype=np.int32), len(at))),
+                     pa.array(np.repeat(node[at], TABLES)), pa.array(np.repeat(copies[at], TABLES)),
+                     *(pa.array([r for r in x for _ in range(TABLES)], pa.binary()) for x in (raw, keys))],
+                    names=["dims", "label", "bucket", "turn", "node", "copies", "vector", "keys"],
                 )
 
     return run
 
 
+def joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Roots, each the smallest of its class, after the links ``a, b``."""
+    while (apart := root[a] != root[b]).any():
+        low, high = np.minimum(root[a], root[b])[apart], np.maximum(root[a], root[b])[apart]
+        np.minimum.at(root, high, low)
+        while not np.array_equal(up := root[root], root):
+            root = up
+    return root
+
+
 def _checked(least: float):
-    """Links within each run of rows of one (bucket, pair of blocks); rows come sorted by it."""
+    """For each node linked within a run of rows of one (bucket, pair of blocks), to which node its links lead there and
+    how many vectors it links to. Rows come sorted by the bucket.
+
+    A pair counts in the first table that has both in one bucket, so once in all. No pair is ever a row: a run gives as
+    many rows as it has linked nodes.
+    """
 
-    def links(rows: list[tuple]):
+    def links(rows: list[tuple], turn: int):
         if len(rows) < 2:
             return
-        node, copies, block, raw = zip(*rows)
+        node, copies, block, raw, keys = zip(*rows)
         node, copies, block = np.array(node), np.array(copies), np.array(block)
         x = np.stack([np.frombuffer(r, np.float64) for r in raw])
+        keys = np.stack([np.frombuffer(r, np.int64) for r in keys])[:, :turn]
         # A pair of blocks checks what lies between them, a block with itself what lies inside.
         one = np.flatnonzero(block == block.min())
         other = one if block.min() == block.max() else np.flatnonzero(block == block.max())
-        for at in range(0, len(one), 512):
-            rows_at = one[at : at + 512]
+        root, others = np.arange(len(rows)), np.zeros(len(rows), np.int64)
+        for at in range(0, len(one), 64):
+            rows_at = one[at : at + 64]
             a, b = np.nonzero(x[rows_at] @ x[other].T >= least)
             a, b = rows_at[a], other[b]
             if other is one:
                 a, b = a[node[a] < node[b]], b[node[a] < node[b]]
-            swap = node[a] > node[b]
-            a, b = np.where(swap, b, a), np.where(swap, a, b)
-            if len(a):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[a]), pa.array(node[b]), pa.array(copies[a]), pa.array(copies[b])],
-                    names=["u", "v", "copies_u", "copies_v"],
-                )
+            first = ~(keys[a] == keys[b]).any(axis=1)
+            a, b = a[first], b[first]
+            np.add.at(others, a, copies[b])
+            np.add.at(others, b, copies[a])
+            root = joined(root, a, b)
+        some = np.flatnonzero(others)
+        if len(some):
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (node[some], node[root[some]], others[some])], names=["u", "v", "n"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, rows = None, []
-        names = ("dims", "label", "bucket", "low", "high", "node", "copies", "block", "vector")
+        group, rows, now = None, [], 0
+        names = ("dims", "label", "bucket", "low", "high", "turn", "node", "copies", "block", "vector", "keys")
         for batch in rows_of(batches):
-            for *key, node, copies, block, vector in zip(*(batch[c].to_pylist() for c in names)):
-                if key != group:
-                    yield from links(rows)
-                    group, rows = key, []
-                rows.append((node, copies, block, vector))
-        yield from links(rows)
+            for *key, turn, node, copies, block, vector, keys in zip(*(batch[c].to_pylist() for c in names)):
+                if (*key, turn) != group:
+                    yield from links(rows, now)
+                    group, rows, now = (*key, turn), [], turn
+                rows.append((node, copies, block, vector, keys))
+        yield from links(rows, now)
 
     return run
 
@@ -117,7 +136,8 @@ def near_embeddings(vectors: DataFrame, least: float = LEAST, block: int = BLOCK
     Vectors with one label whose cosine is at least ``least`` are linked where some table
     has them in one bucket; none below it ever is. Exact copies become one node with a
     count, so a vector that fills a third of the table is hashed once; large buckets are
-    dealt into blocks and every pair of blocks is checked in full.
+    dealt into blocks and every pair of blocks is checked in full. Links are counted and joined to classes
+    where they are found, so what is written is linear in the vectors.
 
     Cases: null vectors, those without length, with a null or non-finite component, and those with
     a null label link with nothing; vectors of different lengths are never compared; repeated
@@ -153,16 +173,12 @@ def near_embeddings(vectors: DataFrame, least: float = LEAST, block: int = BLOCK
     hashed = hashed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     hashed = hashed.select(
         "dims", "label", "bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        "node", "copies", "block", "vector",
-    )
-    group = ["dims", "label", "bucket", "low", "high"]
-    links = hashed.repartition(*group).sortWithinPartitions(*group).mapInArrow(
-        _checked(least), "u long, v long, copies_u long, copies_v long"
+        "turn", "node", "copies", "block", "vector", "keys",
     )
-    links = settle(links.distinct(), "links")
-    ends = links.select(F.col("u").alias("node"), F.col("copies_v").alias("n")).union(
-        links.select(F.col("v").alias("node"), F.col("copies_u").alias("n"))
-    ).groupBy("node").agg(F.sum("n").alias("others"))
+    group = ["dims", "label", "bucket", "low", "high", "turn"]
+    links = hashed.repartition(*group[:5]).sortWithinPartitions(*group).mapInArrow(_checked(least), "u long, v long, n long")
+    links = settle(links, "links")
+    ends = links.groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("others"))
     classes = components(links.select("u", "v"), "near-vectors")
     nodes = nodes.drop("embedding", "label").join(ends, "node", "left").join(classes, "node", "left")
     nodes = nodes.withColumn("component", F.coalesce("component", "node"))
