@@ -61,8 +61,11 @@ class _Units(dict):
 
 
 class Pieces:
-    def __init__(self, vocabulary: Vocabulary):
+    """``library`` may be the public encoder of the same model; it then encodes many new units at once."""
+
+    def __init__(self, vocabulary: Vocabulary, library=None):
         self.kind, rows = vocabulary
+        self.library = library
         self.ids = {p: i for i, (p, _, role) in enumerate(rows) if role == "text"}
         self.score = {p: s for p, s, role in rows if role == "text"}
         self.longest = max(map(len, self.ids), default=1)
@@ -176,8 +179,21 @@ class Pieces:
 
     def encode(self, form: str) -> bytes:
         """Ids, as 32-bit integers, of a blanked text."""
-        units = _UNITS.findall(form) if self.cuts else [form] if form else []
-        return b"".join(map(self.units.__getitem__, units))
+        return self.encode_all([form])[0]
+
+    def encode_all(self, forms: list[str]) -> list[bytes]:
+        by_form = [_UNITS.findall(form) if self.cuts else [form] if form else [] for form in forms]
+        if self.library is not None and self.cuts:
+            self._learn({u for units in by_form for u in units}.difference(self.units))
+        return [b"".join(map(self.units.__getitem__, units)) for units in by_form]
+
+    def _learn(self, units: set[str]) -> None:
+        """Short units that begin with a blank, which the library puts in front of a text itself."""
+        if len(self.units) + len(units) > REMEMBERED:
+            self.units.clear()
+        new = [u for u in units if u[0] == BLANK and 1 < len(u) <= SHORT_UNIT]
+        for u, ids in zip(new, self.library.encode([u[1:].replace(BLANK, " ") for u in new], num_threads=1)):
+            self.units[u] = np.array(ids, np.int32).tobytes()
 
     def decode(self, ids) -> str:
         joined = b"".join(map(self.texts.__getitem__, ids))

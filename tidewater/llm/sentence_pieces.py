@@ -32,7 +32,12 @@ BLOCK = 256
 
 @lru_cache(maxsize=2)
 def _pieces(sent: "_Sent") -> Pieces:
-    return Pieces(sent.vocabulary.value)
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_proto=sent.model.value)
+    # The library encodes by the kind the model was made for.
+    same = sent.vocabulary.value[0] == "bpe" and library.normalize(" ﬁ  Å ") == "▁▁ﬁ▁▁Å▁"
+    return Pieces(sent.vocabulary.value, library if same else None)
 
 
 class _Sent:
@@ -65,7 +70,7 @@ def _encode_short(sent: _Sent):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(sent)
         for batch in rows_of(batches):
-            ids = [pieces.encode(blanked(t)) for t in batch["text"].to_pylist()]
+            ids = pieces.encode_all([blanked(t) for t in batch["text"].to_pylist()])
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["k1"], _id_lists(ids)], names=["doc_id", "k1", "ids"])
 
     return run
