@@ -194,3 +194,38 @@ def test_links_equal_the_three_key_join(spark, inputs):
         scales.alias("b"), F.expr(" and ".join(f"a.{k} = b.{k}" for k in keys)), "left")
     two = hatchery.link_scales(samples, scales)
     assert rows(three, "bag_no", "vial_no", "gr_age", "batch_id") == rows(two, "bag_no", "vial_no", "gr_age", "batch_id")
+
+
+@pytest.fixture
+def plain_shuffles(spark):
+    """Neither broadcast nor adaptive, as the partitions of large tables are dealt."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_samples_without_a_key_are_dealt_to_all_tasks(plain_shuffles):
+    spark = plain_shuffles
+    code = F.concat(F.lit("B"), F.col("id"))
+    aged = spark.range(2000).select(
+        code.alias("r_otolith_box_vial_concat"), F.when(F.col("id") < 10, 2019).alias("r_brood_year"),
+        F.when(F.col("id") < 500, F.lit("H1")).alias("r_hatch_code"))
+    marks = frame(spark, "r_brood_year int, r_hatch_code string, stock string",
+                  (2019, "H1", "a"), (2019, "H1", "b"), (2019, None, "c"), (None, "H1", "d"), (None, None, "e"))
+    linked = hatchery.link_marks(aged, marks)
+    assert linked.columns == ["r_otolith_box_vial_concat", "r_brood_year", "r_hatch_code", "stock"]
+    assert rows(linked.groupBy("stock").count()) == [(None, 1990), ("a", 10), ("b", 10)]
+    lone = linked.filter("stock is null").groupBy(F.spark_partition_id()).count()
+    assert lone.count() > 4 and lone.agg(F.max("count")).first()[0] < 600
+
+
+def test_samples_are_not_sorted_to_meet_scales_and_otoliths(plain_shuffles, inputs):
+    samples = hatchery.hatchery_samples(inputs.samples)
+    linked = hatchery.link_otoliths(samples, hatchery.otolith_marks(inputs.otoliths))
+    plan = linked._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort " not in plan
+    assert rows(linked, "bag_no", "vial_no", "hatch_code") == [(None, None, None), ("B1", "1", "H1"), ("B1", "2", "H2")]

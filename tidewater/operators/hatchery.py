@@ -17,6 +17,8 @@ from tidewater.operators.reshape import select_blocks
 
 SCALE_KEYS = ("r_scale_book_num", "r_scale_cell_num")
 OTOLITH_KEYS = ("r_otolith_box_num", "r_otolith_vial_num")
+#: What deals samples without a link's key to tasks.
+SPREAD = ("r_otolith_box_vial_concat",)
 
 
 def with_scale_keys(df: DataFrame, book: str, cell: str) -> DataFrame:
@@ -130,23 +132,27 @@ def tag_releases(df: DataFrame) -> DataFrame:
     return kept.withColumn("r_tagcode", F.col("tagcode"))
 
 
-def _link(left: DataFrame, right: DataFrame, keys: Sequence[str], na_matches: str) -> DataFrame:
-    """A sample without a key meets nothing, unless ``na_matches="na"`` lets it meet every right row without one."""
-    return join_on(left, right, keys, "left", na_matches=na_matches)
+def _link(left: DataFrame, right: DataFrame, keys: Sequence[str], na_matches: str, hashed: bool = False) -> DataFrame:
+    """A sample without a key meets nothing, unless ``na_matches="na"`` lets it meet every right row without one.
+
+    Most samples lack some key, so those without are dealt to all tasks. ``hashed`` is for right sides as large as
+    the samples with few rows to a key; the samples are then not sorted.
+    """
+    return join_on(left, right, keys, "left", na_matches=na_matches, spread_by=SPREAD, hashed=hashed and na_matches == "never")
 
 
 def link_scales(
     samples: DataFrame, scales: DataFrame, *, na_matches: str = "never"
 ) -> DataFrame:
     """Attach scale ages by book and cell; the joined book-cell text follows from the two."""
-    return _link(samples, scales.drop("r_scale_book_cell_concat"), SCALE_KEYS, na_matches)
+    return _link(samples, scales.drop("r_scale_book_cell_concat"), SCALE_KEYS, na_matches, hashed=True)
 
 
 def link_otoliths(
     samples: DataFrame, otoliths: DataFrame, *, na_matches: str = "never"
 ) -> DataFrame:
     """Attach otolith marks by box and vial; the joined box-vial text follows from the two."""
-    return _link(samples, otoliths.drop("r_otolith_box_vial_concat"), OTOLITH_KEYS, na_matches)
+    return _link(samples, otoliths.drop("r_otolith_box_vial_concat"), OTOLITH_KEYS, na_matches, hashed=True)
 
 
 def link_tags(

@@ -40,11 +40,16 @@ def join_on(
     na_matches: str = "na",
     hot: str | None = None,
     suffixes: tuple[str, str] = ("_x", "_y"),
+    spread_by: Sequence[str] = (),
+    hashed: bool = False,
 ) -> DataFrame:
     """Join on named keys; clashing other columns get suffixes.
 
     ``how`` is ``left``, ``inner`` or ``full``. ``na_matches`` is ``na`` (null
     keys match each other) or ``never``. ``hot`` names the side of a full join that may hold hot keys, or ``both``.
+    ``spread_by`` names columns of the left side of a left join; rows that lack a key, and so meet nothing, are
+    then dealt to all tasks by these in place of one task for all. ``hashed`` asks for tables of the right side's
+    rows in place of sorting both: for a right side that is too large to broadcast and has no hot keys.
     """
     if na_matches not in ("na", "never"):
         raise ValueError(f"na_matches must be 'na' or 'never', not {na_matches!r}")
@@ -56,11 +61,24 @@ def join_on(
         raise ValueError(f"unsupported join type {how!r}")
     left, right = _suffix_clashes(left, right, keys, suffixes)
     names = left.columns + [c for c in right.columns if c not in keys]
+    if spread_by and how == "left" and na_matches == "never":
+        left, right, keys = _spread(left, right, keys, [c for c in spread_by if c in left.columns])
     right = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
-    joined = left.join(right, _condition(keys, na_matches), how)
+    joined = left.join(right.hint("shuffle_hash") if hashed else right, _condition(keys, na_matches), how)
     return joined.select(*[F.col(_quote(c)) for c in names])
 
 
+def _spread(left: DataFrame, right: DataFrame, keys: Sequence[str], by: Sequence[str]):
+    """Both sides with one more key: zero, but on left rows that lack a key a hash that stays when a task is run again."""
+    own = [F.col(_quote(k)) for k in keys]
+    lacks = reduce(lambda a, b: a | b, [k.isNull() for k in own])
+    dealt = F.xxhash64(F.spark_partition_id(), *[F.col(_quote(c)) for c in by])
+    # Always zero; a plain zero would be folded into the condition and be no key any more.
+    zero = F.pmod(F.xxhash64(*own), F.lit(1).cast("long"))
+    left = left.withColumn("__spread", F.when(lacks, dealt).otherwise(F.lit(0).cast("long")))
+    return left, right.withColumn("__spread", zero), [*keys, "__spread"]
+
+
 def _quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
