@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from tests.helpers import frame
 from tidewater.llm.class_lm import Exchange, fit, lm_scores, n_classes, transitions
@@ -342,3 +343,15 @@ def test_documents_encode_and_decode(spark):
     report = token_report(df, sent, chunk=100).collect()
     assert len(report) == len(rows) and all(r.round_trip for r in report)
     assert encode(docs(spark), sent).count() == 0
+
+
+def test_lm_words_outside_the_head_of_a_text_meet_in_one_task(spark):
+    rows = [(k, True, " ".join(f"the rare{k}x{j}" for j in range(30))) for k in range(40)]
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        steps = fit(frame(spark, "doc_id long, train boolean, text string", *rows), 4, 5).steps
+        files = steps.select("row", F.input_file_name().alias("file")).groupBy("row", "file").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(files) == 40 and all(r["count"] == 30 for r in files) and len({r.file for r in files}) > 1

@@ -22,6 +22,7 @@ import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -50,6 +51,14 @@ def n_classes(n_words: int) -> int:
 
 # ---------------------------------------------------------------- counts
 
+def _looked_up(texts: list[str | None], get, other: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The words of all texts, what ``get`` has for each or ``other``, and the number of words of each text."""
+    parts = list(map(words, texts))
+    flat = list(chain.from_iterable(parts))
+    found = np.fromiter(map(get, flat, repeat(other)), np.int64, len(flat))
+    return flat, found, np.fromiter(map(len, parts), np.int64, len(parts))
+
+
 def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def table(counts: Counter):
         pairs = list(counts.items())
@@ -105,8 +114,7 @@ def _neighbours(head: Broadcast, size: int, ranges: int):
         sides = []
         for word, other in ((left, right), (right, left)):
             mine = np.flatnonzero(word < size)
-            which = (word[mine] % ranges).astype(np.int32)
-            mine = mine[np.lexsort((word[mine] * width + other[mine], which))]
+            mine = mine[np.argsort((word[mine] % ranges * size + word[mine]) * width + other[mine])]  # no key is twice
             sides.append(((word[mine] % ranges).astype(np.int32), word[mine] * width + other[mine], counts[mine]))
         for r in range(ranges):
             cut = [tuple(np.searchsorted(which, (r, r + 1))) for which, _, _ in sides]
@@ -117,11 +125,8 @@ def _neighbours(head: Broadcast, size: int, ranges: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         get, held, n = head.value.get, [], 0
         for batch in rows_of(batches):
-            line = [size + 1]
-            for text in batch["text"].to_pylist():
-                line += [get(w, size) for w in words(text)]
-                line.append(size + 1)
-            line = np.array(line, np.int64)
+            _, found, lengths = _looked_up(batch["text"].to_pylist(), get, size)
+            line = np.append(size + 1, np.insert(found, np.cumsum(lengths), size + 1))
             held.append((line[:-1], line[1:]))
             n += len(line)
             if n > AT_ONCE:
@@ -387,35 +392,45 @@ def _lines(sent: Broadcast, end: int, end_known: int):
         row, head = TaskContext.get().partitionId() << 40, sent.value
         get, of = head.place.get, np.append(head.of, -1).astype(np.int64)
         for batch in rows_of(batches):
+            n = batch.num_rows
+            flat, at, lengths = _looked_up(batch["text"].to_pylist(), get, -1)
+            # The texts' lines lie end to end, each between two ends.
+            text = np.repeat(np.arange(n), lengths)
+            place = np.arange(len(flat)) + 2 * text + 1
+            line = np.full(len(flat) + 2 * n, end)
+            line[place] = of[at]
+            bytes_of = np.where(line < 0, OUTSIDE, line).astype("<u2").tobytes()
+            known = at >= 0
+            base, logs = head.base[at[known]], head.logs[at[known]]
+            n_known = np.bincount(text[known], minlength=n)
+            upto, ends = np.cumsum(n_known).tolist(), np.cumsum(2 * (lengths + 2)).tolist()
             whole: list[tuple] = []
-            rare: list[tuple] = []
-            for doc_id, train, text in zip(batch["doc_id"].to_pylist(), batch["train"].to_pylist(), batch["text"].to_pylist()):
-                parts = words(text)
-                at = np.fromiter((get(w, -1) for w in parts), np.int64, len(parts))
-                known = at[at >= 0]
-                line = np.full(len(parts) + 2, end)
-                line[1:-1] = of[at]
-                whole.append((row, doc_id, train, len(parts) + 1, len(known) + end_known, float(head.base[known].sum() + head.base[-1]),
-                              float(head.logs[known].sum()), np.where(line < 0, OUTSIDE, line).astype("<u2").tobytes()))
-                begin = -1
-                for k in np.flatnonzero(at < 0).tolist():
-                    begin = k if line[k] >= 0 else begin
-                    rare.append((row, train, parts[k], begin, k, int(line[k]), int(line[k + 2])))
-                row += 1
+            i = j = 0
+            for x, (doc_id, train) in enumerate(zip(batch["doc_id"].to_pylist(), batch["train"].to_pylist())):
+                whole.append((row + x, doc_id, train, (ends[x] - j) // 2 - 1, upto[x] - i + end_known, float(base[i : upto[x]].sum() + head.base[-1]),
+                              float(logs[i : upto[x]].sum()), bytes_of[j : ends[x]]))
+                i, j = upto[x], ends[x]
+            out = np.flatnonzero(~known)
+            of_text, left, right = text[out], line[place[out] - 1], line[place[out] + 1]
+            k = out - (np.cumsum(lengths) - lengths)[of_text]
+            # A text's first word outside the head has a class or an end before it, and so begins a run.
+            begin = k[np.maximum.accumulate(np.where(left >= 0, np.arange(len(out)), 0))]
+            trained = batch["train"].to_numpy(zero_copy_only=False)[of_text]
             if whole:
-                n = len(whole)
                 yield pa.RecordBatch.from_arrays(
                     [*(pa.array(c, k) for c, k in zip(zip(*whole), kinds)), pa.nulls(n, pa.string()), *(pa.nulls(n, k) for k in rare_kinds)],
                     names=_LINE_NAMES,
                 )
-            for start in range(0, len(rare), 200_000):
-                r, t, w, *places = zip(*rare[start : start + 200_000])
-                n = len(r)
+            for start in range(0, len(out), 200_000):
+                some = slice(start, start + 200_000)
+                m = len(out[some])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(r, pa.int64()), pa.nulls(n, pa.int64()), pa.array(t, pa.bool_()), *(pa.nulls(n, k) for k in kinds[3:]),
-                     pa.array(w, pa.binary()).cast(pa.string()), *(pa.array(p, k) for p, k in zip(places, rare_kinds))],
+                    [pa.array(row + of_text[some]), pa.nulls(m, pa.int64()), pa.array(trained[some], pa.bool_()), *(pa.nulls(m, x) for x in kinds[3:]),
+                     pa.array([flat[x] for x in out[some].tolist()], pa.binary()).cast(pa.string()),
+                     *(pa.array(x[some].astype(np.int32)) for x in (begin, k, left, right))],
                     names=_LINE_NAMES,
                 )
+            row += n
 
     return run
 
@@ -475,12 +490,19 @@ def _whole_scores(model: Broadcast):
         share = np.log10(np.maximum(model.value.per_class, 1))
         end = len(transition) - 2
         for batch in rows_of(batches, 10_000):
-            found = []
-            for logs, data in zip(batch["logs"].to_pylist(), batch["line"].to_pylist()):
-                line = np.frombuffer(data, "<u2").astype(np.int64)
-                here = (line[:-1] != OUTSIDE) & (line[1:] != OUTSIDE)
-                own = line[(line != OUTSIDE) & (line != end)]
-                found.append(float(logs + transition[line[:-1][here], line[1:][here]].sum() - share[own].sum()))
+            data = batch["line"].to_pylist()
+            line = np.frombuffer(b"".join(data), "<u2").astype(np.int64)
+            upto = np.cumsum(np.fromiter(map(len, data), np.int64, len(data)) // 2)
+            inside = line != OUTSIDE
+            here = inside[:-1] & inside[1:]
+            here[upto[:-1] - 1] = False  # no text goes on in the next
+            own = inside & (line != end)
+            steps, shares = transition[line[:-1][here], line[1:][here]], share[line[own]]
+            found, i, j = [], 0, 0
+            to_steps, to_shares = (np.append(0, np.cumsum(x))[y].tolist() for x, y in ((here, upto - 1), (own, upto)))
+            for logs, x, y in zip(batch["logs"].to_pylist(), to_steps, to_shares):
+                found.append(float(logs + steps[i:x].sum() - shares[j:y].sum()))
+                i, j = x, y
             yield pa.RecordBatch.from_arrays([batch["row"], pa.array(found, pa.float64())], names=["row", "score"])
 
     return run
@@ -567,7 +589,8 @@ def fit(docs: DataFrame, head_size: int = HEAD, least: int = LEAST) -> Fitted:
     placed = rare.join(classed, "word", "left").select(
         "row", "train", "run", "at", "left", "right", F.coalesce("c", F.lit(0)).cast("long").alias("c"), F.coalesce("g", F.lit(unknown)).cast("int").alias("g")
     )
-    placed = placed.repartition("row", "run").sortWithinPartitions("row", "run", "at")
+    # A text's words meet in one task, so that its sums are one row of it or few, however many partitions there are.
+    placed = placed.repartition("row").sortWithinPartitions("row", "run", "at")
     steps = settle(placed.select("row", "train", "c", "g", "left", "right").mapInArrow(_stepped, _STEPS), "steps")
 
     # Bigrams of all words: between head words and ends, around words outside, and of texts without words.
