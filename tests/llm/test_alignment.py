@@ -106,3 +106,20 @@ def test_whole_table_and_empty_table(spark, monkeypatch):
     monkeypatch.setattr(alignment, "_window_hash", lambda ids, starts, salt: (ids[starts] if salt > 2 else 0 * starts).astype(np.uint64))
     assert aligner.align(encoded)[0][0] == groups
     assert aligner.align(list(aligner.encode([""]))) [0][0] == b""
+
+
+def test_new_windows_of_many_texts_are_aligned_at_once(spark, monkeypatch):
+    aligner = alignment.Aligner(load(ship(spark, BYTE_BPE)), load(ship(spark, PIECE_BPE)))
+    texts = [f"word{k} the of unheard{k}of é{k}" for k in range(50)]
+    calls, real = [], alignment.Windows._aligned
+    monkeypatch.setattr(alignment.Windows, "_aligned", lambda self, keys: calls.append(len(keys)) or real(self, keys))
+    encoded = list(aligner.encode(texts))
+    together = aligner.align(encoded)
+    assert len(calls) == 1 and calls[0] > 100
+    aligner.windows.clear()
+    for one, (groups, links) in zip(encoded, together):
+        assert aligner.align([one])[0][0] == groups and (aligner.align([one])[0][1] == links).all()
+    # A window whose sides spell different bytes has no groups; those beside it keep theirs.
+    keys = [(a.tobytes(), b.tobytes()) for a, b in encoded[:2]]
+    ((first, _), (none, links), (last, _)) = aligner.windows.look_up([keys[0], (keys[0][0], keys[1][1]), keys[1]])
+    assert (first, last) == (together[0][0], together[1][0]) and none == links == b""

@@ -13,6 +13,7 @@ import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,40 +36,57 @@ class Windows(dict):
     """Alignments by the ids of a window: its groups as text, and its links as packed pairs of ids.
 
     Keys are the packed 32-bit ids of both sides. Windows begin and end together; one whose sides spell different
-    bytes has no groups.
+    bytes has no groups. No token is empty.
     """
 
     def __init__(self, a_bytes: list[bytes], b_bytes: list[bytes]):
         self.a_bytes, self.b_bytes = a_bytes, b_bytes
-        self.a_len, self.b_len = (list(map(len, x)) for x in (a_bytes, b_bytes))
-        self.text = list(map(str, range(max(len(a_bytes), len(b_bytes)))))
-
-    def __missing__(self, key: tuple[bytes, bytes]) -> tuple[bytes, bytes]:
-        a, b = memoryview(key[0]).cast("i").tolist(), memoryview(key[1]).cast("i").tolist()
-        text, a_len, b_len = self.text, self.a_len, self.b_len
-        if b"".join([self.a_bytes[i] for i in a]) != b"".join([self.b_bytes[i] for i in b]):
-            groups, links = [], []
-        elif len(a) == 1 or len(b) == 1:  # nothing inside can be shared
-            groups = [",".join([text[i] for i in a]) + "|" + ",".join([text[i] for i in b])]
-            links = [a[-1] << 32 | b[-1]]
-        else:
-            groups, links = [], []
-            at_b = end_a = end_b = begun_a = begun_b = 0
-            for at_a, i in enumerate(a, 1):
-                end_a += a_len[i]
-                while end_b < end_a:
-                    end_b += b_len[b[at_b]]
-                    at_b += 1
-                if end_a == end_b:
-                    groups.append(",".join([text[x] for x in a[begun_a:at_a]]) + "|" + ",".join([text[x] for x in b[begun_b:at_b]]))
-                    links.append(i << 32 | b[at_b - 1])
-                    begun_a, begun_b = at_a, at_b
-        found = ";".join(groups).encode(), array("q", links).tobytes()
-        if len(a) + len(b) <= 2 * LONGEST:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[key] = found
-        return found
+        self.a_len, self.b_len = (np.array(list(map(len, x)), np.int64) for x in (a_bytes, b_bytes))
+        # An id as text before another of its side, before the other side, before the next group, and at a window's end.
+        ids = range(max(len(a_bytes), len(b_bytes)))
+        self.inside, self.bar, self.next, self.last = (np.array([b"%d" % i + c for i in ids], object) for c in (b",", b"|", b";", b"\n"))
+
+    def look_up(self, keys: list[tuple[bytes, bytes]]) -> list[tuple[bytes, bytes]]:
+        """Groups and links of every key; new windows are aligned all at once, and remembered unless they are long."""
+        new = [k for k in dict.fromkeys(keys) if k not in self]
+        if len(self) + len(new) > REMEMBERED:
+            self.clear()
+            new = list(dict.fromkeys(keys))
+        found = dict(zip(new, self._aligned(new)))
+        short = ((k, x) for k, x in found.items() if len(k[0]) + len(k[1]) <= 8 * LONGEST)
+        self.update(islice(short, REMEMBERED - len(self)))
+        return [found[k] if k in found else self[k] for k in keys]
+
+    def _spelt(self, key: tuple[bytes, bytes]) -> tuple[bytes, bytes]:
+        return tuple(b"".join([of[i] for i in memoryview(x).cast("i")]) for of, x in zip((self.a_bytes, self.b_bytes), key))
+
+    def _aligned(self, keys: list[tuple[bytes, bytes]]) -> list[tuple[bytes, bytes]]:
+        if not keys:
+            return []
+        a, b = b"".join([a for a, _ in keys]), b"".join([b for _, b in keys])
+        spelt_a, spelt_b = self._spelt((a, b))
+        a, b = np.frombuffer(a, np.int32), np.frombuffer(b, np.int32)
+        n_a, n_b = (np.cumsum(np.fromiter((len(k[side]) for k in keys), np.int64, len(keys))) // 4 for side in (0, 1))
+        ends_a, ends_b = np.cumsum(self.a_len[a]), np.cumsum(self.b_len[b])
+        if spelt_a != spelt_b or (ends_a[n_a - 1] != ends_b[n_b - 1]).any():
+            same = [x == y for x, y in map(self._spelt, keys)]
+            some = iter(self._aligned([k for k, x in zip(keys, same) if x]))
+            return [next(some) if x else (b"", b"") for x in same]
+        # Groups end where tokens of both sides do, which the ends of windows are among.
+        where = np.searchsorted(ends_b, ends_a)
+        shut_a, shut_b = ends_b[where] == ends_a, np.zeros(len(b), bool)
+        shared_a, shared_b = np.flatnonzero(shut_a), where[shut_a]
+        shut_b[shared_b] = True
+        links = (a[shared_a].astype(np.int64) << 32 | b[shared_b]).tobytes()
+        # Group by group the ids of the one side, then those of the other.
+        group_a, group_b = np.cumsum(shut_a) - shut_a, np.cumsum(shut_b) - shut_b
+        text = np.empty(len(a) + len(b), object)
+        text[np.arange(len(a)) + np.append(0, shared_b + 1)[group_a]] = np.where(shut_a, self.bar[a], self.inside[a])
+        tail = np.where(shut_b, self.next[b], self.inside[b])
+        tail[n_b - 1] = self.last[b[n_b - 1]]
+        text[np.arange(len(b)) + (shared_a + 1)[group_b]] = tail
+        upto = (8 * (group_b[n_b - 1] + 1)).tolist()
+        return [(line, links[i:j]) for line, i, j in zip(b"".join(text.tolist()).split(b"\n"), [0, *upto], upto)]
 
 
 class Aligner:
@@ -117,7 +135,7 @@ class Aligner:
         bytes_a, bytes_b = a.tobytes(), b.tobytes()
         ends_a, ends_b = np.append(cut_a[1:], len(a)), np.append(cut_b[1:], len(b))
         spans = zip(*((4 * x[first]).tolist() for x in (cut_a, ends_a, cut_b, ends_b)))
-        groups, links = zip(*[self.windows[bytes_a[i:j], bytes_b[k:l]] for i, j, k, l in spans])
+        groups, links = zip(*self.windows.look_up([(bytes_a[i:j], bytes_b[k:l]) for i, j, k, l in spans]))
 
         lines = np.empty(len(groups), object)
         lines[:] = groups
