@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -99,3 +100,18 @@ def test_large_counts_and_empty_tables(spark):
     empty = collocations(frame(spark, "lang string, text string"))
     assert empty.count() == 0 and tuple(empty.columns) == COLUMNS
     assert collocations(frame(spark, "lang string, text string", ("en", None))).count() == 0
+
+
+def test_a_task_sorts_its_phrases_in_half_the_room():
+    packing, n = Packing(17), 200_000
+    x = np.random.default_rng(3).integers(0, 60, n)
+    halves = packing.pack(x, x[::-1], 0 * x)
+    keys = packing.joined(*halves)
+    assert keys.nbytes == 8 * n and Packing(22).joined(*Packing(22).pack(x, x, x)) is None
+    tracemalloc.start()
+    one = QuotientFilter.of_keys(packing.half, keys)
+    room = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    two = QuotientFilter.of(packing.half, *halves)
+    assert all((getattr(one, x) == getattr(two, x)).all() for x in ("left", "right", "counts"))
+    assert room < 8 * n  # beside the keys, which are sorted in their place

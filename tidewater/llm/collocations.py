@@ -154,8 +154,11 @@ def _counted(packing: Packing, prefix: int, at_once: int):
         def flush():
             nonlocal lefts, rights, n
             if lefts:
-                found = QuotientFilter.of(packing.half, np.concatenate(lefts), np.concatenate(rights))
+                # What was gathered is let go before it is sorted, which takes as much again.
+                whole, other = np.concatenate(lefts), np.concatenate(rights) if rights else None
                 lefts, rights, n = [], [], 0
+                found = QuotientFilter.of_keys(packing.half, whole) if other is None else QuotientFilter.of(packing.half, whole, other)
+                del whole, other
                 for which, some in found.split(prefix):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([which], pa.int64()), pa.array([some.to_bytes()], pa.binary())], names=["range", "filter"]
@@ -188,9 +191,11 @@ def _counted(packing: Packing, prefix: int, at_once: int):
                     y = np.concatenate([g[two + 1], g[three + 1]])
                     z = np.concatenate([np.zeros(len(two), np.int64), g[three + 2]])
                     left, right = packing.pack(x, y, z)
-                    lefts.append(left)
-                    rights.append(right)
                     n += len(left)
+                    keys = packing.joined(left, right)
+                    lefts.append(left if keys is None else keys)
+                    if keys is None:
+                        rights.append(right)
                     if n > at_once:
                         yield from flush()
         yield from flush()

@@ -58,6 +58,10 @@ class Packing:
         left = x << _U(upper) | y >> _U(lower)
         return self._turn(left, (y & _mask(lower)) << _U(self.width) | z, False)
 
+    def joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray | None:
+        """Both halves as one piece of 64 bits, if they fit."""
+        return left << _U(self.half) | right if 2 * self.half <= 64 else None
+
     def unpack(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         left, right = self._turn(left, right, True)
         upper = self.half - self.width
@@ -66,19 +70,24 @@ class Packing:
         return tuple(v.astype(np.int64) for v in (left >> _U(upper), y, right & _mask(self.width)))
 
 
+def counted_keys(half: int, keys: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys of one piece in order, as halves, with how often they occur; the array given is sorted in its place."""
+    keys.sort()
+    starts, n = runs(keys)
+    keys = keys[starts]
+    return keys >> _U(half), keys & _mask(half), n
+
+
 def counted(half: int, left: np.ndarray, right: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """Distinct keys in order, with how often they occur or what their counts add up to."""
     if 2 * half <= 64:
         keys = left << _U(half) | right
         if counts is None:
-            keys.sort()
-            starts, n = runs(keys)
-            keys = keys[starts]
-        else:
-            order = np.argsort(keys, kind="stable")  # finds the sorted stretches of merged filters
-            starts, _ = runs(keys[order])
-            n = np.add.reduceat(counts[order], starts) if len(starts) else counts[:0]
-            keys = keys[order][starts]
+            return counted_keys(half, keys)
+        order = np.argsort(keys, kind="stable")  # finds the sorted stretches of merged filters
+        starts, _ = runs(keys[order])
+        n = np.add.reduceat(counts[order], starts) if len(starts) else counts[:0]
+        keys = keys[order][starts]
         return keys >> _U(half), keys & _mask(half), n
     order = np.lexsort((right, left))
     left, right = left[order], right[order]
@@ -114,6 +123,11 @@ class QuotientFilter:
         """A filter of the keys as they occur."""
         return cls(half, 0, *counted(half, left, right))
 
+    @classmethod
+    def of_keys(cls, half: int, keys: np.ndarray) -> "QuotientFilter":
+        """A filter of keys of one piece as they occur, as ``Packing.joined`` makes them; the array is sorted in its place."""
+        return cls(half, 0, *counted_keys(half, keys))
+
     @classmethod
     def merged(cls, filters: Sequence["QuotientFilter"]) -> "QuotientFilter":
         """One filter with the sums of all counts."""

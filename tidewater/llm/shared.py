@@ -51,8 +51,8 @@ def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and lengths of the runs of equal values."""
     if not len(keys):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    starts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1])
-    return starts, np.diff(np.append(starts, len(keys)))
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return starts, np.diff(starts, append=len(keys))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
