@@ -1,6 +1,7 @@
 """Mixing, shards, url filters and the pipeline."""
 
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from tests.helpers import frame
 from tests.oracle_check import compare
+from tidewater.llm import training_order
 from tidewater.llm.mixing import mix, mixed_documents, mixture, permuted
 from tidewater.llm.queries import ORACLES, QUERIES
 from tidewater.llm.sentence_pieces import MODEL, send_vocabulary
@@ -254,3 +256,17 @@ def test_stages_of_an_empty_table(spark):
 
 def test_pipeline_runs(spark):
     assert corpus_pipeline.run(spark, SF_DIR).where("ids is null").count() == 0
+
+
+def test_words_are_packed_at_once_and_the_first_are_kept(monkeypatch):
+    monkeypatch.setattr(training_order, "REMEMBERED", 100)
+    monkeypatch.setattr(training_order, "KEPT", 40)
+    words, calls, real = training_order.Words(Path(MODEL).read_bytes(), "uint16"), [], np.array
+    texts = [f"the of word{k} é  two" if k % 7 == 0 else f"the of word{k} unheard{k}of" for k in range(200)] + ["", None or ""]
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    want = [np.array(ids, "uint16").tobytes() for ids in library.encode(texts)]
+    asked, plain = [], words.encoder.plain_ids
+    monkeypatch.setattr(words.encoder, "plain_ids", lambda x: asked.extend(x) or plain(x))
+    monkeypatch.setattr(np, "array", lambda *x, **y: calls.append(x) or real(*x, **y))
+    assert [x for at in range(0, len(texts), 20) for x in words.encode(texts[at : at + 20])] == want
+    assert not calls and asked.count("the") == asked.count("of") == 1 and len(words) < 300

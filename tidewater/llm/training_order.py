@@ -14,6 +14,7 @@ import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import asdict, dataclass
 from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -68,8 +69,9 @@ class Order:
         return self._walk(slot, True)
 
 
-#: Words whose ids a worker remembers before it starts anew; this bounds memory only.
-REMEMBERED = 300_000
+#: Words whose ids a worker remembers before it starts anew, and of these the first met, mostly frequent ones, that it
+#: goes on with; this bounds memory only.
+REMEMBERED, KEPT = 300_000, 150_000
 
 
 class Words(dict):
@@ -83,7 +85,13 @@ class Words(dict):
         self.encoder, self.kind = Model(model), kind
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(ids, self.kind).tobytes() for ids in self.encoder.plain_ids(texts)]
+        """The ids of every text, packed all at once and cut again."""
+        ids = self.encoder.plain_ids(texts)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        packed = np.fromiter(chain.from_iterable(ids), self.kind, sizes.sum())
+        ends = (np.cumsum(sizes) * packed.itemsize).tolist()
+        packed = packed.tobytes()
+        return [packed[i:j] for i, j in zip([0, *ends], ends)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         by_word = [
@@ -91,7 +99,9 @@ class Words(dict):
             for t in texts
         ]
         if len(self) > REMEMBERED:
+            kept = list(islice(self.items(), KEPT))
             self.clear()
+            self.update(kept)
         new = list({w for parts in by_word if parts for w in parts}.difference(self))
         self.update(zip(new, self._ids(new)))
         whole = iter(self._ids([t for t, parts in zip(texts, by_word) if parts is None]))
