@@ -270,3 +270,10 @@ def test_words_are_packed_at_once_and_the_first_are_kept(monkeypatch):
     monkeypatch.setattr(np, "array", lambda *x, **y: calls.append(x) or real(*x, **y))
     assert [x for at in range(0, len(texts), 20) for x in words.encode(texts[at : at + 20])] == want
     assert not calls and asked.count("the") == asked.count("of") == 1 and len(words) < 300
+
+
+def test_pipeline_hands_small_batches_to_python_and_leaves_the_session_as_it_was(spark, monkeypatch):
+    seen, before = [], spark.conf.get(corpus_pipeline.BATCH)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("look", lambda spark, docs, d: seen.append(spark.conf.get(corpus_pipeline.BATCH)) or docs)])
+    assert corpus_pipeline.run(spark, SF_DIR).count() and seen == [str(corpus_pipeline.AT_ONCE)]
+    assert spark.conf.get(corpus_pipeline.BATCH) == before
