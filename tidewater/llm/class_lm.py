@@ -19,18 +19,17 @@ The tasks hold the head, its classes, and tables of classes by classes; their nu
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.shared import fold, grouped, only, rows_of, runs, words
+from tidewater.llm.shared import fold, grouped, only, rows_of, runs
 from tidewater.session import settle
 
 #: Words that every task holds with their counts; count from which a word is clustered; sweeps over the head.
@@ -51,31 +50,39 @@ def n_classes(n_words: int) -> int:
 
 # ---------------------------------------------------------------- counts
 
-def _looked_up(texts: list[str | None], get, other: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """The words of all texts, what ``get`` has for each or ``other``, and the number of words of each text."""
-    parts = list(map(words, texts))
-    flat = list(chain.from_iterable(parts))
-    found = np.fromiter(map(get, flat, repeat(other)), np.int64, len(flat))
-    return flat, found, np.fromiter(map(len, parts), np.int64, len(parts))
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, as ``shared.words`` has them, and the number of words of each text."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat, at = parts.flatten(), parts.offsets.to_numpy()
+    # White space at the ends of a text leaves empty words there.
+    some = pc.greater(pc.binary_length(flat), 0)
+    upto = np.append(0, np.cumsum(some.to_numpy(zero_copy_only=False)))[at - at[0]]
+    return flat.filter(some), np.diff(upto)
+
+
+def _looked_up(texts: pa.Array, head: pa.Array, other: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The words of all texts, the place of each in ``head`` or ``other``, and the number of words of each text."""
+    flat, lengths = _split(texts)
+    found = pc.fill_null(pc.index_in(flat, value_set=head.cast(flat.type)), other)
+    return flat, found.to_numpy().astype(np.int64), lengths
 
 
 def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def table(counts: Counter):
-        pairs = list(counts.items())
-        for at in range(0, len(pairs), 100_000):
-            part = pairs[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in part], pa.binary()).cast(pa.string()), pa.array([c for _, c in part], pa.int64())], names=["word", "c"]
-            )
-
-    counts: Counter = Counter()
+    def table(held: list[pa.Array]):
+        counts = pa.chunked_array(held, pa.string()).value_counts()
+        for at in range(0, len(counts), 100_000):
+            part = counts.slice(at, 100_000)
+            yield pa.RecordBatch.from_arrays([part.field("values"), part.field("counts")], names=["word", "c"])
+
+    held, n = [], 0
     for batch in rows_of(batches):
-        for text in batch["text"].to_pylist():
-            counts.update(words(text))
-        if len(counts) > 500_000:
-            yield from table(counts)
-            counts = Counter()
-    yield from table(counts)
+        held.append(_split(batch["text"])[0].cast(pa.string()))
+        n += len(held[-1])
+        if n > 2 * AT_ONCE:
+            yield from table(held)
+            held, n = [], 0
+    if held:
+        yield from table(held)
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -116,16 +123,17 @@ def _neighbours(head: Broadcast, size: int, ranges: int):
             mine = np.flatnonzero(word < size)
             mine = mine[np.argsort((word[mine] % ranges * size + word[mine]) * width + other[mine])]  # no key is twice
             sides.append(((word[mine] % ranges).astype(np.int32), word[mine] * width + other[mine], counts[mine]))
+        cuts = [np.searchsorted(which, np.arange(ranges + 1, dtype=np.int32)).tolist() for which, _, _ in sides]
         for r in range(ranges):
-            cut = [tuple(np.searchsorted(which, (r, r + 1))) for which, _, _ in sides]
+            cut = [(c[r], c[r + 1]) for c in cuts]
             if any(a < b for a, b in cut):
                 row = [_packed(x) for (a, b), (_, keys, n) in zip(cut, sides) for x in (np.diff(keys[a:b], prepend=0), n[a:b])]
                 yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), *(pa.array([x], pa.binary()) for x in row)], names=_NEIGHBOURS_NAMES)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get, held, n = head.value.get, [], 0
+        held, n = [], 0
         for batch in rows_of(batches):
-            _, found, lengths = _looked_up(batch["text"].to_pylist(), get, size)
+            _, found, lengths = _looked_up(batch["text"], head.value, size)
             line = np.append(size + 1, np.insert(found, np.cumsum(lengths), size + 1))
             held.append((line[:-1], line[1:]))
             n += len(line)
@@ -320,30 +328,38 @@ def clustered_head(neighbours: DataFrame, size: int, k: int, sweeps: int = SWEEP
     return of, _joint(neighbours, of, size, k, True)
 
 
-def _placed(joint: Broadcast, k: int):
-    """Classes ``word, g`` for words outside the head, from their neighbours' classes ``word, side, d, c`` sorted by word.
+def _placed(joint: Broadcast, k: int, least: int):
+    """Classes ``word, g`` for words outside the head that have ``least`` places, from all places' ``word, left, right`` sorted by word.
 
     These words are rare beside the classes, so the first order of the gain decides, and the sums stay as they are.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        exchange, held = Exchange(joint.value, k), []
-
-        def placed():
-            tables = np.zeros((2, len(held), k + 2))
-            for x, (_, rows) in enumerate(held):
-                for side, d, c in rows:
-                    tables[side, x, d] = c
-            found = exchange.gains(*tables).argmax(axis=1)
-            return pa.RecordBatch.from_arrays([pa.array([w for w, _ in held]), pa.array(found, pa.int32())], names=["word", "g"])
-
-        for (word,), rows in grouped(batches, ["word"], ["side", "d", "c"]):
-            held.append((word, rows))
-            if len(held) == 2_000:
-                yield placed()
-                held = []
-        if held:
-            yield placed()
+        exchange, width = Exchange(joint.value, k), k + 2
+        # In the sums the end, which is k at a place, is k + 1, and another word outside, which is -1, is k.
+        code = np.append(np.arange(k), [k + 1, k])
+
+        def placed(word: pa.Array, tables: np.ndarray) -> pa.RecordBatch:
+            often = tables[0].sum(axis=1) >= least
+            found = exchange.gains(*tables[:, often]).argmax(axis=1)
+            return pa.RecordBatch.from_arrays([word.filter(pa.array(often)), pa.array(found, pa.int32())], names=["word", "g"])
+
+        last, held = pa.array([], pa.string()), np.zeros((2, 0, width))  # the word of the last place, which may have more
+        for batch in rows_of(batches, 10_000):
+            if not batch.num_rows:
+                continue
+            word = batch["word"].cast(pa.string())
+            begins = np.flatnonzero(np.append(True, pc.not_equal(word[1:], word[:-1]).to_numpy(zero_copy_only=False)))
+            at = np.repeat(np.arange(len(begins)), np.diff(begins, append=len(word))) * width
+            cells = [np.bincount(at + code[batch[side].to_numpy()], minlength=len(begins) * width) for side in ("right", "left")]
+            tables, found = np.stack(cells).reshape(2, -1, width).astype(float), word.take(pa.array(begins))
+            if len(last) and last[0] == found[0]:
+                tables[:, :1] += held
+            else:
+                yield placed(last, held)
+            yield placed(found[:-1], tables[:, :-1])
+            last, held = found[-1:], tables[:, -1:]
+        yield placed(last, held)
 
     return run
 
@@ -375,7 +391,7 @@ _LINE_NAMES = [x.split()[0] for x in _LINES.split(", ")]
 class Head:
     """What every task holds of the head: places, classes, and logarithms of counts."""
 
-    place: dict[bytes, int]
+    words: pa.Array
     of: np.ndarray
     base: np.ndarray  # log10 by the base formula; last, of the end
     logs: np.ndarray  # log10 of the discounted count
@@ -390,10 +406,10 @@ def _lines(sent: Broadcast, end: int, end_known: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, head = TaskContext.get().partitionId() << 40, sent.value
-        get, of = head.place.get, np.append(head.of, -1).astype(np.int64)
+        of = np.append(head.of, -1).astype(np.int64)
         for batch in rows_of(batches):
             n = batch.num_rows
-            flat, at, lengths = _looked_up(batch["text"].to_pylist(), get, -1)
+            flat, at, lengths = _looked_up(batch["text"], head.words, -1)
             # The texts' lines lie end to end, each between two ends.
             text = np.repeat(np.arange(n), lengths)
             place = np.arange(len(flat)) + 2 * text + 1
@@ -426,7 +442,7 @@ def _lines(sent: Broadcast, end: int, end_known: int):
                 m = len(out[some])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row + of_text[some]), pa.nulls(m, pa.int64()), pa.array(trained[some], pa.bool_()), *(pa.nulls(m, x) for x in kinds[3:]),
-                     pa.array([flat[x] for x in out[some].tolist()], pa.binary()).cast(pa.string()),
+                     flat.take(pa.array(out[some])).cast(pa.string()),
                      *(pa.array(x[some].astype(np.int32)) for x in (begin, k, left, right))],
                     names=_LINE_NAMES,
                 )
@@ -556,9 +572,9 @@ def fit(docs: DataFrame, head_size: int = HEAD, least: int = LEAST) -> Fitted:
     top = counts.where(F.col("c") >= least).orderBy(F.desc("c"), "word").limit(head_size).toPandas()
     size, c = len(top), top["c"].to_numpy(float)
     k = max(1, n_classes(size)) if about["types"] else 0
-    place = {w.encode(): i for i, w in enumerate(top["word"])}
+    first = pa.array(top["word"].tolist(), pa.string())
     ranges = max(1, -(-size // PER_RANGE))
-    neighbours = training.mapInArrow(_neighbours(spark.sparkContext.broadcast(place), size, ranges), _NEIGHBOURS)
+    neighbours = training.mapInArrow(_neighbours(spark.sparkContext.broadcast(first), size, ranges), _NEIGHBOURS)
     # Sweeps read the ranges in as many tasks as there are files, whatever their size.
     neighbours = neighbours.repartition(max(1, ranges // 4), "range").sortWithinPartitions("range").mapInArrow(_merged, _NEIGHBOURS)
     neighbours = settle(neighbours, "neighbours")
@@ -568,7 +584,7 @@ def fit(docs: DataFrame, head_size: int = HEAD, least: int = LEAST) -> Fitted:
     )
 
     base = np.log10((np.append(c, n_docs) + 1) / (tokens + types + 1))
-    sent = spark.sparkContext.broadcast(Head(place, of[:size], base, np.log10(np.maximum(c - discount, 1e-9))))
+    sent = spark.sparkContext.broadcast(Head(first, of[:size], base, np.log10(np.maximum(c - discount, 1e-9))))
     lines = settle(docs.mapInArrow(_lines(sent, k, int(tokens > 0)), _LINES), "lines")
 
     rare = lines.where("word is not null").select("row", "train", "word", "run", "at", "left", "right")
@@ -576,17 +592,14 @@ def fit(docs: DataFrame, head_size: int = HEAD, least: int = LEAST) -> Fitted:
     if size:  # in the order of the head, all words after its last
         last = top.iloc[-1]
         outside = counts.where((F.col("c") < int(last["c"])) | ((F.col("c") == int(last["c"])) & (F.col("word") > str(last["word"]))))
-    side = lambda n, other: rare.where("train").select(
-        "word", F.lit(n).alias("side"), F.when(F.col(other) < 0, k).when(F.col(other) == k, k + 1).otherwise(F.col(other)).alias("d")
-    )
-    around = side(0, "right").union(side(1, "left")).groupBy("word", "side", "d").agg(F.count("*").alias("c"))
-    around = around.join(outside.where(F.col("c") >= least).select("word"), "word", "left_semi")
-    around = around.repartition("word").sortWithinPartitions("word")
-    tail_of = settle(around.mapInArrow(_placed(spark.sparkContext.broadcast(joint), k), "word string, g int"), "placed")
+    # A word has as many places here as counts, so those that occur too rarely are told by these.
+    around = rare.where("train").select("word", "left", "right").repartition("word").sortWithinPartitions("word")
+    tail_of = settle(around.mapInArrow(_placed(spark.sparkContext.broadcast(joint), k, least), "word string, g int"), "placed")
     classed = settle(classes_outside(outside, tail_of, head), "classed")
 
     unknown = k + 1
-    placed = rare.join(classed, "word", "left").select(
+    # No word is classed twice, so tables of these spare the sort of all places by word.
+    placed = rare.join(classed.hint("shuffle_hash"), "word", "left").select(
         "row", "train", "run", "at", "left", "right", F.coalesce("c", F.lit(0)).cast("long").alias("c"), F.coalesce("g", F.lit(unknown)).cast("int").alias("g")
     )
     # A text's words meet in one task, so that its sums are one row of it or few, however many partitions there are.
