@@ -6,15 +6,18 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
 from tests.helpers import frame
-from tidewater.llm.class_lm import Exchange, fit, lm_scores, n_classes, transitions
+from tidewater.llm import pieces as pieces_module, sentence_pieces
+from tidewater.llm.class_lm import Exchange, _looked_up, _placed, fit, lm_scores, n_classes, transitions
 from tidewater.llm.language_id import Parser, identify_languages
 from tidewater.llm.pieces import Pieces, blanked, matrix, product, read_vocabulary, route
 from tidewater.llm.quality import FLOOR, NAMES, TEMPER, TO_DIAGONAL, TO_POOLED, quality_scores, statistics
+from tidewater.llm.shared import words
 from tidewater.llm.sentence_pieces import MODEL, decode, encode, send_vocabulary, token_report
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -355,3 +358,59 @@ def test_lm_words_outside_the_head_of_a_text_meet_in_one_task(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
     assert len(files) == 40 and all(r["count"] == 30 for r in files) and len({r.file for r in files}) > 1
+
+
+def test_a_batch_beyond_what_is_remembered_is_encoded_by_the_library(monkeypatch):
+    monkeypatch.setattr(pieces_module, "REMEMBERED", 5)
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    pieces = Pieces(read_vocabulary(MODEL), library)
+    slow = []
+    pieces.units.encode = lambda unit: slow.append(unit) or pieces.encode_unit(unit)
+    texts = ["one two three", "one two four five six", "one seven", "two  eight one"]
+    for batch in (texts[:2], texts[2:], texts):
+        got = [np.frombuffer(x, np.int32).tolist() for x in pieces.encode_all(list(map(blanked, batch)))]
+        assert got == [library.encode(t) for t in batch]
+    assert not [u for u in slow if u.startswith("▁")]
+
+
+def test_a_task_forgets_the_units_it_met():
+    class Sent:
+        vocabulary = type("", (), {"value": read_vocabulary(MODEL)})
+        model = type("", (), {"value": open(MODEL, "rb").read()})
+
+    sent = Sent()
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "k1": [2], "text": ["some words here"]})
+    out = list(sentence_pieces._encode_short(sent)([batch]))
+    assert out[0].num_rows == 1 and not sentence_pieces._pieces(sent).units
+
+
+def test_words_are_split_and_looked_up_as_bytes_are():
+    draw = random.Random(3)
+    letters = " \t\n\x0b\x0c\r\x1c\x1f\x85\xa0aBZzÀÉİ\x00▁€😀"
+    texts = [None, "", "  "] + ["".join(draw.choice(letters) for _ in range(draw.randrange(20))) for _ in range(500)]
+    split = list(map(words, texts))
+    head = sorted({w for t in split for w in t})[::2]
+    flat, found, lengths = _looked_up(pa.array(texts).slice(1), pa.array([w.decode() for w in head]), -1)
+    assert [w.encode() for w in flat.to_pylist()] == [w for t in split for w in t] and lengths.tolist() == list(map(len, split[1:]))
+    assert found.tolist() == [head.index(w) if w in head else -1 for t in split for w in t]
+
+
+def test_words_are_placed_by_all_their_places_in_however_many_batches():
+    draw, k = np.random.default_rng(4), 5
+    joint = draw.integers(0, 50, (k + 2, k + 2)).astype(float)
+    rows = sorted((f"w{draw.integers(40):02}", int(draw.integers(-1, k + 1)), int(draw.integers(-1, k + 1))) for _ in range(300))
+    want = {}
+    for word in {w for w, _, _ in rows}:
+        tables = np.zeros((2, 1, k + 2))
+        for w, *sides in rows:
+            if w == word:
+                for table, place in zip(tables, reversed(sides)):
+                    table[0, {-1: k, k: k + 1}.get(place, place)] += 1
+        if tables[0].sum() >= 6:
+            want[word] = int(Exchange(joint, k).gains(*tables).argmax())
+    for size in (1, 7, 300):
+        columns = [rows[at : at + size] for at in range(0, len(rows), size)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(w), pa.array(x, pa.int32()), pa.array(y, pa.int32())], names=["word", "left", "right"])
+                   for w, x, y in (zip(*c) for c in columns)]
+        got = [r for b in _placed(type("", (), {"value": joint}), k, 6)(batches) for r in b.to_pylist()]
+        assert len(got) == len(want) and {r["word"]: r["g"] for r in got} == want

@@ -9,6 +9,7 @@ first, and for the second a pair of neighbours weighs 0 or minus infinity.
 from __future__ import annotations
 
 import re
+from itertools import accumulate, chain
 from math import inf
 
 import numpy as np
@@ -19,7 +20,7 @@ _UNITS = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 _CUT = re.compile(f"(?<=[^{BLANK}]){BLANK}")
 #: Units up to this length are merged pair by pair, longer ones go through the lattice.
 SHORT_UNIT = 40
-#: Encoded units, and pairs of pieces, that a worker remembers before it starts anew; these bound memory only.
+#: Encoded units, between batches, and pairs of pieces that a worker remembers before it starts anew; these bound memory only.
 REMEMBERED, PAIRS = 200_000, 400_000
 UNK_PENALTY = 10.0
 
@@ -52,8 +53,6 @@ class _Units(dict):
         self.encode = encode
 
     def __missing__(self, unit: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
         ids = np.array(self.encode(unit), np.int32).tobytes()
         if len(unit) <= SHORT_UNIT:
             self[unit] = ids
@@ -184,16 +183,30 @@ class Pieces:
     def encode_all(self, forms: list[str]) -> list[bytes]:
         by_form = [_UNITS.findall(form) if self.cuts else [form] if form else [] for form in forms]
         if self.library is not None and self.cuts:
-            self._learn({u for units in by_form for u in units}.difference(self.units))
+            met = {u for units in by_form for u in units}
+            new = met.difference(self.units)
+            if len(self.units) + len(new) > REMEMBERED:
+                # What was known of these units goes too, so all are new.
+                self.units.clear()
+                new = met
+            self._learn(new)
+        elif len(self.units) > REMEMBERED:
+            self.units.clear()
         return [b"".join(map(self.units.__getitem__, units)) for units in by_form]
 
     def _learn(self, units: set[str]) -> None:
         """Short units that begin with a blank, which the library puts in front of a text itself."""
-        if len(self.units) + len(units) > REMEMBERED:
-            self.units.clear()
         new = [u for u in units if u[0] == BLANK and 1 < len(u) <= SHORT_UNIT]
-        for u, ids in zip(new, self.library.encode([u[1:].replace(BLANK, " ") for u in new], num_threads=1)):
-            self.units[u] = np.array(ids, np.int32).tobytes()
+        # Their ids are packed end to end at once, and cut.
+        ids = self.library.encode([u[1:].replace(BLANK, " ") for u in new], num_threads=1)
+        packed = np.fromiter(chain.from_iterable(ids), np.int32).tobytes()
+        ends = [4 * n for n in accumulate(map(len, ids))]
+        self.units.update(zip(new, map(packed.__getitem__, map(slice, [0, *ends], ends))))
+
+    def forget(self) -> None:
+        """Give up the units and pairs remembered, which are met anew."""
+        self.units.clear()
+        self.pairs.clear()
 
     def decode(self, ids) -> str:
         joined = b"".join(map(self.texts.__getitem__, ids))
