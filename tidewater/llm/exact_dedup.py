@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.shared import only, rows_of
+from tidewater.llm.shared import only, resting, rows_of
 
 FANOUT_BITS = 4
 _SPACES = re.compile(rb"[\x20\x09-\x0D]+")
@@ -157,7 +157,7 @@ def _combine(limit: int):
                     table = ContentTable()
         yield from _content_batches(table.records())
 
-    return run
+    return resting(run)
 
 
 def _reduce(limit: int):
@@ -177,7 +177,7 @@ def _reduce(limit: int):
             if rows:
                 yield _groups(rows)
 
-    return run
+    return resting(run)
 
 
 def _groups(rows: list[tuple]) -> pa.RecordBatch:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tidewater.llm.shared import fold, only
+from tidewater.llm.shared import fold, only, rest
 
 UNKNOWN = "und"
 #: The fit's bounds: documents of a language, characters taken from each, characters of a
@@ -146,7 +146,7 @@ class Parser:
         return langs, scores
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _parser(samples: tuple[tuple[str, str], ...]) -> Parser:
     return Parser(samples)
 
@@ -179,6 +179,7 @@ def language(samples: tuple[tuple[str, str], ...], text: str) -> Column:
             part = parser.judge(texts.iloc[at : at + 2_000].tolist())
             langs += part[0]
             scores += part[1]
+        rest()
         return pd.DataFrame({"lang_pred": langs, "score": scores})
 
     return judged(F.col(text))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.functions import pandas_udf
 
 from tidewater.llm.pieces import Pieces, Vocabulary, blanked, matrix, product, read_vocabulary, route
-from tidewater.llm.shared import grouped, only, rows_of
+from tidewater.llm.shared import grouped, only, resting, rows_of
 from tidewater.session import settle
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -30,7 +30,7 @@ CHUNK = 16_384
 BLOCK = 256
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _pieces(sent: "_Sent") -> Pieces:
     import sentencepiece
 
@@ -73,7 +73,7 @@ def _encode_short(sent: _Sent):
             ids = pieces.encode_all([blanked(t) for t in batch["text"].to_pylist()])
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["k1"], _id_lists(ids)], names=["doc_id", "k1", "ids"])
 
-    return run
+    return resting(run, lambda: _pieces(sent).forget())
 
 
 def _chunks(longest: int, chunk: int):
@@ -113,7 +113,7 @@ def _transfer(sent: _Sent):
             keys = [batch[c] for c in ("k1", "k2", "block", "part")]
             yield pa.RecordBatch.from_arrays([*keys, *matrices], names=["k1", "k2", "block", "part", "i", "j", "w"])
 
-    return run
+    return resting(run, lambda: _pieces(sent).forget())
 
 
 def _batches(rows: Iterable[tuple], names: list[str], kinds: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +178,7 @@ def _backtrace(sent: _Sent):
             keys = [batch[c] for c in ("k1", "k2", "part")]
             yield pa.RecordBatch.from_arrays([*keys, _id_lists(ids)], names=["k1", "k2", "part", "ids"])
 
-    return run
+    return resting(run, lambda: _pieces(sent).forget())
 
 
 def _encoded(docs: DataFrame, sent: _Sent, chunk: int) -> DataFrame:
