@@ -229,3 +229,29 @@ def test_samples_are_not_sorted_to_meet_scales_and_otoliths(plain_shuffles, inpu
     plan = linked._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in plan and "Sort " not in plan
     assert rows(linked, "bag_no", "vial_no", "hatch_code") == [(None, None, None), ("B1", "1", "H1"), ("B1", "2", "H2")]
+
+
+@pytest.mark.parametrize("na_matches", ["never", "na"])
+def test_all_links_equal_the_links_one_by_one(inputs, na_matches):
+    tables = hatchery_link.link_tables(inputs, YEAR, na_matches=na_matches)
+    _, samples, scales, otoliths, tags, marks = tables.values()
+    scales = scales.withColumn("facility", F.lit("F"))  # a name of the otoliths and of the marks too
+    linked = hatchery.link_scales(samples, scales, na_matches=na_matches)
+    linked = hatchery.link_otoliths(linked, otoliths, na_matches=na_matches)
+    linked = hatchery.resolve_ages(hatchery.link_tags(linked, tags, na_matches=na_matches), YEAR)
+    linked = hatchery.link_marks(linked, marks, na_matches=na_matches).withColumn("r_resolved_stock_id", hatchery.resolved_stock())
+    for repeats in ({}, hatchery.sample_repeats(samples)):
+        packed = hatchery.link_all(samples, scales, otoliths, tags, marks, YEAR, na_matches=na_matches, repeats=repeats)
+        assert packed.dtypes == linked.dtypes
+        assert sorted(map(str, packed.collect())) == sorted(map(str, linked.collect()))
+
+
+def test_linked_samples_are_moved_packed_and_without_repeats(plain_shuffles, inputs):
+    """At each link the samples hold their own columns, one for each link before it, and what deals those without a key."""
+    linked = hatchery_link.link_tables(inputs, YEAR)["1 - all samples linked"]
+    plan = linked._jdf.queryExecution().optimizedPlan().toString()
+    heads = plan.split("Relation")[0].split("LogicalRDD")[0].splitlines()
+    joins = [i for i, line in enumerate(heads) if "Join LeftOuter" in line]
+    # Below a join its left side comes first.
+    moved = [heads[i + 1].split("[", 1)[1].count(", ") + 1 for i in joins if "Project [" in heads[i + 1]]
+    assert moved and max(moved) <= 24, moved

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,8 +17,15 @@ from tidewater.operators.reshape import select_blocks
 
 SCALE_KEYS = ("r_scale_book_num", "r_scale_cell_num")
 OTOLITH_KEYS = ("r_otolith_box_num", "r_otolith_vial_num")
+TAG_KEYS = ("r_tagcode",)
+MARK_KEYS = ("r_brood_year", "r_hatch_code")
 #: What deals samples without a link's key to tasks.
-SPREAD = ("r_otolith_box_vial_concat",)
+SPREAD = ("r_otolith_box_vial_concat", *OTOLITH_KEYS, *SCALE_KEYS)
+#: Columns of hatchery samples whose text is that of a link key.
+SAMPLE_TEXTS = {
+    "bag_no": "r_otolith_box_num", "vial_no": "r_otolith_vial_num",
+    "book_no": "r_scale_book_num", "scale_sample_no": "r_scale_cell_num",
+}
 
 
 def with_scale_keys(df: DataFrame, book: str, cell: str) -> DataFrame:
@@ -50,6 +57,17 @@ def hatchery_samples(df: DataFrame) -> DataFrame:
     return keyed.withColumn("r_tagcode", F.col("cwt_tag_code"))
 
 
+def sample_repeats(samples: DataFrame) -> dict[str, Column]:
+    """Columns of ``hatchery_samples`` that follow from its link keys, which therefore need not be moved beside them."""
+    kinds = dict(samples.dtypes)
+    same = {c: F.col(key) for c, key in SAMPLE_TEXTS.items() if kinds[c] == "string"}
+    return same | {
+        "cwt_tag_code": F.col("r_tagcode"),
+        "r_otolith_box_vial_concat": join_present(*OTOLITH_KEYS),
+        "r_scale_book_cell_concat": join_present(*SCALE_KEYS),
+    }
+
+
 def escapement_samples(df: DataFrame, blocks: Sequence[tuple[str, str]]) -> DataFrame:
     """Chosen column blocks of the escapement sheet under the common link keys."""
     kept = select_blocks(df, blocks)
@@ -159,7 +177,7 @@ def link_tags(
     samples: DataFrame, tags: DataFrame, *, na_matches: str = "never"
 ) -> DataFrame:
     """Attach tag releases by tag code."""
-    return _link(samples, tags, ["r_tagcode"], na_matches)
+    return _link(samples, tags, TAG_KEYS, na_matches)
 
 
 def factored_tags(samples: DataFrame, tags: DataFrame) -> Factored:
@@ -171,7 +189,7 @@ def link_marks(
     samples: DataFrame, marks: DataFrame, *, na_matches: str = "never"
 ) -> DataFrame:
     """Attach the mark master by brood year and hatch code."""
-    return _link(samples, marks, ["r_brood_year", "r_hatch_code"], na_matches)
+    return _link(samples, marks, MARK_KEYS, na_matches)
 
 
 def resolved_gr_age() -> Column:
@@ -284,12 +302,57 @@ def reused_hatch_codes(marks: DataFrame, years: Sequence[int], province: str = "
     )
 
 
+def _packed(right: DataFrame, keys: Sequence[str], slot: str) -> DataFrame:
+    """The keys, and all other columns in one, which takes no room in samples that meet nothing."""
+    return right.select(*keys, F.struct(*[_named(c) for c in right.columns if c not in keys]).alias(slot))
+
+
+def _named(*path: str) -> Column:
+    return F.col(".".join("`" + p.replace("`", "``") + "`" for p in path))
+
+
+def _with_fields(fields: Mapping[str, Column], right: DataFrame, keys: Sequence[str], slot: str) -> dict[str, Column]:
+    """Columns of linked samples by name, once ``right`` is in ``slot``; clashing ones get suffixes as in ``join_on``."""
+    own = [c for c in right.columns if c not in keys]
+    left = {c + "_x" if c in own else c: value for c, value in fields.items()}
+    return left | {c + "_y" if c in fields else c: _named(slot, c) for c in own}
+
+
 def link_all(
     samples: DataFrame, scales: DataFrame, otoliths: DataFrame, tags: DataFrame, marks: DataFrame,
-    year: int, *, na_matches: str = "never",
+    year: int, *, na_matches: str = "never", repeats: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """All four links in order, with resolved ages, brood year and stock."""
-    linked = link_scales(samples, scales, na_matches=na_matches)
-    linked = link_otoliths(linked, otoliths, na_matches=na_matches)
-    linked = resolve_ages(link_tags(linked, tags, na_matches=na_matches), year)
-    return link_marks(linked, marks, na_matches=na_matches).withColumn("r_resolved_stock_id", resolved_stock())
+    """All four links in order, with resolved ages, brood year and stock.
+
+    Samples move from link to link with what they met packed in one column a link, and without their ``repeats``,
+    columns that follow from their others; all are laid out, and ages resolved, after the last link.
+    """
+    repeats = repeats or {}
+    fields = {c: repeats.get(c, _named(c)) for c in samples.columns}
+    linked = samples.drop(*repeats)
+    scales, otoliths = scales.drop("r_scale_book_cell_concat"), otoliths.drop("r_otolith_box_vial_concat")
+    for link, right, keys, slot in (
+        (link_scales, scales, SCALE_KEYS, "__scales"),
+        (link_otoliths, otoliths, OTOLITH_KEYS, "__otoliths"),
+        (link_tags, tags, TAG_KEYS, "__tags"),
+    ):
+        fields = _with_fields(fields, right, keys, slot)
+        linked = link(linked, _packed(right, keys, slot), na_matches=na_matches)
+
+    named = linked.withColumns({c: value for c, value in fields.items() if c not in linked.columns})
+    kept = [_named(c) for c in linked.columns if c not in MARK_KEYS]
+    linked, marks_of = resolve_ages(named, year).select(*kept, *MARK_KEYS), _packed(marks, MARK_KEYS, "__marks")
+    if na_matches == "never":
+        # Few samples have both keys; the others need not be moved once more.
+        lacking = join_present(*MARK_KEYS).isNull()
+        met = link_marks(linked.filter(~lacking), marks_of)
+        linked = met.unionByName(linked.filter(lacking), allowMissingColumns=True)
+    else:
+        linked = link_marks(linked, marks_of, na_matches=na_matches)
+    # The keys are taken as they were moved, all else is resolved here.
+    laid_out = [value.alias(c) for c, value in fields.items()]
+    aged = resolve_ages(linked.select(*laid_out, "__marks", *[_named(c).alias("__moved_" + c) for c in MARK_KEYS]), year)
+    fields = {c: _named(c) for c in aged.columns if not c.startswith("__")} | {c: _named("__moved_" + c) for c in MARK_KEYS}
+    fields = _with_fields(fields, marks, MARK_KEYS, "__marks")
+    out = aged.select(*[value.alias(c) for c, value in fields.items()])
+    return out.withColumn("r_resolved_stock_id", resolved_stock())

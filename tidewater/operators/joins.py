@@ -68,11 +68,15 @@ def join_on(
     return joined.select(*[F.col(_quote(c)) for c in names])
 
 
+#: Values that deal rows without a key to tasks; few, as each such row carries one.
+SPREAD_OVER = 1 << 16
+
+
 def _spread(left: DataFrame, right: DataFrame, keys: Sequence[str], by: Sequence[str]):
     """Both sides with one more key: zero, but on left rows that lack a key a hash that stays when a task is run again."""
     own = [F.col(_quote(k)) for k in keys]
     lacks = reduce(lambda a, b: a | b, [k.isNull() for k in own])
-    dealt = F.xxhash64(F.spark_partition_id(), *[F.col(_quote(c)) for c in by])
+    dealt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(_quote(c)) for c in by]), F.lit(SPREAD_OVER))
     # Always zero; a plain zero would be folded into the condition and be no key any more.
     zero = F.pmod(F.xxhash64(*own), F.lit(1).cast("long"))
     left = left.withColumn("__spread", F.when(lacks, dealt).otherwise(F.lit(0).cast("long")))

@@ -60,7 +60,8 @@ def link_steps(inputs: LinkInputs, year: int, *, na_matches: str = "never") -> d
         tags: lambda t: hatchery.tag_releases(decode_rows(inputs.tag_payload, TAG_RELEASE_TYPES)),
         marks: lambda t: hatchery.mark_master(inputs.marks),
         linked: lambda t: hatchery.link_all(
-            t[samples], t[scales], t[otoliths], t[tags], t[marks], year, na_matches=na_matches
+            t[samples], t[scales], t[otoliths], t[tags], t[marks], year, na_matches=na_matches,
+            repeats=hatchery.sample_repeats(t[samples]),
         ),
     }
 
