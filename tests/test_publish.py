@@ -187,3 +187,18 @@ def test_counts_of_no_samples(spark):
     enough = sufficiency.sufficiency_of_counts(caught, counts, CONUMA_YEAR)
     assert rows(enough, "total_kept", "n_age_samples", "stockcomp_samplesize_flag") == [(5.0, None, "FLAG")]
     assert sufficiency.missed_of_counts(counts, sufficiency.orphan_ufids(enough), CONUMA_YEAR).count() == 0
+
+
+def test_rows_are_named_before_they_are_observed(spark, tmp_path, monkeypatch):
+    """A row that is named after it was observed would be laid out twice."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    seen, observe = [], DataFrame.observe
+    monkeypatch.setattr(DataFrame, "observe", lambda df, *a: seen.append(df.columns) or observe(df, *a))
+    out = Publication(spark, str(tmp_path / "named"), "s")
+    back = out.write("t", table(spark, 1, 2), {"x": "Shown X", "two words": "Two."})
+    assert back.columns == ["x", "two words"] and rows(back, "x") == [(1,), (2,)]
+    plain = Publication(spark, str(tmp_path / "plain"), "s")
+    plain.write("t", table(spark, 1, 2))
+    assert out.entries["t"]["digest"] == plain.entries["t"]["digest"] and out.entries["t"]["n_rows"] == 2
+    assert seen[0] == ["Shown X", "Two."]

@@ -102,9 +102,10 @@ class Publication:
         """Write a table, under display names if given, and read it back under its own."""
         if table not in self.entries:
             seen = Observation()
+            # Named before it is observed, so that a row is laid out once.
             shown = display_names(df, names or {})
-            observed = df.observe(seen, F.count(F.lit(1)).alias("n_rows"), _digest(df))
-            display_names(observed, names or {}).write.mode("overwrite").parquet(self.place(table))
+            observed = shown.observe(seen, F.count(F.lit(1)).alias("n_rows"), _digest(shown))
+            observed.write.mode("overwrite").parquet(self.place(table))
             self.add(table, self.place(table), shown.schema, seen.get["n_rows"], seen.get["digest"], {c: s for c, s in zip(df.columns, shown.columns) if c != s})
         return self.read(table)
 
