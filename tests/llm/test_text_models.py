@@ -414,3 +414,43 @@ def test_words_are_placed_by_all_their_places_in_however_many_batches():
                    for w, x, y in (zip(*c) for c in columns)]
         got = [r for b in _placed(type("", (), {"value": joint}), k, 6)(batches) for r in b.to_pylist()]
         assert len(got) == len(want) and {r["word"]: r["g"] for r in got} == want
+
+
+def test_the_head_is_looked_up_for_many_texts_at_once_and_neighbours_are_all_counted(monkeypatch):
+    from types import SimpleNamespace
+
+    from tidewater.llm import class_lm
+
+    asked = []
+    monkeypatch.setattr(class_lm, "_looked_up", lambda *a: asked.append(len(a[0])) or _looked_up(*a))
+    monkeypatch.setattr(class_lm, "TEXT_AT_ONCE", 20_000, raising=False)
+    monkeypatch.setattr(class_lm, "AT_ONCE", 9_000)
+    draw = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(700)]
+    texts = [" ".join(draw.choices(vocabulary, k=draw.randrange(4))) or None for _ in range(5000)]
+    texts.insert(2500, " ".join(draw.choices(vocabulary, k=9000)))  # longer than what is taken at once
+    head, size, ranges = pa.array(vocabulary[:600]), 600, 3
+    batch = pa.record_batch({"text": pa.array(texts, pa.string())})
+    run = class_lm._neighbours(SimpleNamespace(value=head), size, ranges)
+    found = [Counter(), Counter()]
+    for out in run(iter([batch, batch.slice(0, 0)])):
+        for r, *data in zip(*(out[c].to_pylist() for c in class_lm._NEIGHBOURS_NAMES)):
+            for side, (w, other, n) in enumerate(class_lm._sides(data, size + 2)):
+                assert (w % ranges == r).all()
+                found[side].update(dict(zip(zip(w.tolist(), other.tolist()), n.tolist())))
+    expected = [Counter(), Counter()]
+    for text in texts:
+        line = [size + 1, *(min(int(w[1:]), size) for w in (text or "").split()), size + 1]
+        for a, b in zip(line, line[1:]):
+            expected[0][a, b] += a < size
+            expected[1][b, a] += b < size
+    assert found == [+e for e in expected]
+    assert sum(asked) == len(texts) and len(asked) <= 4
+
+
+def test_order_by_number_is_stable():
+    from tidewater.llm.class_lm import _by_number
+
+    numbers = np.random.default_rng(1).integers(0, 1 << 18, 50_000) // 3
+    assert (_by_number(numbers) == np.argsort(numbers, kind="stable")).all()
+    assert len(_by_number(np.array([], np.int64))) == 0 and _by_number(np.zeros(3, np.int64)).tolist() == [0, 1, 2]

@@ -36,6 +36,8 @@ from tidewater.session import settle
 HEAD, LEAST, SWEEPS = 1 << 17, 5, 3
 #: Head words whose neighbours one task holds; tokens whose pairs are summed at once.
 PER_RANGE, AT_ONCE = 256, 2_000_000
+#: Bytes of text looked up at once.
+TEXT_AT_ONCE = 1 << 23
 #: Classes whose exact gain is compared for a word.
 SHORT = 16
 #: Weight of the class's own share in smoothing transitions.
@@ -50,6 +52,27 @@ def n_classes(n_words: int) -> int:
 
 # ---------------------------------------------------------------- counts
 
+def _by_size(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of ``TEXT_AT_ONCE`` bytes of text, or one longer text: every batch hashes the head anew."""
+    for batch in batches:
+        upto = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            limit = (upto[start - 1] if start else 0) + TEXT_AT_ONCE
+            stop = max(start + 1, int(np.searchsorted(upto, limit, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
+def _by_number(numbers: np.ndarray) -> np.ndarray:
+    """Stable order of numbers that are not negative, by 16 bits at a time, which numpy sorts without comparing."""
+    order, shift, most = np.arange(len(numbers)), 0, int(numbers.max(initial=0))
+    while most >> shift:
+        order = order[np.argsort((numbers[order] >> shift & 0xFFFF).astype(np.uint16), kind="stable")]
+        shift += 16
+    return order
+
+
 def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The words of all texts, as ``shared.words`` has them, and the number of words of each text."""
     parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
@@ -119,9 +142,10 @@ def _neighbours(head: Broadcast, size: int, ranges: int):
         starts, counts = runs(pair)
         left, right = np.divmod(pair[starts], width)
         sides = []
-        for word, other in ((left, right), (right, left)):
-            mine = np.flatnonzero(word < size)
-            mine = mine[np.argsort((word[mine] % ranges * size + word[mine]) * width + other[mine])]  # no key is twice
+        # The pairs lie by left word and then by right, so the sides' words are put in order by stable sorts.
+        for word, other, ordered in ((left, right, None), (right, left, _by_number(right))):
+            mine = np.flatnonzero(word < size) if ordered is None else ordered[word[ordered] < size]
+            mine = mine[_by_number(word[mine] % ranges)]
             sides.append(((word[mine] % ranges).astype(np.int32), word[mine] * width + other[mine], counts[mine]))
         cuts = [np.searchsorted(which, np.arange(ranges + 1, dtype=np.int32)).tolist() for which, _, _ in sides]
         for r in range(ranges):
@@ -132,7 +156,7 @@ def _neighbours(head: Broadcast, size: int, ranges: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
-        for batch in rows_of(batches):
+        for batch in _by_size(batches):
             _, found, lengths = _looked_up(batch["text"], head.value, size)
             line = np.append(size + 1, np.insert(found, np.cumsum(lengths), size + 1))
             held.append((line[:-1], line[1:]))
@@ -407,7 +431,7 @@ def _lines(sent: Broadcast, end: int, end_known: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, head = TaskContext.get().partitionId() << 40, sent.value
         of = np.append(head.of, -1).astype(np.int64)
-        for batch in rows_of(batches):
+        for batch in _by_size(batches):
             n = batch.num_rows
             flat, at, lengths = _looked_up(batch["text"], head.words, -1)
             # The texts' lines lie end to end, each between two ends.
