@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.llm.shared import fold, grouped, only, rows_of, runs
+from tidewater.llm.shared import fold, grouped, only, resting, rows_of, runs
 from tidewater.session import settle
 
 #: Words that every task holds with their counts; count from which a word is clustered; sweeps over the head.
@@ -37,7 +37,7 @@ HEAD, LEAST, SWEEPS = 1 << 17, 5, 3
 #: Head words whose neighbours one task holds; tokens whose pairs are summed at once.
 PER_RANGE, AT_ONCE = 256, 2_000_000
 #: Bytes of text looked up at once.
-TEXT_AT_ONCE = 1 << 23
+TEXT_AT_ONCE = 1 << 21
 #: Classes whose exact gain is compared for a word.
 SHORT = 16
 #: Weight of the class's own share in smoothing transitions.
@@ -583,7 +583,7 @@ def fit(docs: DataFrame, head_size: int = HEAD, least: int = LEAST) -> Fitted:
     """The model of the training rows of ``doc_id, train, text``, and all rows as lines of classes."""
     spark = docs.sparkSession
     training = docs.where("train").select("text")
-    counts = training.mapInArrow(_count_words, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    counts = training.mapInArrow(resting(_count_words), "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
     counts = settle(counts, "words")
     n_docs = training.count()
     about = counts.agg(
@@ -598,7 +598,7 @@ def fit(docs: DataFrame, head_size: int = HEAD, least: int = LEAST) -> Fitted:
     k = max(1, n_classes(size)) if about["types"] else 0
     first = pa.array(top["word"].tolist(), pa.string())
     ranges = max(1, -(-size // PER_RANGE))
-    neighbours = training.mapInArrow(_neighbours(spark.sparkContext.broadcast(first), size, ranges), _NEIGHBOURS)
+    neighbours = training.mapInArrow(resting(_neighbours(spark.sparkContext.broadcast(first), size, ranges)), _NEIGHBOURS)
     # Sweeps read the ranges in as many tasks as there are files, whatever their size.
     neighbours = neighbours.repartition(max(1, ranges // 4), "range").sortWithinPartitions("range").mapInArrow(_merged, _NEIGHBOURS)
     neighbours = settle(neighbours, "neighbours")
@@ -609,7 +609,7 @@ def fit(docs: DataFrame, head_size: int = HEAD, least: int = LEAST) -> Fitted:
 
     base = np.log10((np.append(c, n_docs) + 1) / (tokens + types + 1))
     sent = spark.sparkContext.broadcast(Head(first, of[:size], base, np.log10(np.maximum(c - discount, 1e-9))))
-    lines = settle(docs.mapInArrow(_lines(sent, k, int(tokens > 0)), _LINES), "lines")
+    lines = settle(docs.mapInArrow(resting(_lines(sent, k, int(tokens > 0))), _LINES), "lines")
 
     rare = lines.where("word is not null").select("row", "train", "word", "run", "at", "left", "right")
     outside = counts
