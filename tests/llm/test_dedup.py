@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import tidewater.llm.ngram_join as ngram_join
@@ -12,7 +13,8 @@ from tests.helpers import frame
 from tidewater.llm.components import components
 from tidewater.llm.embedding_dedup import joined as embedding_joined, near_embeddings
 from tidewater.llm.exact_dedup import ContentTable, exact_dedup, grace
-from tidewater.llm.shingles import shingle_set
+from tidewater.llm.shared import BATCH_BYTES, LIGHT
+from tidewater.llm.shingles import set_key, shingle_set
 
 DOCS = "doc_id long, text string, kept string, component_id string"
 
@@ -150,6 +152,41 @@ def test_texts_with_one_id_keep_their_own_near_copies(spark, turn):
     assert [(r[0], r[2]) for r in got] == [(11, 11), (12, 12), (30, 11), (30, 12)]
 
 
+def test_a_set_of_many_groups_is_sent_in_bounded_batches():
+    texts = [" ".join(f"w{k}-{i}" for i in range(300)) for k in range(100)]
+    keys = [set_key(shingle_set(t)) for t in texts]
+    rows = pa.RecordBatch.from_pydict({
+        "text": texts, "h1": [k[0] for k in keys], "h2": [k[1] for k in keys], "name": list(range(100)),
+        "component": [7] * 100, "blocks": pa.array([60] * 100, pa.int32()),
+    })
+    sent = list(ngram_join._members(5)(iter([rows])))
+    assert sum(b.num_rows for b in sent) == 59 * 100 and max(b.nbytes for b in sent) < 1.1 * LIGHT
+    met = [(key, *pair) for b in sent for key, *pair in zip(*(b[c].to_pylist() for c in ("key", "low", "high")))]
+    own = {k: (h[1] & 0x7FFFFFFFFFFFFFFF) % 60 for k, h in enumerate(keys)}
+    assert sorted(met) == sorted((k, min(own[k], b), max(own[k], b)) for k in own for b in range(60) if b != own[k])
+
+
+def test_repeated_shingles_of_a_task_are_counted_in_bounded_memory(monkeypatch):
+    monkeypatch.setattr(ngram_join, "COUNTED", 400, raising=False)
+    monkeypatch.setattr(ngram_join, "DISTINCT", 1_000, raising=False)
+    held, top = [], ngram_join._top
+    monkeypatch.setattr(ngram_join, "_top", lambda t, c: held.append(sum(map(len, t))) or top(t, c))
+    common = " ".join(f"c{i}" for i in range(9))
+    texts = [" ".join(f"w{k // 2}-{i}" for i in range(100 - k % 2)) + f" {common}" for k in range(200)]
+    rows = pa.RecordBatch.from_pydict({"key": list(range(200)), "spot": list(range(200)), "doc_id": list(range(200)), "text": texts})
+    out = pa.Table.from_batches(ngram_join._describe(5)(iter([rows])))
+    assert max(held) < 1_600  # 10,000 shingles occur twice each
+    seen = {t: n for t, n in zip(out["token"].to_pylist(), out["seen"].to_pylist()) if t is not None}
+    assert {seen[t] for t in shingle_set(common).view(np.int64).tolist()} == {200}
+
+
+def test_batches_for_the_ngram_join_are_light_and_the_session_stays_as_it_was(spark, monkeypatch):
+    before, seen, settle = spark.conf.get(BATCH_BYTES), [], ngram_join.settle
+    monkeypatch.setattr(ngram_join, "settle", lambda df, name: seen.append(spark.conf.get(BATCH_BYTES)) or settle(df, name))
+    assert ngram_join.ngram_classes(docs(spark, (1, "a b c"), (2, "a b c"))).count() == 2
+    assert seen and set(seen) == {str(LIGHT)} and spark.conf.get(BATCH_BYTES) == before
+
+
 # ---------------------------------------------------------------- embeddings
 
 VECTORS = "vec_id long, embedding array<float>, label int, node string, bucket string"
