@@ -752,7 +752,7 @@ def link_bundle(spark, sf_dir):
 def link_exports(spark, sf_dir):
     """The master and the join file, read back and counted by what both have."""
     i, folder = Inputs(spark, sf_dir), _fresh(spark, "exports")
-    linked = link_tables(_link_inputs(i), LINK_YEAR)["1 - all samples linked"]
+    linked = link_tables(_link_inputs(i), LINK_YEAR, staged=True)["1 - all samples linked"]
     files = {"master": write_master(i.hatchery, folder, "s"), "join": write_join_file(linked, folder, "s")}
     own = {shown: name for name, shown in rules.LINK_DISPLAY.items()}
     keys = ["r_otolith_box_vial_concat", "r_scale_book_cell_concat", "r_tagcode"]

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import hatchery
 from tidewater.plans import hatchery_link
+from tidewater.session import Stage
 from tidewater.sources import schemas
 from tests.helpers import frame, one, records, rows
 
@@ -255,3 +256,35 @@ def test_linked_samples_are_moved_packed_and_without_repeats(plain_shuffles, inp
     # Below a join its left side comes first.
     moved = [heads[i + 1].split("[", 1)[1].count(", ") + 1 for i in joins if "Project [" in heads[i + 1]]
     assert moved and max(moved) <= 24, moved
+
+
+@pytest.mark.parametrize("na_matches", ["never", "na"])
+def test_staged_links_equal_those_of_one_plan(inputs, na_matches):
+    one_plan, staged = (
+        hatchery_link.link_tables(inputs, YEAR, na_matches=na_matches, staged=s)["1 - all samples linked"] for s in (False, True)
+    )
+    assert staged.dtypes == one_plan.dtypes
+    assert sorted(map(str, staged.collect())) == sorted(map(str, one_plan.collect()))
+
+
+def test_staged_links_keep_one_table(spark, inputs, monkeypatch):
+    stages, settle = {}, Stage.settle
+    monkeypatch.setattr(Stage, "settle", lambda self, df, name: stages.update({name: self}) or settle(self, df, name))
+    hatchery_link.link_tables(inputs, YEAR, staged=True)
+    assert list(stages) == ["scales", "otoliths", "tags"] and len(set(map(id, stages.values()))) == 1
+    folder = spark._jvm.org.apache.hadoop.fs.Path(stages["tags"].path)
+    there = [f.getPath().getName() for f in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder.getParent())]
+    assert folder.getName() in there and not [t for t in there if t.startswith(("scales-", "otoliths-"))]
+
+
+@pytest.mark.parametrize("na_matches", ["never", "na"])
+def test_samples_without_a_key_are_not_moved_to_a_staged_link(inputs, na_matches):
+    tables, moved = hatchery_link.link_tables(inputs, YEAR), []
+    _, samples, scales, *_ = tables.values()
+    link = lambda left, right, **how: moved.append(left) or hatchery.link_scales(left, right, **how)
+    linked = hatchery._link_some(link, samples, scales, hatchery.SCALE_KEYS, na_matches)
+    plain = hatchery.link_scales(samples, scales, na_matches=na_matches)
+    assert linked.dtypes == plain.dtypes and sorted(map(str, linked.collect())) == sorted(map(str, plain.collect()))
+    keyed = "r_scale_book_num is not null and r_scale_cell_num is not null"
+    assert 0 < samples.filter(keyed).count() < samples.count()
+    assert moved[0].count() == (samples.filter(keyed) if na_matches == "never" else samples).count()

@@ -2,6 +2,8 @@
 
 import datetime as dt
 import json
+import time
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -120,6 +122,26 @@ def test_settled_tables_keep_rows_and_schema(spark):
     assert session.shared_folder(spark) in settled.inputFiles()[0]
 
 
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {str(f) for d in folders for f in Path(d.getPath()).rglob("shuffle_*.data")}
+
+
+@pytest.mark.parametrize("write", ["bundle", "stage"])
+def test_shuffle_files_go_once_a_table_is_written(spark, tmp_path, write):
+    before, old = shuffle_files(spark), spark.conf.get(session.CLEANUP, None)
+    df = spark.range(1000).repartition(4, "id")
+    if write == "bundle":
+        at = bundle.write_table(df, str(tmp_path / "t"))
+    else:
+        at = session.Stage().settle(df, "t").inputFiles()[0]
+    for _ in range(100):  # they are deleted meanwhile
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not left and spark.read.parquet(at).count() > 0 and spark.conf.get(session.CLEANUP, None) == old
+
+
 def test_settled_small_side_is_broadcast_by_its_size(spark):
     small = session.settle(frame(spark, "k int", (1,)), "t")
     plan = spark.range(10).withColumn("k", F.col("id") % 3).join(small, "k", "left_semi")

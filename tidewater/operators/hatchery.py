@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -14,6 +15,7 @@ from tidewater.functions.recode import recode
 from tidewater.functions.text import title_case
 from tidewater.operators.joins import Factored, factored_join, join_on, rows_not_in
 from tidewater.operators.reshape import select_blocks
+from tidewater.session import Stage
 
 SCALE_KEYS = ("r_scale_book_num", "r_scale_cell_num")
 OTOLITH_KEYS = ("r_otolith_box_num", "r_otolith_vial_num")
@@ -318,16 +320,30 @@ def _with_fields(fields: Mapping[str, Column], right: DataFrame, keys: Sequence[
     return left | {c + "_y" if c in fields else c: _named(slot, c) for c in own}
 
 
+def _link_some(
+    link: Callable[..., DataFrame], left: DataFrame, right: DataFrame, keys: Sequence[str], na_matches: str
+) -> DataFrame:
+    """The same rows as ``link`` gives; rows that lack a key and so meet nothing are not moved."""
+    if na_matches != "never":
+        return link(left, right, na_matches=na_matches)
+    lacks = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return link(left.filter(~lacks), right).unionByName(left.filter(lacks), allowMissingColumns=True)
+
+
 def link_all(
     samples: DataFrame, scales: DataFrame, otoliths: DataFrame, tags: DataFrame, marks: DataFrame,
-    year: int, *, na_matches: str = "never", repeats: Mapping[str, Column] | None = None,
+    year: int, *, na_matches: str = "never", repeats: Mapping[str, Column] | None = None, staged: bool = False,
 ) -> DataFrame:
     """All four links in order, with resolved ages, brood year and stock.
 
     Samples move from link to link with what they met packed in one column a link, and without their ``repeats``,
     columns that follow from their others; all are laid out, and ages resolved, after the last link.
+
+    With ``staged``, what a link has made is written before the next one reads it, in place of what the link before
+    has made: the disk then holds the shuffle files of one link and not of all, and samples without a link's key
+    are not among them. This writes samples three times more.
     """
-    repeats = repeats or {}
+    repeats, stage = repeats or {}, Stage()
     fields = {c: repeats.get(c, _named(c)) for c in samples.columns}
     linked = samples.drop(*repeats)
     scales, otoliths = scales.drop("r_scale_book_cell_concat"), otoliths.drop("r_otolith_box_vial_concat")
@@ -337,18 +353,17 @@ def link_all(
         (link_tags, tags, TAG_KEYS, "__tags"),
     ):
         fields = _with_fields(fields, right, keys, slot)
-        linked = link(linked, _packed(right, keys, slot), na_matches=na_matches)
+        packed = _packed(right, keys, slot)
+        if staged:
+            linked = stage.settle(_link_some(link, linked, packed, keys, na_matches), slot.strip("_"))
+        else:
+            linked = link(linked, packed, na_matches=na_matches)
 
     named = linked.withColumns({c: value for c, value in fields.items() if c not in linked.columns})
     kept = [_named(c) for c in linked.columns if c not in MARK_KEYS]
     linked, marks_of = resolve_ages(named, year).select(*kept, *MARK_KEYS), _packed(marks, MARK_KEYS, "__marks")
-    if na_matches == "never":
-        # Few samples have both keys; the others need not be moved once more.
-        lacking = join_present(*MARK_KEYS).isNull()
-        met = link_marks(linked.filter(~lacking), marks_of)
-        linked = met.unionByName(linked.filter(lacking), allowMissingColumns=True)
-    else:
-        linked = link_marks(linked, marks_of, na_matches=na_matches)
+    # Few samples have both keys; the others need not be moved once more.
+    linked = _link_some(link_marks, linked, marks_of, MARK_KEYS, na_matches)
     # The keys are taken as they were moved, all else is resolved here.
     laid_out = [value.alias(c) for c, value in fields.items()]
     aged = resolve_ages(linked.select(*laid_out, "__marks", *[_named(c).alias("__moved_" + c) for c in MARK_KEYS]), year)

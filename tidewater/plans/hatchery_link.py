@@ -50,7 +50,7 @@ def scale_table(inputs: LinkInputs, year: int, sector: str = "SC") -> tuple[Data
     return hatchery.scale_ages(batches, containers, readings), readings
 
 
-def link_steps(inputs: LinkInputs, year: int, *, na_matches: str = "never") -> dict[str, Step]:
+def link_steps(inputs: LinkInputs, year: int, *, na_matches: str = "never", staged: bool = False) -> dict[str, Step]:
     """The five standardised inputs and the samples linked to them, by report name, each from the tables before it."""
     linked, samples, scales, otoliths, tags, marks = DESCRIPTIONS
     return {
@@ -61,15 +61,18 @@ def link_steps(inputs: LinkInputs, year: int, *, na_matches: str = "never") -> d
         marks: lambda t: hatchery.mark_master(inputs.marks),
         linked: lambda t: hatchery.link_all(
             t[samples], t[scales], t[otoliths], t[tags], t[marks], year, na_matches=na_matches,
-            repeats=hatchery.sample_repeats(t[samples]),
+            repeats=hatchery.sample_repeats(t[samples]), staged=staged,
         ),
     }
 
 
-def link_tables(inputs: LinkInputs, year: int, *, na_matches: str = "never") -> dict[str, DataFrame]:
-    """The linked samples and the five standardised inputs, by report name."""
+def link_tables(inputs: LinkInputs, year: int, *, na_matches: str = "never", staged: bool = False) -> dict[str, DataFrame]:
+    """The linked samples and the five standardised inputs, by report name.
+
+    ``staged`` is for what needs all columns of very many samples: links are then written one after the other.
+    """
     done: dict[str, DataFrame] = {}
-    for name, step in link_steps(inputs, year, na_matches=na_matches).items():
+    for name, step in link_steps(inputs, year, na_matches=na_matches, staged=staged).items():
         done[name] = step(done)
     return {name: done[name] for name in DESCRIPTIONS}
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +24,24 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+#: Whether Spark deletes a query's shuffle files when it has ended; else they stay until the driver collects its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within, the shuffle files of what is written go as soon as it is written."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """This run's own folder in a place every executor can reach.
 
@@ -44,7 +64,32 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Stage:
+    """A place in the shared folder for one table at a time, which is made from the one before it.
+
+    The one before is deleted once the next is written, and so are the shuffle files this took, so the disk holds two
+    such tables and one table's shuffles at most, however many there are in a row.
+    """
+
+    def __init__(self):
+        self.path: str | None = None
+
+    def settle(self, df: DataFrame, name: str) -> DataFrame:
+        spark = df.sparkSession
+        path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        with freed_shuffles(spark):
+            df.write.option("compression", "zstd").parquet(path)
+        if self.path:
+            _delete(spark, self.path)
+        self.path = path
+        return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_settled(spark: SparkSession) -> None:
     """Delete all that this run has settled; frames read from it are of no use afterwards."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, shared_folder(spark))

@@ -10,6 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 
 from tidewater.operators.reshape import display_names
+from tidewater.session import freed_shuffles
 
 STAMP = "%Y-%m-%d_%H%M"
 
@@ -38,12 +39,15 @@ def write_table(
     df: DataFrame, path: str, *, fmt: str = "parquet", mode: str = "errorifexists",
     names: Mapping[str, str] | None = None,
 ) -> str:
-    """Write one table, under display names if given."""
+    """Write one table, under display names if given; parquet is packed by zstd, and no shuffle files are left behind."""
     df = display_names(df, names or {})
     writer = df.write.mode(mode)
     if fmt == "csv":
         writer = writer.option("header", True).option("escape", '"')
-    writer.format(fmt).save(path)
+    if fmt == "parquet":
+        writer = writer.option("compression", "zstd")
+    with freed_shuffles(df.sparkSession):
+        writer.format(fmt).save(path)
     return path
 
 
